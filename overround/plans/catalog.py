@@ -17,12 +17,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import functions as fx
 from .. import operators as op
 from . import markets as mk
 
 LINE_ORD = ("l_linenumber", "l_partkey", "l_suppkey")
+T_K = "struct<k:bigint>"
 KEYS = ("agency", "snapshot_id")
 
 # Test parameters: name rules over order priorities ("1-URGENT" ...).
@@ -36,6 +38,20 @@ PRIORITY_RULES_SQL = """CASE WHEN regexp_matches({x}, '(^1)|(URGENT)') THEN 'Urg
      WHEN regexp_matches({x}, '(^5)|(LOW)') THEN 'Low' ELSE {x} END"""
 
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None):
+    """Add a query (and its DuckDB oracle, if SQL can express it)."""
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return fn
+    return deco
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
@@ -99,10 +115,372 @@ SELECT home_c || ' v ' || away_c AS match, start_time, 'Head To Head' AS market_
 FROM c"""
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "market_h2h_nth": q_market_h2h_nth,
-}
+register("market_h2h_nth", SQL_MARKET_H2H_NTH)(q_market_h2h_nth)
+
+
+# ------------------------------------------------------- helpers (letters)
+
+def _letters(c) -> F.Column:
+    """Digits -> letters, so generated names never contain numbers that a
+    line/price regex could pick up."""
+    return F.translate(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"),
+                       "0123456789", "abcdefghij")
+
+
+def _letters_sql(x: str) -> str:
+    return f"translate(CAST({x} AS VARCHAR), '0123456789', 'abcdefghij')"
+
+
+# Test parameters: order status -> team name.
+STATUS_RULES = (("^O", "Open"), ("^F", "Filled"))
+
+
+def _status_sql(x: str) -> str:
+    return (f"CASE WHEN regexp_matches({x}, '^O') THEN 'Open' "
+            f"WHEN regexp_matches({x}, '^F') THEN 'Filled' ELSE {x} END")
+
+
+def tab_lineitem_selections(spark: SparkSession, d: str, market_name, prop_name,
+                            price=None, with_part: bool = False) -> DataFrame:
+    """Lineitems as TAB-style propositions of match ``Order <letters> v
+    <status>`` (digit-free names)."""
+    li = _t(spark, d, "lineitem")
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    s = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    if with_part:
+        part = _t(spark, d, "part").select("p_partkey", "p_name", "p_brand")
+        s = s.join(part, s.l_partkey == part.p_partkey)
+    home = F.concat(F.lit("Order "), _letters("l_orderkey"))
+    s = s.select("*", home.alias("_home"), F.col("o_orderstatus").alias("_away"))
+    return s.select(
+        F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"), "*",
+        F.concat(F.col("_home"), F.lit(" v "), F.col("_away")).alias("match"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_time"),
+        market_name.alias("market_name"), prop_name.alias("prop_name"),
+        (price if price is not None else F.col("l_quantity")).alias("price"),
+        F.col("l_partkey").alias("prop_id"),
+    )
+
+
+def tab_base_sql(with_part: bool = False) -> str:
+    part = " JOIN part p ON l.l_partkey = p.p_partkey" if with_part else ""
+    return f"""
+  SELECT l.*, o.o_orderstatus{', p.p_name, p.p_brand' if with_part else ''},
+         'Order ' || {_letters_sql('l.l_orderkey')} AS home_raw, o.o_orderstatus AS away_raw,
+         'Order ' || {_letters_sql('l.l_orderkey')} || ' v ' || o.o_orderstatus AS match,
+         strftime(o.o_orderdate, '%Y-%m-%d') AS start_time
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey{part}"""
+
+
+def _signed_text(x) -> F.Column:
+    """``+2.0`` / ``-3.0`` / ``+0.0`` label text of a double."""
+    return F.concat(F.when(x >= 0, F.lit("+")).otherwise(F.lit("")), x.cast("string"))
+
+
+def _line_x():
+    return (F.col("l_linenumber") - 4).cast("double")
+
+
+# ------------------------------------------------- scans, documents, sinks
+
+def _tab_documents(spark: SparkSession, d: str) -> str:
+    """Land one TAB-shaped document per lineitem as JSON lines; returns path."""
+    from ..session import scratch_path
+    li = _t(spark, d, "lineitem")
+    prop = lambda i, n, w: F.struct(F.col(i).cast("bigint").alias("id"), n.alias("name"),
+                                    F.col(w).alias("returnWin"))
+    markets = F.array(
+        F.struct(F.lit("Quantity").alias("betOption"),
+                 F.array(prop("l_partkey", F.concat(F.lit("Part "), _letters("l_partkey")), "l_quantity"),
+                         prop("l_suppkey", F.concat(F.lit("Supplier "), _letters("l_suppkey")),
+                              "l_extendedprice")).alias("propositions")),
+        F.struct(F.lit("Charges").alias("betOption"),
+                 F.array(prop("l_linenumber", F.lit("Discount"), "l_discount"),
+                         prop("l_linenumber", F.lit("Tax"), "l_tax")).alias("propositions")),
+        F.struct(F.lit("Closed").alias("betOption"),
+                 F.array().cast("array<struct<id:bigint,name:string,returnWin:double>>")
+                  .alias("propositions")),
+    )
+    match = F.struct(
+        F.concat(F.lit("Order "), F.col("l_orderkey").cast("string"), F.lit(" v Line "),
+                 F.col("l_linenumber").cast("string")).alias("name"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("startTime"),
+        markets.alias("markets"))
+    path = scratch_path(spark, "tab-docs")
+    li.select(F.array(match).alias("matches")).write.mode("overwrite").json(path)
+    return path
+
+
+def _read_tab_documents(spark: SparkSession, d: str) -> DataFrame:
+    from .. import schemas as S
+    from ..sources import read_nested_json
+    docs = read_nested_json(spark, _tab_documents(spark, d), S.TAB_RESPONSE, multi_line=False)
+    return docs.select(F.lit("landed").alias("url"), F.struct("matches").alias("doc"))
+
+
+_TAB_DOC_SQL = """
+  SELECT 'Order ' || CAST(l_orderkey AS VARCHAR) || ' v Line ' || CAST(l_linenumber AS VARCHAR) AS match,
+         strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS start_time, *
+  FROM lineitem"""
+
+
+@register("src_json_nested", f"""
+WITH d AS ({_TAB_DOC_SQL})
+SELECT match, start_time, CAST(3 AS INTEGER) AS n_markets FROM d""")
+def q_src_json_nested(spark: SparkSession, d: str) -> DataFrame:
+    docs = _read_tab_documents(spark, d)
+    m = op.unnest(docs.select(F.col("doc.matches").alias("matches")), "matches", "match_pos", "m")
+    return m.select(F.col("m.name").alias("match"), F.col("m.startTime").alias("start_time"),
+                    F.size("m.markets").alias("n_markets"))
+
+
+@register("json_unnest", f"""
+WITH d AS ({_TAB_DOC_SQL})
+SELECT match, start_time, 0 AS match_pos, 0 AS market_pos, 'Quantity' AS market_name, 0 AS prop_pos,
+       l_partkey AS prop_id, 'Part ' || {_letters_sql('l_partkey')} AS prop_name, l_quantity AS price FROM d
+UNION ALL
+SELECT match, start_time, 0, 0, 'Quantity', 1, l_suppkey, 'Supplier ' || {_letters_sql('l_suppkey')},
+       l_extendedprice FROM d
+UNION ALL
+SELECT match, start_time, 0, 1, 'Charges', 0, CAST(l_linenumber AS BIGINT), 'Discount', l_discount FROM d
+UNION ALL
+SELECT match, start_time, 0, 1, 'Charges', 1, CAST(l_linenumber AS BIGINT), 'Tax', l_tax FROM d""")
+def q_json_unnest(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import tab_selections
+    sel = tab_selections(_read_tab_documents(spark, d), agency="TPCH")
+    return sel.select("match", "start_time", "match_pos", "market_pos", "market_name", "prop_pos",
+                      "prop_id", "prop_name", "price")
+
+
+def _events_k(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    return ev.withColumn("k", F.from_json("props", "struct<k:bigint>")["k"])
+
+
+_K_SQL = "CAST(json_extract(props, '$.k') AS BIGINT)"
+_EVENT_URL = "https://feed.example.com/events/"
+
+
+def _event_market_docs(spark: SparkSession, d: str) -> str:
+    """Land one Sportsbet-shaped market document per event; returns path."""
+    from ..session import scratch_path
+    ev = _events_k(spark, d)
+    handicap = F.when(F.col("k") % 5 != 0, F.col("k").cast("string"))
+    sel = F.struct(
+        F.concat(F.col("event_type"), F.lit(" Over")).alias("name"),
+        F.lit("O").alias("resultType"), F.col("user_id").alias("externalId"),
+        handicap.alias("unformattedHandicap"),
+        F.struct(F.col("value").alias("winPrice")).alias("price"))
+    body = F.to_json(F.array(F.struct(F.col("event_type").alias("name"),
+                                      F.col("event_id").alias("externalId"),
+                                      F.array(sel).alias("selections"))))
+    url = F.concat(F.lit(_EVENT_URL), (F.col("event_id") + 1000000).cast("string"), F.lit("/markets"))
+    path = scratch_path(spark, "event-docs")
+    ev.select(url.alias("url"), body.alias("body")).write.mode("overwrite").json(path)
+    return path
+
+
+@register("src_json_events", f"""
+SELECT event_id + 1000000 AS match_id, CAST(0 AS INTEGER) AS market_pos, event_type AS market_name,
+       event_id AS market_id, CAST(0 AS INTEGER) AS prop_pos, user_id AS prop_id,
+       event_type || ' Over' AS prop_name, 'O' AS result_type, value AS price,
+       CASE WHEN {_K_SQL} % 5 <> 0 THEN CAST({_K_SQL} AS DOUBLE) END AS handicap
+FROM events""")
+def q_src_json_events(spark: SparkSession, d: str) -> DataFrame:
+    from .. import schemas as S
+    from ..sources import parse_documents, read_landed, sportsbet_selections
+    docs = parse_documents(read_landed(spark, _event_market_docs(spark, d)), S.SB_MARKETS_RESPONSE)
+    sel = sportsbet_selections(docs)
+    return sel.select("match_id", "market_pos", "market_name", "market_id", "prop_pos", "prop_id",
+                      "prop_name", "result_type", "price", "handicap")
+
+
+@register("src_event_metadata", f"""
+SELECT event_id + 1000000 AS match_id, user_id AS class_external_id,
+       {_K_SQL} AS competition_external_id, event_id AS event_external_id FROM events""")
+def q_src_event_metadata(spark: SparkSession, d: str) -> DataFrame:
+    from .. import schemas as S
+    from ..session import scratch_path
+    from ..sources import event_metadata, parse_documents, read_landed
+    ev = _events_k(spark, d)
+    body = F.to_json(F.struct(F.col("user_id").alias("classExternalId"),
+                              F.col("k").alias("competitionExternalId"),
+                              F.col("event_id").alias("externalId")))
+    url = F.concat(F.lit(_EVENT_URL), (F.col("event_id") + 1000000).cast("string"), F.lit("/SportCard"))
+    path = scratch_path(spark, "event-meta")
+    ev.select(url.alias("url"), body.alias("body")).write.mode("overwrite").json(path)
+    docs = parse_documents(read_landed(spark, path), S.SB_EVENT_METADATA)
+    return event_metadata(docs)
+
+
+@register("json_field", f"SELECT event_id, {_K_SQL} AS k FROM events")
+def q_json_field(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    doc = F.from_json("props", "struct<k:bigint>")
+    return ev.select("event_id", doc["k"].alias("k"))
+
+
+@register("json_optional_field", f"""
+SELECT event_id, {_K_SQL} AS k, TRY_CAST(json_extract_string(props, '$.h') AS DOUBLE) AS handicap
+FROM events""")
+def q_json_optional_field(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    doc = F.from_json("props", "struct<k:bigint,h:string>")
+    return ev.select("event_id", doc["k"].alias("k"), fx.as_numeric(doc["h"]).alias("handicap"))
+
+
+@register("sink_csv_roundtrip", """
+SELECT p_partkey, p_name, nullif(p_size % 7, 0) AS size_mod, p_retailprice FROM part""")
+def q_sink_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    from ..session import scratch_path
+    from ..sources import read_csv, write_csv
+    part = _t(spark, d, "part")
+    out = part.select("p_partkey", "p_name", F.nullif(F.col("p_size") % 7, F.lit(0)).alias("size_mod"),
+                      "p_retailprice")
+    path = scratch_path(spark, "csv")
+    write_csv(out, path)
+    return read_csv(spark, path, out.schema)
+
+
+def _landing_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """Event bodies; error events carry a truncated body."""
+    ev = _t(spark, d, "events")
+    body = F.when(F.col("event_type") == "error", F.substring("props", 1, 4)).otherwise(F.col("props"))
+    url = F.concat(F.lit(_EVENT_URL), F.col("event_id").cast("string"))
+    return ev.select(url.alias("url"), body.alias("body"))
+
+
+_LANDING_SQL = f"""
+  SELECT '{_EVENT_URL}' || CAST(event_id AS VARCHAR) AS url,
+         CASE WHEN event_type = 'error' THEN substr(props, 1, 4) ELSE props END AS body
+  FROM events"""
+
+
+@register("sink_json_landing", f"WITH b AS ({_LANDING_SQL}) SELECT url, body FROM b WHERE json_valid(body)")
+def q_sink_json_landing(spark: SparkSession, d: str) -> DataFrame:
+    from ..session import scratch_path
+    from ..sources import parse_documents, read_landed, write_landing
+    parsed = parse_documents(_landing_bodies(spark, d), T_K)
+    path = scratch_path(spark, "landing")
+    write_landing(parsed, path, mode="overwrite")
+    return read_landed(spark, path)
+
+
+@register("quarantine_split", f"""
+WITH b AS ({_LANDING_SQL}) SELECT url, body FROM b WHERE NOT json_valid(body)""")
+def q_quarantine_split(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import parse_documents, quarantine_split
+    _good, rejects = quarantine_split(parse_documents(_landing_bodies(spark, d), T_K))
+    return rejects.select("url", "body")
+
+
+@register("url_manifest", """
+SELECT p_partkey AS match_id, e.endpoint,
+       'https://api.example.com/sportsbook/Events/' || CAST(p_partkey AS VARCHAR) || '/' || e.path AS url
+FROM part, (VALUES ('event_card', 'SportCard'), ('main', 'MarketGroupings/101/Markets'),
+                   ('line', 'MarketGroupings/313/Markets'), ('total_points', 'MarketGroupings/108/Markets'),
+                   ('total_tries', 'MarketGroupings/110/Markets'),
+                   ('player_tries', 'MarketGroupings/112/Markets'),
+                   ('time_of_first_try', 'MarketGroupings/205/Markets')) e(endpoint, path)""")
+def q_url_manifest(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import url_manifest
+    ids = _t(spark, d, "part").select(F.col("p_partkey").alias("match_id"))
+    return url_manifest(ids)
+
+
+# ---------------------------------------------------------------- arrays
+
+@register("array_posexplode", """
+SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+       unnest(embedding) AS value FROM embeddings""")
+def q_array_posexplode(spark: SparkSession, d: str) -> DataFrame:
+    emb = _t(spark, d, "embeddings")
+    return op.unnest(emb.select("vec_id", "embedding"), "embedding", "pos", "value")
+
+
+@register("array_get", """
+SELECT vec_id, embedding[1] AS first, embedding[2] AS second, embedding[65] AS past_end, label
+FROM embeddings""")
+def q_array_get(spark: SparkSession, d: str) -> DataFrame:
+    emb = _t(spark, d, "embeddings")
+    return emb.select("vec_id", op.array_get("embedding", 0).alias("first"),
+                      op.array_get("embedding", 1).alias("second"),
+                      op.array_get("embedding", 64).alias("past_end"), "label")
+
+
+# ------------------------------------------------------------------ HTML
+
+_HREF_SQL = """regexp_extract_all(html, 'href="([^"]*)"', 1)"""
+_ANCHOR_TEXT_SQL = """regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)"""
+
+
+@register("positional_zip", f"""
+WITH a AS (SELECT page_id, {_HREF_SQL} AS h, {_ANCHOR_TEXT_SQL} AS t FROM pages)
+SELECT page_id, CAST(generate_subscripts(CASE WHEN len(h) >= len(t) THEN h ELSE t END, 1) - 1 AS INTEGER) AS pos,
+       unnest(h) AS href, unnest(t) AS text
+FROM a WHERE len(h) > 0 OR len(t) > 0""")
+def q_positional_zip(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import hrefs
+    pages = _t(spark, d, "pages")
+    arrays = pages.select("page_id", hrefs("html").alias("h"),
+                          F.regexp_extract_all("html", F.lit(r'<a href="[^"]*">([^<]*)</a>'), 1).alias("t"))
+    return op.positional_zip(arrays, {"href": "h", "text": "t"}, keep=["page_id"])
+
+
+@register("html_links", f"""
+SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS pos, unnest(h) AS href
+FROM (SELECT page_id, {_HREF_SQL} AS h FROM pages)""")
+def q_html_links(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import page_links
+    return page_links(_t(spark, d, "pages"))
+
+
+def _decode_sql(x: str) -> str:
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{ent}', '{ch}')"
+    return x
+
+
+@register("html_text", f"""
+SELECT page_id,
+       {_decode_sql("regexp_replace(nullif(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), ''), '<[^>]*>', '', 'g')")}
+         AS title
+FROM pages""")
+def q_html_text(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import tag_text
+    pages = _t(spark, d, "pages")
+    return pages.select("page_id", tag_text("html", "title").alias("title"))
+
+
+@register("html_class_text", f"""
+WITH a AS (SELECT page_id,
+                  regexp_extract_all(html, '(?s)<div[^>]*class="[^"]*\\bad\\b[^"]*"[^>]*>(.*?)</div>', 1) AS e
+           FROM pages)
+SELECT page_id, CAST(generate_subscripts(e, 1) - 1 AS INTEGER) AS pos,
+       {_decode_sql("regexp_replace(unnest(e), '<[^>]*>', '', 'g')")} AS text
+FROM a""")
+def q_html_class_text(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import elements_by_class, texts
+    pages = _t(spark, d, "pages")
+    return pages.select("page_id", F.posexplode(texts(elements_by_class("html", "ad")))
+                        .alias("pos", "text"))
+
+
+@register("url_id_first", """
+SELECT page_id, TRY_CAST(nullif(regexp_extract(url || '/events/' || CAST(page_id * 7919 + 100000 AS VARCHAR),
+                                               '[0-9]{6,8}', 0), '') AS BIGINT) AS match_id
+FROM pages""")
+def q_url_id_first(spark: SparkSession, d: str) -> DataFrame:
+    pages = _t(spark, d, "pages")
+    link = F.concat("url", F.lit("/events/"), (F.col("page_id") * 7919 + 100000).cast("string"))
+    return pages.select("page_id", fx.url_match_id(link).alias("match_id"))
+
 
-ORACLE_SQL: dict[str, str] = {
-    "market_h2h_nth": SQL_MARKET_H2H_NTH,
-}
+@register("url_id_tail", """
+SELECT page_id, TRY_CAST(nullif(regexp_extract(url || CAST(page_id AS VARCHAR), '\\d{4,10}$', 0), '')
+                         AS BIGINT) AS match_id
+FROM pages""")
+def q_url_id_tail(spark: SparkSession, d: str) -> DataFrame:
+    pages = _t(spark, d, "pages")
+    return pages.select("page_id",
+                        fx.link_id_tail(F.concat("url", F.col("page_id").cast("string"))).alias("match_id"))

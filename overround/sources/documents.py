@@ -43,8 +43,11 @@ def parse_documents(df: DataFrame, schema: T.DataType, body_col: str = "body",
 
     An array-rooted body that does not parse is null.  For struct roots
     Spark returns an all-null struct, so the raw text is captured in a
-    corrupt-record field and validity is read from it.
+    corrupt-record field and validity is read from it.  ``schema`` may be a
+    DataType or a DDL string.
     """
+    if isinstance(schema, str):
+        schema = T.DataType.fromDDL(schema)
     if isinstance(schema, T.StructType):
         with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         parsed = F.from_json(F.col(body_col), with_corrupt,
