@@ -484,3 +484,407 @@ def q_url_id_tail(spark: SparkSession, d: str) -> DataFrame:
     pages = _t(spark, d, "pages")
     return pages.select("page_id",
                         fx.link_id_tail(F.concat("url", F.col("page_id").cast("string"))).alias("match_id"))
+
+
+# ---------------------------------------------------- projections/filters
+
+@register("select_any_of", "SELECT o_orderkey, o_orderdate, o_custkey FROM orders")
+def q_select_any_of(spark: SparkSession, d: str) -> DataFrame:
+    return op.select_any_of(_t(spark, d, "orders"),
+                            ["o_orderkey", "round", "o_orderdate", "o_custkey", "missing_column"])
+
+
+@register("project_rename", """
+SELECT o_orderkey AS match_id, o_custkey AS customer, o_totalprice AS price,
+       o_orderpriority AS priority FROM orders""")
+def q_project_rename(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders")
+    o = o.withColumnsRenamed({"o_orderkey": "match_id", "o_custkey": "customer"})
+    return o.select("match_id", "customer", F.col("o_totalprice").alias("price"),
+                    F.col("o_orderpriority").alias("priority"))
+
+
+@register("project_drop", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders""")
+def q_project_drop(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "orders").drop("o_orderpriority", "o_orderstatus")
+
+
+@register("computed_columns", """
+SELECT o_orderkey, (o_totalprice / 1000) * 2 AS price_k, 'TPCH' AS agency,
+       CAST(o_orderkey AS VARCHAR) AS key_text, o_orderstatus = 'F' AS is_filled FROM orders""")
+def q_computed_columns(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders")
+    # Sequential: the second price_k reads the first one.
+    o = (o.withColumn("price_k", F.col("o_totalprice") / 1000)
+          .withColumn("price_k", F.col("price_k") * 2)
+          .withColumn("agency", F.lit("TPCH"))
+          .withColumn("key_text", F.col("o_orderkey").cast("string"))
+          .withColumn("is_filled", F.col("o_orderstatus") == "F"))
+    return o.select("o_orderkey", "price_k", "agency", "key_text", "is_filled")
+
+
+@register("filter_eq", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_tax FROM lineitem
+WHERE l_returnflag = 'R' AND l_tax = l_discount""")
+def q_filter_eq(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem")
+    return (li.filter((F.col("l_returnflag") == "R") & (F.col("l_tax") == F.col("l_discount")))
+              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_tax"))
+
+
+@register("filter_in", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem
+WHERE l_returnflag = 'R' OR l_returnflag = 'A'""")
+def q_filter_in(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem")
+    return (li.filter(F.col("l_returnflag").isin("R", "A"))
+              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"))
+
+
+@register("filter_flag", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, true AS is_open FROM lineitem WHERE l_linestatus = 'O'""")
+def q_filter_flag(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem").withColumn("is_open", F.col("l_linestatus") == "O")
+    return li.filter("is_open").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "is_open")
+
+
+@register("filter_not_null", """
+SELECT p_partkey, nullif(p_size % 7, 0) AS size_mod FROM part WHERE nullif(p_size % 7, 0) IS NOT NULL""")
+def q_filter_not_null(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part").select("p_partkey", F.nullif(F.col("p_size") % 7, F.lit(0)).alias("size_mod"))
+    return p.filter(F.col("size_mod").isNotNull())
+
+
+@register("filter_regex", "SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'ring$|rod$')")
+def q_filter_regex(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "part").filter(fx.str_detect("p_name", "ring$|rod$")).select("p_partkey", "p_name")
+
+
+@register("filter_regex_not", """
+SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'plate') AND NOT regexp_matches(p_name, 'hot')""")
+def q_filter_regex_not(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part")
+    return (p.filter(fx.str_detect("p_name", "plate"))
+             .filter(~fx.str_detect("p_name", "hot")).select("p_partkey", "p_name"))
+
+
+# ------------------------------------------------------------------- joins
+
+@register("join_left_equi", """
+SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
+def q_join_left_equi(spark: SparkSession, d: str) -> DataFrame:
+    c = _t(spark, d, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("nationkey"))
+    n = _t(spark, d, "nation").select(F.col("n_nationkey").alias("nationkey"), "n_name")
+    return op.lookup_join(c, n, "nationkey").select("c_custkey", "c_name", "n_name")
+
+
+def _event_sides(spark: SparkSession, d: str):
+    ev = _events_k(spark, d).withColumn("day", F.to_date("ts"))
+    bucket = F.nullif(F.col("k") % 10, F.lit(0)).alias("bucket")
+    clicks = ev.filter(F.col("event_type") == "click").select(
+        "user_id", "day", bucket, F.col("value").alias("click_value"))
+    views = ev.filter(F.col("event_type") == "view").select(
+        "user_id", "day", bucket, F.col("value").alias("view_value")).distinct()
+    return clicks, views
+
+
+_EVENT_SIDES_SQL = f"""
+  c AS (SELECT user_id, CAST(ts AS DATE) AS day, nullif({_K_SQL} % 10, 0) AS bucket, value AS click_value
+        FROM events WHERE event_type = 'click'),
+  v AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, nullif({_K_SQL} % 10, 0) AS bucket, value AS view_value
+        FROM events WHERE event_type = 'view')"""
+
+
+@register("join_natural_null_safe", f"""
+WITH {_EVENT_SIDES_SQL}
+SELECT c.user_id, c.day, c.bucket, c.click_value, v.view_value FROM c LEFT JOIN v
+  ON c.user_id IS NOT DISTINCT FROM v.user_id AND c.day IS NOT DISTINCT FROM v.day
+ AND c.bucket IS NOT DISTINCT FROM v.bucket""")
+def q_join_natural_null_safe(spark: SparkSession, d: str) -> DataFrame:
+    clicks, views = _event_sides(spark, d)
+    return op.natural_join(clicks, views, how="left")
+
+
+def _line_sides(spark: SparkSession, d: str):
+    li = _t(spark, d, "lineitem")
+    x = _line_x()
+    home = li.filter(F.col("l_returnflag") == "R").select(
+        "l_orderkey", x.alias("home_line"), F.col("l_quantity").alias("home_win"),
+        F.abs(x).alias("line"))
+    away = li.filter(F.col("l_returnflag") == "A").select(
+        "l_orderkey", x.alias("away_line"), F.col("l_quantity").alias("away_win"),
+        F.abs(x).alias("line"))
+    return home, away
+
+
+_LINE_SIDES_SQL = """
+  h AS (SELECT l_orderkey, CAST(l_linenumber - 4 AS DOUBLE) AS home_line, l_quantity AS home_win
+        FROM lineitem WHERE l_returnflag = 'R'),
+  a AS (SELECT l_orderkey, CAST(l_linenumber - 4 AS DOUBLE) AS away_line, l_quantity AS away_win
+        FROM lineitem WHERE l_returnflag = 'A')"""
+
+
+@register("join_many_to_many_opposite", f"""
+WITH {_LINE_SIDES_SQL}
+SELECT h.l_orderkey, abs(h.home_line) AS line, h.home_line, h.home_win, a.away_line, a.away_win
+FROM h JOIN a ON h.l_orderkey = a.l_orderkey AND abs(h.home_line) = abs(a.away_line)
+WHERE h.home_line <> a.away_line""")
+def q_join_many_to_many_opposite(spark: SparkSession, d: str) -> DataFrame:
+    home, away = _line_sides(spark, d)
+    return op.opposite_sign_pairs(home, away, ["l_orderkey", "line"])
+
+
+@register("join_balanced_pair", f"""
+WITH {_LINE_SIDES_SQL}
+SELECT h.l_orderkey, h.home_line, h.home_win, a.away_line, a.away_win
+FROM h JOIN a ON h.l_orderkey = a.l_orderkey AND abs(h.home_line + a.away_line) < 0.1""")
+def q_join_balanced_pair(spark: SparkSession, d: str) -> DataFrame:
+    home, away = _line_sides(spark, d)
+    return op.balanced_pairs(home.drop("line"), away.drop("line"), ["l_orderkey"])
+
+
+# ------------------------------------------------ aggregation and windows
+
+def _events_day(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "events").withColumn("day", F.to_date("ts"))
+
+
+@register("agg_first", """
+SELECT user_id, CAST(ts AS DATE) AS day, arg_min(event_type, event_id) AS first_type,
+       arg_min(value, event_id) AS first_value FROM events GROUP BY ALL""")
+def q_agg_first(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events_day(spark, d)
+    return ev.groupBy("user_id", "day").agg(op.first_by("event_type", ["event_id"]).alias("first_type"),
+                                            op.first_by("value", ["event_id"]).alias("first_value"))
+
+
+@register("agg_conditional_pivot", """
+SELECT user_id, CAST(ts AS DATE) AS day,
+       arg_min(value, event_id) FILTER (WHERE event_type = 'click') AS over_price,
+       arg_min(value, event_id) FILTER (WHERE event_type = 'purchase') AS under_price
+FROM events GROUP BY ALL""")
+def q_agg_conditional_pivot(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events_day(spark, d)
+    t = F.col("event_type")
+    return ev.groupBy("user_id", "day").agg(
+        op.first_where("value", t == "click", ["event_id"]).alias("over_price"),
+        op.first_where("value", t == "purchase", ["event_id"]).alias("under_price"))
+
+
+@register("agg_any", """
+SELECT user_id, CAST(ts AS DATE) AS day, bool_or(event_type = 'error') AS has_error
+FROM events GROUP BY ALL""")
+def q_agg_any(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events_day(spark, d)
+    return ev.groupBy("user_id", "day").agg(op.any_true(F.col("event_type") == "error").alias("has_error"))
+
+
+@register("distinct_values", "SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
+def q_distinct_values(spark: SparkSession, d: str) -> DataFrame:
+    return op.distinct_values(_t(spark, d, "orders"), ["o_custkey", "o_orderstatus"])
+
+
+@register("distinct_keep_first", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def q_distinct_keep_first(spark: SparkSession, d: str) -> DataFrame:
+    return op.keep_first(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"],
+                         ["l_partkey", "l_suppkey"])
+
+
+@register("window_nth_row", """
+SELECT l_orderkey, CAST(rn AS INTEGER) AS rn, l_partkey, l_suppkey, l_quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+  FROM lineitem) WHERE rn <= 2""")
+def q_window_nth_row(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem")
+    return op.nth_rows(li, ["l_orderkey"], LINE_ORD, 2).select(
+        "l_orderkey", "rn", "l_partkey", "l_suppkey", "l_quantity")
+
+
+@register("sort_multi", """
+SELECT o_orderkey, o_orderpriority, o_orderdate, o_totalprice FROM orders
+ORDER BY o_orderpriority, o_orderdate, o_totalprice""")
+def q_sort_multi(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    return op.sort_multi(o, ["o_orderpriority", "o_orderdate", "o_totalprice"])
+
+
+@register("sort_stable", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+ORDER BY l_quantity, l_orderkey, l_linenumber, l_partkey, l_suppkey""")
+def q_sort_stable(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                         "l_quantity")
+    return op.sort_stable(li, ["l_quantity"], ["l_orderkey", *LINE_ORD])
+
+
+@register("union_by_name", """
+SELECT c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS segment FROM customer
+UNION ALL BY NAME
+SELECT s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier""")
+def q_union_by_name(spark: SparkSession, d: str) -> DataFrame:
+    c = _t(spark, d, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"),
+                                        F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
+    s = _t(spark, d, "supplier").select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"),
+                                        F.col("s_acctbal").alias("acctbal"))
+    return op.union_by_name(c, s)
+
+
+@register("union_distinct_by_name", """
+SELECT c_nationkey AS nationkey, c_mktsegment AS segment FROM customer
+UNION BY NAME
+SELECT s_nationkey AS nationkey FROM supplier""")
+def q_union_distinct_by_name(spark: SparkSession, d: str) -> DataFrame:
+    c = _t(spark, d, "customer").select(F.col("c_nationkey").alias("nationkey"),
+                                        F.col("c_mktsegment").alias("segment"))
+    s = _t(spark, d, "supplier").select(F.col("s_nationkey").alias("nationkey"))
+    return op.union_distinct_by_name(c, s)
+
+
+# ----------------------------------------------------------------- scalars
+
+_PART_LABEL_SQL = "p_name || ' ' || CAST(CAST(p_size - 25 AS DOUBLE) / 2 AS VARCHAR)"
+
+
+def _part_label() -> F.Column:
+    return F.concat(F.col("p_name"), F.lit(" "), ((F.col("p_size") - 25).cast("double") / 2).cast("string"))
+
+
+@register("str_extract_number", f"""
+SELECT p_partkey, TRY_CAST(nullif(regexp_extract({_PART_LABEL_SQL}, '-?\\d+\\.?\\d*', 0), '') AS DOUBLE) AS num_any,
+       TRY_CAST(nullif(regexp_extract({_PART_LABEL_SQL}, '-?\\d+\\.\\d+', 0), '') AS DOUBLE) AS num_decimal,
+       TRY_CAST(nullif(regexp_extract(p_name, '-?\\d+\\.?\\d*', 0), '') AS DOUBLE) AS num_none
+FROM part""")
+def q_str_extract_number(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part").withColumn("label", _part_label())
+    return p.select("p_partkey", fx.extract_number("label", fx.SIGNED_NUMBER).alias("num_any"),
+                    fx.extract_number("label", fx.SIGNED_DECIMAL).alias("num_decimal"),
+                    fx.extract_number("p_name", fx.SIGNED_NUMBER).alias("num_none"))
+
+
+@register("str_remove", """
+SELECT p_partkey, regexp_replace(p_name || ' (' || p_brand || ')', ' \\(.*\\)', '') AS player_name,
+       regexp_replace(p_name, 'a', '') AS first_a_removed FROM part""")
+def q_str_remove(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part")
+    return p.select("p_partkey",
+                    fx.str_remove(F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")")), r" \(.*\)")
+                    .alias("player_name"),
+                    fx.str_remove("p_name", "a").alias("first_a_removed"))
+
+
+@register("str_replace_first", """
+SELECT p_partkey, regexp_replace(p_name, '[aeiou]', '$1*') AS replaced,
+       regexp_replace(p_name || ' a Try', 'a Try', '1+ Tries') AS market_name FROM part""")
+def q_str_replace_first(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part")
+    return p.select("p_partkey", fx.str_replace_first("p_name", "[aeiou]", "$1*").alias("replaced"),
+                    fx.str_replace_first(F.concat("p_name", F.lit(" a Try")), "a Try", "1+ Tries")
+                    .alias("market_name"))
+
+
+_CUST_LABEL_SQL = """CASE c_custkey % 3 WHEN 0 THEN c_name
+     WHEN 1 THEN c_name || ' v ' || c_mktsegment
+     ELSE c_name || ' v ' || c_mktsegment || ' v ' || CAST(c_nationkey AS VARCHAR) END"""
+
+
+@register("str_separate", f"""
+SELECT c_custkey, {_CUST_LABEL_SQL} AS match,
+       string_split({_CUST_LABEL_SQL}, ' v ')[1] AS home_team,
+       string_split({_CUST_LABEL_SQL}, ' v ')[2] AS away_team FROM customer""")
+def q_str_separate(spark: SparkSession, d: str) -> DataFrame:
+    c = _t(spark, d, "customer")
+    k = F.col("c_custkey") % 3
+    label = (F.when(k == 0, F.col("c_name"))
+              .when(k == 1, F.concat("c_name", F.lit(" v "), "c_mktsegment"))
+              .otherwise(F.concat("c_name", F.lit(" v "), "c_mktsegment", F.lit(" v "),
+                                  F.col("c_nationkey").cast("string"))))
+    c = c.select("c_custkey", label.alias("match"))
+    return c.select("c_custkey", "match", *fx.separate("match", " v ", ["home_team", "away_team"]))
+
+
+@register("str_paste", """
+SELECT n_nationkey, n_name || ' v ' || nullif(r_name, 'ASIA') AS match,
+       nullif(r_name, 'ASIA') || ':00' AS line
+FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
+def q_str_paste(spark: SparkSession, d: str) -> DataFrame:
+    n = _t(spark, d, "nation")
+    r = _t(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"),
+                                      F.nullif(F.col("r_name"), F.lit("ASIA")).alias("r_name"))
+    j = op.lookup_join(n, r, "n_regionkey")
+    return j.select("n_nationkey", fx.paste("n_name", F.lit("v"), "r_name").alias("match"),
+                    fx.paste0("r_name", F.lit(":00")).alias("line"))
+
+
+_MIX_SQL = """CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN CAST(p_size AS VARCHAR)
+     ELSE CAST(p_retailprice AS VARCHAR) END"""
+
+
+@register("safe_numeric", f"""
+SELECT p_partkey, {_MIX_SQL} AS raw, TRY_CAST({_MIX_SQL} AS DOUBLE) AS value FROM part""")
+def q_safe_numeric(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part")
+    k = F.col("p_partkey") % 3
+    raw = (F.when(k == 0, F.col("p_name")).when(k == 1, F.col("p_size").cast("string"))
+            .otherwise(F.col("p_retailprice").cast("string")))
+    return p.select("p_partkey", raw.alias("raw")).withColumn("value", fx.as_numeric("raw"))
+
+
+@register("coalesce_line", f"""
+SELECT event_id, coalesce(CAST(nullif({_K_SQL} % 5, 0) AS DOUBLE),
+                          TRY_CAST(string_split(event_type || ' Over ' || CAST(value AS VARCHAR), ' Over ')[2] AS DOUBLE))
+       AS line FROM events""")
+def q_coalesce_line(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events_k(spark, d)
+    label = F.concat("event_type", F.lit(" Over "), F.col("value").cast("string"))
+    _, line_2 = fx.separate(label, " Over ", ["name_2", "line_2"])
+    handicap = F.nullif(F.col("k") % 5, F.lit(0)).cast("double")
+    return ev.select("event_id", F.coalesce(handicap, fx.as_numeric(line_2)).alias("line"))
+
+
+@register("case_when_alias", """
+SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'CONSTRUCTION' ELSE c_mktsegment END AS segment
+FROM customer""")
+def q_case_when_alias(spark: SparkSession, d: str) -> DataFrame:
+    c = _t(spark, d, "customer")
+    return c.select("c_custkey", fx.apply_aliases("c_mktsegment", [("BUILDING", "CONSTRUCTION")]).alias("segment"))
+
+
+# Test parameters: ordered rules over part names.
+PART_RULES = (
+    ("(^small)|(ring)", "Small Ring"),
+    ("(^hot)|(plate)", "Hot Plate"),
+    ("(^red)", "Red"),
+    ("widget$", "Widget"),
+)
+
+
+@register("canonicalize_names", """
+SELECT p_partkey, CASE WHEN regexp_matches(p_name, '(^small)|(ring)') THEN 'Small Ring'
+                       WHEN regexp_matches(p_name, '(^hot)|(plate)') THEN 'Hot Plate'
+                       WHEN regexp_matches(p_name, '(^red)') THEN 'Red'
+                       WHEN regexp_matches(p_name, 'widget$') THEN 'Widget' ELSE p_name END AS team
+FROM part""")
+def q_canonicalize_names(spark: SparkSession, d: str) -> DataFrame:
+    p = _t(spark, d, "part")
+    return p.select("p_partkey", fx.canonicalize("p_name", PART_RULES).alias("team"))
+
+
+@register("margin", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round(1.0 / nullif(l_quantity, 0) + 1.0 / nullif(l_discount * 100, 0), 3) AS margin FROM lineitem""")
+def q_margin(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     fx.margin("l_quantity", F.col("l_discount") * 100).alias("margin"))
+
+
+@register("alt_line", """
+SELECT o_orderkey, TRY_CAST(nullif(regexp_extract(o_orderpriority, '\\d+', 0), '') AS DOUBLE) - 0.5 AS line
+FROM orders""")
+def q_alt_line(spark: SparkSession, d: str) -> DataFrame:
+    o = _t(spark, d, "orders")
+    return o.select("o_orderkey", fx.alt_line("o_orderpriority").alias("line"))
