@@ -132,12 +132,12 @@ def _letters_sql(x: str) -> str:
 
 
 # Test parameters: order status -> team name.
-STATUS_RULES = (("^O", "Open"), ("^F", "Filled"))
+STATUS_RULES = (("^O$", "Open"), ("^F$", "Filled"))
 
 
 def _status_sql(x: str) -> str:
-    return (f"CASE WHEN regexp_matches({x}, '^O') THEN 'Open' "
-            f"WHEN regexp_matches({x}, '^F') THEN 'Filled' ELSE {x} END")
+    return (f"CASE WHEN regexp_matches({x}, '^O$') THEN 'Open' "
+            f"WHEN regexp_matches({x}, '^F$') THEN 'Filled' ELSE {x} END")
 
 
 def tab_lineitem_selections(spark: SparkSession, d: str, market_name, prop_name,
@@ -888,3 +888,161 @@ FROM orders""")
 def q_alt_line(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d, "orders")
     return o.select("o_orderkey", fx.alt_line("o_orderpriority").alias("line"))
+
+
+# ----------------------------------------------------------- TAB markets
+
+def _line_market_name() -> F.Column:
+    return F.when(F.col("l_linestatus") == "O", "Line").otherwise("Pick Your Own Line")
+
+
+@register("market_line_opposite", f"""
+WITH b AS ({tab_base_sql()}),
+s AS (SELECT *, CASE WHEN l_linestatus = 'O' THEN 'Line' ELSE 'Pick Your Own Line' END AS market_name,
+             CAST(l_linenumber - 4 AS DOUBLE) AS x FROM b),
+h AS (SELECT * FROM (SELECT match, home_raw, away_raw, start_time, market_name, x AS home_line,
+                            l_quantity AS home_win, abs(x) AS line,
+                            row_number() OVER (PARTITION BY match, x, l_quantity
+                                               ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                     FROM s WHERE l_returnflag = 'R') WHERE rn = 1),
+a AS (SELECT * FROM (SELECT match, home_raw, away_raw, start_time, market_name, x AS away_line,
+                            l_quantity AS away_win, abs(x) AS line,
+                            row_number() OVER (PARTITION BY match, x, l_quantity
+                                               ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                     FROM s WHERE l_returnflag = 'A') WHERE rn = 1),
+p AS (SELECT h.*, a.away_line, a.away_win FROM h JOIN a
+        ON h.match IS NOT DISTINCT FROM a.match AND h.home_raw IS NOT DISTINCT FROM a.home_raw
+       AND h.away_raw IS NOT DISTINCT FROM a.away_raw AND h.start_time IS NOT DISTINCT FROM a.start_time
+       AND h.market_name IS NOT DISTINCT FROM a.market_name AND h.line IS NOT DISTINCT FROM a.line
+      WHERE h.home_line <> a.away_line)
+SELECT {_status_sql('home_raw')} || ' v ' || {_status_sql('away_raw')} AS match, start_time,
+       'Line' AS market_name, {_status_sql('home_raw')} AS home_team, home_line, home_win, {_status_sql('away_raw')} AS away_team, away_line, away_win,
+       round(1.0 / nullif(home_win, 0) + 1.0 / nullif(away_win, 0), 3) AS margin, 'TPCH' AS agency
+FROM p""")
+def q_market_line_opposite(spark: SparkSession, d: str) -> DataFrame:
+    """TAB line market: R lineitems are home-team labels ``"<home> +2.0"``,
+    A lineitems away-team labels, line = linenumber - 4."""
+    flag, x = F.col("l_returnflag"), _line_x()
+    team = F.when(flag == "R", F.col("_home")).when(flag == "A", F.col("_away"))
+    sel = tab_lineitem_selections(
+        spark, d,
+        market_name=F.when(flag.isin("R", "A"), _line_market_name()).otherwise("Other"),
+        prop_name=F.concat(team, F.lit(" "), _signed_text(x)))
+    return mk.line_opposite(sel, agency="TPCH", keys=KEYS, ord=LINE_ORD, rules=STATUS_RULES)
+
+
+def _totals_selections(spark: SparkSession, d: str) -> DataFrame:
+    flag = F.col("l_returnflag")
+    text = F.col("l_linenumber").cast("double").cast("string")
+    prop = (F.when(flag == "R", F.concat(F.lit("Over "), text))
+             .when(flag == "A", F.concat(F.lit("Under "), text)).otherwise(F.lit("Void")))
+    market = (F.when(F.col("l_linestatus") == "O", "Total Points Over/Under")
+               .otherwise("Pick Your Own Total"))
+    return tab_lineitem_selections(spark, d, market_name=market, prop_name=prop)
+
+
+@register("market_totals_dedup", f"""
+WITH b AS ({tab_base_sql()}),
+s AS (SELECT *, CAST(l_linenumber AS DOUBLE) AS line,
+             string_split(match, ' v ')[1] AS home_team, string_split(match, ' v ')[2] AS away_team FROM b),
+o AS (SELECT * FROM (SELECT match, start_time, home_team, away_team, line, l_quantity AS over_price,
+                            row_number() OVER (PARTITION BY match, line, l_quantity
+                                               ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                     FROM s WHERE l_returnflag = 'R') WHERE rn = 1),
+u AS (SELECT * FROM (SELECT match, start_time, home_team, away_team, line, l_quantity AS under_price,
+                            row_number() OVER (PARTITION BY match, line, l_quantity
+                                               ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                     FROM s WHERE l_returnflag = 'A') WHERE rn = 1),
+j AS (SELECT o.*, u.under_price FROM o LEFT JOIN u
+        ON o.match IS NOT DISTINCT FROM u.match AND o.start_time IS NOT DISTINCT FROM u.start_time
+       AND o.home_team IS NOT DISTINCT FROM u.home_team AND o.away_team IS NOT DISTINCT FROM u.away_team
+       AND o.line IS NOT DISTINCT FROM u.line)
+SELECT {_status_sql('home_team')} || ' v ' || {_status_sql('away_team')} AS match, start_time,
+       'Total Points' AS market_name, {_status_sql('home_team')} AS home_team, {_status_sql('away_team')} AS away_team, line, over_price, under_price,
+       round(1.0 / nullif(over_price, 0) + 1.0 / nullif(under_price, 0), 3) AS margin, 'TPCH' AS agency
+FROM j ORDER BY start_time, match, line""")
+def q_market_totals_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """TAB totals: R = "Over n", A = "Under n" (n = linenumber), two market
+    names feeding one market."""
+    return mk.totals_dedup(_totals_selections(spark, d), agency="TPCH", keys=KEYS, ord=LINE_ORD,
+                           rules=STATUS_RULES)
+
+
+def _player_selections(spark: SparkSession, d: str) -> DataFrame:
+    flag = F.col("l_returnflag")
+    market = (F.when(flag == "R", "Player To Score a Try").when(flag == "A", "Player 2+ Tries")
+               .otherwise("Player 1st Try Scorer"))
+    prop = F.concat(F.col("p_name"), F.lit(" ("), F.col("p_brand"), F.lit(")"))
+    return tab_lineitem_selections(spark, d, market_name=market, prop_name=prop, with_part=True)
+
+
+# Test parameters: player alias over part names.
+PART_ALIASES = (("small ring", "Small Ring"),)
+
+
+@register("market_alt_lines", f"""
+WITH b AS ({tab_base_sql(with_part=True)})
+SELECT {_status_sql('home_raw')} || ' v ' || {_status_sql('away_raw')} AS match,
+       {_status_sql('home_raw')} AS home_team,
+       {_status_sql('away_raw')} AS away_team, 'Player Tries' AS market_name,
+       CASE WHEN p_name = 'small ring' THEN 'Small Ring' ELSE p_name END AS player_name,
+       CAST(CASE WHEN l_returnflag = 'R' THEN 0.5 ELSE 1.5 END AS DOUBLE) AS line, l_quantity AS over_price,
+       l_partkey AS prop_id
+FROM b WHERE l_returnflag IN ('R', 'A') ORDER BY over_price""")
+def q_market_alt_lines(spark: SparkSession, d: str) -> DataFrame:
+    """TAB alternate player lines: part names as players of their order."""
+    return mk.tab_player_lines(_player_selections(spark, d), keys=KEYS, ord=LINE_ORD,
+                               rules=STATUS_RULES, aliases=PART_ALIASES)
+
+
+@register("market_outright", f"""
+WITH b AS ({tab_base_sql(with_part=True)})
+SELECT {_status_sql('home_raw')} || ' v ' || {_status_sql('away_raw')} AS match,
+       {_status_sql('home_raw')} AS home_team,
+       {_status_sql('away_raw')} AS away_team, 'First Try Scorer' AS market_name,
+       CASE WHEN p_name = 'small ring' THEN 'Small Ring' ELSE p_name END AS player_name,
+       l_quantity AS over_price, l_partkey AS prop_id
+FROM b WHERE l_returnflag NOT IN ('R', 'A') ORDER BY over_price""")
+def q_market_outright(spark: SparkSession, d: str) -> DataFrame:
+    """TAB first-try-scorer outright: N lineitems' parts as players."""
+    return mk.tab_outright(_player_selections(spark, d), keys=KEYS, ord=("l_orderkey", *LINE_ORD),
+                           rules=STATUS_RULES, aliases=PART_ALIASES)
+
+
+def _event_selections(spark: SparkSession, d: str) -> DataFrame:
+    """Events as TAB-style time propositions of match ``User <u> v Day <d>``."""
+    ev = _t(spark, d, "events")
+    t = F.col("event_type")
+    clock = F.date_format("ts", "H:mm")
+    prop = (F.when(t == "click", F.concat(clock, F.lit(" or Earlier")))
+             .when(t == "purchase", F.concat(clock, F.lit(" or later"))).otherwise(F.lit("Any time")))
+    match = F.concat(F.lit("User "), _letters("user_id"), F.lit(" v Day "),
+                     _letters(F.dayofmonth("ts")))
+    market = F.when(t.isin("click", "purchase", "view"), "Time of First Try").otherwise("Other")
+    return ev.select(F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"), "event_id",
+                     match.alias("match"), F.date_format("ts", "yyyy-MM-dd").alias("start_time"),
+                     market.alias("market_name"), prop.alias("prop_name"), F.col("value").alias("price"))
+
+
+_EVENT_MATCH_SQL = (f"'User ' || {_letters_sql('user_id')} || ' v Day ' || "
+                    f"{_letters_sql('dayofmonth(ts)')}")
+
+
+@register("market_time_threshold", f"""
+WITH s AS (SELECT *, {_EVENT_MATCH_SQL} AS match, strftime(ts, '%Y-%m-%d') AS start_time,
+                  strftime(ts, '%-H:%M') AS clock FROM events WHERE event_type IN ('click', 'purchase', 'view')),
+g AS (SELECT match, start_time,
+             arg_min(clock, event_id) FILTER (WHERE event_type = 'purchase') AS line,
+             arg_min(value, event_id) FILTER (WHERE event_type = 'click') AS over_price,
+             arg_min(value, event_id) FILTER (WHERE event_type = 'purchase') AS under_price,
+             bool_or(event_type = 'click') AS has_over, bool_or(event_type = 'purchase') AS has_under
+      FROM s GROUP BY match, start_time)
+SELECT match, start_time, 'Time of First Try' AS market_name, string_split(match, ' v ')[1] AS home_team,
+       string_split(match, ' v ')[2] AS away_team, line, over_price, under_price,
+       round(1.0 / nullif(over_price, 0) + 1.0 / nullif(under_price, 0), 3) AS margin, 'TPCH' AS agency
+FROM g WHERE has_over AND has_under""")
+def q_market_time_threshold(spark: SparkSession, d: str) -> DataFrame:
+    """TAB time of first try: clicks = "H:mm or Earlier", purchases =
+    "H:mm or later" per user-day."""
+    return mk.tab_time_threshold(_event_selections(spark, d), agency="TPCH", keys=KEYS,
+                                 ord=("event_id",), rules=())
