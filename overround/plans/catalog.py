@@ -1046,3 +1046,259 @@ def q_market_time_threshold(spark: SparkSession, d: str) -> DataFrame:
     "H:mm or later" per user-day."""
     return mk.tab_time_threshold(_event_selections(spark, d), agency="TPCH", keys=KEYS,
                                  ord=("event_id",), rules=())
+
+
+# ----------------------------------------------------- Sportsbet markets
+
+# Test parameters: return flag / line status -> participant names.
+FLAG_RULES = (("^R$", "Returned"), ("^A$", "Accepted"), ("^N$", "None"), ("^O$", "Open"),
+              ("^F$", "Filled"))
+
+
+def _flag_sql(x: str) -> str:
+    return ("CASE " + " ".join(f"WHEN regexp_matches({x}, '{p}') THEN '{c}'" for p, c in FLAG_RULES)
+            + f" ELSE {x} END")
+
+
+@register("market_h2h_positional", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       {_flag_sql('l_returnflag')} || ' v ' || {_flag_sql('l_linestatus')} AS match, 'Head To Head' AS market_name,
+       {_flag_sql('l_returnflag')} AS home_team, l_quantity AS home_win,
+       {_flag_sql('l_linestatus')} AS away_team, l_discount * 100 AS away_win,
+       strftime(l_shipdate, '%Y-%m-%d') AS start_time,
+       round(1.0 / nullif(l_quantity, 0) + 1.0 / nullif(l_discount * 100, 0), 3) AS margin,
+       'TPCH' AS agency
+FROM lineitem""")
+def q_market_h2h_positional(spark: SparkSession, d: str) -> DataFrame:
+    """Listing-card head-to-head: each lineitem is a card with parallel
+    participant and price-text arrays."""
+    li = _t(spark, d, "lineitem")
+    cards = li.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.array("l_returnflag", "l_linestatus").alias("participants"),
+        F.array(F.col("l_quantity").cast("string"), (F.col("l_discount") * 100).cast("string"))
+         .alias("prices"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("start_time"))
+    return mk.h2h_positional(cards, agency="TPCH", rules=FLAG_RULES,
+                             keep=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+def _orders_teams(spark: SparkSession, d: str) -> DataFrame:
+    """Teams dimension: one row per order (match)."""
+    o = _t(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("match_id"),
+                    F.concat(F.lit("Order "), _letters("o_orderkey")).alias("home_team"),
+                    F.col("o_orderstatus").alias("away_team"))
+
+
+def _sb_lineitem_selections(spark: SparkSession, d: str, market_name, prop_name,
+                            handicap=None) -> DataFrame:
+    li = _t(spark, d, "lineitem")
+    url = F.concat(F.lit(_EVENT_URL), (F.col("l_orderkey") + 1000000).cast("string"), F.lit("/markets"))
+    return li.select(
+        F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"), "*",
+        F.col("l_orderkey").alias("match_id"), url.alias("source_url"),
+        market_name.alias("market_name"), prop_name.alias("prop_name"),
+        F.col("l_quantity").alias("price"),
+        (handicap if handicap is not None else F.lit(None).cast("double")).alias("handicap"),
+        F.col("l_partkey").alias("prop_id"), F.col("l_suppkey").alias("market_id"))
+
+
+@register("market_line_balanced", f"""
+WITH t AS (SELECT o_orderkey, 'Order ' || {_letters_sql('o_orderkey')} AS home_team,
+                  {_status_sql('o_orderstatus')} AS away_team FROM orders),
+{_LINE_SIDES_SQL}
+SELECT t.home_team || ' v ' || t.away_team AS match, 'Line' AS market_name, t.home_team, h.home_line,
+       h.home_win, t.away_team, a.away_line, a.away_win,
+       round(1.0 / nullif(h.home_win, 0) + 1.0 / nullif(a.away_win, 0), 3) AS margin, 'TPCH' AS agency
+FROM h JOIN a ON h.l_orderkey = a.l_orderkey AND abs(h.home_line + a.away_line) < 0.1
+       JOIN t ON t.o_orderkey = h.l_orderkey""")
+def q_market_line_balanced(spark: SparkSession, d: str) -> DataFrame:
+    """Sportsbet line market: labels ``"<team> (+2.0)"``; side from the
+    teams dimension; pairs whose handicaps cancel."""
+    flag, x = F.col("l_returnflag"), _line_x()
+    teams = mk.canonical_teams_dim(_orders_teams(spark, d), STATUS_RULES)
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    li_names = F.when(flag == "R", F.concat(F.lit("Order "), _letters("l_orderkey")))
+    sel = _sb_lineitem_selections(
+        spark, d, market_name=F.when(flag.isin("R", "A"), "Line").otherwise("Other"),
+        prop_name=F.concat(li_names, F.lit(" ("), _signed_text(x), F.lit(")")))
+    # Away labels carry the order status, which lives in orders.
+    sel = (sel.join(o, sel.l_orderkey == o.o_orderkey, "left")
+              .withColumn("prop_name", F.when(flag == "A", F.concat(F.col("o_orderstatus"), F.lit(" ("),
+                                                                     _signed_text(x), F.lit(")")))
+                                        .otherwise(F.col("prop_name"))))
+    return mk.line_balanced(sel, teams, agency="TPCH", keys=KEYS, rules=STATUS_RULES)
+
+
+@register("market_over_under", f"""
+WITH t AS (SELECT o_orderkey, 'Order ' || {_letters_sql('o_orderkey')} AS home_team,
+                  o_orderstatus AS away_team FROM orders),
+o AS (SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS line, l_quantity AS over_price FROM lineitem
+      WHERE l_returnflag = 'R'),
+u AS (SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS line, l_quantity AS under_price FROM lineitem
+      WHERE l_returnflag = 'A'),
+j AS (SELECT o.*, u.under_price FROM o LEFT JOIN u
+        ON o.l_orderkey = u.l_orderkey AND o.line IS NOT DISTINCT FROM u.line)
+SELECT t.home_team || ' v ' || t.away_team AS match, 'Total Tries' AS market_name, t.home_team, t.away_team,
+       line, over_price, under_price,
+       round(1.0 / nullif(over_price, 0) + 1.0 / nullif(under_price, 0), 3) AS margin, 'TPCH' AS agency
+FROM j LEFT JOIN t ON t.o_orderkey = j.l_orderkey""")
+def q_market_over_under(spark: SparkSession, d: str) -> DataFrame:
+    """Sportsbet total-tries over/under per order document: R = over,
+    A = under, line = linenumber, given either as a handicap field or in
+    the label (``"Tries Over 3.0"``)."""
+    flag = F.col("l_returnflag")
+    has_handicap = F.col("l_linestatus") == "O"
+    text = F.col("l_linenumber").cast("double").cast("string")
+
+    def label(side: str) -> F.Column:
+        return F.when(has_handicap, F.lit(side)).otherwise(F.concat(F.lit(f"Tries {side} "), text))
+
+    sel = _sb_lineitem_selections(
+        spark, d, market_name=F.when(flag.isin("R", "A"), "Total Match Tries").otherwise("Other"),
+        prop_name=F.when(flag == "R", label("Over")).when(flag == "A", label("Under")).otherwise("Void"),
+        handicap=F.when(has_handicap, F.col("l_linenumber").cast("double")))
+    return mk.over_under(sel, _orders_teams(spark, d), market_re="Total Match Tries", over_re="Over",
+                         under_re="Under", label="Total Tries", agency="TPCH", keys=KEYS)
+
+
+# Events as player markets of match (user, day).
+def _player_event_selections(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events_k(spark, d)
+    t = F.col("event_type")
+    player = F.concat(F.lit("Player "), _letters("event_id"))
+    line_v = (F.col("k") % 4).cast("double") + 0.5
+    handicap = F.when(F.col("k") % 3 != 0, line_v)
+
+    def ou(side: str, side_no: int, price) -> F.Column:
+        name = F.when(handicap.isNull(), F.concat(player, F.lit(f" {side} "), line_v.cast("string"))) \
+                .otherwise(F.concat(player, F.lit(f" {side}")))
+        return F.struct(name.alias("prop_name"), price.alias("price"), handicap.alias("handicap"),
+                        (F.col("event_id") * 2 + side_no).alias("prop_id"))
+
+    single = F.struct(player.alias("prop_name"), F.col("value").alias("price"),
+                      F.lit(None).cast("double").alias("handicap"), (F.col("event_id") * 2).alias("prop_id"))
+    sides = (F.when(t == "click", F.array(ou("Over", 0, F.col("value")), ou("Under", 1, F.col("value") + 1)))
+              .when(t == "purchase", F.array(ou("Over", 0, F.col("value"))))
+              .otherwise(F.array(single)))
+    market = (F.when(t.isin("click", "purchase"), "Player Tries Over/Under")
+               .when(t == "view", "To Score 2+ Tries").when(t == "signup", "First Try Scorer")
+               .otherwise("To Score First Try"))
+    match_id = F.col("user_id") * 100 + F.dayofmonth("ts")
+    s = ev.select(F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"), "event_id", "ts",
+                  "user_id", match_id.alias("match_id"), market.alias("market_name"),
+                  F.col("event_id").alias("market_id"), F.explode(sides).alias("_s"))
+    return s.select("*", "_s.*").drop("_s")
+
+
+def _event_teams(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    return ev.select((F.col("user_id") * 100 + F.dayofmonth("ts")).alias("match_id"),
+                     F.concat(F.lit("Home "), _letters("user_id")).alias("home_team"),
+                     F.concat(F.lit("Away "), _letters(F.dayofmonth("ts"))).alias("away_team")).distinct()
+
+
+def _event_metadata(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events").withColumn("match_id", F.col("user_id") * 100 + F.dayofmonth("ts"))
+    return ev.groupBy("match_id").agg(F.min("event_id").alias("class_external_id"),
+                                      F.count(F.lit(1)).alias("competition_external_id"),
+                                      F.max("event_id").alias("event_external_id"))
+
+
+def _enriched_events(spark: SparkSession, d: str) -> DataFrame:
+    return mk.enrich_selections(_player_event_selections(spark, d), _event_teams(spark, d),
+                                _event_metadata(spark, d))
+
+
+_PLAYER_EVENTS_SQL = f"""
+  b AS (SELECT *, user_id * 100 + dayofmonth(ts) AS match_id, 'Player ' || {_letters_sql('event_id')} AS player,
+               CAST({_K_SQL} % 4 AS DOUBLE) + 0.5 AS line,
+               'Home ' || {_letters_sql('user_id')} || ' v ' || 'Away ' || {_letters_sql('dayofmonth(ts)')} AS match,
+               'Home ' || {_letters_sql('user_id')} AS home_team, 'Away ' || {_letters_sql('dayofmonth(ts)')} AS away_team
+        FROM events),
+  m AS (SELECT match_id, min(event_id) AS class_external_id, count(*) AS competition_external_id,
+               max(event_id) AS event_external_id FROM b GROUP BY match_id),
+  e AS (SELECT b.*, m.class_external_id, m.competition_external_id, m.event_external_id
+        FROM b JOIN m USING (match_id)),
+  m6 AS (SELECT match, home_team, away_team, 'Player Tries' AS market_name, player AS player_name,
+                CAST(1.5 AS DOUBLE) AS line, value AS over_price, 'TPCH' AS agency, class_external_id,
+                competition_external_id, event_external_id, event_id AS market_id, event_id * 2 AS player_id
+         FROM e WHERE event_type = 'view'),
+  m7 AS (SELECT match, home_team, away_team, 'Player Tries' AS market_name,
+                -- a label without a number after " Over " is not split: the whole label is the name,
+                -- so such overs find no under
+                CASE WHEN {_K_SQL} % 3 = 0 THEN player ELSE player || ' Over' END AS player_name, line,
+                value AS over_price, 'TPCH' AS agency, class_external_id, competition_external_id,
+                event_external_id, event_id AS market_id, event_id * 2 AS player_id,
+                CASE WHEN event_type = 'click' AND {_K_SQL} % 3 = 0 THEN value + 1 END AS under_price,
+                CASE WHEN event_type = 'click' AND {_K_SQL} % 3 = 0 THEN event_id * 2 + 1 END AS player_id_unders
+         FROM e WHERE event_type IN ('click', 'purchase'))"""
+
+
+@register("enrich_selections", f"""
+WITH {_PLAYER_EVENTS_SQL},
+s AS (SELECT e.*, 0 AS side, value AS price, event_id * 2 AS prop_id FROM e
+      UNION ALL SELECT e.*, 1, value + 1, event_id * 2 + 1 FROM e WHERE event_type = 'click')
+SELECT match_id, match, home_team, away_team,
+       CASE WHEN event_type IN ('click', 'purchase') THEN 'Player Tries Over/Under'
+            WHEN event_type = 'view' THEN 'To Score 2+ Tries' WHEN event_type = 'signup' THEN 'First Try Scorer'
+            ELSE 'To Score First Try' END AS market_name,
+       price, prop_id, event_id AS market_id, class_external_id, competition_external_id, event_external_id
+FROM s""")
+def q_enrich_selections(spark: SparkSession, d: str) -> DataFrame:
+    e = _enriched_events(spark, d)
+    return e.select("match_id", "match", "home_team", "away_team", "market_name", "price", "prop_id",
+                    "market_id", "class_external_id", "competition_external_id", "event_external_id")
+
+
+@register("market_alt_lines_sb", f"WITH {_PLAYER_EVENTS_SQL} SELECT * FROM m6")
+def q_market_alt_lines_sb(spark: SparkSession, d: str) -> DataFrame:
+    return mk.sb_player_lines(_enriched_events(spark, d), agency="TPCH", keys=KEYS)
+
+
+@register("market_player_over_under", f"WITH {_PLAYER_EVENTS_SQL} SELECT * FROM m7")
+def q_market_player_over_under(spark: SparkSession, d: str) -> DataFrame:
+    return mk.sb_player_over_under(_enriched_events(spark, d), agency="TPCH", keys=KEYS)
+
+
+@register("market_player_tries", f"""
+WITH {_PLAYER_EVENTS_SQL} SELECT * FROM m6 UNION BY NAME SELECT * FROM m7""")
+def q_market_player_tries(spark: SparkSession, d: str) -> DataFrame:
+    e = _enriched_events(spark, d)
+    return op.union_distinct_by_name(mk.sb_player_lines(e, agency="TPCH", keys=KEYS),
+                                     mk.sb_player_over_under(e, agency="TPCH", keys=KEYS))
+
+
+@register("market_outright_sb", f"""
+WITH {_PLAYER_EVENTS_SQL}
+SELECT match, home_team, away_team, 'First Try Scorer' AS market_name, player AS player_name,
+       value AS over_price, 'TPCH' AS agency, event_id * 2 AS player_id, event_id AS market_id
+FROM e WHERE event_type = 'signup'""")
+def q_market_outright_sb(spark: SparkSession, d: str) -> DataFrame:
+    return mk.sb_outright(_enriched_events(spark, d), agency="TPCH", keys=KEYS)
+
+
+@register("market_time_bands", f"""
+WITH {_PLAYER_EVENTS_SQL},
+g AS (SELECT match, match_id, arg_min(home_team, event_id) AS home_team, arg_min(away_team, event_id) AS away_team,
+             arg_min(CAST(minute(ts) + 1 AS VARCHAR) || ':00', event_id) FILTER (WHERE event_type = 'click') AS line,
+             arg_min(value, event_id) FILTER (WHERE event_type = 'click') AS over_price,
+             arg_min(value, event_id) FILTER (WHERE event_type = 'purchase') AS under_price
+      FROM b GROUP BY match, match_id)
+SELECT match, 'Time of First Try' AS market_name, home_team, away_team, line, over_price, under_price,
+       round(1.0 / nullif(over_price, 0) + 1.0 / nullif(under_price, 0), 3) AS margin, 'TPCH' AS agency
+FROM g WHERE line IS NOT NULL""")
+def q_market_time_bands(spark: SparkSession, d: str) -> DataFrame:
+    """Sportsbet time of first try: clicks are ``"0-<minute+1> Minutes"``
+    bands (over), purchases ``"No Try"`` (under), per user-day match."""
+    ev = _t(spark, d, "events")
+    t = F.col("event_type")
+    prop = (F.when(t == "click", F.concat(F.lit("0-"), (F.minute("ts") + 1).cast("string"), F.lit(" Minutes")))
+             .when(t == "purchase", F.lit("No Try")).otherwise(F.lit("Anytime")))
+    sel = ev.select(F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"), "event_id",
+                    (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("match_id"),
+                    F.lit("Time of First Try").alias("market_name"), prop.alias("prop_name"),
+                    F.col("value").alias("price"))
+    e = mk.enrich_selections(sel, _event_teams(spark, d))
+    return mk.sb_time_threshold(e, agency="TPCH", keys=KEYS, ord=("event_id",))
