@@ -23,7 +23,11 @@ from .. import functions as fx
 from .. import operators as op
 from . import markets as mk
 
-LINE_ORD = ("l_linenumber", "l_partkey", "l_suppkey")
+# Total order of lineitems inside an order: key columns first, then every
+# other column as a tie-break (the key alone repeats in the smallest tables).
+LINE_ORD = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+LINE_ORD_SQL = ", ".join(LINE_ORD)
 T_K = "struct<k:bigint>"
 KEYS = ("agency", "snapshot_id")
 
@@ -101,7 +105,7 @@ def q_market_h2h_nth(spark: SparkSession, d: str) -> DataFrame:
 SQL_MARKET_H2H_NTH = f"""
 WITH s AS ({LINEITEM_SELECTIONS_SQL} WHERE l.l_returnflag = 'R'),
 r AS (SELECT *, string_split(match, ' v ')[1] AS home_team, string_split(match, ' v ')[2] AS away_team,
-             row_number() OVER (PARTITION BY match ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+             row_number() OVER (PARTITION BY match ORDER BY {LINE_ORD_SQL}) AS rn
       FROM s),
 h AS (SELECT match, home_team, away_team, start_time, l_quantity AS home_win FROM r WHERE rn = 1),
 a AS (SELECT match, home_team, away_team, start_time, l_quantity AS away_win FROM r WHERE rn = 2),
@@ -685,18 +689,17 @@ def q_distinct_values(spark: SparkSession, d: str) -> DataFrame:
     return op.distinct_values(_t(spark, d, "orders"), ["o_custkey", "o_orderstatus"])
 
 
-@register("distinct_keep_first", """
+@register("distinct_keep_first", f"""
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORD_SQL}) AS rn
   FROM lineitem) WHERE rn = 1""")
 def q_distinct_keep_first(spark: SparkSession, d: str) -> DataFrame:
-    return op.keep_first(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"],
-                         ["l_partkey", "l_suppkey"])
+    return op.keep_first(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORD)
 
 
-@register("window_nth_row", """
+@register("window_nth_row", f"""
 SELECT l_orderkey, CAST(rn AS INTEGER) AS rn, l_partkey, l_suppkey, l_quantity FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORD_SQL}) AS rn
   FROM lineitem) WHERE rn <= 2""")
 def q_window_nth_row(spark: SparkSession, d: str) -> DataFrame:
     li = _t(spark, d, "lineitem")
@@ -712,9 +715,9 @@ def q_sort_multi(spark: SparkSession, d: str) -> DataFrame:
     return op.sort_multi(o, ["o_orderpriority", "o_orderdate", "o_totalprice"])
 
 
-@register("sort_stable", """
+@register("sort_stable", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
-ORDER BY l_quantity, l_orderkey, l_linenumber, l_partkey, l_suppkey""")
+ORDER BY l_quantity, l_orderkey, {LINE_ORD_SQL}""")
 def q_sort_stable(spark: SparkSession, d: str) -> DataFrame:
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                          "l_quantity")
@@ -903,12 +906,12 @@ s AS (SELECT *, CASE WHEN l_linestatus = 'O' THEN 'Line' ELSE 'Pick Your Own Lin
 h AS (SELECT * FROM (SELECT match, home_raw, away_raw, start_time, market_name, x AS home_line,
                             l_quantity AS home_win, abs(x) AS line,
                             row_number() OVER (PARTITION BY match, x, l_quantity
-                                               ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                                               ORDER BY {LINE_ORD_SQL}) AS rn
                      FROM s WHERE l_returnflag = 'R') WHERE rn = 1),
 a AS (SELECT * FROM (SELECT match, home_raw, away_raw, start_time, market_name, x AS away_line,
                             l_quantity AS away_win, abs(x) AS line,
                             row_number() OVER (PARTITION BY match, x, l_quantity
-                                               ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                                               ORDER BY {LINE_ORD_SQL}) AS rn
                      FROM s WHERE l_returnflag = 'A') WHERE rn = 1),
 p AS (SELECT h.*, a.away_line, a.away_win FROM h JOIN a
         ON h.match IS NOT DISTINCT FROM a.match AND h.home_raw IS NOT DISTINCT FROM a.home_raw
@@ -947,11 +950,11 @@ s AS (SELECT *, CAST(l_linenumber AS DOUBLE) AS line,
              string_split(match, ' v ')[1] AS home_team, string_split(match, ' v ')[2] AS away_team FROM b),
 o AS (SELECT * FROM (SELECT match, start_time, home_team, away_team, line, l_quantity AS over_price,
                             row_number() OVER (PARTITION BY match, line, l_quantity
-                                               ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                                               ORDER BY {LINE_ORD_SQL}) AS rn
                      FROM s WHERE l_returnflag = 'R') WHERE rn = 1),
 u AS (SELECT * FROM (SELECT match, start_time, home_team, away_team, line, l_quantity AS under_price,
                             row_number() OVER (PARTITION BY match, line, l_quantity
-                                               ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                                               ORDER BY {LINE_ORD_SQL}) AS rn
                      FROM s WHERE l_returnflag = 'A') WHERE rn = 1),
 j AS (SELECT o.*, u.under_price FROM o LEFT JOIN u
         ON o.match IS NOT DISTINCT FROM u.match AND o.start_time IS NOT DISTINCT FROM u.start_time
