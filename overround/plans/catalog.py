@@ -1305,3 +1305,69 @@ def q_market_time_bands(spark: SparkSession, d: str) -> DataFrame:
                     F.col("value").alias("price"))
     e = mk.enrich_selections(sel, _event_teams(spark, d))
     return mk.sb_time_threshold(e, agency="TPCH", keys=KEYS, ord=("event_id",))
+
+
+@register("market_total_points", f"""
+WITH t AS (SELECT o_orderkey, 'Order ' || {_letters_sql('o_orderkey')} AS home_team,
+                  o_orderstatus AS away_team FROM orders),
+o AS (SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS line, l_quantity AS over_price FROM lineitem
+      WHERE l_returnflag = 'R' AND l_linestatus = 'O'),
+u AS (SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS line, l_quantity AS under_price FROM lineitem
+      WHERE l_returnflag = 'A' AND l_linestatus = 'O'),
+j AS (SELECT o.*, u.under_price FROM o LEFT JOIN u
+        ON o.l_orderkey = u.l_orderkey AND o.line IS NOT DISTINCT FROM u.line)
+SELECT t.home_team || ' v ' || t.away_team AS match, 'Total Points' AS market_name, t.home_team, t.away_team,
+       line, over_price, under_price,
+       round(1.0 / nullif(over_price, 0) + 1.0 / nullif(under_price, 0), 3) AS margin, 'TPCH' AS agency
+FROM j LEFT JOIN t ON t.o_orderkey = j.l_orderkey""")
+def q_market_total_points(spark: SparkSession, d: str) -> DataFrame:
+    """Sportsbet total points (anchored ``Over$``/``Under$``): labels with a
+    number after the side (status F lineitems) do not belong to the market."""
+    flag = F.col("l_returnflag")
+    has_handicap = F.col("l_linestatus") == "O"
+    text = F.col("l_linenumber").cast("double").cast("string")
+
+    def label(side: str) -> F.Column:
+        return F.when(has_handicap, F.lit(f"Points {side}")).otherwise(F.concat(F.lit(f"Points {side} "), text))
+
+    sel = _sb_lineitem_selections(
+        spark, d, market_name=F.when(flag.isin("R", "A"), "Total Match Points").otherwise("Other"),
+        prop_name=F.when(flag == "R", label("Over")).when(flag == "A", label("Under")).otherwise("Void"),
+        handicap=F.when(has_handicap, F.col("l_linenumber").cast("double")))
+    return mk.over_under(sel, _orders_teams(spark, d), agency="TPCH", keys=KEYS)
+
+
+@register("market_total_tries_tab", f"""
+WITH b AS ({tab_base_sql()}),
+s AS (SELECT *, CAST(l_linenumber AS DOUBLE) AS line,
+             string_split(match, ' v ')[1] AS home_team, string_split(match, ' v ')[2] AS away_team FROM b
+      WHERE l_linestatus = 'F'),
+o AS (SELECT * FROM (SELECT match, start_time, home_team, away_team, line, l_quantity AS over_price,
+                            row_number() OVER (PARTITION BY match, line, l_quantity ORDER BY {LINE_ORD_SQL}) AS rn
+                     FROM s WHERE l_returnflag = 'R') WHERE rn = 1),
+u AS (SELECT * FROM (SELECT match, start_time, home_team, away_team, line, l_quantity AS under_price,
+                            row_number() OVER (PARTITION BY match, line, l_quantity ORDER BY {LINE_ORD_SQL}) AS rn
+                     FROM s WHERE l_returnflag = 'A') WHERE rn = 1),
+j AS (SELECT o.*, u.under_price FROM o LEFT JOIN u
+        ON o.match IS NOT DISTINCT FROM u.match AND o.start_time IS NOT DISTINCT FROM u.start_time
+       AND o.home_team IS NOT DISTINCT FROM u.home_team AND o.away_team IS NOT DISTINCT FROM u.away_team
+       AND o.line IS NOT DISTINCT FROM u.line)
+SELECT {_status_sql('home_team')} || ' v ' || {_status_sql('away_team')} AS match, start_time,
+       'Total Tries' AS market_name, {_status_sql('home_team')} AS home_team, {_status_sql('away_team')} AS away_team,
+       line, over_price, under_price,
+       round(1.0 / nullif(over_price, 0) + 1.0 / nullif(under_price, 0), 3) AS margin, 'TPCH' AS agency
+FROM j ORDER BY start_time, match, line""")
+def q_market_total_tries_tab(spark: SparkSession, d: str) -> DataFrame:
+    """TAB total tries: only the two tries market names feed the market
+    (status F lineitems); points markets (status O) are ignored."""
+    flag = F.col("l_returnflag")
+    text = F.col("l_linenumber").cast("double").cast("string")
+    prop = (F.when(flag == "R", F.concat(F.lit("Over "), text))
+             .when(flag == "A", F.concat(F.lit("Under "), text)).otherwise(F.lit("Void")))
+    market = (F.when(F.col("l_linestatus") == "F",
+                     F.when(F.col("l_tax") < 0.04, "Total Tries Over/Under").otherwise("Pick Your Own Tries"))
+               .otherwise("Total Points Over/Under"))
+    sel = tab_lineitem_selections(spark, d, market_name=market, prop_name=prop)
+    return mk.totals_dedup(sel, markets=("Total Tries Over/Under", "Pick Your Own Tries"),
+                           label="Total Tries", agency="TPCH", keys=KEYS, ord=LINE_ORD,
+                           rules=STATUS_RULES)
