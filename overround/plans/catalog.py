@@ -57,7 +57,8 @@ def register(name: str, sql: str | None):
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    from ..sources.tables import read_table
+    return read_table(spark, f"{d.rstrip('/')}/{name}.parquet")
 
 
 def _canon_sql(x: str) -> str:

@@ -1,6 +1,8 @@
 """End-to-end batch runs: landed responses -> selections -> market tables.
 
-The canonical ``selections`` table is written once (Parquet, partitioned by
+Each market table is written under ``<out>/<market>/snapshot_id=<id>`` so
+snapshots accumulate side by side.  The canonical ``selections`` table is
+written once (Parquet, partitioned by
 agency and snapshot) to shared storage and every market is built from that
 written table.  Writing it cuts the lineage, so a lost executor re-reads
 files instead of re-parsing every response, and each market job prunes to
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +39,9 @@ TAB_MARKETS: Mapping[str, MarketBuilder] = {
 }
 
 
-def land_selections(selections: DataFrame, path: str, mode: str = "append") -> None:
-    """Persist selections partitioned by (agency, snapshot_id)."""
+def land_selections(selections: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Persist selections partitioned by (agency, snapshot_id); an overwrite
+    replaces only the snapshots being written."""
     write_parquet(selections.select(*S.SELECTION_COLUMNS), path, mode=mode,
                   partition_by=S.SNAPSHOT_KEYS)
 
@@ -63,15 +67,16 @@ def run_tab(spark: SparkSession, landing: str, out_dir: str, snapshot_id: str =
             fmt: str = "parquet") -> dict[str, str]:
     """TAB run: parse landed responses, quarantine bad ones, land the
     selections, then write every TAB market table."""
-    docs = parse_documents(read_landed(spark, landing), S.TAB_RESPONSE)
+    # Parsed once: both the rejects and the selections are written from it.
+    docs = parse_documents(read_landed(spark, landing), S.TAB_RESPONSE).persist(StorageLevel.MEMORY_AND_DISK)
     good, rejects = quarantine_split(docs)
-    _write(rejects.select("url", "body"), f"{out_dir}/rejects/tab", "parquet")
-    land_selections(tab_selections(good, snapshot_id=snapshot_id), f"{out_dir}/selections",
-                    mode="overwrite")
+    _write(rejects.select("url", "body"), f"{out_dir}/rejects/tab/snapshot_id={snapshot_id}", "parquet")
+    land_selections(tab_selections(good, snapshot_id=snapshot_id), f"{out_dir}/selections")
+    docs.unpersist()
     sel = read_selections(spark, f"{out_dir}/selections", "TAB", snapshot_id)
     out = {}
     for name, build in TAB_MARKETS.items():
-        out[name] = f"{out_dir}/{name}"
+        out[name] = f"{out_dir}/{name}/snapshot_id={snapshot_id}"
         _write(build(sel), out[name], fmt)
     return out
 
@@ -83,14 +88,16 @@ def run_sportsbet(spark: SparkSession, pages_path: str, landing: str, metadata_l
     pages = read_pages(spark, pages_path)
     cards = listing_cards(pages)
     teams = mk.canonical_teams_dim(card_teams(cards))
-    out = {"sportsbet_h2h": f"{out_dir}/sportsbet_h2h"}
+    out = {"sportsbet_h2h": f"{out_dir}/sportsbet_h2h/snapshot_id={snapshot_id}"}
     _write(mk.h2h_positional(cards), out["sportsbet_h2h"], fmt)
 
-    docs = parse_documents(read_landed(spark, landing), S.SB_MARKETS_RESPONSE)
+    docs = parse_documents(read_landed(spark, landing), S.SB_MARKETS_RESPONSE).persist(
+        StorageLevel.MEMORY_AND_DISK)
     good, rejects = quarantine_split(docs)
-    _write(rejects.select("url", "body"), f"{out_dir}/rejects/sportsbet", "parquet")
-    land_selections(sportsbet_selections(good, snapshot_id=snapshot_id), f"{out_dir}/selections",
-                    mode="overwrite")
+    _write(rejects.select("url", "body"), f"{out_dir}/rejects/sportsbet/snapshot_id={snapshot_id}",
+           "parquet")
+    land_selections(sportsbet_selections(good, snapshot_id=snapshot_id), f"{out_dir}/selections")
+    docs.unpersist()
     sel = read_selections(spark, f"{out_dir}/selections", "Sportsbet", snapshot_id)
     meta_docs, _ = quarantine_split(parse_documents(read_landed(spark, metadata_landing),
                                                     S.SB_EVENT_METADATA))
@@ -108,6 +115,6 @@ def run_sportsbet(spark: SparkSession, pages_path: str, landing: str, metadata_l
         "sportsbet_time_of_first_try": lambda: mk.sb_time_threshold(enriched),
     }
     for name, build in builders.items():
-        out[name] = f"{out_dir}/{name}"
+        out[name] = f"{out_dir}/{name}/snapshot_id={snapshot_id}"
         _write(build(), out[name], fmt)
     return out

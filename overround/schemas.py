@@ -81,3 +81,51 @@ TEAMS = T.StructType([
     T.StructField("home_team", T.StringType()),
     T.StructField("away_team", T.StringType()),
 ])
+
+
+# Market output tables: column order and types of the published CSV outputs.
+_DOUBLES = {"home_win", "away_win", "margin", "line", "over_price", "under_price", "home_line",
+            "away_line"}
+_LONGS = {"prop_id", "player_id", "player_id_unders", "market_id", "class_external_id",
+          "competition_external_id", "event_external_id"}
+
+
+def _table(cols: str, string_line: bool = False) -> T.StructType:
+    fields = []
+    for c in cols.split():
+        if c == "line" and string_line:
+            t = T.StringType()
+        elif c in _DOUBLES:
+            t = T.DoubleType()
+        elif c in _LONGS:
+            t = T.LongType()
+        else:
+            t = T.StringType()
+        fields.append(T.StructField(c, t))
+    return T.StructType(fields)
+
+
+_TAB_TOTALS = "match start_time market_name home_team away_team line over_price under_price margin agency"
+_SB_TOTALS = "match market_name home_team away_team line over_price under_price margin agency"
+_SB_PLAYER = ("match home_team away_team market_name player_name line over_price agency class_external_id "
+              "competition_external_id event_external_id market_id player_id")
+
+MARKET_TABLES: dict[str, T.StructType] = {
+    "tab_h2h": _table("match start_time market_name home_team home_win away_team away_win margin agency"),
+    "tab_line": _table("match start_time market_name home_team home_line home_win away_team away_line "
+                       "away_win margin agency"),
+    "tab_totals": _table(_TAB_TOTALS),
+    "tab_total_tries": _table(_TAB_TOTALS),
+    "tab_time_of_first_try": _table(_TAB_TOTALS, string_line=True),
+    "tab_player_tries": _table("match home_team away_team market_name player_name line over_price prop_id"),
+    "tab_first_try_scorer": _table("match home_team away_team market_name player_name over_price prop_id"),
+    "sportsbet_h2h": _table("match market_name home_team home_win away_team away_win start_time margin agency"),
+    "sportsbet_line": _table("match market_name home_team home_line home_win away_team away_line away_win "
+                             "margin agency"),
+    "sportsbet_total_points": _table(_SB_TOTALS),
+    "sportsbet_total_tries": _table(_SB_TOTALS),
+    "sportsbet_player_tries": _table(_SB_PLAYER + " under_price player_id_unders"),
+    "sportsbet_first_try_scorer": _table("match home_team away_team market_name player_name over_price agency "
+                                         "player_id market_id"),
+    "sportsbet_time_of_first_try": _table(_SB_TOTALS, string_line=True),
+}

@@ -9,12 +9,14 @@ from .pages import (
     card_prices, card_teams, element_text, elements_by_class, hrefs, listing_cards, page_links,
     read_html_files, read_pages, tag_text, texts,
 )
-from .sinks import read_csv, write_csv, write_landing, write_parquet
+from .sinks import read_csv, read_market_csv, write_csv, write_landing, write_parquet
+from .tables import balance_partitions, read_table
 
 __all__ = [
     "event_metadata", "parse_documents", "quarantine_split", "read_landed", "read_nested_json",
     "read_whole_files", "sportsbet_selections", "tab_selections", "EVENT_ENDPOINTS",
     "url_manifest", "card_prices", "card_teams", "element_text", "elements_by_class", "hrefs",
     "listing_cards", "page_links", "read_html_files", "read_pages", "tag_text", "texts",
-    "read_csv", "write_csv", "write_landing", "write_parquet",
+    "read_csv", "read_market_csv", "write_csv", "write_landing", "write_parquet",
+    "balance_partitions", "read_table",
 ]

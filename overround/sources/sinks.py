@@ -18,9 +18,11 @@ def read_csv(spark, path: str, schema, null_value: str = "NA") -> DataFrame:
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: tuple[str, ...] = ()) -> None:
+    """Parquet write; with ``partition_by`` an overwrite replaces only the
+    partitions present in ``df`` (dynamic overwrite), never the whole table."""
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
@@ -28,3 +30,9 @@ def write_landing(df: DataFrame, path: str, valid_col: str = "is_valid",
                   cols: tuple[str, ...] = ("url", "body"), mode: str = "append") -> None:
     """Land raw responses as JSON lines, only those that parsed."""
     df.filter(valid_col).select(*cols).write.mode(mode).json(path)
+
+
+def read_market_csv(spark, path: str, table: str) -> DataFrame:
+    """Read a market CSV (header, ``NA`` nulls) with its declared schema."""
+    from ..schemas import MARKET_TABLES
+    return read_csv(spark, path, MARKET_TABLES[table])

@@ -16,6 +16,10 @@ def test_run_tab_writes_every_market(spark, tmp_path):
     assert counts == {"tab_h2h": 2, "tab_line": 2, "tab_totals": 3, "tab_total_tries": 0,
                       "tab_player_tries": 3, "tab_first_try_scorer": 2, "tab_time_of_first_try": 1}
     assert spark.read.parquet(str(tmp_path / "out" / "rejects" / "tab")).count() == 1
+    # A second snapshot lands next to the first instead of replacing it.
+    pl.run_tab(spark, str(landing), str(tmp_path / "out"), snapshot_id="s2")
+    snaps = pl.read_selections(spark, str(tmp_path / "out" / "selections"), "TAB")
+    assert sorted(r[0] for r in snaps.select("snapshot_id").distinct().collect()) == ["s1", "s2"]
 
 
 def test_run_sportsbet_writes_every_market(spark, tmp_path):
