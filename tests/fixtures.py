@@ -93,9 +93,9 @@ LISTING_HTML = """<html><body>
 <div class="White_fqa53j6 card"><div class="top"><span class="oneLine_f15ay66x">Thursday, 6 Mar 20:00</span></div>
  <div class="participantText_fivg86r">Broncos</div><div class="participantText_fivg86r">Storm</div>
  <span class="priceTextSize_frw9zm9">2.10</span><span class="priceTextSize_frw9zm9">1.75</span>
- <a class="linkMultiMarket_fcmecz0" href="/betting/rugby-league/nrl/broncos-v-storm-9123456">More</a></div>
+ <a class="linkMultiMarket_fcmecz0" href="/betting/rugby-league/premiership/broncos-v-storm-9123456">More</a></div>
 <div class="White_fqa53j6 card"><div class="top"><span class="oneLine_f15ay66x">Friday, 7 Mar 19:00</span></div>
  <div class="participantText_fivg86r">Rabbitohs</div><div class="participantText_fivg86r">Sharks</div>
  <span class="priceTextSize_frw9zm9">1.60</span><span class="priceTextSize_frw9zm9">2.35</span>
- <a class="linkMultiMarket_fcmecz0" href="/betting/rugby-league/nrl/rabbitohs-v-sharks-9123457">More</a></div>
+ <a class="linkMultiMarket_fcmecz0" href="/betting/rugby-league/premiership/rabbitohs-v-sharks-9123457">More</a></div>
 </body></html>"""

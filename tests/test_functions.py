@@ -58,8 +58,8 @@ def test_ids_from_urls(spark):
     assert one(spark, fx.url_match_id("x"), url) == 9123456
     assert one(spark, fx.url_match_id("x"), "https://x.example/Events/12345/") is None
     assert one(spark, fx.url_match_id("x"), "https://x.example/Events/123456789/") == 12345678
-    assert one(spark, fx.link_id_tail("x"), "/betting/nrl/a-v-b-9123456") == 9123456
-    assert one(spark, fx.link_id_tail("x"), "/betting/nrl/a-v-b") is None
+    assert one(spark, fx.link_id_tail("x"), "/betting/league/a-v-b-9123456") == 9123456
+    assert one(spark, fx.link_id_tail("x"), "/betting/league/a-v-b") is None
 
 
 def _half_up(a, b):

@@ -24,7 +24,7 @@ def test_run_tab_writes_every_market(spark, tmp_path):
 
 def test_run_sportsbet_writes_every_market(spark, tmp_path):
     pages = tmp_path / "pages"
-    spark.createDataFrame([(1, "https://example.com/nrl", LISTING_HTML)],
+    spark.createDataFrame([(1, "https://example.com/league", LISTING_HTML)],
                           "page_id bigint, url string, html string").write.parquet(str(pages))
     landing, meta = tmp_path / "landing", tmp_path / "meta"
     landing.mkdir()
@@ -56,3 +56,17 @@ def test_streaming_ingest_matches_batch(spark, tmp_path):
     sel = pl.read_selections(spark, str(tmp_path / "sel"), "TAB", "s1")
     assert sel.count() == 24
     assert sel.select("source_url").distinct().count() == 1
+
+
+def test_command_line_tab_run_writes_csv(spark, tmp_path):
+    from overround.__main__ import main
+    from overround.sources import read_market_csv
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "part-0.json").write_text(landed_lines([("tab://response", json.dumps(TAB_DOC))]))
+    # main() reuses the running session and leaves it running.
+    assert main(["tab", "--landing", str(landing), "--out", str(tmp_path / "out"), "--snapshot", "s9",
+                 "--format", "csv"]) == 0
+    h2h = read_market_csv(spark, str(tmp_path / "out" / "tab_h2h" / "snapshot_id=s9"), "tab_h2h")
+    assert h2h.count() == 2

@@ -15,7 +15,7 @@ from .fixtures import LISTING_HTML, SB_EVENT_URL, landed_lines, sb_market_doc
 
 @pytest.fixture(scope="module")
 def pages(spark):
-    return spark.createDataFrame([(1, "https://example.com/nrl", LISTING_HTML)], "page_id bigint, url string, html string")
+    return spark.createDataFrame([(1, "https://example.com/league", LISTING_HTML)], "page_id bigint, url string, html string")
 
 
 @pytest.fixture(scope="module")
