@@ -56,9 +56,15 @@ def register(name: str, sql: str | None):
     return deco
 
 
+# Fact tables whose scans feed heavy per-row work; they are spread over all
+# cores when stored as too few row groups.  Dimension tables are not: they are
+# small enough to be broadcast, and a repartition would only add an exchange.
+FACT_TABLES = frozenset({"lineitem", "events", "pages", "embeddings", "documents", "conversations"})
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     from ..sources.tables import read_table
-    return read_table(spark, f"{d.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{d.rstrip('/')}/{name}.parquet", balance=name in FACT_TABLES)
 
 
 def _canon_sql(x: str) -> str:
