@@ -80,16 +80,20 @@ def balanced_pairs(home: DataFrame, away: DataFrame, keys: Sequence[str],
     """All (home, away) pairs within ``keys`` whose lines cancel:
     ``abs(home_line + away_line) < tol``.
 
-    Band join as an equi-join: lines are bucketed with width ``2 * tol``;
-    a matching away line lies within ``tol`` of ``-home_line`` so its bucket
-    is the bucket of ``-home_line`` or a neighbour.  The home side is
-    exploded over those three buckets, the away side is not, so every pair
-    is found exactly once and no per-match cross product is formed.
+    Band join as an equi-join: lines are bucketed with width ``4 * tol``.  A
+    matching away line lies in the open interval ``(-home - tol, -home + tol)``,
+    which is half a bucket wide, so it touches at most two buckets; the home
+    side is exploded over exactly those (1.5 rows per home line on average)
+    and joined to the away side on ``keys + bucket``.  Every pair is found
+    once, no per-match cross product is formed, and the residual predicate
+    keeps the result exact.  The interval is widened by 1e-9 of a bucket so
+    rounding in the division can never drop a boundary pair.
     """
-    width = 2.0 * tol
-    h = (home.withColumn("_bucket", F.floor(-F.col(home_line) / F.lit(width)))
-             .withColumn("_bucket", F.explode(F.array(F.col("_bucket") - 1, F.col("_bucket"),
-                                                       F.col("_bucket") + 1))))
+    width = 4.0 * tol
+    slack = 1e-9
+    lo = F.floor((-F.col(home_line) - F.lit(tol)) / F.lit(width) - F.lit(slack))
+    hi = F.floor((-F.col(home_line) + F.lit(tol)) / F.lit(width) + F.lit(slack))
+    h = home.withColumn("_bucket", F.explode(F.sequence(lo, hi)))
     a = away.withColumn("_bucket", F.floor(F.col(away_line) / F.lit(width)))
     joined = natural_join(h, a, on=[*keys, "_bucket"], how="inner", null_safe=False)
     return (joined.filter(F.abs(F.col(home_line) + F.col(away_line)) < F.lit(tol))
