@@ -71,6 +71,26 @@ def _canon_sql(x: str) -> str:
     return PRIORITY_RULES_SQL.format(x=x)
 
 
+def _day_text(c: str) -> F.Column:
+    """``yyyy-MM-dd`` of a timestamp_ntz without any time-zone conversion."""
+    return F.to_date(F.col(c)).cast("string")
+
+
+def _two(x: F.Column) -> F.Column:
+    return F.lpad(x.cast("string"), 2, "0")
+
+
+def _iso_text(c: str) -> F.Column:
+    """``yyyy-MM-ddTHH:mm:ssZ`` of a timestamp_ntz, zone-free."""
+    return F.concat(_day_text(c), F.lit("T"), _two(F.hour(c)), F.lit(":"), _two(F.minute(c)), F.lit(":"),
+                    _two(F.second(c)), F.lit("Z"))
+
+
+def _clock_text(c: str) -> F.Column:
+    """``H:mm`` of a timestamp_ntz, zone-free."""
+    return F.concat(F.hour(c).cast("string"), F.lit(":"), _two(F.minute(c)))
+
+
 def lineitem_selections(spark: SparkSession, d: str, market_name=None, prop_name=None,
                         price=None) -> DataFrame:
     """Lineitems as propositions of their order ("match ``Order k v
@@ -84,7 +104,7 @@ def lineitem_selections(spark: SparkSession, d: str, market_name=None, prop_name
         "l_discount", "l_extendedprice",
         F.concat(F.lit("Order "), F.col("l_orderkey").cast("string"), F.lit(" v "),
                  F.col("o_orderpriority")).alias("match"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_time"),
+        _day_text("o_orderdate").alias("start_time"),
         (market_name if market_name is not None else F.lit(None).cast("string")).alias("market_name"),
         (prop_name if prop_name is not None else F.lit(None).cast("string")).alias("prop_name"),
         (price if price is not None else F.col("l_quantity")).alias("price"),
@@ -166,7 +186,7 @@ def tab_lineitem_selections(spark: SparkSession, d: str, market_name, prop_name,
     return s.select(
         F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"), "*",
         F.concat(F.col("_home"), F.lit(" v "), F.col("_away")).alias("match"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_time"),
+        _day_text("o_orderdate").alias("start_time"),
         market_name.alias("market_name"), prop_name.alias("prop_name"),
         (price if price is not None else F.col("l_quantity")).alias("price"),
         F.col("l_partkey").alias("prop_id"),
@@ -215,7 +235,7 @@ def _tab_documents(spark: SparkSession, d: str) -> str:
     match = F.struct(
         F.concat(F.lit("Order "), F.col("l_orderkey").cast("string"), F.lit(" v Line "),
                  F.col("l_linenumber").cast("string")).alias("name"),
-        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("startTime"),
+        _iso_text("l_shipdate").alias("startTime"),
         markets.alias("markets"))
     path = scratch_path(spark, "tab-docs")
     li.select(F.array(match).alias("matches")).write.mode("overwrite").json(path)
@@ -1023,14 +1043,14 @@ def _event_selections(spark: SparkSession, d: str) -> DataFrame:
     """Events as TAB-style time propositions of match ``User <u> v Day <d>``."""
     ev = _t(spark, d, "events")
     t = F.col("event_type")
-    clock = F.date_format("ts", "H:mm")
+    clock = _clock_text("ts")
     prop = (F.when(t == "click", F.concat(clock, F.lit(" or Earlier")))
              .when(t == "purchase", F.concat(clock, F.lit(" or later"))).otherwise(F.lit("Any time")))
     match = F.concat(F.lit("User "), _letters("user_id"), F.lit(" v Day "),
                      _letters(F.dayofmonth("ts")))
     market = F.when(t.isin("click", "purchase", "view"), "Time of First Try").otherwise("Other")
     return ev.select(F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"), "event_id",
-                     match.alias("match"), F.date_format("ts", "yyyy-MM-dd").alias("start_time"),
+                     match.alias("match"), _day_text("ts").alias("start_time"),
                      market.alias("market_name"), prop.alias("prop_name"), F.col("value").alias("price"))
 
 
@@ -1088,7 +1108,7 @@ def q_market_h2h_positional(spark: SparkSession, d: str) -> DataFrame:
         F.array("l_returnflag", "l_linestatus").alias("participants"),
         F.array(F.col("l_quantity").cast("string"), (F.col("l_discount") * 100).cast("string"))
          .alias("prices"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("start_time"))
+        _day_text("l_shipdate").alias("start_time"))
     return mk.h2h_positional(cards, agency="TPCH", rules=FLAG_RULES,
                              keep=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
