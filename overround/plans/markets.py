@@ -48,7 +48,14 @@ def _canonical_teams(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 def _with_keys(cols: Sequence[str], keys: Keys, with_keys: bool) -> list[str]:
-    return [*keys, *cols] if with_keys else list(cols)
+    """Output columns, led by the snapshot keys when asked for (a key that is
+    already an output column, such as ``agency``, is not repeated)."""
+    return [*[k for k in keys if k not in cols], *cols] if with_keys else list(cols)
+
+
+def _key_head(keys: Keys, with_keys: bool) -> list[str]:
+    """Leading key columns for outputs that carry their own ``agency``."""
+    return [k for k in keys if k != "agency"] if with_keys else []
 
 
 # ---------------------------------------------------------------- TAB-style
@@ -327,7 +334,7 @@ def sb_player_lines(enriched: DataFrame, market_re: str = "To Score", exclude_re
     e = _ensure(enriched, EVENT_ID_COLUMNS)
     s = (e.filter(str_detect("market_name", market_re) & ~str_detect("market_name", exclude_re))
           .withColumn("line", alt_line("market_name")))
-    return s.select(*_with_keys([], keys, with_keys), "match", "home_team", "away_team",
+    return s.select(*_key_head(keys, with_keys), "match", "home_team", "away_team",
                     F.lit(label).alias("market_name"), F.col("prop_name").alias("player_name"),
                     "line", F.col("price").alias("over_price"), F.lit(agency).alias("agency"),
                     *EVENT_ID_COLUMNS, "market_id", F.col("prop_id").alias("player_id"))
@@ -339,7 +346,7 @@ def sb_player_over_under(enriched: DataFrame, over_re: str = "Over", under_re: s
     """Player over/under: player = label text before " Over "/" Under ",
     overs left-joined to unders on every shared column (null-safe)."""
     e = _ensure(enriched, EVENT_ID_COLUMNS)
-    head = _with_keys([], keys, with_keys)
+    head = _key_head(keys, with_keys)
 
     def side(pattern: str, sep: str, price_name: str, id_name: str) -> DataFrame:
         s = _sb_side(e, pattern, sep)
@@ -365,7 +372,7 @@ def sb_outright(enriched: DataFrame, market_re: str = "First Try Scorer",
                 keys: Keys = SNAPSHOT_KEYS, with_keys: bool = False) -> DataFrame:
     """Outright (first try scorer) with player and market ids."""
     s = enriched.filter(str_detect("market_name", market_re))
-    return s.select(*_with_keys([], keys, with_keys), "match", "home_team", "away_team",
+    return s.select(*_key_head(keys, with_keys), "match", "home_team", "away_team",
                     F.lit(label).alias("market_name"), F.col("prop_name").alias("player_name"),
                     F.col("price").alias("over_price"), F.lit(agency).alias("agency"),
                     F.col("prop_id").alias("player_id"), "market_id")

@@ -12,7 +12,8 @@ jobs; none is a driver-side loop over matches.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -25,14 +26,12 @@ from ..sources import (
 )
 from . import markets as mk
 
-MarketBuilder = Callable[[DataFrame], DataFrame]
-
-TAB_MARKETS: Mapping[str, MarketBuilder] = {
+TAB_MARKETS: Mapping[str, Callable[..., DataFrame]] = {
     "tab_h2h": mk.h2h_nth,
     "tab_line": mk.line_opposite,
     "tab_totals": mk.totals_dedup,
-    "tab_total_tries": lambda s: mk.totals_dedup(
-        s, markets=("Total Tries Over/Under", "Pick Your Own Tries"), label="Total Tries"),
+    "tab_total_tries": partial(mk.totals_dedup, markets=("Total Tries Over/Under", "Pick Your Own Tries"),
+                               label="Total Tries"),
     "tab_player_tries": mk.tab_player_lines,
     "tab_first_try_scorer": mk.tab_outright,
     "tab_time_of_first_try": mk.tab_time_threshold,
@@ -118,3 +117,25 @@ def run_sportsbet(spark: SparkSession, pages_path: str, landing: str, metadata_l
         out[name] = f"{out_dir}/{name}/snapshot_id={snapshot_id}"
         _write(build(), out[name], fmt)
     return out
+
+
+def refresh_tab_markets(spark: SparkSession, selections_path: str, out_dir: str,
+                        snapshot_ids: Sequence[str] | None = None) -> dict[str, str]:
+    """Rebuild every TAB market for the given snapshots (all when None) in
+    one job per market, keyed by (agency, snapshot_id).
+
+    Market tables are written partitioned by (agency, snapshot_id) with
+    dynamic overwrite, so refreshed snapshots are replaced and the others
+    are untouched.  Partition pruning limits the scan to those snapshots.
+    Pairs with ``streaming.start_selection_ingest``: ingest, then refresh.
+    """
+    sel = read_selections(spark, selections_path, "TAB")
+    if snapshot_ids is not None:
+        sel = sel.filter(F.col("snapshot_id").isin(list(snapshot_ids)))
+    out = {}
+    for name, build in TAB_MARKETS.items():
+        out[name] = f"{out_dir}/{name}"
+        kwargs = {"sort": False} if name in ("tab_totals", "tab_total_tries", "tab_player_tries",
+                                             "tab_first_try_scorer") else {}
+        write_parquet(build(sel, with_keys=True, **kwargs), out[name], partition_by=S.SNAPSHOT_KEYS)
+    return out

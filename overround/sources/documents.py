@@ -70,7 +70,11 @@ def quarantine_split(df: DataFrame, valid_col: str = "is_valid") -> tuple[DataFr
     return df.filter(flag), df.filter(~flag)
 
 
-def tab_selections(docs: DataFrame, agency: str = "TAB", snapshot_id: str = "latest",
+def _snapshot(snapshot_id) -> F.Column:
+    return F.lit(snapshot_id) if isinstance(snapshot_id, str) else snapshot_id
+
+
+def tab_selections(docs: DataFrame, agency: str = "TAB", snapshot_id: str | F.Column = "latest",
                    doc_col: str = "doc", url_col: str = "url") -> DataFrame:
     """TAB-style documents -> canonical selections.
 
@@ -78,7 +82,8 @@ def tab_selections(docs: DataFrame, agency: str = "TAB", snapshot_id: str = "lat
     give no row; positions are kept as the only total order.
     """
     flat = unnest_path(
-        docs.select(F.col(url_col).alias("source_url"), F.col(f"{doc_col}.matches").alias("matches")),
+        docs.select(F.col(url_col).alias("source_url"), _snapshot(snapshot_id).alias("snapshot_id"),
+                    F.col(f"{doc_col}.matches").alias("matches")),
         [
             ("matches", "match_pos", "_m",
              [("name", "match"), ("startTime", "start_time"), "markets"]),
@@ -86,11 +91,11 @@ def tab_selections(docs: DataFrame, agency: str = "TAB", snapshot_id: str = "lat
             ("propositions", "prop_pos", "_p",
              [("id", "prop_id"), ("name", "prop_name"), ("returnWin", "price")]),
         ],
-        keep=["source_url"],
+        keep=["source_url", "snapshot_id"],
     )
     return flat.select(
         F.lit(agency).alias("agency"),
-        F.lit(snapshot_id).alias("snapshot_id"),
+        "snapshot_id",
         "match_pos", "market_pos", "prop_pos",
         F.lit(None).cast("bigint").alias("match_id"),
         "match", "start_time", "market_name",
@@ -104,7 +109,7 @@ def tab_selections(docs: DataFrame, agency: str = "TAB", snapshot_id: str = "lat
 
 
 def sportsbet_selections(docs: DataFrame, manifest: DataFrame | None = None,
-                         agency: str = "Sportsbet", snapshot_id: str = "latest",
+                         agency: str = "Sportsbet", snapshot_id: str | F.Column = "latest",
                          doc_col: str = "doc", url_col: str = "url") -> DataFrame:
     """Sportsbet-style market documents (array of markets per URL) ->
     canonical selections.
@@ -115,7 +120,8 @@ def sportsbet_selections(docs: DataFrame, manifest: DataFrame | None = None,
     field (handicap, price) is null and the row is kept.
     """
     flat = unnest_path(
-        docs.select(F.col(url_col).alias("source_url"), F.col(doc_col).alias("markets")),
+        docs.select(F.col(url_col).alias("source_url"), _snapshot(snapshot_id).alias("snapshot_id"),
+                    F.col(doc_col).alias("markets")),
         [
             ("markets", "market_pos", "_k",
              [("name", "market_name"), ("externalId", "market_id"), "selections"]),
@@ -123,7 +129,7 @@ def sportsbet_selections(docs: DataFrame, manifest: DataFrame | None = None,
              [("name", "prop_name"), ("resultType", "result_type"), ("externalId", "prop_id"),
               ("unformattedHandicap", "_handicap_text"), ("price.winPrice", "price")]),
         ],
-        keep=["source_url"],
+        keep=["source_url", "snapshot_id"],
     )
     if manifest is not None:
         flat = lookup_join(flat, manifest.select(F.col("url").alias("source_url"), "match_id"),
@@ -132,7 +138,7 @@ def sportsbet_selections(docs: DataFrame, manifest: DataFrame | None = None,
         flat = flat.withColumn("match_id", url_match_id("source_url"))
     return flat.select(
         F.lit(agency).alias("agency"),
-        F.lit(snapshot_id).alias("snapshot_id"),
+        "snapshot_id",
         F.lit(0).alias("match_pos"), "market_pos", "prop_pos",
         "match_id",
         F.lit(None).cast("string").alias("match"),

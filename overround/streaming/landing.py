@@ -2,7 +2,9 @@
 
 New landing files (JSON lines ``{url, body}``) are parsed with the same
 batch operators into canonical selections and appended to the selections
-table; rejects go to their own table.  ``availableNow`` processes whatever
+table; rejects go to their own table.  One stream covers the whole landing
+root; the snapshot id of a file comes from its folder
+(``<root>/snapshot_id=<id>/...``), so snapshots never need separate streams.  ``availableNow`` processes whatever
 has landed and stops, so a scheduler can run it after each fetch; the
 checkpoint (under ``spark.checkpoint.dir``) makes reruns exactly-once.
 """
@@ -10,6 +12,7 @@ checkpoint (under ``spark.checkpoint.dir``) makes reruns exactly-once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
@@ -22,26 +25,35 @@ _PARSERS = {
 }
 
 
+SNAPSHOT_FROM_PATH = r"snapshot_id=([^/]+)"
+
+
 def landed_stream(spark: SparkSession, landing_dir: str, max_files: int = 1000) -> DataFrame:
+    """Landing records of every file under ``landing_dir`` (recursively),
+    with the snapshot id read from the file's folder."""
+    snap = F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT_FROM_PATH, 1)
     return (spark.readStream.schema(S.LANDED_RESPONSE)
-                 .option("maxFilesPerTrigger", max_files).json(landing_dir))
+                 .option("maxFilesPerTrigger", max_files)
+                 .option("recursiveFileLookup", True)
+                 .json(landing_dir)
+                 .withColumn("snapshot_id", F.coalesce(F.nullif(snap, F.lit("")), F.lit("latest"))))
 
 
-def selection_stream(spark: SparkSession, landing_dir: str, kind: str,
-                     snapshot_id: str = "latest") -> tuple[DataFrame, DataFrame]:
+def selection_stream(spark: SparkSession, landing_dir: str, kind: str) -> tuple[DataFrame, DataFrame]:
     """(selections, rejects) as streaming DataFrames."""
     schema, to_selections = _PARSERS[kind]
     docs = parse_documents(landed_stream(spark, landing_dir), schema)
     good = docs.filter("is_valid")
-    rejects = docs.filter("NOT is_valid").select("url", "body")
-    return to_selections(good, snapshot_id=snapshot_id).select(*S.SELECTION_COLUMNS), rejects
+    rejects = docs.filter("NOT is_valid").select("snapshot_id", "url", "body")
+    sel = to_selections(good, snapshot_id=F.col("snapshot_id"))
+    return sel.select(*S.SELECTION_COLUMNS), rejects
 
 
 def start_selection_ingest(spark: SparkSession, landing_dir: str, selections_path: str, kind: str,
-                           snapshot_id: str = "latest", checkpoint: str | None = None,
+                           checkpoint: str | None = None,
                            available_now: bool = True) -> StreamingQuery:
     """Append parsed selections to Parquet partitioned by (agency, snapshot)."""
-    sel, _ = selection_stream(spark, landing_dir, kind, snapshot_id)
+    sel, _ = selection_stream(spark, landing_dir, kind)
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/overround-ingest-{kind}"
     writer = (sel.writeStream.format("parquet").outputMode("append")
                  .partitionBy(*S.SNAPSHOT_KEYS)

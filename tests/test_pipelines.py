@@ -46,11 +46,11 @@ def test_run_sportsbet_writes_every_market(spark, tmp_path):
 
 
 def test_streaming_ingest_matches_batch(spark, tmp_path):
-    landing = tmp_path / "landing"
-    landing.mkdir()
+    landing = tmp_path / "landing" / "snapshot_id=s1"
+    landing.mkdir(parents=True)
     (landing / "a.json").write_text(landed_lines([("tab://a", json.dumps(TAB_DOC))]))
     (landing / "b.json").write_text(landed_lines([("tab://b", '{"matches": [')]))
-    q = start_selection_ingest(spark, str(landing), str(tmp_path / "sel"), "tab", snapshot_id="s1",
+    q = start_selection_ingest(spark, str(tmp_path / "landing"), str(tmp_path / "sel"), "tab",
                                checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     sel = pl.read_selections(spark, str(tmp_path / "sel"), "TAB", "s1")
@@ -70,3 +70,24 @@ def test_command_line_tab_run_writes_csv(spark, tmp_path):
                  "--format", "csv"]) == 0
     h2h = read_market_csv(spark, str(tmp_path / "out" / "tab_h2h" / "snapshot_id=s9"), "tab_h2h")
     assert h2h.count() == 2
+
+
+def test_ingest_then_refresh_keeps_snapshots_apart(spark, tmp_path):
+    from overround.plans.pipelines import refresh_tab_markets
+
+    root, sel_path, out = tmp_path / "landing", str(tmp_path / "sel"), str(tmp_path / "markets")
+    for i, snap in enumerate(("s1", "s2")):
+        d = root / f"snapshot_id={snap}"
+        d.mkdir(parents=True)
+        (d / "a.json").write_text(landed_lines([(f"tab://{snap}", json.dumps(TAB_DOC))]))
+        # Run after each landing: the second run picks up only the new file.
+        q = start_selection_ingest(spark, str(root), sel_path, "tab", checkpoint=str(tmp_path / "ckpt"))
+        q.awaitTermination(120)
+        assert pl.read_selections(spark, sel_path, "TAB").count() == 24 * (i + 1)
+    refresh_tab_markets(spark, sel_path, out)
+    h2h = spark.read.parquet(f"{out}/tab_h2h")
+    assert sorted((r["snapshot_id"], r["n"]) for r in h2h.groupBy("snapshot_id").count()
+                  .withColumnRenamed("count", "n").collect()) == [("s1", 2), ("s2", 2)]
+    # Refreshing one snapshot leaves the other in place.
+    refresh_tab_markets(spark, sel_path, out, snapshot_ids=["s2"])
+    assert spark.read.parquet(f"{out}/tab_h2h").count() == 4
