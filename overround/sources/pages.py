@@ -90,25 +90,26 @@ def listing_cards(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...
     """Listing page -> one row per match card with parallel arrays.
 
     Cards are cut at each element carrying ``card_class`` (each piece runs to
-    the next card), so nested markup inside a card is fine.  Output:
+    the next card), so nested markup inside a card is fine.  Match links are
+    collected over the whole page and paired with the cards by position
+    (i-th link = i-th card), as the page lists them.  Output:
     ``(keep..., card_pos, participants array<string>, prices array<string>,
     start_time string, link string, match_id bigint)``.
     """
     splitter = r"(?=<[^>]*" + _class_attr(card_class) + r")"
-    pieces = F.split(F.col(html_col), splitter)
-    cards = (pages.select(*keep, F.posexplode(pieces).alias("_piece_pos", "_card"))
-                  .filter(F.col("_card").rlike("^<[^>]*" + _class_attr(card_class))))
-    start = texts(elements_by_class("_card", start_class))
-    link = F.get(hrefs("_card", link_class), 0)
-    return cards.select(
-        *keep,
-        (F.col("_piece_pos") - 1).alias("card_pos"),
-        texts(elements_by_class("_card", participant_class)).alias("participants"),
-        texts(elements_by_class("_card", price_class)).alias("prices"),
+    is_card = "^<[^>]*" + _class_attr(card_class)
+    cards = F.filter(F.split(F.col(html_col), splitter), lambda piece: piece.rlike(is_card))
+    zipped = F.arrays_zip(cards.alias("card"), hrefs(html_col, link_class).alias("link"))
+    rows = pages.select(*keep, F.posexplode(zipped).alias("card_pos", "_z"))
+    start = texts(elements_by_class("_z.card", start_class))
+    return rows.select(
+        *keep, "card_pos",
+        texts(elements_by_class("_z.card", participant_class)).alias("participants"),
+        texts(elements_by_class("_z.card", price_class)).alias("prices"),
         F.get(start, 0).alias("start_time"),
-        link.alias("link"),
-        link_id_tail(link).alias("match_id"),
-    )
+        F.col("_z.link").alias("link"),
+        link_id_tail("_z.link").alias("match_id"),
+    ).filter(F.col("participants").isNotNull())
 
 
 def card_teams(cards: DataFrame) -> DataFrame:

@@ -93,3 +93,16 @@ def test_player_markets_and_time_bands(spark, selections, teams):
     tb = rows(mk.sb_time_threshold(e))
     assert [(x["line"], x["over_price"], x["under_price"], x["margin"]) for x in tb] == [
         ("10:00", 2.5, 51.0, 0.42)]
+
+
+def test_links_outside_cards_pair_by_position(spark):
+    html = ("<div class=\"White_fqa53j6\"><div class=\"participantText_fivg86r\">Eels</div>"
+            "<div class=\"participantText_fivg86r\">Titans</div></div>"
+            "<div class=\"White_fqa53j6\"><div class=\"participantText_fivg86r\">Knights</div>"
+            "<div class=\"participantText_fivg86r\">Dragons</div></div>"
+            "<nav><a class=\"linkMultiMarket_fcmecz0\" href=\"/m/eels-v-titans-1111111\">x</a>"
+            "<a class=\"linkMultiMarket_fcmecz0\" href=\"/m/knights-v-dragons-2222222\">y</a></nav>")
+    pages = spark.createDataFrame([(7, "u", html)], "page_id bigint, url string, html string")
+    teams = rows(mk.canonical_teams_dim(card_teams(listing_cards(pages))), ["match_id"])
+    assert [(t["match_id"], t["home_team"], t["away_team"]) for t in teams] == [
+        (1111111, "Parramatta Eels", "Gold Coast Titans"), (2222222, "Newcastle Knights", "St George Illawarra Dragons")]
