@@ -52,14 +52,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when it is unset (local runs, tests) do we create one under the system
     temp folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): use the conf value
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="overround-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

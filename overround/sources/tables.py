@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 def balance_partitions(df: DataFrame, target: int | None = None) -> DataFrame:
     """Repartition to ``target`` (default: default parallelism) only when
     the input has fewer partitions than that."""
-    spark = df.sparkSession
-    want = target or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = target or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session): leave as is
+        return df
     return df.repartition(want) if have < want else df
 
 
