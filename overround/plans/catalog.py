@@ -1122,8 +1122,11 @@ def _orders_teams(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sb_lineitem_selections(spark: SparkSession, d: str, market_name, prop_name,
-                            handicap=None) -> DataFrame:
+                            handicap=None, with_status: bool = False) -> DataFrame:
     li = _t(spark, d, "lineitem")
+    if with_status:  # labels that name the away side need the order status
+        o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+        li = li.join(o, li.l_orderkey == o.o_orderkey, "left")
     url = F.concat(F.lit(_EVENT_URL), (F.col("l_orderkey") + 1000000).cast("string"), F.lit("/markets"))
     return li.select(
         F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"), "*",
@@ -1148,16 +1151,11 @@ def q_market_line_balanced(spark: SparkSession, d: str) -> DataFrame:
     teams dimension; pairs whose handicaps cancel."""
     flag, x = F.col("l_returnflag"), _line_x()
     teams = mk.canonical_teams_dim(_orders_teams(spark, d), STATUS_RULES)
-    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    li_names = F.when(flag == "R", F.concat(F.lit("Order "), _letters("l_orderkey")))
+    team = (F.when(flag == "R", F.concat(F.lit("Order "), _letters("l_orderkey")))
+             .when(flag == "A", F.col("o_orderstatus")))
     sel = _sb_lineitem_selections(
         spark, d, market_name=F.when(flag.isin("R", "A"), "Line").otherwise("Other"),
-        prop_name=F.concat(li_names, F.lit(" ("), _signed_text(x), F.lit(")")))
-    # Away labels carry the order status, which lives in orders.
-    sel = (sel.join(o, sel.l_orderkey == o.o_orderkey, "left")
-              .withColumn("prop_name", F.when(flag == "A", F.concat(F.col("o_orderstatus"), F.lit(" ("),
-                                                                     _signed_text(x), F.lit(")")))
-                                        .otherwise(F.col("prop_name"))))
+        prop_name=F.concat(team, F.lit(" ("), _signed_text(x), F.lit(")")), with_status=True)
     return mk.line_balanced(sel, teams, agency="TPCH", keys=KEYS, rules=STATUS_RULES)
 
 
