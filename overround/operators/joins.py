@@ -25,17 +25,28 @@ def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
 
 
 def natural_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
-                 how: str = "left", null_safe: bool = True) -> DataFrame:
+                 how: str = "left", null_safe: bool = True, skew_safe: bool = False) -> DataFrame:
     """dplyr-style natural join: keys default to all shared columns and a
     null key matches a null key (``<=>``).
 
     Output: the left columns, then the right's non-key columns.  ``<=>``
     keys are planned as ``(coalesce(k), isnull(k))`` hash keys, so this is
     still a partitioned equi-join.  ``null_safe=False`` gives plain ``=``.
+
+    ``skew_safe=True`` (left joins): AQE can split a skewed key only on the
+    preserved (left) side of an outer join, so a hot key on the right would
+    stay in one task.  The left join is then computed as the inner join
+    (both sides splittable) plus the left rows without a match (anti join
+    against the *distinct* right keys, so a hot key collapses map-side).
+    The result is the same rows; the left side is read twice.
     """
     keys = list(on) if on is not None else shared_columns(left, right)
     if not keys:
         raise ValueError("natural_join needs at least one shared column")
+    if skew_safe and how == "left":
+        matched = natural_join(left, right, keys, "inner", null_safe)
+        unmatched = natural_join(left, right.select(*keys).distinct(), keys, "left_anti", null_safe)
+        return matched.unionByName(unmatched, allowMissingColumns=True)
     lhs, rhs = left.alias("_l"), right.alias("_r")
     cond = None
     for k in keys:

@@ -296,6 +296,8 @@ def over_under(selections: DataFrame, teams: DataFrame, market_re: str = "Total
         *keys, "source_url", "match_id", "line", F.col("price").alias("over_price"))
     unders = _sb_side(base, under_re, " Under ").select(
         *keys, "source_url", "line", F.col("price").alias("under_price"))
+    # The key includes the response document, so one key's rows are bounded by
+    # one response: no unbounded hot key on either side of this left join.
     joined = natural_join(overs, unders, on=[*keys, "source_url", "line"], how="left")
     out = lookup_join(joined, teams, "match_id")
     out = (out.withColumn("match", paste("home_team", F.lit("v"), "away_team"))
@@ -355,6 +357,8 @@ def sb_player_over_under(enriched: DataFrame, over_re: str = "Over", under_re: s
                         F.col("price").alias(price_name), F.lit(agency).alias("agency"),
                         *EVENT_ID_COLUMNS, "market_id", F.col("prop_id").alias(id_name))
 
+    # Keys include the per-document market id, so a key's rows are bounded by
+    # one response document.
     return natural_join(side(over_re, " Over ", "over_price", "player_id"),
                         side(under_re, " Under ", "under_price", "player_id_unders"), how="left")
 

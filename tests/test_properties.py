@@ -64,3 +64,18 @@ def test_first_where_ignores_rows_after_the_first_match(spark):
                                "g int, o int, t string, v double").repartition(3)
     got = df.groupBy("g").agg(op.first_where("v", F.col("t").rlike("or later"), ["o"]).alias("v")).first()
     assert got["v"] == 1.0
+
+
+keys_st = st.lists(st.tuples(st.sampled_from([1, 2, None]), st.sampled_from([0.5, 1.5, None]),
+                             st.integers(0, 50)), max_size=12)
+
+
+@settings(max_examples=12, deadline=None)
+@given(keys_st, keys_st)
+def test_skew_safe_left_join_equals_left_join(spark, left, right):
+    l_df = spark.createDataFrame(left or [(9, 9.5, 0)], "m int, line double, o int")
+    r_df = spark.createDataFrame([(m, ln, v + 1000) for m, ln, v in right] or [(8, 8.5, 0)], "m int, line double, u int")
+    plain = op.natural_join(l_df, r_df, on=["m", "line"], how="left")
+    safe = op.natural_join(l_df, r_df, on=["m", "line"], how="left", skew_safe=True)
+    assert safe.columns == plain.columns
+    assert sorted(map(tuple, safe.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
