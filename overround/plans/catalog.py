@@ -214,8 +214,31 @@ def _line_x():
 
 # ------------------------------------------------- scans, documents, sinks
 
+
+# Landed-document fixtures for the source queries are written once per session
+# and table folder: in production the documents already sit in storage, and
+# what those queries test is the read, parse and unnest.  Sink queries, whose
+# subject is the write, write every time.
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def _landed_once(spark: SparkSession, d: str, kind: str, write) -> str:
+    import os
+
+    from ..session import local_path
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), kind)
+    path = _LANDED.get(key)
+    if path is None or (path.startswith(("file:", "/")) and not os.path.exists(local_path(path))):
+        path = write()
+        _LANDED[key] = path
+    return path
+
 def _tab_documents(spark: SparkSession, d: str) -> str:
     """Land one TAB-shaped document per lineitem as JSON lines; returns path."""
+    return _landed_once(spark, d, "tab-docs", lambda: _write_tab_documents(spark, d))
+
+
+def _write_tab_documents(spark: SparkSession, d: str) -> str:
     from ..session import scratch_path
     li = _t(spark, d, "lineitem")
     prop = lambda i, n, w: F.struct(F.col(i).cast("bigint").alias("id"), n.alias("name"),
@@ -294,6 +317,10 @@ _EVENT_URL = "https://feed.example.com/events/"
 
 def _event_market_docs(spark: SparkSession, d: str) -> str:
     """Land one Sportsbet-shaped market document per event; returns path."""
+    return _landed_once(spark, d, "event-docs", lambda: _write_event_market_docs(spark, d))
+
+
+def _write_event_market_docs(spark: SparkSession, d: str) -> str:
     from ..session import scratch_path
     ev = _events_k(spark, d)
     handicap = F.when(F.col("k") % 5 != 0, F.col("k").cast("string"))
@@ -333,14 +360,19 @@ def q_src_event_metadata(spark: SparkSession, d: str) -> DataFrame:
     from .. import schemas as S
     from ..session import scratch_path
     from ..sources import event_metadata, parse_documents, read_landed
-    ev = _events_k(spark, d)
-    body = F.to_json(F.struct(F.col("user_id").alias("classExternalId"),
-                              F.col("k").alias("competitionExternalId"),
-                              F.col("event_id").alias("externalId")))
-    url = F.concat(F.lit(_EVENT_URL), (F.col("event_id") + 1000000).cast("string"), F.lit("/SportCard"))
-    path = scratch_path(spark, "event-meta")
-    ev.select(url.alias("url"), body.alias("body")).write.mode("overwrite").json(path)
-    docs = parse_documents(read_landed(spark, path), S.SB_EVENT_METADATA)
+
+    def write() -> str:
+        ev = _events_k(spark, d)
+        body = F.to_json(F.struct(F.col("user_id").alias("classExternalId"),
+                                  F.col("k").alias("competitionExternalId"),
+                                  F.col("event_id").alias("externalId")))
+        url = F.concat(F.lit(_EVENT_URL), (F.col("event_id") + 1000000).cast("string"), F.lit("/SportCard"))
+        path = scratch_path(spark, "event-meta")
+        ev.select(url.alias("url"), body.alias("body")).write.mode("overwrite").json(path)
+        return path
+
+    docs = parse_documents(read_landed(spark, _landed_once(spark, d, "event-meta", write)),
+                           S.SB_EVENT_METADATA)
     return event_metadata(docs)
 
 
