@@ -406,16 +406,17 @@ def q_sink_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _landing_bodies(spark: SparkSession, d: str) -> DataFrame:
-    """Event bodies; error events carry a truncated body."""
+    """Event bodies; error events carry a malformed body (``=`` for ``:``)."""
     ev = _t(spark, d, "events")
-    body = F.when(F.col("event_type") == "error", F.substring("props", 1, 4)).otherwise(F.col("props"))
+    body = (F.when(F.col("event_type") == "error", F.replace(F.col("props"), F.lit(":"), F.lit("=")))
+             .otherwise(F.col("props")))
     url = F.concat(F.lit(_EVENT_URL), F.col("event_id").cast("string"))
     return ev.select(url.alias("url"), body.alias("body"))
 
 
 _LANDING_SQL = f"""
   SELECT '{_EVENT_URL}' || CAST(event_id AS VARCHAR) AS url,
-         CASE WHEN event_type = 'error' THEN substr(props, 1, 4) ELSE props END AS body
+         CASE WHEN event_type = 'error' THEN replace(props, ':', '=') ELSE props END AS body
   FROM events"""
 
 
