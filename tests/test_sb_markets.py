@@ -106,3 +106,30 @@ def test_links_outside_cards_pair_by_position(spark):
     teams = rows(mk.canonical_teams_dim(card_teams(listing_cards(pages))), ["match_id"])
     assert [(t["match_id"], t["home_team"], t["away_team"]) for t in teams] == [
         (1111111, "Parramatta Eels", "Gold Coast Titans"), (2222222, "Newcastle Knights", "St George Illawarra Dragons")]
+
+
+def test_html_helpers(spark):
+    from pyspark.sql import functions as F
+
+    from overround.sources import hrefs, page_links, tag_text
+
+    html = ('<html><head><title>Round 1 &amp; <b>odds</b></title></head><body>'
+            '<a href="/a">A</a><a class="x linkMultiMarket_fcmecz0" href="/m/1234567">M</a>'
+            '<a href="/b" class="other">B</a></body></html>')
+    df = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    row = df.select(tag_text("html", "title").alias("t"), hrefs("html").alias("all"),
+                    hrefs("html", "linkMultiMarket_fcmecz0").alias("cls")).first()
+    assert row["t"] == "Round 1 & odds"
+    assert row["all"] == ["/a", "/m/1234567", "/b"]
+    assert row["cls"] == ["/m/1234567"]
+    links = [tuple(r) for r in page_links(df).orderBy("pos").collect()]
+    assert links == [(1, 0, "/a"), (1, 1, "/m/1234567"), (1, 2, "/b")]
+    none = spark.createDataFrame([(2, "<p>no title</p>")], "page_id bigint, html string")
+    assert none.select(tag_text("html", "title")).first()[0] is None
+    assert none.select(F.size(hrefs("html"))).first()[0] == 0
+
+
+def test_manifest_custom_endpoints(spark):
+    ids = spark.createDataFrame([(42,)], "match_id bigint")
+    m = url_manifest(ids, endpoints={"line": "lines"}, base="https://h.example", template="{base}/e/{id}/{endpoint}")
+    assert [tuple(r) for r in m.collect()] == [(42, "line", "https://h.example/e/42/lines")]
