@@ -139,3 +139,45 @@ def refresh_tab_markets(spark: SparkSession, selections_path: str, out_dir: str,
                                              "tab_first_try_scorer") else {}
         write_parquet(build(sel, with_keys=True, **kwargs), out[name], partition_by=S.SNAPSHOT_KEYS)
     return out
+
+
+def refresh_sportsbet_markets(spark: SparkSession, selections_path: str, pages_path: str,
+                              metadata_landing: str, out_dir: str,
+                              snapshot_ids: Sequence[str] | None = None) -> dict[str, str]:
+    """Rebuild every Sportsbet market for the given snapshots (all when
+    None), keyed by (agency, snapshot_id), without a driver-side loop.
+
+    ``pages_path`` holds listing pages with a ``snapshot_id`` column.  The
+    teams dimension is keyed by ``match_id`` only: a match keeps its teams
+    across snapshots, so it is de-duplicated before the lookup.
+    """
+    pages = read_pages(spark, pages_path)
+    if "snapshot_id" not in pages.columns:
+        pages = pages.withColumn("snapshot_id", F.lit("latest"))
+    sel = read_selections(spark, selections_path, "Sportsbet")
+    if snapshot_ids is not None:
+        wanted = list(snapshot_ids)
+        pages = pages.filter(F.col("snapshot_id").isin(wanted))
+        sel = sel.filter(F.col("snapshot_id").isin(wanted))
+    cards = listing_cards(pages, keep=("snapshot_id",))
+    teams = mk.canonical_teams_dim(card_teams(cards)).distinct()
+    meta_docs, _ = quarantine_split(parse_documents(read_landed(spark, metadata_landing),
+                                                    S.SB_EVENT_METADATA))
+    enriched = mk.enrich_selections(sel, teams, event_metadata(meta_docs).distinct())
+    player_docs = enriched.filter(F.col("source_url").rlike("/MarketGroupings/112/"))
+    builders: Mapping[str, Callable[[], DataFrame]] = {
+        "sportsbet_h2h": lambda: mk.h2h_positional(cards, keep=("snapshot_id",)),
+        "sportsbet_line": lambda: mk.line_balanced(sel, teams, with_keys=True),
+        "sportsbet_total_points": lambda: mk.over_under(sel, teams, with_keys=True),
+        "sportsbet_total_tries": lambda: mk.over_under(
+            sel, teams, market_re="Total Match Tries", over_re="Over", under_re="Under",
+            label="Total Tries", with_keys=True),
+        "sportsbet_player_tries": lambda: mk.sb_player_tries(player_docs, with_keys=True),
+        "sportsbet_first_try_scorer": lambda: mk.sb_outright(enriched, with_keys=True),
+        "sportsbet_time_of_first_try": lambda: mk.sb_time_threshold(enriched, with_keys=True),
+    }
+    out = {}
+    for name, build in builders.items():
+        out[name] = f"{out_dir}/{name}"
+        write_parquet(build(), out[name], partition_by=S.SNAPSHOT_KEYS)
+    return out

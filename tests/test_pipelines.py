@@ -91,3 +91,31 @@ def test_ingest_then_refresh_keeps_snapshots_apart(spark, tmp_path):
     # Refreshing one snapshot leaves the other in place.
     refresh_tab_markets(spark, sel_path, out, snapshot_ids=["s2"])
     assert spark.read.parquet(f"{out}/tab_h2h").count() == 4
+
+
+def test_sportsbet_ingest_then_refresh(spark, tmp_path):
+    from overround.plans.pipelines import refresh_sportsbet_markets
+
+    root, sel_path, out = tmp_path / "landing", str(tmp_path / "sel"), str(tmp_path / "markets")
+    doc = sb_market_doc(9123456)
+    for snap in ("s1", "s2"):
+        d = root / f"snapshot_id={snap}"
+        d.mkdir(parents=True)
+        (d / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456), json.dumps(doc))]))
+    q = start_selection_ingest(spark, str(root), sel_path, "sportsbet", checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    pages = str(tmp_path / "pages")
+    spark.createDataFrame([(1, "u", LISTING_HTML, "s1"), (2, "u", LISTING_HTML, "s2")],
+                          "page_id bigint, url string, html string, snapshot_id string").write.parquet(pages)
+    meta = tmp_path / "meta"
+    meta.mkdir()
+    (meta / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456), "{}")]))
+    paths = refresh_sportsbet_markets(spark, sel_path, pages, str(meta), out)
+    checked = ("sportsbet_h2h", "sportsbet_line", "sportsbet_time_of_first_try")
+    counts = {k: sorted((r[0], r[1]) for r in spark.read.parquet(paths[k]).groupBy("snapshot_id").count().collect())
+              for k in checked}
+    assert counts["sportsbet_h2h"] == [("s1", 2), ("s2", 2)]
+    assert counts["sportsbet_line"] == [("s1", 3), ("s2", 3)]
+    assert counts["sportsbet_time_of_first_try"] == [("s1", 1), ("s2", 1)]
+    refresh_sportsbet_markets(spark, sel_path, pages, str(meta), out, snapshot_ids=["s1"])
+    assert spark.read.parquet(paths["sportsbet_line"]).count() == 6
