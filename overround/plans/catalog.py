@@ -530,6 +530,14 @@ def q_html_class_text(spark: SparkSession, d: str) -> DataFrame:
                         .alias("pos", "text"))
 
 
+@register("html_class_text_parsed", ORACLE_SQL["html_class_text"])
+def q_html_class_text_parsed(spark: SparkSession, d: str) -> DataFrame:
+    """H1 with a real HTML parser per page (``mapInPandas``), the path for
+    nested markup; same result as the regex path on these pages."""
+    from ..sources.html_parse import elements_by_class_parsed
+    return elements_by_class_parsed(_t(spark, d, "pages"), "ad")
+
+
 @register("url_id_first", """
 SELECT page_id, TRY_CAST(nullif(regexp_extract(url || '/events/' || CAST(page_id * 7919 + 100000 AS VARCHAR),
                                                '[0-9]{6,8}', 0), '') AS BIGINT) AS match_id

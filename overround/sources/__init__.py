@@ -10,6 +10,7 @@ from .pages import (
     read_html_files, read_pages, tag_text, texts,
 )
 from .sinks import read_csv, read_market_csv, write_csv, write_landing, write_parquet
+from .html_parse import elements_by_class_parsed
 from .tables import balance_partitions, read_table
 
 __all__ = [
@@ -18,5 +19,5 @@ __all__ = [
     "url_manifest", "card_prices", "card_teams", "element_text", "elements_by_class", "hrefs",
     "listing_cards", "page_links", "read_html_files", "read_pages", "tag_text", "texts",
     "read_csv", "read_market_csv", "write_csv", "write_landing", "write_parquet",
-    "balance_partitions", "read_table",
+    "balance_partitions", "read_table", "elements_by_class_parsed",
 ]

@@ -1,0 +1,98 @@
+"""Element text by class with a real HTML parser, for nested markup.
+
+The regex extraction in ``pages`` stops at the first closing tag of the
+same name, so an element that contains nested elements of its own tag is
+cut short.  This variant parses each page with the standard library's
+``HTMLParser`` inside ``mapInPandas``: Spark still partitions and
+distributes the pages, Python only walks one page at a time.  It is the
+slow path; use it only where nesting matters.  The module is shipped to
+the Python workers by value, so it works even where the package is not
+installed on the executors.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator, Sequence
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import types as T
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Elements that never have an end tag.
+VOID_TAGS = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
+                       "source", "track", "wbr"})
+
+
+class _ClassText(HTMLParser):
+    """Collect the text of every element whose class list contains ``cls``
+    (nested matches are reported separately, in document order)."""
+
+    def __init__(self, cls: str):
+        super().__init__(convert_charrefs=True)
+        self.cls = cls
+        self.stack: list[tuple[str, int | None]] = []   # (tag, index of the capture it opened)
+        self.open: list[int] = []                        # captures currently collecting text
+        self.found: list[list[str]] = []
+
+    def handle_starttag(self, tag, attrs):
+        classes = " ".join(v or "" for k, v in attrs if k == "class").split()
+        idx = None
+        if self.cls in classes:
+            idx = len(self.found)
+            self.found.append([])
+            self.open.append(idx)
+        if tag not in VOID_TAGS:
+            self.stack.append((tag, idx))
+
+    def handle_endtag(self, tag):
+        if not any(t == tag for t, _ in self.stack):
+            return
+        while self.stack:
+            t, idx = self.stack.pop()
+            if idx is not None:
+                self.open.remove(idx)
+            if t == tag:
+                break
+
+    def handle_data(self, data):
+        for idx in self.open:
+            self.found[idx].append(data)
+
+
+def class_texts(html: str | None, cls: str) -> list[str]:
+    if html is None:
+        return []
+    p = _ClassText(cls)
+    p.feed(html)
+    p.close()
+    return ["".join(parts) for parts in p.found]
+
+
+def elements_by_class_parsed(pages: DataFrame, cls: str, html_col: str = "html",
+                             keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """One row per element carrying ``cls``: ``(keep..., pos, text)``."""
+    fields = [pages.schema[c] for c in keep]
+    schema = T.StructType([*fields, T.StructField("pos", T.IntegerType()),
+                           T.StructField("text", T.StringType())])
+    cols = list(keep)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = {c: [] for c in cols}
+            out["pos"], out["text"] = [], []
+            for row in pdf.itertuples(index=False):
+                texts = class_texts(getattr(row, html_col), cls)
+                for i, text in enumerate(texts):
+                    for c in cols:
+                        out[c].append(getattr(row, c))
+                    out["pos"].append(i)
+                    out["text"].append(text)
+            if out["pos"]:  # an empty, untyped frame cannot be converted to Arrow
+                yield pd.DataFrame(out, columns=[*cols, "pos", "text"]).astype({"pos": "int32"})
+
+    return pages.select(*cols, html_col).mapInPandas(run, schema)
