@@ -181,3 +181,15 @@ def refresh_sportsbet_markets(spark: SparkSession, selections_path: str, pages_p
         out[name] = f"{out_dir}/{name}"
         write_parquet(build(), out[name], partition_by=S.SNAPSHOT_KEYS)
     return out
+
+
+def read_market(spark: SparkSession, out_dir: str, name: str, keyed: bool = False) -> DataFrame:
+    """Read a market table with its declared schema, so an empty market (no
+    files written) still reads as an empty table.  ``keyed`` adds the
+    ``snapshot_id`` partition column of the refresh layout."""
+    from pyspark.sql import types as T
+
+    schema = S.MARKET_TABLES[name]
+    if keyed:
+        schema = T.StructType([*schema.fields, T.StructField("snapshot_id", T.StringType())])
+    return spark.read.schema(schema).parquet(f"{out_dir}/{name}")

@@ -119,3 +119,8 @@ def test_sportsbet_ingest_then_refresh(spark, tmp_path):
     assert counts["sportsbet_time_of_first_try"] == [("s1", 1), ("s2", 1)]
     refresh_sportsbet_markets(spark, sel_path, pages, str(meta), out, snapshot_ids=["s1"])
     assert spark.read.parquet(paths["sportsbet_line"]).count() == 6
+    # The fixture has no player-tries document: the empty market still reads, typed.
+    empty = pl.read_market(spark, out, "sportsbet_player_tries", keyed=True)
+    assert empty.count() == 0 and "player_id_unders" in empty.columns
+    line = pl.read_market(spark, out, "sportsbet_line", keyed=True)
+    assert line.count() == 6 and line.schema["home_line"].dataType.typeName() == "double"
