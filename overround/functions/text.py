@@ -40,14 +40,29 @@ def str_replace_first(c: ColumnOrName, pattern: str, replacement: str) -> Column
     """Replace the first match of ``pattern`` with the literal ``replacement``.
 
     The lazy prefix finds the leftmost match, exactly like a regex *find*;
-    a named group avoids ``$1``-followed-by-digit ambiguity.
+    only the prefix may span line breaks (``pattern`` keeps its own ``.``
+    semantics); a named group avoids ``$1``-followed-by-digit ambiguity.
     """
-    first = f"(?s)^(?<orPrefix>.*?)(?:{pattern})"
+    first = f"^(?<orPrefix>(?s:.*?))(?:{pattern})"
     return F.regexp_replace(_col(c), first, "${orPrefix}" + _literal_replacement(replacement))
 
 
+def _end_anchored(pattern: str) -> bool:
+    """True when every non-empty match must end at the end of the text, so a
+    pattern can match (non-emptily) at most once: ends in an unescaped ``$``,
+    no alternation, no multi-line flag."""
+    if not pattern.endswith("$") or "|" in pattern or "(?m" in pattern:
+        return False
+    backslashes = len(pattern[:-1]) - len(pattern[:-1].rstrip("\\"))
+    return backslashes % 2 == 0
+
+
 def str_remove(c: ColumnOrName, pattern: str) -> Column:
-    """Remove the first match of ``pattern``."""
+    """Remove the first match of ``pattern``.  An end-anchored pattern has at
+    most one non-empty match, so a plain ``regexp_replace`` is exact and
+    cheaper than the first-match form."""
+    if _end_anchored(pattern):
+        return F.regexp_replace(_col(c), pattern, "")
     return str_replace_first(c, pattern, "")
 
 

@@ -93,3 +93,16 @@ def test_player_alias_exact_match(spark):
 
 def test_html_text_helpers(spark):
     assert one(spark, fx.decode_entities(fx.strip_tags("x")), "<b>A &amp; B</b> &lt;3") == "A & B <3"
+
+
+def test_str_remove_multiline_and_end_anchored(spark):
+    text = "J Smith (BRI)\nsecond (x)"
+    # '.' does not cross line breaks inside the caller's pattern.
+    assert one(spark, fx.str_remove("x", r" \(.*\)"), text) == "J Smith\nsecond (x)"
+    assert one(spark, fx.str_replace_first("x", "o", "0"), "a\nfoo") == "a\nf0o"
+    # End-anchored fast path equals the first-match form.
+    for value in ["Sharks -4.5", "Sharks", "A -1 -2", "Team (+2.5)", "(x) (y)", None]:
+        for pattern in (r" [\+\-].*$", r" \(.*\)$"):
+            fast = one(spark, fx.str_remove("x", pattern), value)
+            slow = one(spark, fx.str_replace_first("x", pattern, ""), value)
+            assert fast == slow, (value, pattern)
