@@ -17,9 +17,6 @@ from .. import schemas as S
 from ..functions import as_numeric, url_match_id
 from ..operators import lookup_join, unnest_path
 
-CORRUPT = "_corrupt_record"
-
-
 def read_nested_json(spark: SparkSession, path: str | list[str], schema: T.StructType,
                      multi_line: bool = True) -> DataFrame:
     """Nested JSON documents read with an explicit schema (no inference)."""
@@ -37,30 +34,27 @@ def read_whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
                  .select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("body")))
 
 
-def parse_documents(df: DataFrame, schema: T.DataType, body_col: str = "body",
+def parse_documents(df: DataFrame, schema: T.DataType | str, body_col: str = "body",
                     doc_col: str = "doc") -> DataFrame:
     """Parse ``body`` with a fixed schema; adds ``doc`` and ``is_valid``.
 
-    An array-rooted body that does not parse is null.  For struct roots
-    Spark returns an all-null struct, so the raw text is captured in a
-    corrupt-record field and validity is read from it.  ``schema`` may be a
-    DataType or a DDL string.
+    Only broken JSON makes a document invalid.  A field whose value has an
+    unexpected type becomes null and the rest of the document is kept (the
+    feed's field is missing, not the response): Spark's from_json returns
+    partial results for that.  Array-rooted bodies that do not parse give
+    null; for object-rooted bodies syntax is checked with
+    ``json_object_keys`` (null for malformed text or a non-object).
+    ``schema`` may be a DataType or a DDL string.
     """
     if isinstance(schema, str):
         schema = T.DataType.fromDDL(schema)
-    if isinstance(schema, T.StructType):
-        with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        parsed = F.from_json(F.col(body_col), with_corrupt,
-                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-        out = df.withColumn("_parsed", parsed)
-        valid = F.col(body_col).isNotNull() & F.col(f"_parsed.{CORRUPT}").isNull()
-        keep = [F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields]
-        return (out.withColumn("is_valid", F.coalesce(valid, F.lit(False)))
-                   .withColumn(doc_col, F.when(F.col("is_valid"), F.struct(*keep)))
-                   .drop("_parsed"))
     parsed = F.from_json(F.col(body_col), schema)
-    return (df.withColumn(doc_col, parsed)
-              .withColumn("is_valid", F.col(doc_col).isNotNull()))
+    if isinstance(schema, T.StructType):
+        valid = F.json_object_keys(F.col(body_col)).isNotNull()
+    else:
+        valid = parsed.isNotNull()
+    return (df.withColumn("is_valid", F.coalesce(valid, F.lit(False)))
+              .withColumn(doc_col, F.when(F.col("is_valid"), parsed)))
 
 
 def quarantine_split(df: DataFrame, valid_col: str = "is_valid") -> tuple[DataFrame, DataFrame]:

@@ -90,3 +90,23 @@ def test_three_part_and_one_part_match_labels(spark):
                     dict(match="Solo", market_name="Head To Head", prop_name="A", price=1.5)])
     out = rows(mk.h2h_nth(s, rules=()), ["match"])
     assert [(r["match"], r["home_team"], r["away_team"]) for r in out] == [("A v B", "A", "B"), (None, "Solo", None)]
+
+
+def test_d7_mistyped_field_is_null_and_document_kept(spark):
+    import json
+
+    from overround.sources import event_metadata, parse_documents, quarantine_split, tab_selections
+
+    tab = {"matches": [{"name": "A v B", "startTime": "t", "markets": [{"betOption": "Head To Head",
+           "propositions": [{"id": "abc", "name": "A", "returnWin": 1.9},
+                            {"id": 2, "name": "B", "returnWin": 2.0}]}]}]}
+    docs = spark.createDataFrame([("tab://1", json.dumps(tab)), ("tab://2", '{"matches": [')],
+                                 "url string, body string")
+    good, rejects = quarantine_split(parse_documents(docs, S.TAB_RESPONSE))
+    assert [r["url"] for r in rejects.collect()] == ["tab://2"]
+    out = rows(tab_selections(good), ["prop_pos"])
+    assert [(r["prop_id"], r["prop_name"], r["price"]) for r in out] == [(None, "A", 1.9), (2, "B", 2.0)]
+    meta = spark.createDataFrame([("u/1234567/SportCard", '{"classExternalId": "a", "competitionExternalId": 2, '
+                                   '"externalId": 3}')], "url string, body string")
+    m = rows(event_metadata(parse_documents(meta, S.SB_EVENT_METADATA)))
+    assert [(r["match_id"], r["class_external_id"], r["competition_external_id"]) for r in m] == [(1234567, None, 2)]
