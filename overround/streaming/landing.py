@@ -60,3 +60,17 @@ def start_selection_ingest(spark: SparkSession, landing_dir: str, selections_pat
                  .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(selections_path)
+
+
+def start_reject_ingest(spark: SparkSession, landing_dir: str, rejects_path: str, kind: str,
+                        checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Land the responses that do not parse (``snapshot_id, url, body``),
+    exactly once, next to the selections.  A separate query because each file
+    sink keeps its own commit log; it re-reads only the validity of each new
+    landing file."""
+    _, rejects = selection_stream(spark, landing_dir, kind)
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/overround-rejects-{kind}"
+    writer = (rejects.writeStream.format("parquet").outputMode("append")
+                     .partitionBy("snapshot_id").option("checkpointLocation", ckpt))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start(rejects_path)

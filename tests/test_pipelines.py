@@ -56,6 +56,12 @@ def test_streaming_ingest_matches_batch(spark, tmp_path):
     sel = pl.read_selections(spark, str(tmp_path / "sel"), "TAB", "s1")
     assert sel.count() == 24
     assert sel.select("source_url").distinct().count() == 1
+    from overround.streaming import start_reject_ingest
+    r = start_reject_ingest(spark, str(tmp_path / "landing"), str(tmp_path / "rej"), "tab",
+                            checkpoint=str(tmp_path / "ckpt-rej"))
+    r.awaitTermination(120)
+    rej = spark.read.parquet(str(tmp_path / "rej")).collect()
+    assert [(x["snapshot_id"], x["url"]) for x in rej] == [("s1", "tab://b")]
 
 
 def test_command_line_tab_run_writes_csv(spark, tmp_path):
