@@ -77,3 +77,51 @@ def test_totals_dedup_matches_brute_force(spark, recs):
         for under in matches or [None]:
             exp.append((f"T{m} v U{m}", line, over, under, margin(over, under)))
     assert got == sorted(exp, key=repr)
+
+
+HOME, AWAY = "Home{}", "Away{}"
+LETTERS = "ABC"
+
+
+def line_frame(spark, recs):
+    base = {c: None for c in S.SELECTION_COLUMNS}
+    out = []
+    for i, (m, market, side, line_text, price) in enumerate(recs):
+        team = (HOME if side == "h" else AWAY).format(LETTERS[m])
+        label = f"{team} {line_text}".strip()
+        row = dict(base, agency="TAB", snapshot_id="s", match_pos=m, market_pos=0, prop_pos=i,
+                   match=f"{HOME.format(LETTERS[m])} v {AWAY.format(LETTERS[m])}", start_time="t",
+                   market_name=market, prop_name=label, price=price)
+        out.append(tuple(row[c] for c in S.SELECTION_COLUMNS))
+    return spark.createDataFrame(out or [tuple(base[c] for c in S.SELECTION_COLUMNS)], S.SELECTIONS)
+
+
+line_rec = st.tuples(st.integers(0, 2), st.sampled_from(["Line", "Pick Your Own Line", "Other"]),
+                     st.sampled_from(["h", "a"]), st.sampled_from(["+2.5", "-2.5", "+6.5", "-6.5", "+0", ""]),
+                     st.sampled_from([1.5, 1.9, 2.6]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(line_rec, max_size=14))
+def test_line_opposite_matches_brute_force(spark, recs):
+    got = sorted((tuple(r) for r in mk.line_opposite(line_frame(spark, recs), rules=())
+                  .select("match", "home_line", "home_win", "away_line", "away_win").collect()), key=repr)
+
+    def side(which):
+        seen, kept = set(), []
+        for m, market, s, text, price in recs:
+            if market in ("Line", "Pick Your Own Line") and s == which:
+                line = _number(text) if text else None
+                key = (m, line, price)
+                if key not in seen:               # keep-first per (match, line, price)
+                    seen.add(key)
+                    kept.append((m, market, line, price))
+        return kept
+
+    exp = []
+    for m, market, hl, hw in side("h"):
+        for am, amarket, al, aw in side("a"):
+            same_abs = (None if hl is None else abs(hl)) == (None if al is None else abs(al))
+            if am == m and amarket == market and same_abs and hl is not None and al is not None and hl != al:
+                exp.append((f"{HOME.format(LETTERS[m])} v {AWAY.format(LETTERS[m])}", hl, hw, al, aw))
+    assert got == sorted(exp, key=repr)
