@@ -130,3 +130,22 @@ def test_sportsbet_ingest_then_refresh(spark, tmp_path):
     assert empty.count() == 0 and "player_id_unders" in empty.columns
     line = pl.read_market(spark, out, "sportsbet_line", keyed=True)
     assert line.count() == 6 and line.schema["home_line"].dataType.typeName() == "double"
+
+
+def test_command_line_sportsbet_run(spark, tmp_path):
+    from overround.__main__ import main
+
+    pages = str(tmp_path / "pages")
+    spark.createDataFrame([(1, "https://example.com/league", LISTING_HTML)],
+                          "page_id bigint, url string, html string").write.parquet(pages)
+    landing, meta = tmp_path / "landing", tmp_path / "meta"
+    landing.mkdir()
+    meta.mkdir()
+    (landing / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456),
+                                                   json.dumps(sb_market_doc(9123456)))]))
+    (meta / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456), "{}")]))
+    assert main(["sportsbet", "--pages", pages, "--landing", str(landing), "--metadata", str(meta),
+                 "--out", str(tmp_path / "out"), "--snapshot", "s3"]) == 0
+    out = tmp_path / "out"
+    assert pl.read_market(spark, str(out), "sportsbet_h2h").count() == 2
+    assert spark.read.parquet(str(out / "sportsbet_line" / "snapshot_id=s3")).count() == 3
