@@ -17,6 +17,7 @@ from .session import build_session
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Parse arguments, run one feed, print the written table paths."""
     ap = argparse.ArgumentParser(prog="overround")
     sub = ap.add_subparsers(dest="feed", required=True)
     tab = sub.add_parser("tab", help="TAB-style responses -> TAB market tables")

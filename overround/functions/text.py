@@ -9,8 +9,6 @@ R/stringr semantics kept on purpose:
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,6 +70,7 @@ def as_numeric(c: ColumnOrName) -> Column:
 
 
 def as_long(c: ColumnOrName) -> Column:
+    """Text -> bigint; malformed text gives null."""
     return _col(c).try_cast("bigint")
 
 
@@ -95,6 +94,7 @@ def paste(*parts: ColumnOrName, sep: str = " ") -> Column:
 
 
 def paste0(*parts: ColumnOrName) -> Column:
+    """Concatenate without a separator; a null part makes the result null."""
     return F.concat(*[_col(p) for p in parts])
 
 
@@ -108,6 +108,7 @@ FIRST_INTEGER = r"\d+"
 
 
 def extract_number(c: ColumnOrName, pattern: str = SIGNED_NUMBER) -> Column:
+    """First number matching ``pattern`` as a double; null when there is none."""
     return as_numeric(str_extract(c, pattern))
 
 
@@ -126,10 +127,6 @@ def alt_line(market_name: ColumnOrName) -> Column:
     return extract_number(market_name, FIRST_INTEGER) - F.lit(0.5)
 
 
-def escape_regex(text: str) -> str:
-    return re.escape(text)
-
-
 def decode_entities(c: ColumnOrName) -> Column:
     """Decode the five predefined XML/HTML entities (``&amp;`` last)."""
     out = _col(c)
@@ -139,4 +136,5 @@ def decode_entities(c: ColumnOrName) -> Column:
 
 
 def strip_tags(c: ColumnOrName) -> Column:
+    """Remove every markup tag, keeping the text between them."""
     return F.regexp_replace(_col(c), r"<[^>]*>", "")

@@ -35,6 +35,7 @@ def order_key(ord_cols: Sequence[ColumnOrName]) -> Column:
 
 
 def row_number_within(partition: Sequence[str], ord_cols: Sequence[ColumnOrName]) -> Column:
+    """1-based position of a row inside its group in ``ord`` order (nulls last)."""
     w = Window.partitionBy(*partition).orderBy(*[_c(c).asc_nulls_last() for c in ord_cols])
     return F.row_number().over(w)
 
@@ -105,4 +106,5 @@ def union_distinct_by_name(*dfs: DataFrame) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct combinations of ``cols`` (``unique``); partial aggregation before the shuffle."""
     return df.select(*cols).distinct()

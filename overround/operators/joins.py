@@ -20,6 +20,7 @@ def _q(alias: str, name: str) -> Column:
 
 
 def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
+    """Column names present on both sides, in the left's order (natural-join keys)."""
     right_cols = set(right.columns)
     return [c for c in left.columns if c in right_cols]
 

@@ -47,6 +47,8 @@ def land_selections(selections: DataFrame, path: str, mode: str = "overwrite") -
 
 def read_selections(spark: SparkSession, path: str, agency: str | None = None,
                     snapshot_id: str | None = None) -> DataFrame:
+    """The persisted selections, pruned to one agency / snapshot when given
+    (partition pruning: only those folders are listed and read)."""
     df = spark.read.schema(S.SELECTIONS).parquet(path)
     if agency is not None:
         df = df.filter(F.col("agency") == agency)

@@ -65,6 +65,7 @@ class _ClassText(HTMLParser):
 
 
 def class_texts(html: str | None, cls: str) -> list[str]:
+    """Text of every element carrying ``cls`` in one page (runs inside a task)."""
     if html is None:
         return []
     p = _ClassText(cls)

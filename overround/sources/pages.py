@@ -123,6 +123,7 @@ def card_teams(cards: DataFrame) -> DataFrame:
 
 
 def card_prices(cards: DataFrame) -> DataFrame:
+    """Home / away decimal prices of listing cards by position (malformed text -> null)."""
     return cards.withColumns({
         "home_win": as_numeric(F.get("prices", 0)),
         "away_win": as_numeric(F.get("prices", 1)),

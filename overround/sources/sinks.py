@@ -12,6 +12,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str
 
 
 def read_csv(spark, path: str, schema, null_value: str = "NA") -> DataFrame:
+    """Read CSV written by ``write_csv`` with an explicit schema (no inference)."""
     return (spark.read.schema(schema).option("header", True)
                  .option("nullValue", null_value).csv(path))
 

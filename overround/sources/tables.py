@@ -25,5 +25,6 @@ def balance_partitions(df: DataFrame, target: int | None = None) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, balance: bool = True) -> DataFrame:
+    """Parquet table, spread over all cores when stored as too few row groups."""
     df = spark.read.parquet(path)
     return balance_partitions(df) if balance else df
