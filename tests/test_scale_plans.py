@@ -31,10 +31,14 @@ def hot_selections(spark, n=3000):
 
 def test_hot_match_is_limited_before_shuffle(spark):
     out = mk.h2h_nth(hot_selections(spark), rules=())
-    plan = _plan(out)
-    assert "WindowGroupLimit" in plan
-    partial = plan.index("Partial")
-    assert "Exchange" in plan[:partial] or plan.count("WindowGroupLimit") >= 2
+    lines = _plan(out).splitlines()
+    partial = [i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln and "Partial" in ln]
+    final = [i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln and "Final" in ln]
+    exchange = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    # Printed top-down: the partial limit sits below the shuffle (runs before it),
+    # the final limit above it.
+    assert partial and final and exchange
+    assert final[0] < exchange[0] < partial[0]
     hot = out.filter("match = 'Hot v Cold'").collect()
     assert len(hot) == 1 and hot[0]["home_win"] == 2.5 and hot[0]["away_win"] == 3.5
 
