@@ -57,3 +57,14 @@ def test_market_pairing_plans_have_no_cartesian_product(spark):
                  "market_player_over_under", "join_balanced_pair"):
         plan = _plan(entry.queries()[name](spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_first_row_picks_are_pre_aggregated_before_the_shuffle(spark):
+    import __spark_entry__ as entry
+    for name in ("agg_conditional_pivot", "market_time_threshold", "market_time_bands"):
+        lines = _plan(entry.queries()[name](spark, SF)).splitlines()
+        partial = [i for i, ln in enumerate(lines) if "partial_min_by" in ln]
+        exchange = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+        assert partial and exchange, name
+        # Some partial aggregate is printed below an exchange, i.e. runs map-side before it.
+        assert any(p > e for p in partial for e in exchange), name
