@@ -125,3 +125,37 @@ def test_line_opposite_matches_brute_force(spark, recs):
             if am == m and amarket == market and same_abs and hl is not None and al is not None and hl != al:
                 exp.append((f"{HOME.format(LETTERS[m])} v {AWAY.format(LETTERS[m])}", hl, hw, al, aw))
     assert got == sorted(exp, key=repr)
+
+
+sb_line_rec = st.tuples(st.integers(0, 2), st.sampled_from(["h", "a", "x"]),
+                        st.sampled_from(["(+2.5)", "(-2.5)", "(+6.5)", "(-6.5)", "(0.0)", "(2)", ""]),
+                        st.sampled_from([1.5, 1.9, 2.6]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(sb_line_rec, max_size=14))
+def test_line_balanced_matches_brute_force(spark, recs):
+    base = {c: None for c in S.SELECTION_COLUMNS}
+    rows_ = []
+    for i, (m, side, text, price) in enumerate(recs):
+        team = {"h": HOME, "a": AWAY, "x": "Other{}"}[side].format(LETTERS[m])
+        row = dict(base, agency="Sportsbet", snapshot_id="s", match_pos=0, market_pos=0, prop_pos=i,
+                   match_id=m, market_name="Line", prop_name=f"{team} {text}".strip(), price=price)
+        rows_.append(tuple(row[c] for c in S.SELECTION_COLUMNS))
+    sel = spark.createDataFrame(rows_ or [tuple(base[c] for c in S.SELECTION_COLUMNS)], S.SELECTIONS)
+    teams = spark.createDataFrame([(m, HOME.format(LETTERS[m]), AWAY.format(LETTERS[m])) for m in range(3)],
+                                  S.TEAMS)
+    got = sorted((tuple(r) for r in mk.line_balanced(sel, teams, rules=())
+                  .select("match", "home_line", "home_win", "away_line", "away_win").collect()), key=repr)
+
+    def parsed(text):
+        found = re.search(r"-?\d+\.\d+", text)
+        return float(found.group(0)) if found else None
+
+    exp = []
+    for m, s1, t1, p1 in recs:
+        for m2, s2, t2, p2 in recs:
+            h, a = parsed(t1), parsed(t2)
+            if s1 == "h" and s2 == "a" and m == m2 and h is not None and a is not None and abs(h + a) < 0.1:
+                exp.append((f"{HOME.format(LETTERS[m])} v {AWAY.format(LETTERS[m])}", h, p1, a, p2))
+    assert got == sorted(exp, key=repr)
