@@ -159,3 +159,37 @@ def test_line_balanced_matches_brute_force(spark, recs):
             if s1 == "h" and s2 == "a" and m == m2 and h is not None and a is not None and abs(h + a) < 0.1:
                 exp.append((f"{HOME.format(LETTERS[m])} v {AWAY.format(LETTERS[m])}", h, p1, a, p2))
     assert got == sorted(exp, key=repr)
+
+
+ou_rec = st.tuples(st.integers(0, 2), st.sampled_from(["Over", "Under"]),
+                   st.sampled_from([("", 40.5), ("", None), (" 44.5", None), (" 40.5", None)]),
+                   st.sampled_from([1.5, 1.9, 2.0]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(ou_rec, max_size=12))
+def test_over_under_matches_brute_force(spark, recs):
+    base = {c: None for c in S.SELECTION_COLUMNS}
+    rows_ = []
+    for i, (m, word, (suffix, handicap), price) in enumerate(recs):
+        row = dict(base, agency="Sportsbet", snapshot_id="s", match_pos=0, market_pos=0, prop_pos=i,
+                   match_id=m, source_url=f"u/{m}", market_name="Total Match Points",
+                   prop_name=f"Points {word}{suffix}" if suffix else word, handicap=handicap, price=price)
+        rows_.append(tuple(row[c] for c in S.SELECTION_COLUMNS))
+    sel = spark.createDataFrame(rows_ or [tuple(base[c] for c in S.SELECTION_COLUMNS)], S.SELECTIONS)
+    teams = spark.createDataFrame([(m, HOME.format(LETTERS[m]), AWAY.format(LETTERS[m])) for m in range(3)],
+                                  S.TEAMS)
+    got = sorted((tuple(r) for r in mk.over_under(sel, teams, over_re="Over", under_re="Under")
+                  .select("match", "line", "over_price", "under_price").collect()), key=repr)
+
+    def line(suffix, handicap):
+        return handicap if handicap is not None else (float(suffix) if suffix else None)
+
+    overs = [(m, line(sfx, hc), p) for m, w, (sfx, hc), p in recs if w == "Over"]
+    unders = [(m, line(sfx, hc), p) for m, w, (sfx, hc), p in recs if w == "Under"]
+    exp = []
+    for m, ln, p in overs:
+        partners = [u for um, ul, u in unders if um == m and ul == ln]     # None matches None
+        for u in partners or [None]:
+            exp.append((f"{HOME.format(LETTERS[m])} v {AWAY.format(LETTERS[m])}", ln, p, u))
+    assert got == sorted(exp, key=repr)
