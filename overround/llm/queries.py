@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overround.llm import chat, urls
+from overround.llm import chat, minhash, urls
 from overround.llm.shared import read_table
 
 #: The block list and permissions of the crawl (fixed values).
@@ -20,6 +20,10 @@ RULES = [
 ]
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read_table(spark, sf_dir, "pages"), RULES)
 
@@ -104,6 +108,7 @@ FROM texts
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op5_url_filters": op5_url_filters,
     "op9_preference_format": op9_preference_format,
 }

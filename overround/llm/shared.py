@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], text_index: int,
     """
     for batch in batches:
         column = batch.column(text_index)
-        lengths = pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
         if not len(lengths):
             continue
         ends = np.cumsum(lengths.astype(np.int64))
