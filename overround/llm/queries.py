@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overround.llm import chat, minhash, urls
+from overround.llm import chat, minhash, substring, urls
 from overround.llm.shared import read_table
 
 #: The block list and permissions of the crawl (fixed values).
@@ -24,6 +24,11 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "dedup.n_words", "dedup.n_removed", F.sha2("dedup.kept_text", 256).alias("kept_sha256"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read_table(spark, sf_dir, "pages"), RULES)
 
@@ -109,6 +114,7 @@ FROM texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_url_filters": op5_url_filters,
     "op9_preference_format": op9_preference_format,
 }
