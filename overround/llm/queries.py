@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overround.llm import chat, minhash, substring, urls
+from overround.llm import chat, minhash, packing, substring, urls
 from overround.llm.shared import read_table
 
 #: The block list and permissions of the crawl (fixed values).
@@ -33,6 +34,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read_table(spark, sf_dir, "pages"), RULES)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = chat.gather_turns(read_table(spark, sf_dir, "conversations"))
     return chat.format_preferences(chat.contrast_last_reply(conversations))
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_url_filters": op5_url_filters,
+    "op6_packing": op6_packing,
     "op9_preference_format": op9_preference_format,
 }
 ORACLE_SQL: dict[str, str] = {
