@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overround.llm import chat, minhash, packing, substring, urls
+from overround.llm import chat, decontaminate, minhash, packing, substring, urls
 from overround.llm.shared import read_table
 
 #: The block list and permissions of the crawl (fixed values).
@@ -43,6 +43,13 @@ def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_preferences(chat.contrast_last_reply(conversations))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.mark_leaks(documents, read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), F.size("leaks").cast("long").alias("n_leaks"),
+                      F.array_sort(F.array_distinct("leaks.item_id")).alias("item_ids"), "leaks")
+
+
 OP5_SQL = r"""
 WITH RECURSIVE parsed AS (
   SELECT page_id, url, html,
@@ -123,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filters": op5_url_filters,
     "op6_packing": op6_packing,
     "op9_preference_format": op9_preference_format,
+    "op10_decontaminate": op10_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_url_filters": OP5_SQL,
