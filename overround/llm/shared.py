@@ -93,15 +93,14 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
-_power_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_power_tables: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (n - 1).bit_length())
-    if size not in _power_tables:
-        _power_tables.clear()
-        _power_tables[size] = _powers(BASE, size), _powers(_BASE_INVERSE, size)
-    return _power_tables[size]
+    if not _power_tables or len(_power_tables[0][0]) < n or len(_power_tables[0][0]) > 8 * n + (8 << 20):
+        size = ((n >> 20) + 1) << 20
+        _power_tables[:] = [(_powers(BASE, size), _powers(_BASE_INVERSE, size))]
+    return _power_tables[0]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -110,7 +109,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return np.zeros(0, np.uint64)
     up, down = _tables(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODE[data] * up[: len(data)], out=total[1:])
+    np.take(BYTE_CODE, data, out=total[1:])
+    total[1:] *= up[: len(data)]
+    np.cumsum(total, out=total)
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

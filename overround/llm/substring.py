@@ -25,10 +25,10 @@ from overround.llm.shared import gram_hashes, joined_words, span_hashes, text_sl
 
 WINDOW, GRAM = 20, 5
 #: Minimisers are counted in so many bins, to find hot ones; a run holds so many windows at most; slices of text.
-BINS, MAX_RUN, SLICE = 1 << 16, 512, 8 << 20
+BINS, MAX_RUN, SLICE = 1 << 16, 512, 6 << 20
 #: Bytes of packed strings in a bucket, before compression.
-BUCKET_BYTES = 16 << 20
-_CODEC = pa.Codec("zstd", 1)
+BUCKET_BYTES = 6 << 20
+_CODEC = pa.Codec("zstd", 5)
 
 
 def _windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
