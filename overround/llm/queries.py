@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overround.llm import chat, decontaminate, minhash, packing, substring, urls
+from overround.llm import chat, decontaminate, minhash, packing, quality, substring, toxicity, urls
 from overround.llm.shared import read_table
 
 #: The block list and permissions of the crawl (fixed values).
@@ -30,6 +30,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "dedup.n_words", "dedup.n_removed", F.sha2("dedup.kept_text", 256).alias("kept_sha256"))
 
 
+def fold(column: str, parts: int) -> Column:
+    """crc32 of an id's text modulo ``parts``; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                 fold("doc_id", 5) == 0)
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read_table(spark, sf_dir, "pages"), RULES)
 
@@ -38,6 +48,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score_toxicity(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  read_table(spark, sf_dir, "labels"), fold("doc_id", 3) == 1)
+    return out.select("doc_id", "toxicity.*")
+
+
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = chat.gather_turns(read_table(spark, sf_dir, "conversations"))
     return chat.format_preferences(chat.contrast_last_reply(conversations))
@@ -127,8 +143,10 @@ FROM texts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality": op4_quality,
     "op5_url_filters": op5_url_filters,
     "op6_packing": op6_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_preference_format": op9_preference_format,
     "op10_decontaminate": op10_decontaminate,
 }
