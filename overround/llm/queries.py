@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overround.llm import chat, decontaminate, minhash, packing, quality, substring, toxicity, urls
+from overround.llm import chat, decontaminate, langid, minhash, packing, quality, substring, toxicity, urls
 from overround.llm.shared import read_table
 
 #: The block list and permissions of the crawl (fixed values).
@@ -48,6 +48,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify_languages(documents, fold("doc_id", 5) == 0).select("doc_id", "language.*")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.score_toxicity(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                   read_table(spark, sf_dir, "labels"), fold("doc_id", 3) == 1)
@@ -146,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_url_filters": op5_url_filters,
     "op6_packing": op6_packing,
+    "op7_language_id": op7_language_id,
     "op8_toxicity": op8_toxicity,
     "op9_preference_format": op9_preference_format,
     "op10_decontaminate": op10_decontaminate,
