@@ -12,7 +12,7 @@ probability (1 - 0.85^8)^40 = 3e-6, sets of similarity 0.3 meet in 0.3 % of all
 
 Groups of any size are joined without listing their pairs: equal sets are one class; in each bucket the classes are
 verified against the bucket's smallest class; only classes that this leaves in different components of one bucket are
-then verified against each other, if their sizes allow a link.
+then compared with each other, and of those only pairs that share one of their rarest shingles, as every link must.
 """
 
 from __future__ import annotations
@@ -152,15 +152,24 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     links = tried.where("linked").select("a", "b").union(shared_ids)
     found = connected_components(links, "a", "b")
 
-    # What the stars left apart: classes of one bucket that lie in different components.
+    # What the stars left apart: classes of one bucket that lie in different components. Of n shingles a link needs
+    # at least percent % in common, so two linked sets share one among the n - ceil(n * percent / 100) + 1 rarest of
+    # each, in one order of all shingles; the many copies of a text that differ too much to be linked don't meet there.
     placed = crowded.join(found, "node", "left").select(
         "band", "key", "node", "n", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band", "key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band", "key")
-    apart = written(placed.join(mixed, ["band", "key"]), "apart")
-    left = apart.select("band", "key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    right = apart.select("band", "key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    cross = left.join(right, ["band", "key"]).where(
+    apart = written(placed.join(mixed, ["band", "key"]).select("node", "component").distinct(), "apart")
+    held = written(sets.join(apart, "node").select(
+        "node", "component", F.size("elements").alias("n"), F.explode("elements").alias("shingle")), "held")
+    counted = held.join(held.groupBy("shingle").agg(F.count("*").alias("df")), "shingle")
+    rarest = counted.groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("order"))
+    prefix = written(rarest.select("node", "component", "n", F.explode(F.slice(
+        "order", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("rare")).where(
+        "rare.df > 1").select("node", "component", "n", F.col("rare.shingle").alias("shingle")), "prefix")
+    left = prefix.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    right = prefix.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    cross = left.join(right, "shingle").where(
         f"b < a and ca != cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
     cross = written(cross.join(tried, ["a", "b"], "left_anti"), "cross")
     late = written(verified(cross).where("linked").select("a", "b"), "late")
