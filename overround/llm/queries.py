@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overround.llm import chat, decontaminate, langid, minhash, packing, quality, substring, toxicity, urls
+from overround.llm import ann, chat, decontaminate, langid, minhash, packing, quality, substring, toxicity, urls
 from overround.llm.shared import read_table
 
 #: The block list and permissions of the crawl (fixed values).
@@ -21,6 +21,10 @@ RULES = [
 ]
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -146,6 +150,7 @@ FROM texts
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality": op4_quality,
