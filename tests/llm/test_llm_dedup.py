@@ -1,0 +1,169 @@
+"""Near duplicates and repeated passages against brute force, with every odd kind of row."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from overround.llm import minhash, queries, substring
+from tests.llm.conftest import SF, with_clashes
+
+SPACE = "[\x20\x09-\x0d]+"
+
+
+def words(text, lower=False):
+    if lower:
+        text = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return [w for w in re.split(SPACE, text or "") if w]
+
+
+def shingles(text):
+    w = words(text, True)
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def components(rows):
+    sets, parent = {}, {}
+    for doc, text in rows:
+        sets.setdefault(doc, []).append(shingles(text))
+        parent[doc] = doc
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            if any(s and t and 100 * len(s & t) >= 85 * len(s | t) for s in sets[a] for t in sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: find(d) for d in ids}
+
+
+def noisy(rng, base, changes):
+    w = list(base)
+    for _ in range(changes):
+        w[rng.randrange(len(w))] = f"x{rng.random()}"
+    return " ".join(w)
+
+
+def odd_documents(rng):
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = [(10 + k, noisy(rng, base, k % 9)) for k in range(60)]       # copies around the bound
+    rows += [(100 + k, " ".join(base).upper() if k % 2 else "\t".join(base)) for k in range(20)]
+    rows += [(200, None), (201, ""), (202, " \n\t "), (203, "one two"), (204, "One  two"), (205, "one two three"), (206, "Ä b"), (207, "ä b")]
+    rows += [(300, " ".join(f"v{k}" for k in range(30000))), (301, " ".join(f"v{k}" for k in range(29000)))]
+    rows += [(7, rows[0][1]), (7, rows[0][1]), (400, "a b c d e f"), (400, "p q r s t u"), (401, "p q r s t u")]
+    return rows
+
+
+def test_near_duplicates_match_brute_force(spark):
+    rows = odd_documents(random.Random(1))
+    docs = with_clashes(spark, [*rows, (None, rows[0][1])], "doc_id long, text string")
+    out = minhash.near_duplicates(docs.repartition(3)).collect()
+    want = components(rows)
+    assert len(out) == len(rows) + 1
+    for r in out:
+        if r["doc_id"] is None:
+            assert r["component_id"] is None and r["kept"]
+        else:
+            assert r["component_id"] == want[r["doc_id"]] and r["kept"] == (r["doc_id"] == want[r["doc_id"]])
+    sizes = {d: len(shingles(t)) for d, t in rows if d != 400}
+    assert all(r["n_shingles"] == sizes[r["doc_id"]] for r in out if r["doc_id"] in sizes)
+
+
+def test_near_duplicates_of_an_empty_table(spark):
+    assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_query_matches_brute_force(spark, documents):
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    got = {r["doc_id"]: r["component_id"] for r in queries.QUERIES["op2_minhash_dedup"](spark, SF).collect()}
+    assert got == components(rows)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 50, 400, 5000])
+def test_sketches_fill_and_agree_as_often_as_sets(size):
+    rng = np.random.default_rng(size)
+    a = rng.integers(0, 2**64, size, dtype=np.uint64)
+    b = a.copy()
+    b[: size // 5] = rng.integers(0, 2**64, size // 5, dtype=np.uint64)
+    x, y = minhash.sketch(np.unique(a)), minhash.sketch(np.unique(b))
+    assert (x < 2**55).all() and (minhash.sketch(np.unique(a)) == x).all()
+    similarity = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    assert abs((x == y).mean() - similarity) < 4 * np.sqrt(0.25 / minhash.BINS) + (size < 50) * 0.3
+
+
+def cut(rows):
+    """Kept words and removed count by (position in rows), windows judged by (doc, start)."""
+    first, out = {}, []
+    for doc, text in rows:
+        w = words(text)
+        if doc is not None:
+            for i in range(len(w) - 19):
+                key = tuple(w[i:i + 20])
+                first[key] = min(first.get(key, (doc, i)), (doc, i))
+    for doc, text in rows:
+        w = words(text)
+        gone = [False] * len(w)
+        if doc is not None:
+            for i in range(len(w) - 19):
+                if first[tuple(w[i:i + 20])] < (doc, i):
+                    gone[i:i + 20] = [True] * 20
+        out.append((doc, len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)))
+    return out
+
+
+def passage_documents(rng):
+    def some(n):
+        return [f"w{rng.randrange(400)}" for _ in range(n)]
+
+    shared, line = some(60), some(12)
+    rows = [(k, " ".join([*some(rng.randrange(0, 60)), *(shared if k % 3 else line), *some(rng.randrange(0, 60))])) for k in range(80)]
+    rows += [(90 - k, " ".join(shared)) for k in range(5)]
+    rows += [(200, None), (201, ""), (202, " ".join(["again"] * 700)), (203, " ".join(["Again"] * 19)), (204, "\n".join(["again"] * 25))]
+    rows += [(300, "  ".join(some(40000))), (301, " ".join(shared)), (301, " ".join(shared)), (None, " ".join(shared)), (302, "é " * 30)]
+    return rows
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_repeats_match_brute_force(spark, monkeypatch, hot):
+    rows = passage_documents(random.Random(2))
+    if hot:  # every minimiser's bin counts as hot, so each window travels by its own hash
+        monkeypatch.setattr(substring, "_count_bins", _many)
+    docs = with_clashes(spark, rows, "doc_id long, text string").repartition(4)
+    out = substring.remove_repeats(docs)
+    assert set(docs.columns) < set(out.columns)
+    got = sorted((repr(r["doc_id"]), r["dedup"]["n_words"], r["dedup"]["n_removed"], r["dedup"]["kept_text"]) for r in out.collect())
+    assert got == sorted((repr(d), *rest) for d, *rest in cut(rows))
+
+
+def _many(batches):
+    import pyarrow as pa
+
+    for _ in batches:
+        pass
+    n = substring.BINS
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(np.where(np.arange(n) % 16, 10**6, 1)), pa.array(np.ones(n, np.int64))],
+                                     ["bin", "strings", "bytes"])
+
+
+def test_repeats_of_the_given_table_and_an_empty_one(spark, documents):
+    rows = sorted((r["doc_id"], r["text"]) for r in documents.collect())
+    got = {r["doc_id"]: r for r in queries.QUERIES["op3_substring_dedup"](spark, SF).collect()}
+    for doc, n, removed, kept in cut(rows):
+        assert (got[doc]["n_words"], got[doc]["n_removed"], got[doc]["kept_sha256"]) == (n, removed, hashlib.sha256(kept.encode()).hexdigest())
+    assert substring.remove_repeats(documents.limit(0)).count() == 0
+
+
+def test_equal_window_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(substring, "gram_hashes", lambda w, n: np.zeros(max(0, len(w) - n + 1), np.uint64))
+    a, b = " ".join(f"a{k}" for k in range(20)) + " ", " ".join(f"b{k}" for k in range(20)) + " "
+    ids, zero, n = np.array([1, 2, 3]), np.zeros(3, np.int64), np.full(3, 20)
+    raw = (a + b + a).encode()
+    block = substring._pack(ids, zero, n, raw, np.zeros((0, 3), np.int64))
+    assert substring._repeats([(16 + 72 + len(raw), block)]).tolist() == [[3, 0, 20]]
