@@ -28,6 +28,9 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--snapshot", default="latest", help="snapshot id of this run")
         p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
         p.add_argument("--master", default=None, help="only for local runs")
+    tab.add_argument("--layout", default="lines", choices=["lines", "files"],
+                     help="landing holds JSON lines of (url, body), or one response in each file")
+    sb.add_argument("--base", default="https://api.example.com/sportsbook", help="address that the responses were fetched from")
     sb.add_argument("--pages", required=True, help="Parquet table (page_id, url, html)")
     sb.add_argument("--metadata", required=True, help="folder of landed event-metadata responses")
     args = ap.parse_args(argv)
@@ -37,10 +40,10 @@ def main(argv: list[str] | None = None) -> int:
     owned = SparkSession.getActiveSession() is None
     spark = build_session(args.master)
     if args.feed == "tab":
-        out = pipelines.run_tab(spark, args.landing, args.out, args.snapshot, args.format)
+        out = pipelines.run_tab(spark, args.landing, args.out, args.snapshot, args.format, args.layout)
     else:
         out = pipelines.run_sportsbet(spark, args.pages, args.landing, args.metadata, args.out,
-                                      args.snapshot, args.format)
+                                      args.snapshot, args.format, base=args.base)
     print(json.dumps(out, indent=2))
     if owned:
         spark.stop()

@@ -9,6 +9,9 @@ R/stringr semantics kept on purpose:
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,8 +42,12 @@ def str_replace_first(c: ColumnOrName, pattern: str, replacement: str) -> Column
 
     The lazy prefix finds the leftmost match, exactly like a regex *find*;
     only the prefix may span line breaks (``pattern`` keeps its own ``.``
-    semantics); a named group avoids ``$1``-followed-by-digit ambiguity.
+    semantics); a named group avoids ``$1``-followed-by-digit ambiguity.  That
+    group shifts the numbers of the pattern's own, so a pattern with numbered
+    back-references is refused; named ones (``\\k<name>``) work.
     """
+    if re.search(r"(?<!\\)(?:\\\\)*\\[1-9]", pattern):
+        raise ValueError(f"numbered back-reference in {pattern!r}: name the group and use \\k<name>")
     first = f"^(?<orPrefix>(?s:.*?))(?:{pattern})"
     return F.regexp_replace(_col(c), first, "${orPrefix}" + _literal_replacement(replacement))
 
@@ -128,11 +135,29 @@ def alt_line(market_name: ColumnOrName) -> Column:
 
 
 def decode_entities(c: ColumnOrName) -> Column:
-    """Decode the five predefined XML/HTML entities (``&amp;`` last)."""
+    """Decode the predefined XML entities, ``&nbsp;`` and all numeric ones
+    (``&#233;``, ``&#xE9;``); ``&amp;`` last, so nothing is decoded twice."""
     out = _col(c)
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0")):
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    # Each distinct number of the text is replaced everywhere; texts without any skip this.
+    for prefix, digits, base in (("&#", "[0-9]{1,7}", 10), ("&#[xX]", "[0-9a-fA-F]{1,6}", 16)):
+        found = F.array_distinct(F.regexp_extract_all(out, F.lit(f"({prefix}{digits};)"), F.lit(1)))
+        decoded = F.aggregate(found, out, _replace_entity(base))
+        out = F.when(out.contains("&#"), decoded).otherwise(out)
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+
+
+def _replace_entity(base: int) -> Callable[[Column, Column], Column]:
+    return lambda text, entity: F.replace(text, entity, _code_point(entity, base))
+
+
+def _code_point(entity: Column, base: int) -> Column:
+    """Character of a numeric entity; numbers that are no character give U+FFFD."""
+    number = F.conv(F.regexp_replace(entity, "[^0-9a-fA-F]", ""), base, 10).cast("long")
+    valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    wide = F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0"))
+    return F.decode(wide, "UTF-32")
 
 
 def strip_tags(c: ColumnOrName) -> Column:

@@ -55,15 +55,8 @@ def register(name: str, sql: str | None):
     return deco
 
 
-# Fact tables whose scans feed heavy per-row work; they are spread over all
-# cores when stored as too few row groups.  Dimension tables are not: they are
-# small enough to be broadcast, and a repartition would only add an exchange.
-FACT_TABLES = frozenset({"lineitem", "events", "pages", "embeddings", "documents", "conversations"})
-
-
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    from ..sources.tables import read_table
-    return read_table(spark, f"{d.rstrip('/')}/{name}.parquet", balance=name in FACT_TABLES)
+    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
 def _canon_sql(x: str) -> str:
@@ -99,8 +92,7 @@ def lineitem_selections(spark: SparkSession, d: str, market_name=None, prop_name
     s = li.join(orders, li.l_orderkey == orders.o_orderkey)
     return s.select(
         F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"),
-        "l_orderkey", *LINE_ORD, "l_returnflag", "l_linestatus", "l_quantity", "l_tax",
-        "l_discount", "l_extendedprice",
+        "l_orderkey", *LINE_ORD,
         F.concat(F.lit("Order "), F.col("l_orderkey").cast("string"), F.lit(" v "),
                  F.col("o_orderpriority")).alias("match"),
         _day_text("o_orderdate").alias("start_time"),
@@ -125,7 +117,7 @@ def q_market_h2h_nth(spark: SparkSession, d: str) -> DataFrame:
     sel = lineitem_selections(
         spark, d,
         market_name=F.when(flag == "R", "Head To Head").when(flag == "A", "Line").otherwise("Other"))
-    return mk.h2h_nth(sel, agency="TPCH", keys=KEYS, ord=LINE_ORD, rules=PRIORITY_RULES)
+    return mk.h2h_nth(sel, agency="TPCH", keys=KEYS, ord=LINE_ORD, rules=PRIORITY_RULES, doc=())
 
 
 SQL_MARKET_H2H_NTH = f"""
@@ -214,27 +206,9 @@ def _line_x():
 # ------------------------------------------------- scans, documents, sinks
 
 
-# Landed-document fixtures for the source queries are written once per session
-# and table folder: in production the documents already sit in storage, and
-# what those queries test is the read, parse and unnest.  Sink queries, whose
-# subject is the write, write every time.
-_LANDED: dict[tuple[str, str, str], str] = {}
-
-
-def _landed_once(spark: SparkSession, d: str, kind: str, write) -> str:
-    import os
-
-    from ..session import local_path
-    key = (spark.sparkContext.applicationId, d.rstrip("/"), kind)
-    path = _LANDED.get(key)
-    if path is None or (path.startswith(("file:", "/")) and not os.path.exists(local_path(path))):
-        path = write()
-        _LANDED[key] = path
-    return path
-
 def _tab_documents(spark: SparkSession, d: str) -> str:
     """Land one TAB-shaped document per lineitem as JSON lines; returns path."""
-    return _landed_once(spark, d, "tab-docs", lambda: _write_tab_documents(spark, d))
+    return _write_tab_documents(spark, d)
 
 
 def _write_tab_documents(spark: SparkSession, d: str) -> str:
@@ -316,7 +290,7 @@ _EVENT_URL = "https://feed.example.com/events/"
 
 def _event_market_docs(spark: SparkSession, d: str) -> str:
     """Land one Sportsbet-shaped market document per event; returns path."""
-    return _landed_once(spark, d, "event-docs", lambda: _write_event_market_docs(spark, d))
+    return _write_event_market_docs(spark, d)
 
 
 def _write_event_market_docs(spark: SparkSession, d: str) -> str:
@@ -370,7 +344,7 @@ def q_src_event_metadata(spark: SparkSession, d: str) -> DataFrame:
         ev.select(url.alias("url"), body.alias("body")).write.mode("overwrite").json(path)
         return path
 
-    docs = parse_documents(read_landed(spark, _landed_once(spark, d, "event-meta", write)),
+    docs = parse_documents(read_landed(spark, write()),
                            S.SB_EVENT_METADATA)
     return event_metadata(docs)
 
@@ -426,7 +400,7 @@ def q_sink_json_landing(spark: SparkSession, d: str) -> DataFrame:
     parsed = parse_documents(_landing_bodies(spark, d), T_K)
     path = scratch_path(spark, "landing")
     write_landing(parsed, path, mode="overwrite")
-    return read_landed(spark, path)
+    return read_landed(spark, path).select("url", "body")
 
 
 @register("quarantine_split", f"""
@@ -531,10 +505,10 @@ def q_html_class_text(spark: SparkSession, d: str) -> DataFrame:
 
 @register("html_class_text_parsed", ORACLE_SQL["html_class_text"])
 def q_html_class_text_parsed(spark: SparkSession, d: str) -> DataFrame:
-    """H1 with a real HTML parser per page (``mapInPandas``), the path for
-    nested markup; same result as the regex path on these pages."""
-    from ..sources.html_parse import elements_by_class_parsed
-    return elements_by_class_parsed(_t(spark, d, "pages"), "ad")
+    """H1 with the markup of each element first, then its text, in two steps."""
+    from ..sources import element_text, elements_by_class
+    found = _t(spark, d, "pages").select("page_id", F.posexplode(elements_by_class("html", "ad")).alias("pos", "markup"))
+    return found.select("page_id", "pos", element_text("markup").alias("text"))
 
 
 @register("url_id_first", """
@@ -1000,7 +974,7 @@ def q_market_line_opposite(spark: SparkSession, d: str) -> DataFrame:
         spark, d,
         market_name=F.when(flag.isin("R", "A"), _line_market_name()).otherwise("Other"),
         prop_name=F.concat(team, F.lit(" "), _signed_text(x)))
-    return mk.line_opposite(sel, agency="TPCH", keys=KEYS, ord=LINE_ORD, rules=STATUS_RULES)
+    return mk.line_opposite(sel, agency="TPCH", keys=KEYS, ord=LINE_ORD, rules=STATUS_RULES, doc=())
 
 
 def _totals_selections(spark: SparkSession, d: str) -> DataFrame:
@@ -1037,7 +1011,7 @@ def q_market_totals_dedup(spark: SparkSession, d: str) -> DataFrame:
     """TAB totals: R = "Over n", A = "Under n" (n = linenumber), two market
     names feeding one market."""
     return mk.totals_dedup(_totals_selections(spark, d), agency="TPCH", keys=KEYS, ord=LINE_ORD,
-                           rules=STATUS_RULES)
+                           rules=STATUS_RULES, doc=())
 
 
 def _player_selections(spark: SparkSession, d: str) -> DataFrame:
@@ -1117,7 +1091,7 @@ def q_market_time_threshold(spark: SparkSession, d: str) -> DataFrame:
     """TAB time of first try: clicks = "H:mm or Earlier", purchases =
     "H:mm or later" per user-day."""
     return mk.tab_time_threshold(_event_selections(spark, d), agency="TPCH", keys=KEYS,
-                                 ord=("event_id",), rules=())
+                                 ord=("event_id",), rules=(), doc=())
 
 
 # ----------------------------------------------------- Sportsbet markets
@@ -1371,7 +1345,7 @@ def q_market_time_bands(spark: SparkSession, d: str) -> DataFrame:
                     F.lit("Time of First Try").alias("market_name"), prop.alias("prop_name"),
                     F.col("value").alias("price"))
     e = mk.enrich_selections(sel, _event_teams(spark, d))
-    return mk.sb_time_threshold(e, agency="TPCH", keys=KEYS, ord=("event_id",))
+    return mk.sb_time_threshold(e, agency="TPCH", keys=KEYS, ord=("event_id",), doc=())
 
 
 @register("market_total_points", f"""
@@ -1437,4 +1411,4 @@ def q_market_total_tries_tab(spark: SparkSession, d: str) -> DataFrame:
     sel = tab_lineitem_selections(spark, d, market_name=market, prop_name=prop)
     return mk.totals_dedup(sel, markets=("Total Tries Over/Under", "Pick Your Own Tries"),
                            label="Total Tries", agency="TPCH", keys=KEYS, ord=LINE_ORD,
-                           rules=STATUS_RULES)
+                           rules=STATUS_RULES, doc=())

@@ -24,10 +24,10 @@ from ..functions import (
     str_detect, str_extract, str_remove, str_replace_first,
 )
 from ..operators import (
-    any_true, balanced_pairs, first_by, first_where, keep_first, lookup_join, natural_join,
+    any_true, balanced_pairs, first_where, keep_first, lookup_join, natural_join,
     nth_rows, opposite_sign_pairs, sort_multi, sort_stable, union_distinct_by_name,
 )
-from ..schemas import ORD, SNAPSHOT_KEYS
+from ..schemas import DOC_KEYS, ORD, SNAPSHOT_KEYS, TOTAL_ORD
 
 Keys = Sequence[str]
 Rules = Sequence[tuple[str, str]]
@@ -53,6 +53,41 @@ def _with_keys(cols: Sequence[str], keys: Keys, with_keys: bool) -> list[str]:
     return [*[k for k in keys if k not in cols], *cols] if with_keys else list(cols)
 
 
+def _merged(*names: Keys) -> list[str]:
+    """Column names of several lists, each once, in order."""
+    return list(dict.fromkeys(c for part in names for c in part))
+
+
+def _total(df: DataFrame, ord: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The order as one column: positions inside a document are ints, so they fit
+    side by side into a decimal, which hash aggregation can hold (a struct can't)."""
+    if len(ord) < 2 or any(df.schema[c].dataType.typeName() != "integer" for c in ord):
+        return df, list(ord)
+    packed = F.lit(0).cast("decimal(38,0)")
+    for c in ord:
+        packed = (packed * F.lit(10**10).cast("decimal(11,0)")).cast("decimal(38,0)") + F.col(c)
+    return df.withColumn("_ord", packed.cast("decimal(38,0)")), ["_ord"]
+
+
+def routed(df: DataFrame, endpoint: str | None) -> DataFrame:
+    """Selections of one endpoint's responses (all when None): a market that several
+    endpoints list is read from its own only."""
+    return df if endpoint is None else df.filter(F.col("endpoint") == endpoint)
+
+
+def _match_keys(facts: DataFrame, dim: DataFrame) -> list[str]:
+    """A dimension of several snapshots is looked up by snapshot and match."""
+    both = "snapshot_id" in facts.columns and "snapshot_id" in dim.columns
+    return ["snapshot_id", "match_id"] if both else ["match_id"]
+
+
+def one_per_match(dim: DataFrame, ord: Sequence[str]) -> DataFrame:
+    """One row for each match (and snapshot, if there is one), the first in ``ord``
+    (``ord`` columns are dropped); rows without a match id are no dimension rows."""
+    keys = [c for c in ("snapshot_id", "match_id") if c in dim.columns]
+    return keep_first(dim.filter("match_id IS NOT NULL"), keys, ord).drop(*[c for c in ord if c not in keys])
+
+
 def _key_head(keys: Keys, with_keys: bool) -> list[str]:
     """Leading key columns for outputs that carry their own ``agency``."""
     return [k for k in keys if k != "agency"] if with_keys else []
@@ -62,7 +97,7 @@ def _key_head(keys: Keys, with_keys: bool) -> list[str]:
 
 def h2h_nth(selections: DataFrame, market: str = "Head To Head", agency: str = "TAB",
             keys: Keys = SNAPSHOT_KEYS, ord: Sequence[str] = ORD, rules: Rules = TEAM_NAME_RULES,
-            with_keys: bool = False) -> DataFrame:
+            with_keys: bool = False, doc: Keys = DOC_KEYS) -> DataFrame:
     """Head-to-head from ordered propositions: the 1st proposition of a match
     is the home price, the 2nd the away price.
 
@@ -71,9 +106,9 @@ def h2h_nth(selections: DataFrame, market: str = "Head To Head", agency: str = "
     sides; groups without a first row are dropped like the left join does.
     """
     s = (selections.filter(F.col("market_name") == market)
-                   .select(*keys, "match", *_split_match(), "start_time", "market_name", "price", *ord))
-    top = nth_rows(s, [*keys, "match"], ord, 2, "_rn")
-    wide = (top.groupBy(*keys, "match", "home_team", "away_team", "start_time", "market_name")
+                   .select(*_merged(keys, doc, ord), "match", *_split_match(), "start_time", "market_name", "price"))
+    top = nth_rows(s, [*keys, *doc, "match"], ord, 2, "_rn")
+    wide = (top.groupBy(*keys, *doc, "match", "home_team", "away_team", "start_time", "market_name")
                .agg(F.max(F.when(F.col("_rn") == 1, F.col("price"))).alias("home_win"),
                     F.max(F.when(F.col("_rn") == 2, F.col("price"))).alias("away_win"),
                     any_true(F.col("_rn") == 1).alias("_has_home"))
@@ -88,13 +123,13 @@ def h2h_nth(selections: DataFrame, market: str = "Head To Head", agency: str = "
 def line_opposite(selections: DataFrame, markets: Sequence[str] = ("Line", "Pick Your Own Line"),
                   label: str = "Line", agency: str = "TAB", keys: Keys = SNAPSHOT_KEYS,
                   ord: Sequence[str] = ORD, rules: Rules = TEAM_NAME_RULES,
-                  with_keys: bool = False) -> DataFrame:
+                  with_keys: bool = False, doc: Keys = DOC_KEYS) -> DataFrame:
     """Handicap market from labels ``"Team +2.5"``: each side is the team
     before the sign; sides are kept first per (match, line, price), paired on
     ``|line|`` and kept when the signed lines differ (so a 0 line drops)."""
     base = (selections.filter(F.col("market_name").isin(*markets))
-                      .select(*keys, "match", *_split_match(), "start_time", "market_name",
-                              "prop_name", "price", *ord)
+                      .select(*_merged(keys, doc, ord), "match", *_split_match(), "start_time",
+                              "market_name", "prop_name", "price")
                       .withColumn("_team", str_remove("prop_name", r" [\+\-].*$"))
                       .withColumn("_line", extract_number("prop_name", SIGNED_NUMBER)))
 
@@ -103,12 +138,12 @@ def line_opposite(selections: DataFrame, markets: Sequence[str] = ("Line", "Pick
                  .withColumnRenamed("_line", line_name)
                  .withColumnRenamed("price", win_name)
                  .withColumn("line", F.abs(F.col(line_name))))
-        s = keep_first(s, [*keys, "match", line_name, win_name], ord)
-        return s.drop("prop_name", "_team", *ord)
+        s = keep_first(s, [*keys, *doc, "match", line_name, win_name], ord)
+        return s.drop("prop_name", "_team", *[c for c in ord if c not in doc])
 
     home = side("home_team", "home_line", "home_win")
     away = side("away_team", "away_line", "away_win")
-    pair_keys = [*keys, "match", "home_team", "away_team", "start_time", "market_name", "line"]
+    pair_keys = [*keys, *doc, "match", "home_team", "away_team", "start_time", "market_name", "line"]
     pairs = opposite_sign_pairs(home, away, pair_keys)
     out = (pairs.withColumn("market_name", F.lit(label))
                 .withColumn("margin", margin("home_win", "away_win"))
@@ -124,24 +159,24 @@ def totals_dedup(selections: DataFrame,
                  label: str = "Total Points", over_re: str = "Over", under_re: str = "Under",
                  agency: str = "TAB", keys: Keys = SNAPSHOT_KEYS, ord: Sequence[str] = ORD,
                  rules: Rules = TEAM_NAME_RULES, sort: bool = True,
-                 with_keys: bool = False) -> DataFrame:
+                 with_keys: bool = False, doc: Keys = DOC_KEYS) -> DataFrame:
     """Over/under market fed by several market names: line parsed from the
     label, each side kept first per (match, line, price), overs left-joined
     to unders on the shared columns (null lines match), sorted."""
     base = (selections.filter(F.col("market_name").isin(*markets))
-                      .select(*keys, "match", *_split_match(), "start_time", "prop_name", "price",
-                              *ord)
+                      .select(*_merged(keys, doc, ord), "match", *_split_match(), "start_time",
+                              "prop_name", "price")
                       .withColumn("line", extract_number("prop_name", SIGNED_NUMBER))
                       .withColumn("market_name", F.lit(label)))
     common = ["match", "start_time", "market_name", "home_team", "away_team", "line"]
 
     def side(pattern: str, price_name: str) -> DataFrame:
         s = base.filter(str_detect("prop_name", pattern)).withColumnRenamed("price", price_name)
-        s = keep_first(s, [*keys, "match", "line", price_name], ord)
-        return s.select(*keys, *common, price_name)
+        s = keep_first(s, [*keys, *doc, "match", "line", price_name], ord)
+        return s.select(*keys, *doc, *common, price_name)
 
     joined = natural_join(side(over_re, "over_price"), side(under_re, "under_price"),
-                          on=[*keys, *common], how="left")
+                          on=[*keys, *doc, *common], how="left")
     out = _canonical_teams(joined, rules)
     out = (out.withColumn("margin", margin("over_price", "under_price"))
               .withColumn("agency", F.lit(agency))
@@ -152,7 +187,7 @@ def totals_dedup(selections: DataFrame,
 
 def tab_player_lines(selections: DataFrame, market_re: str = r"To Score a Try$|2\+ Tries$",
                      label: str = "Player Tries", keys: Keys = SNAPSHOT_KEYS,
-                     ord: Sequence[str] = ORD, rules: Rules = TEAM_NAME_RULES,
+                     ord: Sequence[str] = TOTAL_ORD, rules: Rules = TEAM_NAME_RULES,
                      aliases: Rules = PLAYER_ALIASES, sort: bool = True,
                      with_keys: bool = False) -> DataFrame:
     """Alternate player lines: "To Score a Try" -> 0.5, "2+ Tries" -> 1.5;
@@ -174,7 +209,7 @@ def tab_player_lines(selections: DataFrame, market_re: str = r"To Score a Try$|2
 
 def tab_outright(selections: DataFrame, market_re: str = "1st Try Scorer$",
                  label: str = "First Try Scorer", keys: Keys = SNAPSHOT_KEYS,
-                 ord: Sequence[str] = ORD, rules: Rules = TEAM_NAME_RULES,
+                 ord: Sequence[str] = TOTAL_ORD, rules: Rules = TEAM_NAME_RULES,
                  aliases: Rules = PLAYER_ALIASES, sort: bool = True,
                  with_keys: bool = False) -> DataFrame:
     """Outright (one price per player, no line): first try scorer."""
@@ -195,7 +230,8 @@ def tab_time_threshold(selections: DataFrame, market_re: str = "Time of First Tr
                        label: str = "Time of First Try", over_re: str = "or Earlier",
                        under_re: str = "or later", agency: str = "TAB",
                        keys: Keys = SNAPSHOT_KEYS, ord: Sequence[str] = ORD,
-                       rules: Rules = TEAM_NAME_RULES, with_keys: bool = False) -> DataFrame:
+                       rules: Rules = TEAM_NAME_RULES, with_keys: bool = False,
+                       doc: Keys = DOC_KEYS) -> DataFrame:
     """Time-threshold market pivoted long -> wide in one aggregation: over =
     first "or Earlier" price, under = first "or later" price, line = the
     ``m:ss`` text of that "or later" label.  A match lacking either side is
@@ -203,12 +239,11 @@ def tab_time_threshold(selections: DataFrame, market_re: str = "Time of First Tr
     s = (selections.filter(str_detect("market_name", market_re))
                    .withColumn("market_name", F.lit(label))
                    .select("*", *_split_match()))
-    s = _canonical_teams(s, rules)
+    s, ord = _total(_canonical_teams(s, rules), ord)
     is_over, is_under = str_detect("prop_name", over_re), str_detect("prop_name", under_re)
-    wide = (s.groupBy(*keys, "match", "start_time", "market_name")
-              .agg(first_by("home_team", ord).alias("home_team"),
-                   first_by("away_team", ord).alias("away_team"),
-                   first_where(str_extract("prop_name", CLOCK_TEXT), is_under, ord).alias("line"),
+    # The label is made of both names, so they are part of the key.
+    wide = (s.groupBy(*keys, *doc, "match", "home_team", "away_team", "start_time", "market_name")
+              .agg(first_where(str_extract("prop_name", CLOCK_TEXT), is_under, ord).alias("line"),
                    first_where("price", is_over, ord).alias("over_price"),
                    first_where("price", is_under, ord).alias("under_price"),
                    any_true(is_over).alias("_has_over"), any_true(is_under).alias("_has_under"))
@@ -242,8 +277,9 @@ def h2h_positional(cards: DataFrame, agency: str = "Sportsbet", rules: Rules = T
 
 
 def canonical_teams_dim(teams: DataFrame, rules: Rules = TEAM_NAME_RULES) -> DataFrame:
-    """Teams dimension with canonical names."""
-    return teams.select("match_id", canonicalize("home_team", rules).alias("home_team"),
+    """Teams dimension with canonical names (and its snapshots, if it has them)."""
+    key = ["snapshot_id"] if "snapshot_id" in teams.columns else []
+    return teams.select(*key, "match_id", canonicalize("home_team", rules).alias("home_team"),
                         canonicalize("away_team", rules).alias("away_team"))
 
 
@@ -258,7 +294,7 @@ def line_balanced(selections: DataFrame, teams: DataFrame,
     s = (selections.filter(str_detect("market_name", market_re))
                    .withColumn("team_name", canonicalize(str_remove("prop_name", r" \(.*\)$"), rules))
                    .withColumn("handicap_extracted", extract_number("prop_name", SIGNED_DECIMAL)))
-    s = lookup_join(s, teams, "match_id")
+    s = lookup_join(s, teams, _match_keys(s, teams))
     home = s.filter(F.col("team_name") == F.col("home_team")).select(
         *keys, "match_id", F.col("team_name").alias("home_team"),
         F.col("handicap_extracted").alias("home_line"), F.col("price").alias("home_win"))
@@ -299,7 +335,7 @@ def over_under(selections: DataFrame, teams: DataFrame, market_re: str = "Total
     # The key includes the response document, so one key's rows are bounded by
     # one response: no unbounded hot key on either side of this left join.
     joined = natural_join(overs, unders, on=[*keys, "source_url", "line"], how="left")
-    out = lookup_join(joined, teams, "match_id")
+    out = lookup_join(joined, teams, _match_keys(joined, teams))
     out = (out.withColumn("match", paste("home_team", F.lit("v"), "away_team"))
               .withColumn("market_name", F.lit(label))
               .withColumn("margin", margin("over_price", "under_price"))
@@ -313,10 +349,10 @@ def enrich_selections(selections: DataFrame, teams: DataFrame,
                       metadata: DataFrame | None = None) -> DataFrame:
     """Attach team names, the match label and (optionally) event metadata
     ids by ``match_id`` (null-safe natural join for the metadata)."""
-    out = lookup_join(selections.drop("match"), teams, "match_id")
+    out = lookup_join(selections.drop("match"), teams, _match_keys(selections, teams))
     out = out.withColumn("match", paste("home_team", F.lit("v"), "away_team"))
     if metadata is not None:
-        out = natural_join(out, metadata, on=["match_id"], how="left")
+        out = natural_join(out, metadata, on=_match_keys(out, metadata), how="left")
     return out
 
 
@@ -348,7 +384,7 @@ def sb_player_over_under(enriched: DataFrame, over_re: str = "Over", under_re: s
     """Player over/under: player = label text before " Over "/" Under ",
     overs left-joined to unders on every shared column (null-safe)."""
     e = _ensure(enriched, EVENT_ID_COLUMNS)
-    head = _key_head(keys, with_keys)
+    head = _key_head(keys, True)  # both sides are of one snapshot, whatever the output shows
 
     def side(pattern: str, sep: str, price_name: str, id_name: str) -> DataFrame:
         s = _sb_side(e, pattern, sep)
@@ -359,8 +395,9 @@ def sb_player_over_under(enriched: DataFrame, over_re: str = "Over", under_re: s
 
     # Keys include the per-document market id, so a key's rows are bounded by
     # one response document.
-    return natural_join(side(over_re, " Over ", "over_price", "player_id"),
-                        side(under_re, " Under ", "under_price", "player_id_unders"), how="left")
+    pairs = natural_join(side(over_re, " Over ", "over_price", "player_id"),
+                         side(under_re, " Under ", "under_price", "player_id_unders"), how="left")
+    return pairs if with_keys else pairs.drop(*head)
 
 
 def sb_player_tries(enriched: DataFrame, keys: Keys = SNAPSHOT_KEYS,
@@ -386,16 +423,14 @@ def sb_time_threshold(enriched: DataFrame, market_re: str = "Time of First Try",
                       label: str = "Time of First Try", over_re: str = "0-",
                       under_re: str = "No Try", agency: str = "Sportsbet",
                       keys: Keys = SNAPSHOT_KEYS, ord: Sequence[str] = ORD,
-                      with_keys: bool = False) -> DataFrame:
+                      with_keys: bool = False, doc: Keys = DOC_KEYS) -> DataFrame:
     """Time band market: over = first "0-NN" band price, under = first
     "No Try" price, line = ``"NN:00"``; rows without a line are dropped
     (a missing under price is kept as null)."""
-    s = enriched.filter(str_detect("market_name", market_re))
+    s, ord = _total(enriched.filter(str_detect("market_name", market_re)), ord)
     is_over, is_under = str_detect("prop_name", over_re), str_detect("prop_name", under_re)
-    wide = (s.groupBy(*keys, "match", "match_id", "market_name")
-              .agg(first_by("home_team", ord).alias("home_team"),
-                   first_by("away_team", ord).alias("away_team"),
-                   first_where(str_extract("prop_name", r"0-\d+"), is_over, ord).alias("line"),
+    wide = (s.groupBy(*keys, *doc, "match", "match_id", "home_team", "away_team", "market_name")
+              .agg(first_where(str_extract("prop_name", r"0-\d+"), is_over, ord).alias("line"),
                    first_where("price", is_over, ord).alias("over_price"),
                    first_where("price", is_under, ord).alias("under_price")))
     out = (wide.withColumn("line", paste0(str_replace_first("line", "0-", ""), F.lit(":00")))

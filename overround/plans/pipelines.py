@@ -15,15 +15,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..sources import (
-    card_teams, event_metadata, listing_cards, parse_documents, quarantine_split, read_landed,
-    read_pages, sportsbet_selections, tab_selections, write_csv, write_parquet,
+    current_documents, event_metadata, listing_cards, listing_rejects, parse_documents, quarantine_split,
+    read_landed, read_pages, read_whole_files, replace_partitions, sportsbet_selections, tab_selections,
+    url_manifest, write_csv, write_parquet,
 )
+from ..sources.manifest import DEFAULT_TEMPLATE
 from . import markets as mk
 
 TAB_MARKETS: Mapping[str, Callable[..., DataFrame]] = {
@@ -38,11 +39,22 @@ TAB_MARKETS: Mapping[str, Callable[..., DataFrame]] = {
 }
 
 
-def land_selections(selections: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Persist selections partitioned by (agency, snapshot_id); an overwrite
-    replaces only the snapshots being written."""
-    write_parquet(selections.select(*S.SELECTION_COLUMNS), path, mode=mode,
-                  partition_by=S.SNAPSHOT_KEYS)
+#: Endpoint whose responses each market is read from (fixed values).
+SPORTSBET_ROUTES: Mapping[str, str] = {
+    "sportsbet_line": "line",
+    "sportsbet_total_points": "total_points",
+    "sportsbet_total_tries": "total_tries",
+    "sportsbet_player_tries": "player_tries",
+    "sportsbet_first_try_scorer": "player_tries",
+    "sportsbet_time_of_first_try": "time_of_first_try",
+}
+
+
+def land_selections(selections: DataFrame, path: str, agency: str, snapshot_id: str) -> None:
+    """Write one snapshot's selections as the whole content of its partition
+    (agency, snapshot_id), also when there are none; others stay."""
+    rows = selections.select(*S.SELECTION_COLUMNS)
+    replace_partitions(rows, path, S.SNAPSHOT_KEYS, [{"agency": agency, "snapshot_id": snapshot_id}])
 
 
 def read_selections(spark: SparkSession, path: str, agency: str | None = None,
@@ -57,6 +69,24 @@ def read_selections(spark: SparkSession, path: str, agency: str | None = None,
     return df
 
 
+def _landed(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """Responses landed as JSON ``lines`` of (url, body), or as whole ``files``."""
+    if layout not in ("lines", "files"):
+        raise ValueError(f"landing layout {layout!r} is neither 'lines' nor 'files'")
+    return read_landed(spark, path) if layout == "lines" else read_whole_files(spark, path)
+
+
+def _parsed(spark: SparkSession, landing: str, layout: str, schema, rejects_path: str,
+            work_path: str) -> DataFrame:
+    """Parse once into shared storage; the rejects are written with their text,
+    the valid documents are read back."""
+    docs = parse_documents(_landed(spark, landing, layout), schema)
+    docs.drop("is_record").write.mode("overwrite").parquet(work_path)
+    good, rejects = quarantine_split(spark.read.parquet(work_path))
+    _write(rejects.select("url", "body"), rejects_path, "parquet")
+    return good
+
+
 def _write(df: DataFrame, path: str, fmt: str) -> None:
     if fmt == "csv":
         write_csv(df, path)
@@ -65,15 +95,13 @@ def _write(df: DataFrame, path: str, fmt: str) -> None:
 
 
 def run_tab(spark: SparkSession, landing: str, out_dir: str, snapshot_id: str = "latest",
-            fmt: str = "parquet") -> dict[str, str]:
+            fmt: str = "parquet", layout: str = "lines") -> dict[str, str]:
     """TAB run: parse landed responses, quarantine bad ones, land the
     selections, then write every TAB market table."""
-    # Parsed once: both the rejects and the selections are written from it.
-    docs = parse_documents(read_landed(spark, landing), S.TAB_RESPONSE).persist(StorageLevel.MEMORY_AND_DISK)
-    good, rejects = quarantine_split(docs)
-    _write(rejects.select("url", "body"), f"{out_dir}/rejects/tab/snapshot_id={snapshot_id}", "parquet")
-    land_selections(tab_selections(good, snapshot_id=snapshot_id), f"{out_dir}/selections")
-    docs.unpersist()
+    good = _parsed(spark, landing, layout, S.TAB_RESPONSE, f"{out_dir}/rejects/tab/snapshot_id={snapshot_id}",
+                   f"{out_dir}/documents/tab/snapshot_id={snapshot_id}")
+    land_selections(current_documents(tab_selections(good, snapshot_id=snapshot_id)), f"{out_dir}/selections",
+                    "TAB", snapshot_id)
     sel = read_selections(spark, f"{out_dir}/selections", "TAB", snapshot_id)
     out = {}
     for name, build in TAB_MARKETS.items():
@@ -82,41 +110,80 @@ def run_tab(spark: SparkSession, landing: str, out_dir: str, snapshot_id: str =
     return out
 
 
+def sportsbet_teams(cards: DataFrame) -> DataFrame:
+    """One teams row for each match (and snapshot) of the listing cards: the first
+    card by page and position."""
+    keep = [c for c in ("snapshot_id", "page_id", "card_pos") if c in cards.columns]
+    named = cards.select(*keep, "match_id", F.get("participants", 0).alias("home_team"),
+                         F.get("participants", 1).alias("away_team"))
+    first = mk.one_per_match(named, ("page_id", "card_pos"))
+    return mk.canonical_teams_dim(first)
+
+
+def _metadata(good: DataFrame, manifest: DataFrame) -> DataFrame:
+    """One row of event ids for each match (and snapshot), in a stated order of ids."""
+    ids = ("event_external_id", "class_external_id", "competition_external_id")
+    found = event_metadata(good, manifest)
+    ordered = found.withColumns({f"_{c}": F.col(c) for c in ids})
+    return mk.one_per_match(ordered, tuple(f"_{c}" for c in ids))
+
+
+def sportsbet_builders(sel: DataFrame, teams: DataFrame, meta: DataFrame,
+                       with_keys: bool = False) -> Mapping[str, Callable[[], DataFrame]]:
+    """Builders of the markets that come from responses, each over its endpoint's."""
+    def rows(name: str, df: DataFrame) -> DataFrame:
+        return mk.routed(df, SPORTSBET_ROUTES[name])
+
+    def enriched(name: str) -> DataFrame:
+        return mk.enrich_selections(rows(name, sel), teams, meta)
+
+    return {
+        "sportsbet_line": lambda: mk.line_balanced(rows("sportsbet_line", sel), teams, with_keys=with_keys),
+        "sportsbet_total_points": lambda: mk.over_under(rows("sportsbet_total_points", sel), teams, with_keys=with_keys),
+        "sportsbet_total_tries": lambda: mk.over_under(
+            rows("sportsbet_total_tries", sel), teams, market_re="Total Match Tries", over_re="Over",
+            under_re="Under", label="Total Tries", with_keys=with_keys),
+        "sportsbet_player_tries": lambda: mk.sb_player_tries(enriched("sportsbet_player_tries"), with_keys=with_keys),
+        "sportsbet_first_try_scorer": lambda: mk.sb_outright(enriched("sportsbet_first_try_scorer"), with_keys=with_keys),
+        "sportsbet_time_of_first_try": lambda: mk.sb_time_threshold(
+            enriched("sportsbet_time_of_first_try"), with_keys=with_keys),
+    }
+
+
 def run_sportsbet(spark: SparkSession, pages_path: str, landing: str, metadata_landing: str,
-                  out_dir: str, snapshot_id: str = "latest", fmt: str = "parquet") -> dict[str, str]:
-    """Sportsbet run: listing pages give the head-to-head table and the
-    teams dimension; landed market responses give the selections."""
+                  out_dir: str, snapshot_id: str = "latest", fmt: str = "parquet",
+                  base: str = "https://api.example.com/sportsbook",
+                  template: str = DEFAULT_TEMPLATE) -> dict[str, str]:
+    """Sportsbet run: listing pages give the head-to-head table, the teams and
+    the request manifest (``base`` and ``template`` as the fetcher used them);
+    landed market responses give the selections, matched by the manifest.
+
+    Teams and event ids are written once and read by every market; pages whose
+    cards and links differ in number, and responses that don't parse, go to
+    ``rejects``."""
+    def part(name: str) -> str:
+        return f"{out_dir}/{name}/snapshot_id={snapshot_id}"
+
     pages = read_pages(spark, pages_path)
     cards = listing_cards(pages)
-    teams = mk.canonical_teams_dim(card_teams(cards))
-    out = {"sportsbet_h2h": f"{out_dir}/sportsbet_h2h/snapshot_id={snapshot_id}"}
+    _write(listing_rejects(pages), part("rejects/sportsbet_pages"), "parquet")
+    out = {"sportsbet_h2h": part("sportsbet_h2h")}
     _write(mk.h2h_positional(cards), out["sportsbet_h2h"], fmt)
+    _write(sportsbet_teams(cards), part("teams/sportsbet"), "parquet")
+    teams = spark.read.parquet(part("teams/sportsbet"))
+    manifest = url_manifest(teams.select("match_id").distinct(), base=base, template=template)
 
-    docs = parse_documents(read_landed(spark, landing), S.SB_MARKETS_RESPONSE).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    good, rejects = quarantine_split(docs)
-    _write(rejects.select("url", "body"), f"{out_dir}/rejects/sportsbet/snapshot_id={snapshot_id}",
-           "parquet")
-    land_selections(sportsbet_selections(good, snapshot_id=snapshot_id), f"{out_dir}/selections")
-    docs.unpersist()
+    good = _parsed(spark, landing, "lines", S.SB_MARKETS_RESPONSE, part("rejects/sportsbet"),
+                   part("documents/sportsbet"))
+    sel = sportsbet_selections(good, manifest, snapshot_id=snapshot_id)
+    land_selections(current_documents(sel), f"{out_dir}/selections", "Sportsbet", snapshot_id)
     sel = read_selections(spark, f"{out_dir}/selections", "Sportsbet", snapshot_id)
-    meta_docs, _ = quarantine_split(parse_documents(read_landed(spark, metadata_landing),
-                                                    S.SB_EVENT_METADATA))
-    meta = event_metadata(meta_docs)
-    enriched = mk.enrich_selections(sel, teams, meta)
-    builders: Mapping[str, Callable[[], DataFrame]] = {
-        "sportsbet_line": lambda: mk.line_balanced(sel, teams),
-        "sportsbet_total_points": lambda: mk.over_under(sel, teams),
-        "sportsbet_total_tries": lambda: mk.over_under(
-            sel, teams, market_re="Total Match Tries", over_re="Over", under_re="Under",
-            label="Total Tries"),
-        "sportsbet_player_tries": lambda: mk.sb_player_tries(
-            enriched.filter(F.col("source_url").rlike("/MarketGroupings/112/"))),
-        "sportsbet_first_try_scorer": lambda: mk.sb_outright(enriched),
-        "sportsbet_time_of_first_try": lambda: mk.sb_time_threshold(enriched),
-    }
-    for name, build in builders.items():
-        out[name] = f"{out_dir}/{name}/snapshot_id={snapshot_id}"
+    events = _parsed(spark, metadata_landing, "lines", S.SB_EVENT_METADATA, part("rejects/sportsbet_metadata"),
+                     part("documents/sportsbet_metadata"))
+    _write(_metadata(events, manifest), part("event_meta/sportsbet"), "parquet")
+    meta = spark.read.parquet(part("event_meta/sportsbet"))
+    for name, build in sportsbet_builders(sel, teams, meta).items():
+        out[name] = part(name)
         _write(build(), out[name], fmt)
     return out
 
@@ -134,24 +201,35 @@ def refresh_tab_markets(spark: SparkSession, selections_path: str, out_dir: str,
     sel = read_selections(spark, selections_path, "TAB")
     if snapshot_ids is not None:
         sel = sel.filter(F.col("snapshot_id").isin(list(snapshot_ids)))
+    sel = current_documents(sel)
+    replaced = _partitions("TAB", snapshot_ids)
     out = {}
     for name, build in TAB_MARKETS.items():
         out[name] = f"{out_dir}/{name}"
         kwargs = {"sort": False} if name in ("tab_totals", "tab_total_tries", "tab_player_tries",
                                              "tab_first_try_scorer") else {}
-        write_parquet(build(sel, with_keys=True, **kwargs), out[name], partition_by=S.SNAPSHOT_KEYS)
+        keyed = build(sel, with_keys=True, **kwargs)
+        replace_partitions(keyed if "agency" in keyed.columns else keyed.withColumn("agency", F.lit("TAB")),
+                           out[name], S.SNAPSHOT_KEYS, replaced)
     return out
 
 
+def _partitions(agency: str, snapshot_ids: Sequence[str] | None) -> list[dict[str, str]] | None:
+    return None if snapshot_ids is None else [{"agency": agency, "snapshot_id": s} for s in snapshot_ids]
+
+
 def refresh_sportsbet_markets(spark: SparkSession, selections_path: str, pages_path: str,
                               metadata_landing: str, out_dir: str,
-                              snapshot_ids: Sequence[str] | None = None) -> dict[str, str]:
+                              snapshot_ids: Sequence[str] | None = None,
+                              base: str = "https://api.example.com/sportsbook",
+                              template: str = DEFAULT_TEMPLATE) -> dict[str, str]:
     """Rebuild every Sportsbet market for the given snapshots (all when
     None), keyed by (agency, snapshot_id), without a driver-side loop.
 
-    ``pages_path`` holds listing pages with a ``snapshot_id`` column.  The
-    teams dimension is keyed by ``match_id`` only: a match keeps its teams
-    across snapshots, so it is de-duplicated before the lookup.
+    ``pages_path`` holds listing pages with a ``snapshot_id`` column, and so may
+    the metadata landing (as folders).  Teams and event ids are one row for each
+    snapshot and match; metadata without a snapshot serve all.  The selections
+    carry match id and endpoint from the ingest's manifest.
     """
     pages = read_pages(spark, pages_path)
     if "snapshot_id" not in pages.columns:
@@ -161,27 +239,18 @@ def refresh_sportsbet_markets(spark: SparkSession, selections_path: str, pages_p
         wanted = list(snapshot_ids)
         pages = pages.filter(F.col("snapshot_id").isin(wanted))
         sel = sel.filter(F.col("snapshot_id").isin(wanted))
-    cards = listing_cards(pages, keep=("snapshot_id",))
-    teams = mk.canonical_teams_dim(card_teams(cards)).distinct()
-    meta_docs, _ = quarantine_split(parse_documents(read_landed(spark, metadata_landing),
-                                                    S.SB_EVENT_METADATA))
-    enriched = mk.enrich_selections(sel, teams, event_metadata(meta_docs).distinct())
-    player_docs = enriched.filter(F.col("source_url").rlike("/MarketGroupings/112/"))
-    builders: Mapping[str, Callable[[], DataFrame]] = {
-        "sportsbet_h2h": lambda: mk.h2h_positional(cards, keep=("snapshot_id",)),
-        "sportsbet_line": lambda: mk.line_balanced(sel, teams, with_keys=True),
-        "sportsbet_total_points": lambda: mk.over_under(sel, teams, with_keys=True),
-        "sportsbet_total_tries": lambda: mk.over_under(
-            sel, teams, market_re="Total Match Tries", over_re="Over", under_re="Under",
-            label="Total Tries", with_keys=True),
-        "sportsbet_player_tries": lambda: mk.sb_player_tries(player_docs, with_keys=True),
-        "sportsbet_first_try_scorer": lambda: mk.sb_outright(enriched, with_keys=True),
-        "sportsbet_time_of_first_try": lambda: mk.sb_time_threshold(enriched, with_keys=True),
-    }
+    sel = current_documents(sel)
+    cards = listing_cards(pages, keep=("snapshot_id", "page_id"))
+    teams = sportsbet_teams(cards)
+    manifest = url_manifest(teams.select("match_id").distinct(), base=base, template=template)
+    events, bad = quarantine_split(parse_documents(read_landed(spark, metadata_landing), S.SB_EVENT_METADATA))
+    _write(bad.select("url", "body"), f"{out_dir}/rejects/sportsbet_metadata", "parquet")
+    builders = {"sportsbet_h2h": lambda: mk.h2h_positional(cards, keep=("snapshot_id",)),
+                **sportsbet_builders(sel, teams, _metadata(events, manifest), with_keys=True)}
     out = {}
     for name, build in builders.items():
         out[name] = f"{out_dir}/{name}"
-        write_parquet(build(), out[name], partition_by=S.SNAPSHOT_KEYS)
+        replace_partitions(build(), out[name], S.SNAPSHOT_KEYS, _partitions("Sportsbet", snapshot_ids))
     return out
 
 

@@ -67,11 +67,20 @@ SELECTIONS = T.StructType([
     T.StructField("price", T.DoubleType()),
     T.StructField("handicap", T.DoubleType()),
     T.StructField("source_url", T.StringType()),
+    # Which request of the manifest the response answers; when it was landed, and a hash of its
+    # text: they tell a response landed again from the one before.
+    T.StructField("endpoint", T.StringType()),
+    T.StructField("landed_at", T.TimestampType()),
+    T.StructField("body_hash", T.LongType()),
 ])
 SELECTION_COLUMNS = [f.name for f in SELECTIONS.fields]
 
-# Document order of a selection; every order-dependent operator uses it.
+# Order of a selection inside its document; every order-dependent operator uses it.
 ORD = ("match_pos", "market_pos", "prop_pos")
+# A match's identity inside a snapshot: the positions order all its selections.
+DOC_KEYS = ("source_url", "match_pos")
+# Order of all selections of a snapshot.
+TOTAL_ORD = ("source_url", *ORD)
 # A match's identity inside one feed snapshot.
 SNAPSHOT_KEYS = ("agency", "snapshot_id")
 

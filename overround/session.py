@@ -16,8 +16,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Static broadcast only below 64 MB of estimated size.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Static broadcast only below 10 MB of estimated size (compressed on disk, several times
+    # that in memory); AQE decides on measured sizes beyond it.
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -48,9 +49,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared filesystem path set by the operator.  Only
-    when it is unset (local runs, tests) do we create one under the system
-    temp folder.
+    On a cluster this is a shared filesystem path set by the operator; a
+    missing setting is an error there, since executors can't see a folder of
+    the driver's machine.  Only a local master gets one under the system temp
+    folder.
     """
     try:
         sc = spark.sparkContext
@@ -60,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="overround-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:

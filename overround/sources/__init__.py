@@ -1,17 +1,17 @@
 """Sources (landed JSON documents, HTML pages, request manifests) and sinks."""
 
 from .documents import (
-    event_metadata, parse_documents, quarantine_split, read_landed, read_nested_json,
-    read_whole_files, sportsbet_selections, tab_selections,
+    current_documents, event_metadata, landed_records, parse_documents, quarantine_split, read_landed,
+    read_nested_json, read_whole_files, sportsbet_selections, tab_selections,
 )
-from .manifest import EVENT_ENDPOINTS, url_manifest
+from .manifest import EVENT_ENDPOINTS, url_endpoint, url_manifest
 from .pages import (
-    card_prices, card_teams, element_text, elements_by_class, hrefs, listing_cards, page_links,
-    read_html_files, read_pages, tag_text, texts,
+    card_prices, card_teams, element_text, elements_by_class, hrefs, listing_cards,
+    listing_rejects, page_links, read_html_files, read_pages, tag_text, texts,
+)
+from .sinks import (
+    read_csv, read_market_csv, replace_partitions, write_csv, write_landing, write_parquet,
 )
-from .sinks import read_csv, read_market_csv, write_csv, write_landing, write_parquet
-from .html_parse import elements_by_class_parsed
-from .tables import balance_partitions, read_table
 
 __all__ = [
     "event_metadata", "parse_documents", "quarantine_split", "read_landed", "read_nested_json",
@@ -19,5 +19,6 @@ __all__ = [
     "url_manifest", "card_prices", "card_teams", "element_text", "elements_by_class", "hrefs",
     "listing_cards", "page_links", "read_html_files", "read_pages", "tag_text", "texts",
     "read_csv", "read_market_csv", "write_csv", "write_landing", "write_parquet",
-    "balance_partitions", "read_table", "elements_by_class_parsed",
+    "current_documents", "landed_records", "url_endpoint", "listing_rejects",
+    "replace_partitions",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Market groupings of the bookmaker's event API.
@@ -21,6 +21,12 @@ EVENT_ENDPOINTS: Mapping[str, str] = {
 DEFAULT_TEMPLATE = "{base}/Events/{id}/{endpoint}"
 
 
+def url_endpoint(url: Column | str, endpoints: Mapping[str, str] = EVENT_ENDPOINTS) -> Column:
+    """Name of the endpoint whose path the URL ends with (before any query), else null."""
+    path = F.regexp_replace(F.col(url) if isinstance(url, str) else url, r"[?#].*$", "")
+    return F.coalesce(*(F.when(path.endswith("/" + p), F.lit(name)) for name, p in endpoints.items()))
+
+
 def url_manifest(ids: DataFrame, id_col: str = "match_id",
                  endpoints: Mapping[str, str] = EVENT_ENDPOINTS,
                  base: str = "https://api.example.com/sportsbook",

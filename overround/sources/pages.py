@@ -35,25 +35,34 @@ def read_html_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _class_attr(cls: str) -> str:
-    return r'class="[^"]*\b' + re.escape(cls) + r'\b[^"]*"'
+    """A ``class`` attribute, in either kind of quotes or none, that holds ``cls``
+    as one of its space-separated tokens."""
+    token = re.escape(cls)
+    return (r"""\sclass\s*=\s*(?:"(?:[^"]*\s)?""" + token + r"""(?:\s[^"]*)?"|'(?:[^']*\s)?""" + token
+            + r"""(?:\s[^']*)?'|""" + token + r"""(?=[\s>]))""")
+
+
+def _href_value(tag: Column) -> Column:
+    """Value of a start tag's ``href``, entities decoded."""
+    attr = F.regexp_substr(tag, F.lit(r"""(?is)\shref\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""))
+    value = F.regexp_replace(attr, r"(?is)^\shref\s*=\s*", "")
+    return decode_entities(F.regexp_replace(value, r"""^["']|["']$""", ""))
 
 
 def hrefs(html: Column | str, cls: str | None = None) -> Column:
-    """``href`` of every link in page order; optionally only links whose
-    ``class`` contains ``cls``."""
+    """``href`` of every ``<a>`` that has one, in page order; optionally only
+    links with the class ``cls``."""
     html = F.col(html) if isinstance(html, str) else html
-    if cls is None:
-        pattern = r'href="([^"]*)"'
-    else:
-        pattern = r'<a\b(?=[^>]*' + _class_attr(cls) + r')[^>]*\bhref="([^"]*)"'
-    return F.regexp_extract_all(html, F.lit(pattern), 1)
+    wanted = r"(?=[^>]*" + _class_attr(cls) + ")" if cls else ""
+    tags = F.regexp_extract_all(html, F.lit(rf"(?is)<a\b(?=[^>]*\shref\s*=){wanted}[^>]*>"), F.lit(0))
+    return F.transform(tags, _href_value)
 
 
 def elements_by_class(html: Column | str, cls: str) -> Column:
-    """Inner markup of every element whose ``class`` contains ``cls``
+    """Inner markup of every element that has the class ``cls``
     (to the first closing tag of the same name)."""
     html = F.col(html) if isinstance(html, str) else html
-    pattern = r"(?s)<(\w+)\b[^>]*" + _class_attr(cls) + r"[^>]*>(.*?)</\1>"
+    pattern = r"(?s)<(\w+)\b(?=[^>]*" + _class_attr(cls) + r")[^>]*>(.*?)</\1>"
     return F.regexp_extract_all(html, F.lit(pattern), 2)
 
 
@@ -83,6 +92,22 @@ def page_links(pages: DataFrame, cls: str | None = None, html_col: str = "html",
     return pages.select(*keep, F.posexplode(hrefs(html_col, cls)).alias("pos", "href"))
 
 
+def _card_parts(card_class: str, html_col: str) -> Column:
+    """A page cut at each element that has the card class; pieces before the first are dropped."""
+    attr = _class_attr(card_class)
+    pieces = F.split(F.col(html_col), r"(?=<\w+\b[^>]*" + attr + r")")
+    return F.filter(pieces, lambda piece: piece.rlike(r"(?s)^<\w+\b[^>]*" + attr))
+
+
+def listing_rejects(pages: DataFrame, html_col: str = "html", card_class: str = CARD_CLASS,
+                    link_class: str = MATCH_LINK_CLASS) -> DataFrame:
+    """Pages whose match links and cards differ in number, with both numbers:
+    which link belongs to which card can't be told, so they give no cards."""
+    counted = pages.withColumns({"n_cards": F.size(_card_parts(card_class, html_col)),
+                                 "n_links": F.size(hrefs(html_col, link_class))})
+    return counted.where("n_cards != n_links")
+
+
 def listing_cards(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id",),
                   card_class: str = CARD_CLASS, participant_class: str = PARTICIPANT_CLASS,
                   price_class: str = PRICE_CLASS, start_class: str = START_TIME_CLASS,
@@ -92,15 +117,16 @@ def listing_cards(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...
     Cards are cut at each element carrying ``card_class`` (each piece runs to
     the next card), so nested markup inside a card is fine.  Match links are
     collected over the whole page and paired with the cards by position
-    (i-th link = i-th card), as the page lists them.  Output:
+    (i-th link = i-th card), as the page lists them.  A page where their
+    numbers differ gives no cards (``listing_rejects`` has it).  Output:
     ``(keep..., card_pos, participants array<string>, prices array<string>,
     start_time string, link string, match_id bigint)``.
     """
-    splitter = r"(?=<[^>]*" + _class_attr(card_class) + r")"
-    is_card = "^<[^>]*" + _class_attr(card_class)
-    cards = F.filter(F.split(F.col(html_col), splitter), lambda piece: piece.rlike(is_card))
-    zipped = F.arrays_zip(cards.alias("card"), hrefs(html_col, link_class).alias("link"))
-    rows = pages.select(*keep, F.posexplode(zipped).alias("card_pos", "_z"))
+    parts = pages.select(*keep, _card_parts(card_class, html_col).alias("card"),
+                         hrefs(html_col, link_class).alias("link"))
+    zipped = F.arrays_zip("card", "link")
+    rows = parts.where(F.size("card") == F.size("link")).select(
+        *keep, F.posexplode(zipped).alias("card_pos", "_z"))
     start = texts(elements_by_class("_z.card", start_class))
     return rows.select(
         *keep, "card_pos",

@@ -2,31 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 
+_CSV_TEXT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quote": '"', "escape": '"'}
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = "NA") -> None:
     """CSV with a header; null written as ``NA``.  Writes a directory of part
-    files (one per partition) so the write is parallel."""
-    (df.write.mode(mode).option("header", True).option("nullValue", null_value).csv(path))
+    files (one per partition) so the write is parallel.
+
+    Text comes back as it was: spaces at its ends are kept, a quote inside a
+    quoted field is doubled.  Only a text equal to ``null_value`` can't be told
+    from a null."""
+    (df.write.mode(mode).option("header", True).option("nullValue", null_value).options(**_CSV_TEXT).csv(path))
+
 
+def read_csv(spark, path: str, schema, null_value: str = "NA", multi_line: bool = False) -> DataFrame:
+    """Read CSV written by ``write_csv`` with an explicit schema (no inference).
 
-def read_csv(spark, path: str, schema, null_value: str = "NA") -> DataFrame:
-    """Read CSV written by ``write_csv`` with an explicit schema (no inference)."""
-    return (spark.read.schema(schema).option("header", True)
-                 .option("nullValue", null_value).csv(path))
+    ``multi_line`` is for fields with line breaks; a file is then one task, so
+    it is off unless a table needs it."""
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
+                 .option("nullValue", null_value).options(**_CSV_TEXT).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: tuple[str, ...] = ()) -> None:
     """Parquet write; with ``partition_by`` an overwrite replaces only the
-    partitions present in ``df`` (dynamic overwrite), never the whole table."""
+    partitions present in ``df`` (dynamic overwrite), never the whole table.
+    Rows are dealt by partition first (AQE splits large ones), so a partition
+    is a few files, not one for each task."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...],
+                       replaced: Sequence[Mapping[str, str]] | None) -> None:
+    """Write ``df`` as the whole content of the ``replaced`` partitions (given as
+    column -> value), or of the whole table when that is None.
+
+    A dynamic overwrite leaves partitions alone that have no rows any more, so
+    the named ones are emptied first."""
+    if replaced is None:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return
+    empty = df.drop(*partition_by).limit(0)
+    for values in replaced:
+        folder = "/".join(f"{c}={values[c]}" for c in partition_by)
+        empty.write.mode("overwrite").parquet(f"{path}/{folder}")
+    write_parquet(df, path, partition_by=partition_by)
+
+
 def write_landing(df: DataFrame, path: str, valid_col: str = "is_valid",
                   cols: tuple[str, ...] = ("url", "body"), mode: str = "append") -> None:
     """Land raw responses as JSON lines, only those that parsed."""

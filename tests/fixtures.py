@@ -85,6 +85,19 @@ def sb_market_doc(match_id):
 SB_EVENT_URL = "https://api.example.com/sportsbook/Events/{id}/MarketGroupings/313/Markets"
 
 
+ENDPOINTS = {"Line": 313, "Total Match Points": 108, "Total Match Tries": 110, "Time of First Try": 205}
+
+
+def sb_landed(match_id, main=False):
+    """(url, body) of each endpoint's response; with ``main`` also one that lists every market again."""
+    doc, by = sb_market_doc(match_id), {}
+    for market in doc:
+        by.setdefault(ENDPOINTS.get(market["name"], 112), []).append(market)
+    if main:
+        by[101] = doc
+    return [(SB_EVENT_URL.format(id=match_id).replace("313", str(n)), json.dumps(rows)) for n, rows in by.items()]
+
+
 def landed_lines(records):
     return "\n".join(json.dumps({"url": u, "body": b}) for u, b in records) + "\n"
 

@@ -8,7 +8,7 @@ from overround import schemas as S
 from overround.plans import pipelines as pl
 from overround.sources import read_market_csv, write_csv
 
-from .fixtures import LISTING_HTML, SB_EVENT_URL, TAB_DOC, landed_lines, sb_market_doc
+from .fixtures import LISTING_HTML, SB_EVENT_URL, TAB_DOC, landed_lines, sb_landed
 
 
 @pytest.fixture(scope="module")
@@ -19,8 +19,7 @@ def outputs(spark, tmp_path_factory):
     spark.createDataFrame([(1, "u", LISTING_HTML)], "page_id bigint, url string, html string") \
          .write.parquet(str(d / "pages"))
     (d / "sb").mkdir()
-    (d / "sb" / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456),
-                                                    json.dumps(sb_market_doc(9123456)))]))
+    (d / "sb" / "a.json").write_text(landed_lines(sb_landed(9123456)))
     (d / "meta").mkdir()
     (d / "meta" / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456), "{}")]))
     out = pl.run_tab(spark, str(d / "tab"), str(d / "out"))

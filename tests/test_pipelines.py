@@ -3,7 +3,7 @@ import json
 from overround.plans import pipelines as pl
 from overround.streaming import start_selection_ingest
 
-from .fixtures import LISTING_HTML, SB_EVENT_URL, TAB_DOC, landed_lines, sb_market_doc
+from .fixtures import LISTING_HTML, SB_EVENT_URL, TAB_DOC, landed_lines, sb_landed
 
 
 def test_run_tab_writes_every_market(spark, tmp_path):
@@ -29,12 +29,7 @@ def test_run_sportsbet_writes_every_market(spark, tmp_path):
     landing, meta = tmp_path / "landing", tmp_path / "meta"
     landing.mkdir()
     meta.mkdir()
-    doc = sb_market_doc(9123456)
-    player = [m for m in doc if m["name"] in ("To Score 2+ Tries", "Player Tries Over/Under")]
-    other = [m for m in doc if m not in player]
-    (landing / "part-0.json").write_text(landed_lines([
-        (SB_EVENT_URL.format(id=9123456), json.dumps(other)),
-        (SB_EVENT_URL.format(id=9123456).replace("313", "112"), json.dumps(player))]))
+    (landing / "part-0.json").write_text(landed_lines(sb_landed(9123456, main=True)))
     (meta / "part-0.json").write_text(landed_lines([
         (SB_EVENT_URL.format(id=9123456).replace("MarketGroupings/313/Markets", "SportCard"),
          json.dumps({"classExternalId": 1, "competitionExternalId": 2, "externalId": 3}))]))
@@ -103,11 +98,11 @@ def test_sportsbet_ingest_then_refresh(spark, tmp_path):
     from overround.plans.pipelines import refresh_sportsbet_markets
 
     root, sel_path, out = tmp_path / "landing", str(tmp_path / "sel"), str(tmp_path / "markets")
-    doc = sb_market_doc(9123456)
     for snap in ("s1", "s2"):
         d = root / f"snapshot_id={snap}"
         d.mkdir(parents=True)
-        (d / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456), json.dumps(doc))]))
+        lines = [x for x in sb_landed(9123456) if "/112/" not in x[0]]
+        (d / "a.json").write_text(landed_lines(lines))
     q = start_selection_ingest(spark, str(root), sel_path, "sportsbet", checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     pages = str(tmp_path / "pages")
@@ -141,8 +136,7 @@ def test_command_line_sportsbet_run(spark, tmp_path):
     landing, meta = tmp_path / "landing", tmp_path / "meta"
     landing.mkdir()
     meta.mkdir()
-    (landing / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456),
-                                                   json.dumps(sb_market_doc(9123456)))]))
+    (landing / "a.json").write_text(landed_lines(sb_landed(9123456)))
     (meta / "a.json").write_text(landed_lines([(SB_EVENT_URL.format(id=9123456), "{}")]))
     assert main(["sportsbet", "--pages", pages, "--landing", str(landing), "--metadata", str(meta),
                  "--out", str(tmp_path / "out"), "--snapshot", "s3"]) == 0

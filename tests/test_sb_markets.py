@@ -133,20 +133,3 @@ def test_manifest_custom_endpoints(spark):
     ids = spark.createDataFrame([(42,)], "match_id bigint")
     m = url_manifest(ids, endpoints={"line": "lines"}, base="https://h.example", template="{base}/e/{id}/{endpoint}")
     assert [tuple(r) for r in m.collect()] == [(42, "line", "https://h.example/e/42/lines")]
-
-
-def test_parsed_class_text_handles_nesting(spark):
-    from pyspark.sql import functions as F
-
-    from overround.sources import elements_by_class, texts
-    from overround.sources.html_parse import elements_by_class_parsed
-
-    html = ('<div class="ad">Top <div>inner</div> tail &amp; more</div>'
-            '<p class="ad x">second<br>line</p><div class="note">skip</div>')
-    pages = spark.createDataFrame([(1, html), (2, None)], "page_id bigint, html string")
-    got = [tuple(r) for r in elements_by_class_parsed(pages, "ad").orderBy("page_id", "pos").collect()]
-    assert got == [(1, 0, "Top inner tail & more"), (1, 1, "secondline")]
-    # The regex path stops at the first closing tag of the same name.
-    regex = pages.filter("page_id = 1").select(texts(elements_by_class("html", "ad")).alias("t")).first()["t"]
-    assert regex[0] == "Top inner"
-    assert pages.filter(F.col("html").isNull()).count() == 1

@@ -25,7 +25,8 @@ def hot_selections(spark, n=3000):
         F.lit(None).cast("bigint").alias("market_id"), F.col("id").alias("prop_id"),
         F.lit("x").alias("prop_name"), F.lit(None).cast("string").alias("result_type"),
         (F.col("id") % 7 + 1.5).alias("price"), F.lit(None).cast("double").alias("handicap"),
-        F.lit(None).cast("string").alias("source_url"))
+        F.lit(None).cast("string").alias("source_url"), F.lit(None).cast("string").alias("endpoint"),
+        F.lit(None).cast("timestamp").alias("landed_at"), F.lit(None).cast("bigint").alias("body_hash"))
     return spark.createDataFrame(df.rdd, S.SELECTIONS).repartition(6)
 
 
