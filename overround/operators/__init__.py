@@ -4,13 +4,15 @@ from .groups import (
     any_true, distinct_values, first_by, first_where, keep_first, nth_row, nth_rows, order_key,
     row_number_within, sort_multi, sort_stable, union_by_name, union_distinct_by_name,
 )
-from .joins import balanced_pairs, lookup_join, natural_join, opposite_sign_pairs, shared_columns
+from .joins import (
+    balanced_pairs, lookup_join, natural_join, opposite_sign_pairs, positional_join, shared_columns,
+)
 from .nested import array_get, positional_zip, select_any_of, unnest, unnest_path
 
 __all__ = [
     "any_true", "distinct_values", "first_by", "first_where", "keep_first", "nth_row", "nth_rows",
     "order_key", "row_number_within", "sort_multi", "sort_stable", "union_by_name",
     "union_distinct_by_name", "balanced_pairs", "lookup_join", "natural_join",
-    "opposite_sign_pairs", "shared_columns", "array_get", "positional_zip", "select_any_of",
+    "opposite_sign_pairs", "positional_join", "shared_columns", "array_get", "positional_zip", "select_any_of",
     "unnest", "unnest_path",
 ]

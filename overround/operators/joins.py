@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .groups import row_number_within
+
 
 def _q(alias: str, name: str) -> Column:
     return F.col(f"`{alias}`.`{name}`")
@@ -74,6 +76,30 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str,
     return facts.join(dim, on=on, how=how)
 
 
+def positional_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ord: Sequence[str],
+                    right_ord: Sequence[str], pos_name: str = "pos", how: str = "inner") -> DataFrame:
+    """Row i of one table beside row i of another (``bind_cols``), within ``keys``.
+
+    Rows are numbered by an explicit order on each side and joined on ``keys``
+    and the number, an equi-join.  ``inner`` keeps as many rows as the shorter
+    side has, ``full`` pads the shorter side with nulls.  Output: keys, position
+    (from 0), then the other columns of both sides.
+    """
+    def numbered(df: DataFrame, ord_cols: Sequence[str]) -> DataFrame:
+        return df.withColumn(pos_name, row_number_within(keys, ord_cols) - 1)
+
+    return natural_join_columns(numbered(left, left_ord), numbered(right, right_ord), [*keys, pos_name], how)
+
+
+def natural_join_columns(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal key names; other names must differ."""
+    twice = set(left.columns) & set(right.columns) - set(keys)
+    if twice:
+        raise ValueError(f"columns on both sides: {sorted(twice)}")
+    joined = left.join(right, on=list(keys), how=how)
+    return joined.select(*keys, *[c for c in joined.columns if c not in set(keys)])
+
+
 def opposite_sign_pairs(home: DataFrame, away: DataFrame, keys: Sequence[str],
                         home_line: str = "home_line", away_line: str = "away_line") -> DataFrame:
     """Many-to-many natural join on ``keys`` (which include ``|line|``), then

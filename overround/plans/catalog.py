@@ -1412,3 +1412,204 @@ def q_market_total_tries_tab(spark: SparkSession, d: str) -> DataFrame:
     return mk.totals_dedup(sel, markets=("Total Tries Over/Under", "Pick Your Own Tries"),
                            label="Total Tries", agency="TPCH", keys=KEYS, ord=LINE_ORD,
                            rules=STATUS_RULES, doc=())
+
+
+# ------------------------------ identity, endpoints, snapshots, real nesting
+
+@register("positional_join", """
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) - 1 AS pos
+           FROM conversations)
+SELECT u.conv_id, u.pos, u.text AS asked, a.text AS answered
+FROM n u JOIN n a ON u.conv_id = a.conv_id AND u.pos = a.pos WHERE u.role = 'user' AND a.role = 'assistant'""")
+def q_positional_join(spark: SparkSession, d: str) -> DataFrame:
+    """The i-th question of a conversation beside its i-th answer."""
+    turns = _t(spark, d, "conversations")
+    asked = turns.filter("role = 'user'").select("conv_id", F.col("turn").alias("u"), F.col("text").alias("asked"))
+    said = turns.filter("role = 'assistant'").select("conv_id", F.col("turn").alias("a"), F.col("text").alias("answered"))
+    return op.positional_join(asked, said, ["conv_id"], ["u", "asked"], ["a", "answered"]).drop("u", "a")
+
+
+_LONG_ID_SQL = """CASE event_id % 4 WHEN 0 THEN 10000 + event_id % 90000 WHEN 1 THEN 1000000 + event_id
+  WHEN 2 THEN 100000000 + event_id ELSE 1000000000 + event_id END"""
+
+
+@register("src_json_events_long_ids", f"""
+SELECT {_LONG_ID_SQL} AS match_id, 'line' AS endpoint, event_type AS market_name, event_id AS market_id,
+       n.prop_pos, event_type || ' ' || CAST(n.prop_pos AS VARCHAR) AS prop_name, value + n.prop_pos AS price
+FROM events, (SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS prop_pos) n""")
+def q_src_json_events_long_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Responses for ids of 5, 7, 9 and 10 digits: match and endpoint come from
+    the request manifest."""
+    from .. import schemas as S
+    from ..session import scratch_path
+    from ..sources import parse_documents, read_landed, sportsbet_selections, url_manifest
+    ev = _t(spark, d, "events")
+    e = F.col("event_id")
+    match_id = (F.when(e % 4 == 0, 10000 + e % 90000).when(e % 4 == 1, 1000000 + e)
+                 .when(e % 4 == 2, 100000000 + e).otherwise(1000000000 + e))
+    price = lambda i: F.struct((F.col("value") + i).alias("winPrice"))
+    sels = F.array(*[F.struct(F.concat(F.col("event_type"), F.lit(f" {i}")).alias("name"), price(i).alias("price"))
+                     for i in range(3)])
+    body = F.to_json(F.array(F.struct(F.col("event_type").alias("name"), e.alias("externalId"), sels.alias("selections"))))
+    rows = ev.select(match_id.alias("match_id"), body.alias("body"))
+    manifest = url_manifest(rows.select("match_id").distinct())
+    path = scratch_path(spark, "long-ids")
+    rows.join(manifest.filter("endpoint = 'line'"), "match_id").select("url", "body").write.json(path)
+    docs = parse_documents(read_landed(spark, path), S.SB_MARKETS_RESPONSE)
+    sel = sportsbet_selections(docs, manifest)
+    return sel.select("match_id", "endpoint", "market_name", "market_id", "prop_pos", "prop_name", "price")
+
+
+@register("market_h2h_two_documents", f"""
+WITH s AS ({LINEITEM_SELECTIONS_SQL}),
+r AS (SELECT s.*, row_number() OVER (PARTITION BY l_orderkey, l_linestatus, o_orderpriority, start_time ORDER BY {LINE_ORD_SQL}) AS rn
+      FROM s WHERE l_returnflag = 'R'),
+p AS (SELECT l_orderkey, l_linestatus, o_orderpriority, start_time, max(CASE WHEN rn = 1 THEN l_quantity END) AS home_win,
+             max(CASE WHEN rn = 2 THEN l_quantity END) AS away_win FROM r WHERE rn <= 2
+      GROUP BY l_orderkey, l_linestatus, o_orderpriority, start_time),
+c AS (SELECT *, 'Order ' || CAST(l_orderkey AS VARCHAR) AS home_team, {_canon_sql('o_orderpriority')} AS away_team FROM p)
+SELECT home_team || ' v ' || away_team AS match, start_time, 'Head To Head' AS market_name, home_team, home_win,
+       away_team, away_win, round(1.0 / nullif(home_win, 0) + 1.0 / nullif(away_win, 0), 3) AS margin, 'TPCH' AS agency FROM c""")
+def q_market_h2h_two_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Two documents of one snapshot name the same match (lines by status): each
+    gives its own row, prices never mix."""
+    market = F.when(F.col("l_returnflag") == "R", "Head To Head").otherwise("Other")
+    sel = lineitem_selections(spark, d, market_name=market).withColumn("source_url", F.col("l_linestatus"))
+    return mk.h2h_nth(sel, agency="TPCH", keys=KEYS, ord=LINE_ORD, rules=PRIORITY_RULES, doc=("source_url",))
+
+
+@register("market_line_two_endpoints", ORACLE_SQL["market_line_balanced"])
+def q_market_line_two_endpoints(spark: SparkSession, d: str) -> DataFrame:
+    """Every line is listed by two endpoints; the market reads its own."""
+    flag, x = F.col("l_returnflag"), _line_x()
+    teams = mk.canonical_teams_dim(_orders_teams(spark, d), STATUS_RULES)
+    team = (F.when(flag == "R", F.concat(F.lit("Order "), _letters("l_orderkey")))
+             .when(flag == "A", F.col("o_orderstatus")))
+    sel = _sb_lineitem_selections(
+        spark, d, market_name=F.when(flag.isin("R", "A"), "Line").otherwise("Other"),
+        prop_name=F.concat(team, F.lit(" ("), _signed_text(x), F.lit(")")), with_status=True)
+    both = sel.withColumn("endpoint", F.explode(F.array(F.lit("main"), F.lit("line"))))
+    return mk.line_balanced(mk.routed(both, "line"), teams, agency="TPCH", keys=KEYS, rules=STATUS_RULES)
+
+
+@register("market_player_two_snapshots", f"""
+WITH {_PLAYER_EVENTS_SQL}
+SELECT s.snapshot_id, m7.* FROM m7, (VALUES ('s1'), ('s2')) s(snapshot_id)""")
+def q_market_player_two_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """The same overs and unders in two snapshots: each is priced within its own."""
+    e = _enriched_events(spark, d).withColumn("snapshot_id", F.explode(F.array(F.lit("s1"), F.lit("s2"))))
+    return mk.sb_player_over_under(e, agency="TPCH", keys=KEYS, with_keys=True)
+
+
+@register("teams_one_per_match", """
+SELECT l_orderkey AS match_id, arg_min(l_shipmode_team, pos) AS home_team FROM (
+  SELECT l_orderkey, 'Part ' || CAST(l_partkey AS VARCHAR) AS l_shipmode_team,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos FROM lineitem)
+GROUP BY l_orderkey""")
+def q_teams_one_per_match(spark: SparkSession, d: str) -> DataFrame:
+    """Several listing cards of a match give one teams row, the first in order."""
+    li = _t(spark, d, "lineitem")
+    cards = li.select(F.col("l_orderkey").alias("match_id"), "l_linenumber", "l_partkey", "l_suppkey",
+                      F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("home_team"))
+    return mk.one_per_match(cards, ("l_linenumber", "l_partkey", "l_suppkey"))
+
+
+_LISTING_SQL = """
+  SELECT o_orderkey, o_orderkey % 3 = 0 AS bad, o_orderkey + 10000 AS first_id, o_orderkey + 20000000 AS second_id,
+         o_orderpriority AS home, 'A & ' || o_orderstatus AS away, CAST(o_custkey AS VARCHAR) AS price FROM orders"""
+
+
+@register("listing_cards", f"""
+WITH p AS ({_LISTING_SQL})
+SELECT o_orderkey AS page_id, c.card_pos, CASE WHEN c.card_pos = 0 THEN first_id ELSE second_id END AS match_id,
+       CASE WHEN c.card_pos = 0 THEN home ELSE away END AS home_team,
+       CASE WHEN c.card_pos = 0 THEN away ELSE home END AS away_team,
+       CAST(price AS DOUBLE) + c.card_pos AS home_win
+FROM p, (SELECT CAST(unnest([0, 1]) AS INTEGER) AS card_pos) c WHERE NOT bad""")
+def q_listing_cards(spark: SparkSession, d: str) -> DataFrame:
+    """Listing pages of two cards each, built from orders: classes among others and
+    look-alike classes, both kinds of quotes, entities, nested markup; pages that
+    lack a link give no cards."""
+    from ..sources import card_prices, listing_cards
+    cards = listing_cards(_listing_pages(spark, d), keep=("page_id",))
+    priced = card_prices(cards)
+    return priced.select("page_id", "card_pos", "match_id", F.get("participants", 0).alias("home_team"),
+                         F.get("participants", 1).alias("away_team"), "home_win")
+
+
+@register("listing_rejects", f"""
+WITH p AS ({_LISTING_SQL}) SELECT o_orderkey AS page_id, CAST(2 AS INTEGER) AS n_cards, CAST(1 AS INTEGER) AS n_links FROM p WHERE bad""")
+def q_listing_rejects(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import listing_rejects
+    return listing_rejects(_listing_pages(spark, d)).select("page_id", "n_cards", "n_links")
+
+
+def _listing_pages(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources import pages as pg
+    o = _t(spark, d, "orders")
+    key = F.col("o_orderkey")
+
+    def card(home, away, price, link) -> F.Column:
+        return F.concat(
+            F.lit(f"<div id='x' class='row {pg.CARD_CLASS} wide'><p class='{pg.CARD_CLASS}-note'>no card</p>"
+                  f"<span class=\"{pg.PARTICIPANT_CLASS}\">"), home, F.lit(f"</span><span class='a {pg.PARTICIPANT_CLASS}'>"),
+            away, F.lit(f"</span><i class='{pg.PRICE_CLASS}'><b>"), price.cast("string"), F.lit("</b></i>"), link, F.lit("</div>"))
+
+    def link(number) -> F.Column:
+        return F.concat(F.lit(f"<a data-x='1' class='{pg.MATCH_LINK_CLASS} b' href='/m?a=1&amp;b=v-"), number.cast("string"), F.lit("'>x</a>"))
+
+    away = F.concat(F.lit("A &#38; "), F.col("o_orderstatus"))
+    second = F.when(key % 3 == 0, F.lit("")).otherwise(link(key + 20000000))
+    html = F.concat(F.lit("<html><link href='/no-link'>"),
+                    card(F.col("o_orderpriority"), away, F.col("o_custkey"), link(key + 10000)),
+                    card(away, F.col("o_orderpriority"), F.col("o_custkey") + 1, second), F.lit("</html>"))
+    return o.select(key.alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+
+
+@register("quarantine_landing", f"""
+SELECT CASE WHEN event_type = 'view' THEN NULL ELSE '{_EVENT_URL}' || CAST(event_id AS VARCHAR) END AS url,
+       CASE event_type WHEN 'error' THEN props WHEN 'view' THEN 'broken line ' || CAST(event_id AS VARCHAR) END AS body
+FROM events WHERE event_type IN ('error', 'view')""")
+def q_quarantine_landing(spark: SparkSession, d: str) -> DataFrame:
+    """Landing lines that are no records, and error objects where a list belongs,
+    go to the rejects with their text."""
+    from .. import schemas as S
+    from ..session import scratch_path
+    from ..sources import parse_documents, quarantine_split, read_landed
+    ev, kind = _t(spark, d, "events"), F.col("event_type")
+    url = F.concat(F.lit(_EVENT_URL), F.col("event_id").cast("string"))
+    body = F.when(kind == "error", F.col("props")).otherwise(F.concat(F.lit("["), F.col("props"), F.lit("]")))
+    line = F.when(kind == "view", F.concat(F.lit("broken line "), F.col("event_id").cast("string"))).otherwise(
+        F.to_json(F.struct(url.alias("url"), body.alias("body"))))
+    path = scratch_path(spark, "landing-lines")
+    ev.select(line.alias("value")).write.text(path)
+    _good, rejects = quarantine_split(parse_documents(read_landed(spark, path), S.SB_MARKETS_RESPONSE))
+    return rejects.select("url", "body")
+
+
+@register("json_orders_nested", f"""
+WITH r AS (SELECT *, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag) - 1 AS market_pos,
+                  row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY {LINE_ORD_SQL}) - 1 AS prop_pos FROM lineitem)
+SELECT 'Order ' || CAST(l_orderkey AS VARCHAR) AS match, CAST(market_pos AS INTEGER) AS market_pos, l_returnflag AS market_name,
+       CAST(prop_pos AS INTEGER) AS prop_pos, l_partkey AS prop_id, l_quantity AS price FROM r""")
+def q_json_orders_nested(spark: SparkSession, d: str) -> DataFrame:
+    """A document for each order: a market for each return flag, its lines as
+    propositions; all positions take values above 0."""
+    from .. import schemas as S
+    from ..session import scratch_path
+    from ..sources import current_documents, parse_documents, read_landed, tab_selections
+    li = _t(spark, d, "lineitem")
+    prop = F.struct(*LINE_ORD, F.struct(F.col("l_partkey").alias("id"), F.lit("p").alias("name"),
+                                        F.col("l_quantity").alias("returnWin")).alias("prop"))
+    markets = li.groupBy("l_orderkey", "l_returnflag").agg(F.transform(
+        F.sort_array(F.collect_list(prop)), lambda r: r["prop"]).alias("propositions"))
+    one = F.struct(F.col("l_returnflag").alias("betOption"), "propositions")
+    orders = markets.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(one)).alias("markets"))
+    match = F.struct(F.concat(F.lit("Order "), F.col("l_orderkey").cast("string")).alias("name"), "markets")
+    path = scratch_path(spark, "order-docs")
+    landed = orders.select(F.concat(F.lit("o/"), F.col("l_orderkey").cast("string")).alias("url"),
+                           F.to_json(F.struct(F.array(match).alias("matches"))).alias("body"))
+    landed.write.json(path)
+    landed.write.mode("append").json(path)  # landed twice: counts once
+    sel = current_documents(tab_selections(parse_documents(read_landed(spark, path), S.TAB_RESPONSE)))
+    return sel.select("match", "market_pos", "market_name", "prop_pos", "prop_id", "price")
