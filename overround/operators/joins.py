@@ -9,7 +9,7 @@ a group: the band join is turned into an equi-join on line buckets.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,6 +76,32 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str,
     return facts.join(dim, on=on, how=how)
 
 
+def labelled_sides(df: DataFrame, sides: Mapping[str, Column], name: str = "_side") -> DataFrame:
+    """One row for each side whose condition a row meets (usually one, so it is
+    parsed and moved once), with the side's label."""
+    labels = F.array_compact(F.array(*[F.when(cond, F.lit(label)) for label, cond in sides.items()]))
+    return df.withColumn(name, F.explode(labels))
+
+
+def pair_sides(df: DataFrame, keys: Sequence[str], left: Column, right: Column,
+               left_cols: Sequence[Column | str], right_cols: Sequence[Column | str],
+               how: str = "inner") -> DataFrame:
+    """Rows where ``left`` holds beside rows of the same keys where ``right`` does,
+    as a null-safe join of the two sides would give them, but in one pass: the
+    input is read and shuffled once, not once for each side.
+
+    A key's rows are gathered, so the keys must bound them; those of the markets
+    include the response document.  ``how`` is ``inner`` or ``left``.  Output:
+    keys, then the columns of both sides.
+    """
+    lists = df.filter(left | right).groupBy(*keys).agg(
+        F.collect_list(F.when(left, F.struct(*left_cols))).alias("_l"),
+        F.collect_list(F.when(right, F.struct(*right_cols))).alias("_r"))
+    other = F.explode_outer("_r") if how == "left" else F.explode("_r")
+    return (lists.select(*keys, F.explode("_l").alias("_l"), "_r")
+                 .select(*keys, "_l", other.alias("_r")).select(*keys, "_l.*", "_r.*"))
+
+
 def positional_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ord: Sequence[str],
                     right_ord: Sequence[str], pos_name: str = "pos", how: str = "inner") -> DataFrame:
     """Row i of one table beside row i of another (``bind_cols``), within ``keys``.
@@ -112,6 +138,18 @@ def opposite_sign_pairs(home: DataFrame, away: DataFrame, keys: Sequence[str],
     return joined.filter(F.col(home_line) != F.col(away_line))
 
 
+def home_buckets(line: str, tol: float) -> Column:
+    """Buckets that the band of lines cancelling ``line`` touches (see ``balanced_pairs``)."""
+    width, slack = 4.0 * tol, 1e-9
+    lo = F.floor((-F.col(line) - F.lit(tol)) / F.lit(width) - F.lit(slack))
+    hi = F.floor((-F.col(line) + F.lit(tol)) / F.lit(width) + F.lit(slack))
+    return F.sequence(lo, hi)
+
+
+def away_bucket(line: str, tol: float) -> Column:
+    return F.floor(F.col(line) / F.lit(4.0 * tol))
+
+
 def balanced_pairs(home: DataFrame, away: DataFrame, keys: Sequence[str],
                    home_line: str = "home_line", away_line: str = "away_line",
                    tol: float = 0.1) -> DataFrame:
@@ -127,12 +165,8 @@ def balanced_pairs(home: DataFrame, away: DataFrame, keys: Sequence[str],
     keeps the result exact.  The interval is widened by 1e-9 of a bucket so
     rounding in the division can never drop a boundary pair.
     """
-    width = 4.0 * tol
-    slack = 1e-9
-    lo = F.floor((-F.col(home_line) - F.lit(tol)) / F.lit(width) - F.lit(slack))
-    hi = F.floor((-F.col(home_line) + F.lit(tol)) / F.lit(width) + F.lit(slack))
-    h = home.withColumn("_bucket", F.explode(F.sequence(lo, hi)))
-    a = away.withColumn("_bucket", F.floor(F.col(away_line) / F.lit(width)))
+    h = home.withColumn("_bucket", F.explode(home_buckets(home_line, tol)))
+    a = away.withColumn("_bucket", away_bucket(away_line, tol))
     joined = natural_join(h, a, on=[*keys, "_bucket"], how="inner", null_safe=False)
     return (joined.filter(F.abs(F.col(home_line) + F.col(away_line)) < F.lit(tol))
                   .drop("_bucket"))

@@ -650,7 +650,7 @@ SELECT c.user_id, c.day, c.bucket, c.click_value, v.view_value FROM c LEFT JOIN
  AND c.bucket IS NOT DISTINCT FROM v.bucket""")
 def q_join_natural_null_safe(spark: SparkSession, d: str) -> DataFrame:
     clicks, views = _event_sides(spark, d)
-    return op.natural_join(clicks, views, how="left")
+    return op.natural_join(clicks, views, how="left", skew_safe=True)
 
 
 def _line_sides(spark: SparkSession, d: str):
@@ -1172,7 +1172,7 @@ def q_market_line_balanced(spark: SparkSession, d: str) -> DataFrame:
     sel = _sb_lineitem_selections(
         spark, d, market_name=F.when(flag.isin("R", "A"), "Line").otherwise("Other"),
         prop_name=F.concat(team, F.lit(" ("), _signed_text(x), F.lit(")")), with_status=True)
-    return mk.line_balanced(sel, teams, agency="TPCH", keys=KEYS, rules=STATUS_RULES)
+    return mk.line_balanced(sel, teams, agency="TPCH", keys=KEYS, rules=STATUS_RULES, doc=())
 
 
 @register("market_over_under", f"""
@@ -1489,7 +1489,7 @@ def q_market_line_two_endpoints(spark: SparkSession, d: str) -> DataFrame:
         spark, d, market_name=F.when(flag.isin("R", "A"), "Line").otherwise("Other"),
         prop_name=F.concat(team, F.lit(" ("), _signed_text(x), F.lit(")")), with_status=True)
     both = sel.withColumn("endpoint", F.explode(F.array(F.lit("main"), F.lit("line"))))
-    return mk.line_balanced(mk.routed(both, "line"), teams, agency="TPCH", keys=KEYS, rules=STATUS_RULES)
+    return mk.line_balanced(mk.routed(both, "line"), teams, agency="TPCH", keys=KEYS, rules=STATUS_RULES, doc=())
 
 
 @register("market_player_two_snapshots", f"""

@@ -24,8 +24,8 @@ from ..functions import (
     str_detect, str_extract, str_remove, str_replace_first,
 )
 from ..operators import (
-    any_true, balanced_pairs, first_where, keep_first, lookup_join, natural_join,
-    nth_rows, opposite_sign_pairs, sort_multi, sort_stable, union_distinct_by_name,
+    any_true, away_bucket, first_where, home_buckets, keep_first, labelled_sides, lookup_join,
+    natural_join, nth_rows, pair_sides, sort_multi, sort_stable, union_distinct_by_name,
 )
 from ..schemas import DOC_KEYS, ORD, SNAPSHOT_KEYS, TOTAL_ORD
 
@@ -133,18 +133,15 @@ def line_opposite(selections: DataFrame, markets: Sequence[str] = ("Line", "Pick
                       .withColumn("_team", str_remove("prop_name", r" [\+\-].*$"))
                       .withColumn("_line", extract_number("prop_name", SIGNED_NUMBER)))
 
-    def side(team_col: str, line_name: str, win_name: str) -> DataFrame:
-        s = (base.filter(F.col("_team") == F.col(team_col))
-                 .withColumnRenamed("_line", line_name)
-                 .withColumnRenamed("price", win_name)
-                 .withColumn("line", F.abs(F.col(line_name))))
-        s = keep_first(s, [*keys, *doc, "match", line_name, win_name], ord)
-        return s.drop("prop_name", "_team", *[c for c in ord if c not in doc])
-
-    home = side("home_team", "home_line", "home_win")
-    away = side("away_team", "away_line", "away_win")
+    sides = labelled_sides(base, {"home": F.col("_team") == F.col("home_team"),
+                                  "away": F.col("_team") == F.col("away_team")})
+    sides = keep_first(sides, [*keys, *doc, "match", "_side", "_line", "price"], ord).withColumn(
+        "line", F.abs("_line"))
     pair_keys = [*keys, *doc, "match", "home_team", "away_team", "start_time", "market_name", "line"]
-    pairs = opposite_sign_pairs(home, away, pair_keys)
+    pairs = pair_sides(sides, pair_keys, F.col("_side") == "home", F.col("_side") == "away",
+                       [F.col("_line").alias("home_line"), F.col("price").alias("home_win")],
+                       [F.col("_line").alias("away_line"), F.col("price").alias("away_win")])
+    pairs = pairs.filter(F.col("home_line") != F.col("away_line"))
     out = (pairs.withColumn("market_name", F.lit(label))
                 .withColumn("margin", margin("home_win", "away_win"))
                 .withColumn("agency", F.lit(agency)))
@@ -170,13 +167,11 @@ def totals_dedup(selections: DataFrame,
                       .withColumn("market_name", F.lit(label)))
     common = ["match", "start_time", "market_name", "home_team", "away_team", "line"]
 
-    def side(pattern: str, price_name: str) -> DataFrame:
-        s = base.filter(str_detect("prop_name", pattern)).withColumnRenamed("price", price_name)
-        s = keep_first(s, [*keys, *doc, "match", "line", price_name], ord)
-        return s.select(*keys, *doc, *common, price_name)
-
-    joined = natural_join(side(over_re, "over_price"), side(under_re, "under_price"),
-                          on=[*keys, *doc, *common], how="left")
+    sides = labelled_sides(base, {"over": str_detect("prop_name", over_re),
+                                  "under": str_detect("prop_name", under_re)})
+    sides = keep_first(sides, [*keys, *doc, "match", "_side", "line", "price"], ord)
+    joined = pair_sides(sides, [*keys, *doc, *common], F.col("_side") == "over", F.col("_side") == "under",
+                        [F.col("price").alias("over_price")], [F.col("price").alias("under_price")], how="left")
     out = _canonical_teams(joined, rules)
     out = (out.withColumn("margin", margin("over_price", "under_price"))
               .withColumn("agency", F.lit(agency))
@@ -286,7 +281,7 @@ def canonical_teams_dim(teams: DataFrame, rules: Rules = TEAM_NAME_RULES) -> Dat
 def line_balanced(selections: DataFrame, teams: DataFrame,
                   market_re: str = "Line|Pick Your Own Line", agency: str = "Sportsbet",
                   tol: float = 0.1, keys: Keys = SNAPSHOT_KEYS, rules: Rules = TEAM_NAME_RULES,
-                  with_keys: bool = False) -> DataFrame:
+                  with_keys: bool = False, doc: Keys = ("source_url",)) -> DataFrame:
     """Handicap market from labels ``"Team (+2.5)"``: side decided by the
     teams dimension; every home x away pair of a match whose lines cancel
     (``|h + a| < tol``) is a market row (a 0/0 pair is kept).  The band join
@@ -295,13 +290,19 @@ def line_balanced(selections: DataFrame, teams: DataFrame,
                    .withColumn("team_name", canonicalize(str_remove("prop_name", r" \(.*\)$"), rules))
                    .withColumn("handicap_extracted", extract_number("prop_name", SIGNED_DECIMAL)))
     s = lookup_join(s, teams, _match_keys(s, teams))
-    home = s.filter(F.col("team_name") == F.col("home_team")).select(
-        *keys, "match_id", F.col("team_name").alias("home_team"),
-        F.col("handicap_extracted").alias("home_line"), F.col("price").alias("home_win"))
-    away = s.filter(F.col("team_name") == F.col("away_team")).select(
-        *keys, "match_id", F.col("team_name").alias("away_team"),
-        F.col("handicap_extracted").alias("away_line"), F.col("price").alias("away_win"))
-    pairs = balanced_pairs(home, away, [*keys, "match_id"], tol=tol)
+    sides = labelled_sides(s, {"home": F.col("team_name") == F.col("home_team"),
+                               "away": F.col("team_name") == F.col("away_team")})
+    # The band as buckets: a home line goes to the one or two that its band touches.
+    line = F.col("handicap_extracted")
+    place = F.when(F.col("_side") == "home", home_buckets("handicap_extracted", tol)).otherwise(
+        F.array(away_bucket("handicap_extracted", tol)))
+    sides = sides.filter(line.isNotNull() & F.col("match_id").isNotNull()).withColumn("_bucket", F.explode(place))
+    price = F.col("price")
+    pairs = pair_sides(sides, [*_merged(keys, doc), "match_id", "_bucket"], F.col("_side") == "home",
+                       F.col("_side") == "away",
+                       [F.col("team_name").alias("home_team"), line.alias("home_line"), price.alias("home_win")],
+                       [F.col("team_name").alias("away_team"), line.alias("away_line"), price.alias("away_win")])
+    pairs = pairs.filter(F.abs(F.col("home_line") + F.col("away_line")) < F.lit(tol))
     out = (pairs.withColumn("match", paste("home_team", F.lit("v"), "away_team"))
                 .withColumn("market_name", F.lit("Line"))
                 .withColumn("margin", margin("home_win", "away_win"))
@@ -311,13 +312,16 @@ def line_balanced(selections: DataFrame, teams: DataFrame,
                                   keys, with_keys))
 
 
-def _sb_side(df: DataFrame, selection_re: str, sep: str) -> DataFrame:
-    """Rows of one side of an over/under with ``line`` = explicit handicap,
-    else the number after ``sep`` in the label; ``name_2`` = text before it."""
-    name_2, line_2 = separate("prop_name", sep, ["name_2", "line_2"])
-    return (df.filter(str_detect("prop_name", selection_re))
-              .withColumn("name_2", name_2)
-              .withColumn("line", F.coalesce(F.col("handicap"), as_numeric(line_2))))
+def _sb_sides(df: DataFrame, over_re: str, under_re: str) -> DataFrame:
+    """Rows of both sides of an over/under, labelled, with ``line`` = explicit
+    handicap, else the number after the side's word in the label; ``name_2`` =
+    text before it."""
+    sides = labelled_sides(df, {"over": str_detect("prop_name", over_re), "under": str_detect("prop_name", under_re)})
+    parts = {side: separate("prop_name", word, ["name_2", "line_2"])
+             for side, word in (("over", " Over "), ("under", " Under "))}
+    is_over = F.col("_side") == "over"
+    name_2, line_2 = (F.when(is_over, o).otherwise(u) for o, u in zip(parts["over"], parts["under"], strict=True))
+    return sides.withColumns({"name_2": name_2, "line": F.coalesce(F.col("handicap"), as_numeric(line_2))})
 
 
 def over_under(selections: DataFrame, teams: DataFrame, market_re: str = "Total Match Points",
@@ -328,13 +332,12 @@ def over_under(selections: DataFrame, teams: DataFrame, market_re: str = "Total
     on (document, line) with null lines matching; unders without an over
     drop; then the teams lookup names the match."""
     base = selections.filter(str_detect("market_name", market_re))
-    overs = _sb_side(base, over_re, " Over ").select(
-        *keys, "source_url", "match_id", "line", F.col("price").alias("over_price"))
-    unders = _sb_side(base, under_re, " Under ").select(
-        *keys, "source_url", "line", F.col("price").alias("under_price"))
+    sides = _sb_sides(base, over_re, under_re)
     # The key includes the response document, so one key's rows are bounded by
-    # one response: no unbounded hot key on either side of this left join.
-    joined = natural_join(overs, unders, on=[*keys, "source_url", "line"], how="left")
+    # one response.
+    joined = pair_sides(sides, [*keys, "source_url", "line"], F.col("_side") == "over", F.col("_side") == "under",
+                        ["match_id", F.col("price").alias("over_price")], [F.col("price").alias("under_price")],
+                        how="left")
     out = lookup_join(joined, teams, _match_keys(joined, teams))
     out = (out.withColumn("match", paste("home_team", F.lit("v"), "away_team"))
               .withColumn("market_name", F.lit(label))
@@ -386,17 +389,18 @@ def sb_player_over_under(enriched: DataFrame, over_re: str = "Over", under_re: s
     e = _ensure(enriched, EVENT_ID_COLUMNS)
     head = _key_head(keys, True)  # both sides are of one snapshot, whatever the output shows
 
-    def side(pattern: str, sep: str, price_name: str, id_name: str) -> DataFrame:
-        s = _sb_side(e, pattern, sep)
-        return s.select(*head, "match", "home_team", "away_team", F.lit(label).alias("market_name"),
-                        F.col("name_2").alias("player_name"), "line",
-                        F.col("price").alias(price_name), F.lit(agency).alias("agency"),
-                        *EVENT_ID_COLUMNS, "market_id", F.col("prop_id").alias(id_name))
-
+    sides = _sb_sides(e, over_re, under_re).select(
+        *head, "match", "home_team", "away_team", F.lit(label).alias("market_name"),
+        F.col("name_2").alias("player_name"), "line", F.lit(agency).alias("agency"), *EVENT_ID_COLUMNS,
+        "market_id", "_side", "price", "prop_id")
     # Keys include the per-document market id, so a key's rows are bounded by
     # one response document.
-    pairs = natural_join(side(over_re, " Over ", "over_price", "player_id"),
-                         side(under_re, " Under ", "under_price", "player_id_unders"), how="left")
+    shared = [c for c in sides.columns if c not in ("_side", "price", "prop_id")]
+    pairs = pair_sides(sides, shared, F.col("_side") == "over", F.col("_side") == "under",
+                       [F.col("price").alias("over_price"), F.col("prop_id").alias("player_id")],
+                       [F.col("price").alias("under_price"), F.col("prop_id").alias("player_id_unders")], how="left")
+    pairs = pairs.select(*head, *PLAYER_COLUMNS, "over_price", "agency", *EVENT_ID_COLUMNS, "market_id",
+                         "player_id", "under_price", "player_id_unders")
     return pairs if with_keys else pairs.drop(*head)
 
 
