@@ -12,7 +12,8 @@ probability (1 - 0.85^8)^40 = 3e-6, sets of similarity 0.3 meet in 0.3 % of all
 
 Groups of any size are joined without listing their pairs: equal sets are one class; in each bucket the classes are
 verified against the bucket's smallest class; only classes that this leaves in different components of one bucket are
-then compared with each other, and of those only pairs that share one of their rarest shingles, as every link must.
+then compared with each other, and of those only pairs that share one of their rarest shingles early enough in the order
+of rarity for the sets to be linked.
 """
 
 from __future__ import annotations
@@ -164,13 +165,15 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
         "node", "component", F.size("elements").alias("n"), F.explode("elements").alias("shingle")), "held")
     counted = held.join(held.groupBy("shingle").agg(F.count("*").alias("df")), "shingle")
     rarest = counted.groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("order"))
-    prefix = written(rarest.select("node", "component", "n", F.explode(F.slice(
-        "order", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("rare")).where(
-        "rare.df > 1").select("node", "component", "n", F.col("rare.shingle").alias("shingle")), "prefix")
-    left = prefix.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    right = prefix.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    prefix = written(rarest.select("node", "component", "n", F.posexplode(F.slice(
+        "order", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).alias("place", "rare")).where(
+        "rare.df > 1").select("node", "component", "n", "place", F.col("rare.shingle").alias("shingle")), "prefix")
+    left, right = (prefix.select("shingle", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"),
+                                 F.col("place").alias(f"p{x}")) for x in ("b", "a"))
+    # Behind the first shared one, only what follows in both orders can be common too.
     cross = left.join(right, "shingle").where(
-        f"b < a and ca != cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+        f"b < a and ca != cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").where(
+        f"(100 + {percent}) * (1 + least(na - 1 - pa, nb - 1 - pb)) >= {percent} * (na + nb)").select("a", "b").distinct()
     cross = written(cross.join(tried, ["a", "b"], "left_anti"), "cross")
     late = written(verified(cross).where("linked").select("a", "b"), "late")
     if not late.isEmpty():
