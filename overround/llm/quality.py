@@ -79,7 +79,7 @@ def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             t[1] += part.sum(axis=0)
             t[2] += part.T @ part
     for k, (n, s, q) in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([n]), pa.array([[*s.tolist(), *q.ravel().tolist()]])],
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([n], pa.int64()), pa.array([[*s.tolist(), *q.ravel().tolist()]])],
                                          ["label", "n", "sums"])
 
 
