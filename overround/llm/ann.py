@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from overround.llm.shared import written
+from overround.llm.shared import hashed_sample, written
 
 #: Vectors that the partitions are learned on, at most; wanted distinct vectors in a partition; partitions at most.
 SAMPLE, PART_ROWS, MAX_PARTS = 8192, 1024, 128
@@ -226,7 +226,7 @@ def nearest(vectors: DataFrame, is_query: str, *, id_col: str = "vec_id", vector
     smallest = named.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("n") <= k + 1)
     smallest = smallest.select("key", "id")
     total = entries.count()
-    sample = entries.select("vector").orderBy(F.xxhash64("key"), "key").limit(SAMPLE).collect()
+    sample = hashed_sample(entries.select("key", "vector"), "key", SAMPLE, "sample").orderBy("key").collect()
     router = learn(np.array([r["vector"] for r in sample], np.float64), total) if total else None
     probes = router.probes if router else 1
 

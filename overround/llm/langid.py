@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from overround.llm.shared import mix, span_hashes, text_slices
+from overround.llm.shared import hashed_sample, mix, span_hashes, text_slices
 
 #: Units in each direction, bytes of a word read at once (longer ones are read in pieces), steps of training.
 UNITS, SPAN, EPOCHS, BATCH = 12, 24, 3, 1024
@@ -232,10 +232,12 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(documents: DataFrame, label: str, text: str, identity: str) -> Network | None:
-    """Network from (label, text) of MAX_DOCS documents at most, those of the smallest hashes; None without any."""
-    some = documents.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(identity, label, text).orderBy(
-        F.xxhash64(identity), identity).limit(MAX_DOCS)
-    rows = some.select(label, text).mapInArrow(_sample_rows, "lang string, words array<string>").collect()
+    """Network from (label, text) of MAX_DOCS documents at most, those whose ids have the smallest hashes; None
+    without any. Documents without an id aren't learned from; equal samples count once."""
+    known = documents.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(identity, label, text)
+    some = hashed_sample(known, identity, MAX_DOCS, "sample").select(label, text)
+    rows = some.mapInArrow(_sample_rows, "lang string, words array<string>").groupBy("lang", "words").count().orderBy(
+        "lang", "words").limit(2 * MAX_DOCS).collect()
     parts = [(p, r["lang"]) for r in rows for w in r["words"] for p in pieces(w.encode())]
     return train([p for p, _ in parts], [x for _, x in parts]) if parts else None
 

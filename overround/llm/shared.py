@@ -43,8 +43,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def known_ids(df: DataFrame, id_col: str) -> DataFrame:
-    return df.where(F.col(id_col).isNotNull())
+def hashed_sample(df: DataFrame, id_col: str, size: int, name: str) -> DataFrame:
+    """Rows of ``size`` ids at most, those of the smallest hashes (all rows of each).
+
+    Only ids are ranked; there are ``size`` of them, so they may be broadcast to the rows.
+    """
+    ids = df.where(F.col(id_col).isNotNull()).select(id_col).distinct()
+    ids = written(ids.orderBy(F.xxhash64(id_col), id_col).limit(size), name)
+    return df.join(F.broadcast(ids), id_col)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], text_index: int,
