@@ -75,6 +75,54 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_sort(F.array_distinct("leaks.item_id")).alias("item_ids"), "leaks")
 
 
+OP2_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT shared.a, shared.b FROM shared JOIN sizes x ON x.doc_id = shared.a JOIN sizes y ON y.doc_id = shared.b
+  WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), component AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN component USING (doc_id)
+"""
+
+OP3_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS pos FROM split
+), windows AS (
+  SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 19], ' ')) AS k FROM starts
+), marked AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) > 1 AS later FROM windows
+), covered AS (
+  SELECT words.doc_id, words.pos, word, max(CASE WHEN later THEN 1 ELSE 0 END) OVER (
+    PARTITION BY words.doc_id ORDER BY words.pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM words LEFT JOIN marked ON marked.doc_id = words.doc_id AND marked.pos = words.pos
+), cut AS (
+  SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0) AS kept
+  FROM covered GROUP BY doc_id
+)
+SELECT split.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN cut USING (doc_id)
+"""
+
 OP5_SQL = r"""
 WITH RECURSIVE parsed AS (
   SELECT page_id, url, html,
@@ -162,6 +210,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_minhash_dedup": OP2_SQL,
+    "op3_substring_dedup": OP3_SQL,
     "op5_url_filters": OP5_SQL,
     "op9_preference_format": OP9_SQL,
 }
