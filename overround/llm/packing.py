@@ -43,6 +43,37 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # whether an id ends a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.marks = {ord(m): self._encode([m])[0].tobytes() for m in ".,"}
+
+    def _encode(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Remember the ids of new words. A full stop or comma behind an ASCII letter is a token of its own."""
+        stems = {w[:-1] if w[-1] in b".," and w[-2:-1].isalpha() else w for w in new} - self.known.keys()
+        single, other = [], []
+        for stem in stems:
+            word = stem.decode()
+            (single if word.isalpha() and word.lower().isalpha() else other).append(word)
+        # Words of letters alone are one run each, whose last id ends a word: many are encoded at once.
+        for k in range(0, len(single), 512 * 64):
+            part = single[k : k + 512 * 64]
+            ids = np.concatenate(self._encode([" ".join(part[i : i + 512]) for i in range(0, len(part), 512)]))
+            stops = np.flatnonzero(self.last[ids]) + 1
+            if len(stops) == len(part) and stops[-1] == len(ids):
+                raw, starts = ids.tobytes(), [0, *(4 * stops[:-1]).tolist()]
+                for word, a, z in zip(part, starts, (4 * stops).tolist(), strict=True):
+                    self.known[word.encode()] = raw[a:z]
+            else:  # normalisation has cut some word into several runs
+                other += part
+        for word, ids in zip(other, self._encode(other), strict=True):
+            self.known[word.encode()] = ids.tobytes()
+        for word in new:
+            if word not in self.known:
+                self.known[word] = self.known[word[:-1]] + self.marks[word[-1]]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -52,19 +83,26 @@ class WordTokens:
             if not (b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw):
                 raw = raw.lower()
             split.append(raw.split())
-        new = list(set().union(*split) - self.known.keys())
+        new = set().union(*split) - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = list(set().union(*split))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, encoding in zip(part, found, strict=True):
-                self.known[word] = np.array(encoding.ids, "<u4").tobytes()
+            new = set().union(*split)
+        self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
 
+_loaded: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """The worker's tokeniser for a file; it and its words serve all tasks of the worker."""
+    if path not in _loaded:
+        _loaded.clear()
+        _loaded[path] = WordTokens(path)
+    return _loaded[path]
+
+
 class OpenWindows:
     """Windows that still take pieces, by the room they have left."""
 
@@ -109,7 +147,7 @@ def _rows(windows: list[tuple[list[Piece], int]], length: int, part: int, done:
 
 def _pack(path: str, length: int, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, last = WordTokens(path), end.to_bytes(4, "little")
+        tokens, last = word_tokens(path), end.to_bytes(4, "little")
         part = TaskContext.get().partitionId()
         windows, sequence = OpenWindows(length, OPEN), part << 32
         for batch in text_slices(batches, 1):
