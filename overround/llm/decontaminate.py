@@ -160,7 +160,7 @@ def find_hits(texts: list[bytes], index: Index) -> list[list[tuple[int, int, int
     return hits
 
 
-def _slices(texts: list[bytes], size: int = 4 << 20) -> list[tuple[int, int]]:
+def _slices(texts: list[bytes], size: int = 2 << 20) -> list[tuple[int, int]]:
     out, start, held = [], 0, 0
     for i, t in enumerate(texts):
         if held and held + len(t) > size:

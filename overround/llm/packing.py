@@ -24,7 +24,7 @@ from overround.llm.shared import text_slices, written
 
 LENGTH, END = 4096, 2
 #: Open windows of a partition; groups merged at once; words that a worker remembers.
-OPEN, GROUPS, REMEMBERED = 64, 32, 400_000
+OPEN, GROUPS, REMEMBERED = 64, 16, 400_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long"
 _SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in PIECE.split(", ")] + [("part", pa.int64()), ("done", pa.bool_())])
 #: (doc_id, start, length, ids_crc32, doc_tokens)
@@ -96,7 +96,7 @@ _loaded: dict[str, WordTokens] = {}
 
 
 def word_tokens(path: str) -> WordTokens:
-    """The worker's tokeniser for a file; it and its words serve all tasks of the worker."""
+    """The worker's tokeniser for a file, which serves all its tasks."""
     if path not in _loaded:
         _loaded.clear()
         _loaded[path] = WordTokens(path)
@@ -164,6 +164,7 @@ def _pack(path: str, length: int, end: int) -> Callable[[Iterator[pa.RecordBatch
                         sequence += 1
             yield from _rows(out, length, part, True)
         yield from _rows([(w, sequence + k) for k, w in enumerate(windows.rest())], length, part, False)
+        tokens.known.clear()  # the worker outlives the task
 
     return rows
 

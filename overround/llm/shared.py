@@ -54,7 +54,7 @@ def hashed_sample(df: DataFrame, id_col: str, size: int, name: str) -> DataFrame
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], text_index: int,
-                max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+                max_bytes: int = 3 << 19) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of whole rows of about ``max_bytes`` of text.
 
     A row is never cut, so a slice holds one longer text at most; this bounds the temporary
@@ -99,13 +99,16 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
+KEPT_POWERS = 1 << 21
 _power_tables: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _power_tables or len(_power_tables[0][0]) < n or len(_power_tables[0][0]) > 8 * n + (8 << 20):
-        size = ((n >> 20) + 1) << 20
-        _power_tables[:] = [(_powers(BASE, size), _powers(_BASE_INVERSE, size))]
+    """Powers of the base and of its inverse; only those of slices of usual size are kept between calls."""
+    if n > KEPT_POWERS:
+        return _powers(BASE, n), _powers(_BASE_INVERSE, n)
+    if not _power_tables:
+        _power_tables.append((_powers(BASE, KEPT_POWERS), _powers(_BASE_INVERSE, KEPT_POWERS)))
     return _power_tables[0]
 
 
