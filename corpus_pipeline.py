@@ -22,8 +22,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group; rows without an id stay."""
-    dropped = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    """The document of the smallest id of each group, linked at similarity 0.8 or more; rows without an id stay."""
+    dropped = minhash.near_duplicates(docs, percent=80).where("not kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -7,8 +7,10 @@ coordinate is filled in the end, and mostly within the first few rounds. Two set
 probability equal to their similarity, with concentration bounds as for independent hash functions, for about
 BINS * ln(BINS) hashed placements instead of BINS for each element.
 
-Eight coordinates form a band, 40 bands cover the sketch: sets of similarity 0.85 miss each other in all bands with
-probability (1 - 0.85^8)^40 = 3e-6, sets of similarity 0.3 meet in 0.3 % of all cases.
+At a bound of 0.85 eight coordinates form a band, 40 bands cover the sketch: sets of similarity 0.85 miss each other in
+all bands with probability (1 - 0.85^8)^40 = 3e-6, sets of similarity 0.3 meet in 0.3 % of all cases. At lower bounds
+bands are narrower and more, so that sets at the bound miss each other with probability ``MISSES`` at most: at 0.8 there
+are 45 bands of seven, (1 - 0.8^7)^45 = 2.5e-5.
 
 Groups of any size are joined without listing their pairs: equal sets are one class; in each bucket the classes are
 verified against the bucket's smallest class; only classes that this leaves in different components of one bucket are
@@ -19,7 +21,7 @@ of rarity for the sets to be linked.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ from overround.llm.components import connected_components
 from overround.llm.shared import gram_hashes, joined_words, mix, span_hashes, text_slices, written
 
 WORDS, BINS, ROWS = 5, 320, 8
+#: Largest probability that two sets whose similarity is just the bound share no band.
+MISSES = 5e-5
 SEEDS = np.random.default_rng(7).integers(0, 2**64, 2 * BINS, dtype=np.uint64)
 _BAND_FACTORS = np.random.default_rng(8).integers(0, 2**63, ROWS, dtype=np.uint64) | np.uint64(1)
 _EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(55)
@@ -76,25 +80,37 @@ def sketch(elements: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(coordinates: np.ndarray) -> np.ndarray:
-    return mix((coordinates.reshape(-1, ROWS) * _BAND_FACTORS).sum(axis=1, dtype=np.uint64))
+def band_rows(percent: int) -> int:
+    """Coordinates in a band: the most, up to ROWS, with which sets at the bound miss each other in MISSES of all cases."""
+    fits = (r for r in range(ROWS, 1, -1) if (1 - (percent / 100) ** r) ** (BINS // r) <= MISSES)
+    return next(fits, 1)
 
 
-def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches, 1):
-        sets = shingle_sets(batch.column(1).to_pylist())
-        sizes = np.array([len(s) for s in sets], np.int64)
-        prints = np.zeros((2, len(sets)), np.uint64)
-        keys = []
-        for i, s in enumerate(sets):
-            if len(s):
-                prints[0, i], prints[1, i] = mix(s ^ SEEDS[0]).sum(), mix(s ^ SEEDS[1]).sum()
-                keys.append(band_keys(sketch(s)))
-        offsets = np.concatenate([[0], np.cumsum((sizes > 0) * (BINS // ROWS))]).astype(np.int32)
-        flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), *(pa.array(p.view(np.int64)) for p in prints),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "n", "f1", "f2", "bands"])
+def band_keys(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    bands = coordinates[: len(coordinates) // rows * rows].reshape(-1, rows)
+    return mix((bands * _BAND_FACTORS[:rows]).sum(axis=1, dtype=np.uint64))
+
+
+def _sketch_rows(rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sizes, fingerprints and band keys of the sets, with ``rows`` coordinates in a band."""
+
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, 1):
+            sets = shingle_sets(batch.column(1).to_pylist())
+            sizes = np.array([len(s) for s in sets], np.int64)
+            prints = np.zeros((2, len(sets)), np.uint64)
+            keys = []
+            for i, s in enumerate(sets):
+                if len(s):
+                    prints[0, i], prints[1, i] = mix(s ^ SEEDS[0]).sum(), mix(s ^ SEEDS[1]).sum()
+                    keys.append(band_keys(sketch(s), rows))
+            offsets = np.concatenate([[0], np.cumsum((sizes > 0) * (BINS // rows))]).astype(np.int32)
+            flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes), *(pa.array(p.view(np.int64)) for p in prints),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["id", "n", "f1", "f2", "bands"])
+
+    return sketches
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +134,7 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     empty table gives an empty result.
     """
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = written(texts.mapInArrow(_sketch_rows, "id long, n long, f1 long, f2 long, bands array<long>"), "sketches")
+    rows = written(texts.mapInArrow(_sketch_rows(band_rows(percent)), "id long, n long, f1 long, f2 long, bands array<long>"), "sketches")
     full = rows.where("n > 0 and id is not null")
 
     # Equal sets: one class, named by its smallest document.
