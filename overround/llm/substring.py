@@ -6,9 +6,10 @@ to the minimiser's bucket, instead of as one string for each window. Equal windo
 sees every occurrence of its windows; sorting them there finds the first one of each exactly.
 
 Two things keep buckets even. Equal packed strings are combined before the shuffle: only the first of them is sent,
-since the others repeat it as a whole. And where a minimiser's bin holds far more strings than others (the rim of a
-passage that a third of all documents share), the windows are dealt by a hash of all their words instead, each on its
-own. Both leave the result the same.
+since the others repeat it as a whole; what they repeat is merged to spans, which are dealt by a hash of document and
+place and pass through without being gathered. And where a minimiser's bin holds far more strings than others (the rim
+of a passage that a third of all documents share), the windows are dealt by a hash of all their words instead, each on
+its own. Both leave the result the same.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from overround.llm.shared import gram_hashes, joined_words, span_hashes, text_slices, word_spans, written
+from overround.llm.shared import gram_hashes, joined_words, mix, span_hashes, text_slices, word_spans, written
 
 WINDOW, GRAM = 20, 5
 #: Minimisers are counted in so many bins, to find hot ones; a run holds so many windows at most; slices of text.
 BINS, MAX_RUN, SLICE = 1 << 16, 512, 6 << 20
+#: Spans known to repeat that travel as one row, at most.
+MAX_KNOWN = 1 << 12
 #: Bytes of packed strings in a bucket, before compression.
 BUCKET_BYTES = 6 << 20
 _CODEC = pa.Codec("zstd", 5)
@@ -89,7 +92,9 @@ def _unpack(payload: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _scatter(hot: np.ndarray, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Packed strings by bucket: rows (bucket, size, payload)."""
+    """Packed strings by bucket: rows (bucket, size, payload); spans known to repeat have negative buckets."""
+
+    none = np.zeros(0, np.int64)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, 1, SLICE):
@@ -110,12 +115,16 @@ def _scatter(hot: np.ndarray, buckets: int) -> Callable[[Iterator[pa.RecordBatch
             send = send[np.argsort(bucket[send], kind="stable")]
             cuts = np.flatnonzero(np.diff(bucket[send])) + 1
             out: list[tuple[int, int, bytes]] = []
-            for k, part in enumerate(np.split(send, cuts)):
+            for part in np.split(send, cuts):
                 length = hi[part] - lo[part] + 1  # with the space behind it
                 index = np.repeat(lo[part] - (np.cumsum(length) - length), length) + np.arange(length.sum())
-                extra = known if k == 0 else known[:0]
-                size = 16 + 24 * (len(part) + len(extra)) + len(index)
-                out.append((int(bucket[part[0]]), size, _pack(doc[part], at[part], n_words[part], data[index].tobytes(), extra)))
+                size = 16 + 24 * len(part) + len(index)
+                out.append((int(bucket[part[0]]), size, _pack(doc[part], at[part], n_words[part], data[index].tobytes(), known[:0])))
+            known = _merged(known)
+            for k in range(0, len(known), MAX_KNOWN):
+                some = known[k : k + MAX_KNOWN]
+                place = mix(mix(some[:1, 0].astype(np.uint64)) + some[:1, 1].astype(np.uint64))
+                out.append((-1 - int(place[0] % np.uint64(buckets)), 16 + 24 * len(some), _pack(none, none, none, b"", some)))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
                                               pa.array([r[2] for r in out], pa.binary())], ["bucket", "size", "payload"])
 
@@ -145,10 +154,23 @@ def _combined(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, doc: np.ndarray,
     return np.flatnonzero(send), np.stack([doc[gone], at[gone], at[gone] + n_words[gone]], axis=1).astype(np.int64)
 
 
+def _merged(spans: np.ndarray) -> np.ndarray:
+    """The same words of each document as spans (document, from, to) that neither overlap nor touch, in order."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    # Places of different documents are moved apart, so that one running maximum serves all.
+    number = np.cumsum(np.append(0, spans[1:, 0] != spans[:-1, 0])) * (spans[:, 2].max() + 1)
+    reach = np.maximum.accumulate(spans[:, 2] + number)
+    new = np.append(True, spans[1:, 1] + number[1:] > reach[:-1])
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(spans)) - 1
+    return np.stack([spans[begin, 0], spans[begin, 1], reach[last] - number[last]], axis=1)
+
+
 def _repeats(blocks: list[tuple[int, bytes]]) -> np.ndarray:
     """(document, from, to) of the words that a bucket's windows repeat."""
     parts = [_unpack(payload, size) for size, payload in blocks]
-    known = np.concatenate([p[4] for p in parts])
     ids, at, n_words = (np.concatenate([p[k] for p in parts]) for k in range(3))
     raw = b"".join(p[3] for p in parts)
     del parts
@@ -186,28 +208,29 @@ def _repeats(blocks: list[tuple[int, bytes]]) -> np.ndarray:
     cuts = np.flatnonzero(edge)
     a, b = cuts[:-1], cuts[1:]
     a, b = a[repeated[a]], b[repeated[a]]
-    spans = np.stack([doc[a], begin[a], begin[a] + (b - a) + WINDOW - 1], axis=1) if len(a) else np.zeros((0, 3), np.int64)
-    return np.concatenate([known, spans])
+    return np.stack([doc[a], begin[a], begin[a] + (b - a) + WINDOW - 1], axis=1) if len(a) else np.zeros((0, 3), np.int64)
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket; one bucket is held at a time."""
+    """Rows come sorted by bucket; one bucket is held at a time, spans known to repeat go straight through."""
     bucket: int | None = None
     blocks: list[tuple[int, bytes]] = []
 
-    def close() -> pa.RecordBatch:
-        found = _repeats(blocks)
+    def spans(found: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in range(3)], ["id", "start", "stop"])
 
     for batch in batches:
         for b, size, payload in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            if b < 0:
+                yield spans(_unpack(payload, size)[4])
+                continue
             if b != bucket and blocks:
-                yield close()
+                yield spans(_repeats(blocks))
                 blocks = []
             bucket = b
             blocks.append((size, payload))
     if blocks:
-        yield close()
+        yield spans(_repeats(blocks))
 
 
 def repeated_spans(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

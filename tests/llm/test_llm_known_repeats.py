@@ -1,0 +1,43 @@
+"""Repeats that are known within a slice: merged, spread and never gathered."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from overround.llm import substring
+
+
+def test_merged_spans_cover_the_same_words():
+    rng = random.Random(4)
+    spans = [(rng.randrange(5), a, a + rng.randrange(1, 9)) for a in (rng.randrange(60) for _ in range(90))]
+    got = substring._merged(np.array(spans, np.int64)).tolist()
+    covered = {(d, w) for d, a, b in spans for w in range(a, b)}
+    assert sorted((d, w) for d, a, b in got for w in range(a, b)) == sorted(covered)
+    assert all(d != e or b < c for (d, _, b), (e, c, _) in zip(got, got[1:], strict=False))
+    assert len(substring._merged(np.zeros((0, 3), np.int64))) == 0
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_copies_put_one_span_each_into_spread_rows(hot):
+    """Every slice repeats one long text: its windows are known repeats, all but those of one copy."""
+    text = " ".join(f"w{k}" for k in range(400))
+    slices = [pa.RecordBatch.from_arrays([pa.array(range(50 * s, 50 * s + 50)), pa.array([text] * 50)], ["id", "text"]) for s in range(40)]
+    rows = []
+    for batch in substring._scatter(np.full(substring.BINS, hot), 64)(iter(slices)):
+        rows += zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
+    known = [(b, substring._unpack(payload, size)[4]) for b, size, payload in rows]
+    assert all(b < 0 or not len(k) for b, k in known)
+    assert sorted(tuple(s) for _, k in known for s in k.tolist()) == [(d, 0, 400) for d in range(2000) if d % 50]
+    load = Counter()
+    for b, k in known:
+        load[b] += len(k)
+    assert max(load.values()) <= 0.2 * sum(load.values())
+    got = Counter(tuple(s) for batch in substring._gather(iter([pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.binary())],
+        ["bucket", "size", "payload"]).take(pa.array(np.argsort([r[0] for r in rows], kind="stable")))])) for s in zip(
+            *(batch.column(k).to_pylist() for k in range(3)), strict=True))
+    gone = {(d, w) for d, a, b in got for w in range(a, b)}
+    assert gone == {(d, w) for d in range(1, 2000) for w in range(400)}
