@@ -56,7 +56,8 @@ STAGES = [
     ("decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]
-#: SQL can't express sketches, learned lexicons or tokenisers; tests/llm compares run() with a brute-force version.
+#: SQL can't express sketches, learned lexicons or tokenisers; tests/llm/test_llm_stages.py compares each stage and
+#: run()'s pieces with plain Python (toxicity and leaks with the operators' own marks).
 ORACLE_SQL = None
 
 

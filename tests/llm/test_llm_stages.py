@@ -5,9 +5,10 @@ import random
 import pytest
 
 import corpus_pipeline
-from overround.llm import minhash
+from overround.llm import decontaminate, minhash, queries, toxicity
 from tests.llm.conftest import SF, with_clashes
-from tests.llm.test_llm_dedup import noisy, shingles
+from tests.llm.test_llm_dedup import cut, noisy, shingles
+from tests.llm.test_llm_packing_leaks import check_packing, ids_of
 
 
 def kept_at(rows, percent):
@@ -51,3 +52,31 @@ def test_bands_find_sets_at_the_bound(percent):
     rows = minhash.band_rows(percent)
     assert (1 - (percent / 100) ** rows) ** (minhash.BINS // rows) <= minhash.MISSES
     assert percent != 85 or rows == 8
+
+
+def test_run_equals_plain_python_stage_by_stage(spark, documents):
+    """Toxicity and leaks by the operators' marks; near copies, passages and pieces by plain Python."""
+    labels, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "benchmark"))
+    scored = toxicity.score_toxicity(documents, labels, queries.fold("doc_id", 3) == 1).collect()
+    clean = {r["doc_id"]: r["text"] for r in scored if r["toxicity"]["predicted"] == 0}
+    single = kept_at(list(clean.items()), 80)
+    once = [(d, clean[d]) for d in sorted(single)]
+    texts = {d: t if not gone else kept for (d, t), (_, _, gone, kept) in zip(once, cut(once), strict=True)}
+    rest = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    leaks = {r["doc_id"] for r in decontaminate.mark_leaks(rest, items, out_col="found").where("size(found) > 0").collect()}
+    last = {d: t for d, t in texts.items() if d not in leaks}
+    want, docs = [clean, dict(once), texts, last], documents
+    for (name, stage), expected in zip(corpus_pipeline.STAGES[:-1], want, strict=True):
+        docs = corpus_pipeline.written(stage(spark, docs, SF), name)
+        got = docs.select("doc_id", "text").collect()
+        assert len(got) == len(expected) and {r["doc_id"]: r["text"] for r in got} == expected, name
+    check_packing(corpus_pipeline.run(spark, SF).collect(), dict(zip(last, ids_of(last.values()), strict=True)), 4096)
+
+
+def test_toxicity_stage_drops_what_the_operator_predicts(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    scored = toxicity.score_toxicity(docs, labels, queries.fold("doc_id", 3) == 1).collect()
+    toxic = {r["doc_id"] for r in scored if r["toxicity"]["predicted"] == 1}
+    kept = [r["doc_id"] for r in corpus_pipeline.toxicity_stage(spark, docs, sf).select("doc_id").collect()]
+    assert toxic and sorted(kept) == sorted(r["doc_id"] for r in scored if r["doc_id"] not in toxic)
