@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from overround.llm import ann, chat, decontaminate, langid, minhash, packing, quality, substring, toxicity, urls
+from overround.llm import (
+    align, ann, bpe, chat, decontaminate, langid, minhash, packing, quality, runs, substring, toxicity, urls,
+)
 from overround.llm.shared import read_table
 
 #: The block list and permissions of the crawl (fixed values).
@@ -75,6 +77,42 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_sort(F.array_distinct("leaks.item_id")).alias("item_ids"), "leaks")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align.align_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"), groups_as="sha256")
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode_texts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def periodic_tails(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): of each document with h % 10 = 0 (h: crc32 of its id) the words from a on repeat the first p of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = documents.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(
+        F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")))
+    placed = chosen.withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10")).withColumn(
+        "a", F.expr("if(n > 0, g % n, 0)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    moved = F.expr("array_join(transform(sequence(0, n - 1), i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')")
+    return placed.select("doc_id", F.when(F.col("n") > 0, moved).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.periodic_runs(periodic_tails(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # Runs come by start, then period, so the first of those with the greatest exponent is the one wanted.
+    top = F.expr("""aggregate(runs, cast(null as struct<start: long, length: long, period: long>), (best, r) ->
+        if(best is null or r.length * best.period > best.length * r.period, r, best))""")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    out = out.select("doc_id", "runs", "collapsed", top.alias("top"))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 OP2_SQL = r"""
 WITH RECURSIVE split AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -208,6 +246,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_preference_format": op9_preference_format,
     "op10_decontaminate": op10_decontaminate,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_bpe": op12_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_minhash_dedup": OP2_SQL,
