@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 
 from .plans import pipelines
 from .session import build_session
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Parse arguments, run one feed, print the written table paths."""
+    """Parse arguments, run one feed, print the written table paths; 1 if a market failed."""
     ap = argparse.ArgumentParser(prog="overround")
     sub = ap.add_subparsers(dest="feed", required=True)
     tab = sub.add_parser("tab", help="TAB-style responses -> TAB market tables")
@@ -45,9 +46,13 @@ def main(argv: list[str] | None = None) -> int:
         out = pipelines.run_sportsbet(spark, args.pages, args.landing, args.metadata, args.out,
                                       args.snapshot, args.format, base=args.base)
     print(json.dumps(out, indent=2))
+    wanted = pipelines.TAB_MARKETS if args.feed == "tab" else {"sportsbet_h2h", *pipelines.SPORTSBET_ROUTES}
+    failed = sorted(set(wanted) - set(out))
+    if failed:
+        print(f"failed (see {args.out}/run_ledger): {', '.join(failed)}", file=sys.stderr)
     if owned:
         spark.stop()
-    return 0
+    return 1 if failed else 0
 
 
 if __name__ == "__main__":

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .groups import row_number_within
+from .ordinals import with_ordinal
 
 
 def _q(alias: str, name: str) -> Column:
@@ -108,10 +109,14 @@ def positional_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left
 
     Rows are numbered by an explicit order on each side and joined on ``keys``
     and the number, an equi-join.  ``inner`` keeps as many rows as the shorter
-    side has, ``full`` pads the shorter side with nulls.  Output: keys, position
-    (from 0), then the other columns of both sides.
+    side has, ``full`` pads the shorter side with nulls.  Without keys the
+    positions count over the whole tables (``with_ordinal``), in as many tasks
+    as the tables need.  Output: keys, position (from 0), then the other columns
+    of both sides.
     """
     def numbered(df: DataFrame, ord_cols: Sequence[str]) -> DataFrame:
+        if not keys:
+            return with_ordinal(df, ord_cols, pos_name)
         return df.withColumn(pos_name, row_number_within(keys, ord_cols) - 1)
 
     return natural_join_columns(numbered(left, left_ord), numbered(right, right_ord), [*keys, pos_name], how)

@@ -505,10 +505,37 @@ def q_html_class_text(spark: SparkSession, d: str) -> DataFrame:
 
 @register("html_class_text_parsed", ORACLE_SQL["html_class_text"])
 def q_html_class_text_parsed(spark: SparkSession, d: str) -> DataFrame:
-    """H1 with the markup of each element first, then its text, in two steps."""
-    from ..sources import element_text, elements_by_class
-    found = _t(spark, d, "pages").select("page_id", F.posexplode(elements_by_class("html", "ad")).alias("pos", "markup"))
-    return found.select("page_id", "pos", element_text("markup").alias("text"))
+    """H1 by the depth of tags; on elements that hold no others it gives what the first closing tag gives."""
+    from ..sources import nested_texts
+    return _t(spark, d, "pages").select("page_id", F.posexplode(nested_texts("html", "ad")).alias("pos", "text"))
+
+
+_NESTED_SQL = """replace(replace(replace(html, '<div class="ad">', '<div class="ad">Ad <div><b>1</b> &amp; <br></div>'),
+  '<article>', '<div class="x ad"><article>'), '</article>', '</article>end</div>')"""
+_VOID_SQL = "'area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'source', 'track', 'wbr'"
+
+
+@register("html_nested_text", f"""
+WITH p AS (SELECT page_id, regexp_replace({_NESTED_SQL},
+    '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>', '', 'g') AS h FROM pages),
+x AS (SELECT page_id, regexp_extract_all(h, '<[^<]*|^[^<]+') AS t FROM p),
+t AS (SELECT page_id, unnest(t) AS piece, generate_subscripts(t, 1) AS place FROM x),
+n AS (SELECT *, lower(regexp_extract(piece, '^</?([A-Za-z][A-Za-z0-9-]*)', 1)) AS name, regexp_replace(piece, '(?s)^</?[A-Za-z][^>]*>', '') AS tail
+      FROM t),
+k AS (SELECT *, CASE WHEN name = '' OR name IN ({_VOID_SQL}) OR regexp_matches(piece, '^<[^>]*/>') THEN 0
+                     WHEN starts_with(piece, '</') THEN -1 ELSE 1 END AS step FROM n),
+deep AS (SELECT *, sum(step) OVER (PARTITION BY page_id, name ORDER BY place) AS depth FROM k WHERE step <> 0),
+m AS (SELECT *, lead(place) OVER (PARTITION BY page_id, name, CASE WHEN step = 1 THEN depth ELSE depth + 1 END ORDER BY place) AS stop FROM deep),
+s AS (SELECT page_id, place, stop, CAST(row_number() OVER (PARTITION BY page_id ORDER BY place) - 1 AS INTEGER) AS pos FROM m
+      WHERE step = 1 AND regexp_matches(piece, '^<[^>]*\\sclass="([^"]*\\s)?ad(\\s[^"]*)?"')),
+e AS (SELECT s.page_id, s.pos, string_agg(k.tail, '' ORDER BY k.place) AS text FROM s JOIN k ON k.page_id = s.page_id
+        AND k.place >= s.place AND k.place < coalesce(s.stop, 1000000000) GROUP BY s.page_id, s.pos)
+SELECT page_id, pos, {_decode_sql('text')} AS text FROM e""".replace("\\\\", "\\"))
+def q_html_nested_text(spark: SparkSession, d: str) -> DataFrame:
+    """Elements that hold elements of their own tag and class: each ends where its depth returns."""
+    from ..sources import nested_texts
+    pages = _t(spark, d, "pages")
+    return pages.select("page_id", F.posexplode(nested_texts(F.expr(_NESTED_SQL), "ad")).alias("pos", "text"))
 
 
 @register("url_id_first", """
@@ -1613,3 +1640,101 @@ def q_json_orders_nested(spark: SparkSession, d: str) -> DataFrame:
     landed.write.mode("append").json(path)  # landed twice: counts once
     sel = current_documents(tab_selections(parse_documents(read_landed(spark, path), S.TAB_RESPONSE)))
     return sel.select("match", "market_pos", "market_name", "prop_pos", "prop_id", "price")
+
+
+_L_ALL = ("l_orderkey", *LINE_ORD)
+
+
+@register("positional_join_global", f"""
+WITH l AS (SELECT *, row_number() OVER (ORDER BY {", ".join(_L_ALL)}) - 1 AS pos FROM lineitem),
+e AS (SELECT *, row_number() OVER (ORDER BY event_type, value, event_id) - 1 AS pos FROM events)
+SELECT pos, l_orderkey, l_linenumber, l_partkey, event_id, event_type FROM l JOIN e USING (pos)""")
+def q_positional_join_global(spark: SparkSession, d: str) -> DataFrame:
+    """Two tables side by side without keys: the i-th line beside the i-th event."""
+    lines = _t(spark, d, "lineitem").select(*_L_ALL)
+    events = _t(spark, d, "events").select("event_type", "value", "event_id")
+    joined = op.positional_join(lines, events, [], _L_ALL, ["event_type", "value", "event_id"])
+    return joined.select("pos", "l_orderkey", "l_linenumber", "l_partkey", "event_id", "event_type")
+
+
+@register("response_ledger", f"""
+WITH b AS (SELECT *, '[' || CASE WHEN event_type = 'error' THEN replace(props, ':', '=') ELSE props END || ']' AS body FROM events),
+landed AS (
+  SELECT CASE WHEN event_type = 'signup' THEN 'body:' || sha256(body) ELSE '{_EVENT_URL}' || CAST(event_id AS VARCHAR) END AS url,
+         event_type <> 'error' AS valid
+  FROM b, (SELECT unnest([1, 2]) AS time) WHERE event_type <> 'click' AND (time = 1 OR event_type = 'view')
+), counted AS (
+  SELECT url, count(*) AS n_landed, count(*) FILTER (WHERE valid) AS n_valid FROM landed GROUP BY url
+), asked AS (
+  SELECT '{_EVENT_URL}' || CAST(event_id AS VARCHAR) AS url, event_id AS match_id, 'main' AS endpoint FROM events WHERE event_type <> 'purchase'
+)
+SELECT url, match_id, endpoint, coalesce(n_landed, 0) AS n_landed, coalesce(n_valid, 0) AS n_valid,
+       CASE WHEN n_landed IS NULL THEN 'missing' WHEN n_valid = 0 THEN 'rejected' WHEN match_id IS NULL THEN 'unexpected'
+            ELSE 'answered' END AS status
+FROM asked FULL JOIN counted USING (url)""")
+def q_response_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Requests for all events but purchases; clicks aren't answered, errors don't parse, sign-ups land without
+    a url, views land twice."""
+    from .. import schemas as S
+    from ..session import scratch_path
+    from ..sources import parse_documents, read_landed, response_ledger
+    ev, kind = _t(spark, d, "events"), F.col("event_type")
+    url = F.concat(F.lit(_EVENT_URL), F.col("event_id").cast("string"))
+    props = F.when(kind == "error", F.replace("props", F.lit(":"), F.lit("="))).otherwise(F.col("props"))
+    path = scratch_path(spark, "ledger-landing")
+    landed = ev.where(kind != "click").select(F.when(kind != "signup", url).alias("url"), F.concat(
+        F.lit("["), props, F.lit("]")).alias("body"), F.explode(F.when(kind == "view", F.array(F.lit(1), F.lit(2))).otherwise(
+            F.array(F.lit(1)))).alias("_time"))
+    landed.drop("_time").write.json(path)
+    asked = ev.where(kind != "purchase").select(url.alias("url"), F.col("event_id").alias("match_id"), F.lit("main").alias("endpoint"))
+    out = response_ledger(parse_documents(read_landed(spark, path), S.SB_MARKETS_RESPONSE), asked)
+    return out.select("url", "match_id", "endpoint", "n_landed", "n_valid", "status")
+
+
+@register("run_ledger", f"""
+SELECT 'head_to_head' AS market, 'written' AS status, (SELECT count(*) FROM ({SQL_MARKET_H2H_NTH})) AS n_rows
+UNION ALL SELECT 'outright', 'written', (SELECT count(*) FROM ({ORACLE_SQL["market_outright"]}))
+UNION ALL SELECT 'broken', 'failed', NULL""")
+def q_run_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """A run of three markets whose second breaks on its rows; the others are written."""
+    from ..session import scratch_path
+    from .runs import MarketRun
+    out = scratch_path(spark, "run")
+    run = MarketRun(spark, out, "TPCH", "sf")
+
+    def broken() -> DataFrame:
+        return _t(spark, d, "orders").select(F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("bad price"))).alias("x"))
+
+    builders = {"head_to_head": lambda: q_market_h2h_nth(spark, d), "broken": broken, "outright": lambda: q_market_outright(spark, d)}
+    for name, build in builders.items():
+        run.table(name, build, f"{out}/{name}", lambda df, path: df.write.parquet(path))
+    return run.ledger().select("market", "status", "n_rows")
+
+
+_RULE_NAME = "'From ' || {letters} || ' ' || l_linestatus || CASE WHEN l_returnflag = 'N' THEN ' new stock' ELSE ' stock' END"
+
+
+@register("canonicalize_rule_table", f"""
+WITH rules AS (
+  SELECT '(^From ' || {_letters_sql('s_suppkey')} || ' O)|(' || {_letters_sql('s_suppkey')} || ' F new)' AS pattern, s_name AS canonical,
+         s_suppkey AS priority FROM supplier
+  UNION ALL SELECT '^From ' || {_letters_sql('s_suppkey')} || ' ', 'Depot ' || CAST(s_nationkey AS VARCHAR), 1000000 + s_suppkey FROM supplier
+  UNION ALL SELECT '^From [a-e]+ F', 'Finished', 0
+), names AS (
+  SELECT DISTINCT {_RULE_NAME.format(letters=_letters_sql('l_suppkey'))} AS name FROM lineitem
+), hits AS (
+  SELECT name, arg_min(canonical, priority) AS canonical FROM names JOIN rules ON regexp_matches(name, pattern) GROUP BY name
+)
+SELECT l_orderkey, l_linenumber, coalesce(canonical, name) AS name
+FROM (SELECT *, {_RULE_NAME.format(letters=_letters_sql('l_suppkey'))} AS name FROM lineitem) JOIN names USING (name) LEFT JOIN hits USING (name)""")
+def q_canonicalize_rule_table(spark: SparkSession, d: str) -> DataFrame:
+    """Two rules for each supplier, from the table, and one that can't be filed under a plain text."""
+    s = _t(spark, d, "supplier").withColumn("w", _letters("s_suppkey"))
+    first = s.select(F.concat(F.lit("(^From "), "w", F.lit(" O)|("), "w", F.lit(" F new)")).alias("pattern"),
+                     F.col("s_name").alias("canonical"), F.col("s_suppkey").cast("bigint").alias("priority"))
+    second = s.select(F.concat(F.lit("^From "), "w", F.lit(" ")), F.concat(F.lit("Depot "), F.col("s_nationkey").cast("string")),
+                      F.col("s_suppkey").cast("bigint") + 1000000)
+    third = spark.createDataFrame([("^From [a-e]+ F", "Finished", 0)], first.schema)
+    li = _t(spark, d, "lineitem").withColumn("w", _letters("l_suppkey"))
+    named = li.select("l_orderkey", "l_linenumber", F.expr(_RULE_NAME.format(letters="w")).alias("name"))
+    return fx.canonicalize_by_table(named, "name", first.union(second).union(third))

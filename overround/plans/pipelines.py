@@ -7,7 +7,7 @@ agency and snapshot) to shared storage and every market is built from that
 written table.  Writing it cuts the lineage, so a lost executor re-reads
 files instead of re-parsing every response, and each market job prunes to
 its snapshot through partition pruning.  Market tables are independent
-jobs; none is a driver-side loop over matches.
+jobs (``runs.MarketRun``); none is a driver-side loop over matches.
 """
 
 from __future__ import annotations
@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..sources import (
-    current_documents, event_metadata, listing_cards, listing_rejects, parse_documents, quarantine_split,
-    read_landed, read_pages, read_whole_files, replace_partitions, sportsbet_selections, tab_selections,
-    url_manifest, write_csv, write_parquet,
+    current_documents, current_responses, event_metadata, listing_cards, listing_rejects, parse_documents,
+    quarantine_split, read_landed, read_pages, read_whole_files, replace_partitions, response_ledger,
+    sportsbet_selections, tab_selections, url_manifest, write_csv, write_parquet,
 )
+from ..sources.identity import UNEXPECTED
 from ..sources.manifest import DEFAULT_TEMPLATE
 from . import markets as mk
+from .runs import MarketRun
 
 TAB_MARKETS: Mapping[str, Callable[..., DataFrame]] = {
     "tab_h2h": mk.h2h_nth,
@@ -77,14 +79,15 @@ def _landed(spark: SparkSession, path: str, layout: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, landing: str, layout: str, schema, rejects_path: str,
-            work_path: str) -> DataFrame:
-    """Parse once into shared storage; the rejects are written with their text,
-    the valid documents are read back."""
+            work_path: str) -> tuple[DataFrame, DataFrame]:
+    """(all documents, the valid ones that count), parsed once into shared storage;
+    the rejects are written with their text."""
     docs = parse_documents(_landed(spark, landing, layout), schema)
-    docs.drop("is_record").write.mode("overwrite").parquet(work_path)
-    good, rejects = quarantine_split(spark.read.parquet(work_path))
+    docs.drop("is_record").withColumn("body_hash", F.xxhash64("body")).write.mode("overwrite").parquet(work_path)
+    landed = spark.read.parquet(work_path)
+    good, rejects = quarantine_split(landed)
     _write(rejects.select("url", "body"), rejects_path, "parquet")
-    return good
+    return landed, current_responses(good)
 
 
 def _write(df: DataFrame, path: str, fmt: str) -> None:
@@ -97,17 +100,20 @@ def _write(df: DataFrame, path: str, fmt: str) -> None:
 def run_tab(spark: SparkSession, landing: str, out_dir: str, snapshot_id: str = "latest",
             fmt: str = "parquet", layout: str = "lines") -> dict[str, str]:
     """TAB run: parse landed responses, quarantine bad ones, land the
-    selections, then write every TAB market table."""
-    good = _parsed(spark, landing, layout, S.TAB_RESPONSE, f"{out_dir}/rejects/tab/snapshot_id={snapshot_id}",
-                   f"{out_dir}/documents/tab/snapshot_id={snapshot_id}")
-    land_selections(current_documents(tab_selections(good, snapshot_id=snapshot_id)), f"{out_dir}/selections",
-                    "TAB", snapshot_id)
+    selections, then write every TAB market table.
+
+    ``responses`` says of every landed response what became of it, ``run_ledger``
+    of every market; a market that fails leaves its last table and doesn't stop
+    the others.  Returns the paths of the markets that were written."""
+    landed, good = _parsed(spark, landing, layout, S.TAB_RESPONSE, f"{out_dir}/rejects/tab/snapshot_id={snapshot_id}",
+                           f"{out_dir}/documents/tab/snapshot_id={snapshot_id}")
+    _write(response_ledger(landed), f"{out_dir}/responses/tab/snapshot_id={snapshot_id}", "parquet")
+    land_selections(tab_selections(good, snapshot_id=snapshot_id), f"{out_dir}/selections", "TAB", snapshot_id)
     sel = read_selections(spark, f"{out_dir}/selections", "TAB", snapshot_id)
-    out = {}
+    run = MarketRun(spark, out_dir, "TAB", snapshot_id)
     for name, build in TAB_MARKETS.items():
-        out[name] = f"{out_dir}/{name}/snapshot_id={snapshot_id}"
-        _write(build(sel), out[name], fmt)
-    return out
+        run.table(name, partial(build, sel), f"{out_dir}/{name}/snapshot_id={snapshot_id}", partial(_write, fmt=fmt))
+    return run.close()
 
 
 def sportsbet_teams(cards: DataFrame) -> DataFrame:
@@ -159,33 +165,37 @@ def run_sportsbet(spark: SparkSession, pages_path: str, landing: str, metadata_l
     landed market responses give the selections, matched by the manifest.
 
     Teams and event ids are written once and read by every market; pages whose
-    cards and links differ in number, and responses that don't parse, go to
-    ``rejects``."""
+    cards and links differ in number, responses that don't parse, and responses
+    that the manifest didn't ask for, go to ``rejects``.  ``responses`` says of
+    every request and response what became of it, ``run_ledger`` of every market;
+    a market that fails leaves its last table and doesn't stop the others."""
     def part(name: str) -> str:
         return f"{out_dir}/{name}/snapshot_id={snapshot_id}"
 
     pages = read_pages(spark, pages_path)
     cards = listing_cards(pages)
+    run, write = MarketRun(spark, out_dir, "Sportsbet", snapshot_id), partial(_write, fmt=fmt)
     _write(listing_rejects(pages), part("rejects/sportsbet_pages"), "parquet")
-    out = {"sportsbet_h2h": part("sportsbet_h2h")}
-    _write(mk.h2h_positional(cards), out["sportsbet_h2h"], fmt)
+    run.table("sportsbet_h2h", lambda: mk.h2h_positional(cards), part("sportsbet_h2h"), write)
     _write(sportsbet_teams(cards), part("teams/sportsbet"), "parquet")
     teams = spark.read.parquet(part("teams/sportsbet"))
     manifest = url_manifest(teams.select("match_id").distinct(), base=base, template=template)
 
-    good = _parsed(spark, landing, "lines", S.SB_MARKETS_RESPONSE, part("rejects/sportsbet"),
-                   part("documents/sportsbet"))
+    landed, good = _parsed(spark, landing, "lines", S.SB_MARKETS_RESPONSE, part("rejects/sportsbet"),
+                           part("documents/sportsbet"))
+    _write(response_ledger(landed, manifest), part("responses/sportsbet"), "parquet")
+    unasked = spark.read.parquet(part("responses/sportsbet")).where(F.col("status") == UNEXPECTED).select("url")
+    _write(good.join(unasked, "url", "left_semi").select("url", "body"), part("rejects/sportsbet_unexpected"), "parquet")
     sel = sportsbet_selections(good, manifest, snapshot_id=snapshot_id)
-    land_selections(current_documents(sel), f"{out_dir}/selections", "Sportsbet", snapshot_id)
+    land_selections(sel, f"{out_dir}/selections", "Sportsbet", snapshot_id)
     sel = read_selections(spark, f"{out_dir}/selections", "Sportsbet", snapshot_id)
-    events = _parsed(spark, metadata_landing, "lines", S.SB_EVENT_METADATA, part("rejects/sportsbet_metadata"),
-                     part("documents/sportsbet_metadata"))
+    _, events = _parsed(spark, metadata_landing, "lines", S.SB_EVENT_METADATA, part("rejects/sportsbet_metadata"),
+                        part("documents/sportsbet_metadata"))
     _write(_metadata(events, manifest), part("event_meta/sportsbet"), "parquet")
     meta = spark.read.parquet(part("event_meta/sportsbet"))
     for name, build in sportsbet_builders(sel, teams, meta).items():
-        out[name] = part(name)
-        _write(build(), out[name], fmt)
-    return out
+        run.table(name, build, part(name), write)
+    return run.close()
 
 
 def refresh_tab_markets(spark: SparkSession, selections_path: str, out_dir: str,
@@ -203,15 +213,17 @@ def refresh_tab_markets(spark: SparkSession, selections_path: str, out_dir: str,
         sel = sel.filter(F.col("snapshot_id").isin(list(snapshot_ids)))
     sel = current_documents(sel)
     replaced = _partitions("TAB", snapshot_ids)
-    out = {}
+    run = MarketRun(spark, out_dir, "TAB", ",".join(snapshot_ids) if snapshot_ids is not None else None)
+
+    def keyed(build: Callable[..., DataFrame], **kwargs) -> DataFrame:
+        out = build(sel, with_keys=True, **kwargs)
+        return out if "agency" in out.columns else out.withColumn("agency", F.lit("TAB"))
+
     for name, build in TAB_MARKETS.items():
-        out[name] = f"{out_dir}/{name}"
         kwargs = {"sort": False} if name in ("tab_totals", "tab_total_tries", "tab_player_tries",
                                              "tab_first_try_scorer") else {}
-        keyed = build(sel, with_keys=True, **kwargs)
-        replace_partitions(keyed if "agency" in keyed.columns else keyed.withColumn("agency", F.lit("TAB")),
-                           out[name], S.SNAPSHOT_KEYS, replaced)
-    return out
+        run.partitions(name, partial(keyed, build, **kwargs), f"{out_dir}/{name}", S.SNAPSHOT_KEYS, replaced)
+    return run.close()
 
 
 def _partitions(agency: str, snapshot_ids: Sequence[str] | None) -> list[dict[str, str]] | None:
@@ -247,11 +259,10 @@ def refresh_sportsbet_markets(spark: SparkSession, selections_path: str, pages_p
     _write(bad.select("url", "body"), f"{out_dir}/rejects/sportsbet_metadata", "parquet")
     builders = {"sportsbet_h2h": lambda: mk.h2h_positional(cards, keep=("snapshot_id",)),
                 **sportsbet_builders(sel, teams, _metadata(events, manifest), with_keys=True)}
-    out = {}
+    run = MarketRun(spark, out_dir, "Sportsbet", ",".join(snapshot_ids) if snapshot_ids is not None else None)
     for name, build in builders.items():
-        out[name] = f"{out_dir}/{name}"
-        replace_partitions(build(), out[name], S.SNAPSHOT_KEYS, _partitions("Sportsbet", snapshot_ids))
-    return out
+        run.partitions(name, build, f"{out_dir}/{name}", S.SNAPSHOT_KEYS, _partitions("Sportsbet", snapshot_ids))
+    return run.close()
 
 
 def read_market(spark: SparkSession, out_dir: str, name: str, keyed: bool = False) -> DataFrame:

@@ -9,15 +9,17 @@ equivalent of wrapping each request in an error guard).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import as_numeric, url_match_id
 from ..operators import lookup_join, unnest_path
+from .identity import body_name
 from .manifest import url_endpoint
 
+
 def read_nested_json(spark: SparkSession, path: str | list[str], schema: T.StructType,
                      multi_line: bool = True) -> DataFrame:
     """Nested JSON documents read with an explicit schema (no inference)."""
@@ -27,12 +29,14 @@ def read_nested_json(spark: SparkSession, path: str | list[str], schema: T.Struc
 def landed_records(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Text lines of landing files -> ``(url, body, landed_at, keep...)``.
 
-    A line that is no landing record (broken JSON, or without a body) keeps its
-    text as ``body`` and fails the parse later, so its text reaches the rejects.
+    A record without a url is named by its text (``body:<SHA-256>``), so two of
+    them are two documents and equal ones are one.  A line that is no landing
+    record (broken JSON, or without a body) keeps its text as ``body`` and fails
+    the parse later, so its text reaches the rejects.
     """
     record = F.from_json("value", S.LANDED_RESPONSE)
     rows = lines.where(F.trim("value") != "").withColumn("_r", record)
-    return rows.select(F.col("_r.url").alias("url"), F.coalesce("_r.body", "value").alias("body"),
+    return rows.select(F.coalesce("_r.url", body_name("_r.body")).alias("url"), F.coalesce("_r.body", "value").alias("body"),
                        F.col("_metadata.file_modification_time").alias("landed_at"),
                        F.col("_r.body").isNotNull().alias("is_record"), *keep)
 
@@ -86,21 +90,12 @@ def quarantine_split(df: DataFrame, valid_col: str = "is_valid") -> tuple[DataFr
     return df.filter(flag), df.filter(~flag)
 
 
-def current_documents(selections: DataFrame) -> DataFrame:
-    """Selections of one response for each (agency, snapshot, url): the one landed
-    last (ties: the larger text hash); a response landed again replaces the
-    earlier one as a whole, and equal copies count once."""
-    keys = (*S.SNAPSHOT_KEYS, "source_url")
-    latest = Window.partitionBy(*keys).orderBy(F.col("landed_at").desc_nulls_last(), F.col("body_hash").desc_nulls_last())
-    rows = selections.withColumn("_rank", F.rank().over(latest)).where("_rank = 1").drop("_rank")
-    return rows.dropDuplicates([*keys, *S.ORD])
-
-
 def _origin(docs: DataFrame) -> list[F.Column]:
     """When a document was landed and the hash of its text, where they are known."""
     none = F.lit(None)
     return [(F.col("landed_at") if "landed_at" in docs.columns else none.cast("timestamp")).alias("landed_at"),
-            (F.xxhash64("body") if "body" in docs.columns else none.cast("bigint")).alias("body_hash")]
+            (F.col("body_hash") if "body_hash" in docs.columns else F.xxhash64("body") if "body" in docs.columns
+             else none.cast("bigint")).alias("body_hash")]
 
 
 def _snapshot(snapshot_id) -> F.Column:

@@ -66,6 +66,63 @@ def elements_by_class(html: Column | str, cls: str) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), 2)
 
 
+#: Elements that have no content and no closing tag (fixed values of the HTML standard).
+VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+_TAG = r"""(?s)^<(/?)([A-Za-z][A-Za-z0-9-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>(.*)$"""
+
+
+def _page_tags(html: Column, cls: str) -> Column:
+    """The tags of a page in order: (at, name, step, found, tail).
+
+    ``step`` is 1 for a tag that opens an element, -1 for one that closes, 0
+    for what has no content; ``found`` marks opening tags with the class; ``tail``
+    is the text up to the next tag.  Comments, scripts and styles are no tags.
+    """
+    clean = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>", "")
+    pieces = F.split(clean, "(?=<)")
+
+    def tag(piece: Column, at: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, _TAG, 2))
+        attributes = F.regexp_extract(piece, _TAG, 3)
+        step = (F.when((name == "") | name.isin(*VOID_ELEMENTS) | attributes.endswith("/"), 0)
+                 .when(F.regexp_extract(piece, _TAG, 1) == "/", -1).otherwise(1))
+        found = (step >= 0) & (name != "") & F.concat(attributes, F.lit(">")).rlike("(?s)" + _class_attr(cls))
+        return F.struct(at.alias("at"), name.alias("name"), step.alias("step"), found.alias("found"),
+                        F.when(name == "", piece).otherwise(F.regexp_extract(piece, _TAG, 4)).alias("tail"))
+
+    return F.transform(pieces, tag)
+
+
+def nested_texts(html: Column | str, cls: str) -> Column:
+    """Text of every element that has the class ``cls``, in page order, elements
+    inside such elements included.
+
+    An element ends where the running depth of tags of its own name returns to
+    what it was before it; one that is never closed runs to the end of the page.
+    All is done by array expressions in the page's row: the tags are listed once,
+    and the depth is folded over the list for each element found.
+    """
+    html = F.col(html) if isinstance(html, str) else html
+
+    def stop(tags: Column, start: Column) -> Column:
+        """Place of the tag that closes the element opened at ``start``."""
+        def fold(state: Column, tag: Column) -> Column:
+            counts = (tag["at"] > start["at"]) & (tag["name"] == start["name"]) & (state["depth"] > 0)
+            depth = F.when(counts, state["depth"] + tag["step"]).otherwise(state["depth"])
+            return F.struct(depth.alias("depth"), F.when(counts & (depth == 0), tag["at"]).otherwise(state["stop"]).alias("stop"))
+
+        return F.aggregate(tags, F.struct(F.lit(1).alias("depth"), F.size(tags).alias("stop")), fold)["stop"]
+
+    def text(tags: Column, start: Column) -> Column:
+        length = F.when(start["step"] == 0, F.lit(0)).otherwise(stop(tags, start) - start["at"])
+        inside = F.slice(tags, start["at"] + 1, length)
+        return decode_entities(F.array_join(F.transform(inside, lambda t: t["tail"]), ""))
+
+    # The list is bound as a lambda variable, so that its many uses don't compute it again.
+    return F.element_at(F.transform(F.array(_page_tags(html, cls)), lambda tags: F.transform(
+        F.filter(tags, lambda t: t["found"]), lambda start: text(tags, start))), 1)
+
+
 def tag_text(html: Column | str, tag: str) -> Column:
     """Text of the first ``<tag>`` element, tags stripped and entities
     decoded; null if there is none."""
