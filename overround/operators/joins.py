@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .groups import row_number_within
 from .ordinals import with_ordinal
 
@@ -86,19 +87,60 @@ def labelled_sides(df: DataFrame, sides: Mapping[str, Column], name: str = "_sid
 
 def pair_sides(df: DataFrame, keys: Sequence[str], left: Column, right: Column,
                left_cols: Sequence[Column | str], right_cols: Sequence[Column | str],
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", hot_rows: int | None = None) -> DataFrame:
     """Rows where ``left`` holds beside rows of the same keys where ``right`` does,
     as a null-safe join of the two sides would give them, but in one pass: the
     input is read and shuffled once, not once for each side.
 
     A key's rows are gathered, so the keys must bound them; those of the markets
-    include the response document.  ``how`` is ``inner`` or ``left``.  Output:
-    keys, then the columns of both sides.
+    include the response document.  Where nothing bounds them, ``hot_rows`` does:
+    sides are counted by key first, and keys with more rows on a side are paired
+    in a grid.  Each side of such a key is dealt over chunks of that size and
+    repeated to the other side's chunks, so a task gathers two chunks at a time.
+    ``how`` is ``inner`` or ``left``.  Output: keys, then the columns of both
+    sides.
     """
-    lists = df.filter(left | right).groupBy(*keys).agg(
-        F.collect_list(F.when(left, F.struct(*left_cols))).alias("_l"),
-        F.collect_list(F.when(right, F.struct(*right_cols))).alias("_r"))
-    other = F.explode_outer("_r") if how == "left" else F.explode("_r")
+    rows = df.filter(left | right).select(*keys, F.when(left, F.struct(*left_cols)).alias("_l"),
+                                          F.when(right, F.struct(*right_cols)).alias("_r"))
+    if hot_rows is None:
+        return _gathered(rows, keys, how)
+    sizes = rows.groupBy(*keys).agg(F.count("_l").alias("_nl"), F.count("_r").alias("_nr"))
+    hot = _kept(sizes.where(F.greatest("_nl", "_nr") > hot_rows), "hot-keys")  # at most rows / hot_rows keys
+    if hot.isEmpty():
+        return _gathered(rows, keys, how)
+    cold = _gathered(natural_join(rows, hot.select(*keys), keys, "left_anti"), keys, how)
+    # Rows are dealt by number, so that copies of a row spread too; written, so that a lost task deals them the same way.
+    dealt = _kept(natural_join(rows, hot, keys, "inner").withColumn("_deal", F.monotonically_increasing_id()), "hot-rows")
+    chunks = {s: F.greatest(F.lit(1), F.ceil(F.col(f"_n{s}") / hot_rows)).cast("long") for s in "lr"}
+    own = {s: F.pmod(F.xxhash64("_deal"), chunks[s]) for s in "lr"}
+    everywhere = {s: F.sequence(F.lit(0).cast("long"), chunks[s] - 1) for s in "lr"}
+    # A row of both sides goes each way; ``_i`` is the chunk of the left side, ``_j`` that of the right one.
+    lefts = dealt.where("_l is not null").select(*keys, "_nr", "_l", F.lit(None).cast(dealt.schema["_r"].dataType).alias("_r"),
+                                                 own["l"].alias("_i"), F.explode(everywhere["r"]).alias("_j"))
+    rights = dealt.where("_r is not null").select(*keys, "_nr", F.lit(None).cast(dealt.schema["_l"].dataType).alias("_l"), "_r",
+                                                  F.explode(everywhere["l"]).alias("_i"), own["r"].alias("_j"))
+    grid = _gathered(lefts.union(rights), [*keys, "_nr", "_i", "_j"], "inner" if how == "inner" else "present")
+    return cold.unionByName(grid.drop("_nr", "_i", "_j"))
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write to shared storage and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _gathered(rows: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Pairs of the ``_l`` and ``_r`` of each key; ``left`` keeps an ``_l`` that has no ``_r``, ``present`` does so only
+    for keys that have none anywhere (``_nr`` is 0)."""
+    lists = rows.groupBy(*keys).agg(F.collect_list("_l").alias("_l"), F.collect_list("_r").alias("_r"))
+    if how == "inner":
+        other = F.explode("_r")
+    elif how == "left":
+        other = F.explode_outer("_r")
+    else:
+        none = F.array(F.lit(None).cast(rows.schema["_r"].dataType))
+        other = F.explode(F.when((F.col("_nr") == 0), none).otherwise(F.col("_r")))
     return (lists.select(*keys, F.explode("_l").alias("_l"), "_r")
                  .select(*keys, "_l", other.alias("_r")).select(*keys, "_l.*", "_r.*"))
 

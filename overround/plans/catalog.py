@@ -1738,3 +1738,18 @@ def q_canonicalize_rule_table(spark: SparkSession, d: str) -> DataFrame:
     li = _t(spark, d, "lineitem").withColumn("w", _letters("l_suppkey"))
     named = li.select("l_orderkey", "l_linenumber", F.expr(_RULE_NAME.format(letters="w")).alias("name"))
     return fx.canonicalize_by_table(named, "name", first.union(second).union(third))
+
+
+@register("pair_sides_hot", """
+WITH r AS (SELECT l_returnflag, l_linestatus AS other_status, min(l_extendedprice) AS least FROM lineitem GROUP BY ALL)
+SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice AS price, other_status, least FROM lineitem JOIN r USING (l_returnflag)""")
+def q_pair_sides_hot(spark: SparkSession, d: str) -> DataFrame:
+    """Every line beside the cheapest line of each status of its return flag: three keys, each with a third of the rows."""
+    li = _t(spark, d, "lineitem")
+    lines = li.select("l_returnflag", F.lit("line").alias("_side"), "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"),
+                      F.col("l_linestatus").alias("other_status"), F.lit(None).cast("double").alias("least"))
+    cheap = li.groupBy("l_returnflag", "l_linestatus").agg(F.min("l_extendedprice").alias("least")).select(
+        "l_returnflag", F.lit("cheap").alias("_side"), F.col("l_linestatus").alias("other_status"), "least")
+    both = lines.unionByName(cheap, allowMissingColumns=True)
+    return op.pair_sides(both, ["l_returnflag"], F.col("_side") == "line", F.col("_side") == "cheap",
+                         ["l_orderkey", "l_linenumber", "price"], ["other_status", "least"], hot_rows=1_000)

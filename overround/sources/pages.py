@@ -9,6 +9,7 @@ price cards; it is not a general HTML parser.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,9 +119,8 @@ def nested_texts(html: Column | str, cls: str) -> Column:
         inside = F.slice(tags, start["at"] + 1, length)
         return decode_entities(F.array_join(F.transform(inside, lambda t: t["tail"]), ""))
 
-    # The list is bound as a lambda variable, so that its many uses don't compute it again.
-    return F.element_at(F.transform(F.array(_page_tags(html, cls)), lambda tags: F.transform(
-        F.filter(tags, lambda t: t["found"]), lambda start: text(tags, start))), 1)
+    return _bound(_page_tags(html, cls), lambda tags: F.transform(
+        F.filter(tags, lambda t: t["found"]), lambda start: text(tags, start)))
 
 
 def tag_text(html: Column | str, tag: str) -> Column:
@@ -150,19 +150,27 @@ def page_links(pages: DataFrame, cls: str | None = None, html_col: str = "html",
 
 
 def _card_parts(card_class: str, html_col: str) -> Column:
-    """A page cut at each element that has the card class; pieces before the first are dropped."""
+    """A page cut at each element that has the card class; what stands before the first is dropped."""
     attr = _class_attr(card_class)
     pieces = F.split(F.col(html_col), r"(?=<\w+\b[^>]*" + attr + r")")
-    return F.filter(pieces, lambda piece: piece.rlike(r"(?s)^<\w+\b[^>]*" + attr))
+    # Only the first piece can begin with anything else.
+    return F.filter(pieces, lambda piece, i: (i > 0) | piece.rlike(r"(?s)^<\w+\b[^>]*" + attr))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def listing_rejects(pages: DataFrame, html_col: str = "html", card_class: str = CARD_CLASS,
                     link_class: str = MATCH_LINK_CLASS) -> DataFrame:
     """Pages whose match links and cards differ in number, with both numbers:
     which link belongs to which card can't be told, so they give no cards."""
-    counted = pages.withColumns({"n_cards": F.size(_card_parts(card_class, html_col)),
-                                 "n_links": F.size(hrefs(html_col, link_class))})
-    return counted.where("n_cards != n_links")
+    sizes = F.struct(F.size(_card_parts(card_class, html_col)).alias("n_cards"),
+                     F.size(hrefs(html_col, link_class)).alias("n_links"))
+    # Behind a generator the numbers are columns, which the filter doesn't compute again.
+    counted = pages.select("*", F.explode_outer(F.array(sizes)).alias("_n"))
+    return counted.where("_n.n_cards != _n.n_links").select(*pages.columns, "_n.n_cards", "_n.n_links")
 
 
 def listing_cards(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id",),
@@ -178,21 +186,27 @@ def listing_cards(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...
     numbers differ gives no cards (``listing_rejects`` has it).  Output:
     ``(keep..., card_pos, participants array<string>, prices array<string>,
     start_time string, link string, match_id bigint)``.
+
+    A page's cards are made as one array of structs and then exploded: a
+    generator parts expressions from their uses, so each is computed once.
     """
-    parts = pages.select(*keep, _card_parts(card_class, html_col).alias("card"),
-                         hrefs(html_col, link_class).alias("link"))
-    zipped = F.arrays_zip("card", "link")
-    rows = parts.where(F.size("card") == F.size("link")).select(
-        *keep, F.posexplode(zipped).alias("card_pos", "_z"))
-    start = texts(elements_by_class("_z.card", start_class))
-    return rows.select(
-        *keep, "card_pos",
-        texts(elements_by_class("_z.card", participant_class)).alias("participants"),
-        texts(elements_by_class("_z.card", price_class)).alias("prices"),
-        F.get(start, 0).alias("start_time"),
-        F.col("_z.link").alias("link"),
-        link_id_tail("_z.link").alias("match_id"),
-    ).filter(F.col("participants").isNotNull())
+    def card(page: Column) -> Callable[[Column, Column], Column]:
+        def one(piece: Column, i: Column) -> Column:
+            link = F.get(page["links"], i)
+            return F.struct(
+                texts(elements_by_class(piece, participant_class)).alias("participants"),
+                texts(elements_by_class(piece, price_class)).alias("prices"),
+                F.get(texts(elements_by_class(piece, start_class)), 0).alias("start_time"),
+                link.alias("link"), link_id_tail(link).alias("match_id"))
+        return one
+
+    def cards(page: Column) -> Column:
+        return F.when(F.size(page["parts"]) == F.size(page["links"]), F.transform(page["parts"], card(page)))
+
+    page = F.struct(_card_parts(card_class, html_col).alias("parts"), hrefs(html_col, link_class).alias("links"))
+    # The outer form isn't guarded by a filter on the array, which would compute it twice.
+    rows = pages.select(*keep, F.posexplode_outer(_bound(page, cards)).alias("card_pos", "_card"))
+    return rows.where("_card.participants is not null").select(*keep, "card_pos", "_card.*")
 
 
 def card_teams(cards: DataFrame) -> DataFrame:
