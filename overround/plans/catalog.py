@@ -206,13 +206,8 @@ def _line_x():
 # ------------------------------------------------- scans, documents, sinks
 
 
-def _tab_documents(spark: SparkSession, d: str) -> str:
-    """Land one TAB-shaped document per lineitem as JSON lines; returns path."""
-    return _write_tab_documents(spark, d)
-
-
-def _write_tab_documents(spark: SparkSession, d: str) -> str:
-    from ..session import scratch_path
+def _tab_match(spark: SparkSession, d: str) -> DataFrame:
+    """One TAB-shaped match per lineitem, as the column ``match``."""
     li = _t(spark, d, "lineitem")
     prop = lambda i, n, w: F.struct(F.col(i).cast("bigint").alias("id"), n.alias("name"),
                                     F.col(w).alias("returnWin"))
@@ -233,8 +228,14 @@ def _write_tab_documents(spark: SparkSession, d: str) -> str:
                  F.col("l_linenumber").cast("string")).alias("name"),
         _iso_text("l_shipdate").alias("startTime"),
         markets.alias("markets"))
+    return li.select(match.alias("match"))
+
+
+def _tab_documents(spark: SparkSession, d: str) -> str:
+    """Land one TAB-shaped document per lineitem as JSON lines; returns path."""
+    from ..session import scratch_path
     path = scratch_path(spark, "tab-docs")
-    li.select(F.array(match).alias("matches")).write.mode("overwrite").json(path)
+    _tab_match(spark, d).select(F.array("match").alias("matches")).write.mode("overwrite").json(path)
     return path
 
 
@@ -290,10 +291,6 @@ _EVENT_URL = "https://feed.example.com/events/"
 
 def _event_market_docs(spark: SparkSession, d: str) -> str:
     """Land one Sportsbet-shaped market document per event; returns path."""
-    return _write_event_market_docs(spark, d)
-
-
-def _write_event_market_docs(spark: SparkSession, d: str) -> str:
     from ..session import scratch_path
     ev = _events_k(spark, d)
     handicap = F.when(F.col("k") % 5 != 0, F.col("k").cast("string"))
@@ -1753,3 +1750,31 @@ def q_pair_sides_hot(spark: SparkSession, d: str) -> DataFrame:
     both = lines.unionByName(cheap, allowMissingColumns=True)
     return op.pair_sides(both, ["l_returnflag"], F.col("_side") == "line", F.col("_side") == "cheap",
                          ["l_orderkey", "l_linenumber", "price"], ["other_status", "least"], hot_rows=1_000)
+
+
+@register("sink_csv_ordered", """
+SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS pos, o_orderkey,
+       CASE WHEN o_totalprice = floor(o_totalprice) THEN CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR) ELSE CAST(o_totalprice AS VARCHAR) END
+         AS price, o_orderstatus FROM orders""")
+def q_sink_csv_ordered(spark: SparkSession, d: str) -> DataFrame:
+    """Orders by falling price, written in order and read back with their positions and number texts."""
+    from ..session import scratch_path
+    from ..sources import read_csv_ordered, write_csv_ordered
+    path = scratch_path(spark, "ordered-csv")
+    table = _t(spark, d, "orders").select((-F.col("o_totalprice")).alias("falling"), "o_orderkey", F.col("o_totalprice").alias("price"),
+                                          "o_orderstatus")
+    write_csv_ordered(table, path, ["falling", "o_orderkey"])
+    from pyspark.sql import types as T
+    back = T.StructType([T.StructField("falling", T.DoubleType()), T.StructField("o_orderkey", T.LongType()),
+                         T.StructField("price", T.StringType()), T.StructField("o_orderstatus", T.StringType())])
+    return read_csv_ordered(spark, path, back).drop("falling")
+
+
+@register("json_unnest_sql", ORACLE_SQL["json_unnest"])
+def q_json_unnest_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of ``json_unnest``, read in SQL by a lateral join over a table function."""
+    from ..functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    docs = _tab_match(spark, d).select(F.to_json(F.struct(F.array("match").alias("matches"))).alias("body"))
+    return spark.sql("""SELECT p.match, p.start_time, p.match_pos, p.market_pos, p.market_name, p.prop_pos, p.prop_id, p.prop_name, p.price
+        FROM {docs}, LATERAL tab_propositions(body) AS p""", docs=docs)

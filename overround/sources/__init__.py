@@ -6,6 +6,7 @@ from .documents import (
 )
 from .identity import body_name, current_documents, current_responses, response_ledger
 from .manifest import EVENT_ENDPOINTS, url_endpoint, url_manifest
+from .ordered_csv import damaged_files, number_text, read_csv_ordered, read_manifest, write_csv_ordered
 from .pages import (
     card_prices, card_teams, element_text, elements_by_class, hrefs, listing_cards,
     listing_rejects, nested_texts, page_links, read_html_files, read_pages, tag_text, texts,
@@ -21,5 +22,6 @@ __all__ = [
     "listing_cards", "page_links", "read_html_files", "read_pages", "tag_text", "texts",
     "read_csv", "read_market_csv", "write_csv", "write_landing", "write_parquet",
     "current_documents", "landed_records", "url_endpoint", "listing_rejects",
-    "replace_partitions", "body_name", "nested_texts", "current_responses", "response_ledger", "remove_folder", "swap_in",
+    "replace_partitions", "body_name", "nested_texts", "damaged_files", "number_text", "read_csv_ordered",
+    "read_manifest", "write_csv_ordered", "current_responses", "response_ledger", "remove_folder", "swap_in",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CSV_TEXT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quote": '"', "escape": '"'}
+CSV_TEXT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quote": '"', "escape": '"'}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = "NA") -> None:
@@ -17,7 +17,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str
     Text comes back as it was: spaces at its ends are kept, a quote inside a
     quoted field is doubled.  Only a text equal to ``null_value`` can't be told
     from a null."""
-    (df.write.mode(mode).option("header", True).option("nullValue", null_value).options(**_CSV_TEXT).csv(path))
+    (df.write.mode(mode).option("header", True).option("nullValue", null_value).options(**CSV_TEXT).csv(path))
 
 
 def read_csv(spark, path: str, schema, null_value: str = "NA", multi_line: bool = False) -> DataFrame:
@@ -26,7 +26,7 @@ def read_csv(spark, path: str, schema, null_value: str = "NA", multi_line: bool
     ``multi_line`` is for fields with line breaks; a file is then one task, so
     it is off unless a table needs it."""
     return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-                 .option("nullValue", null_value).options(**_CSV_TEXT).csv(path))
+                 .option("nullValue", null_value).options(**CSV_TEXT).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
