@@ -1333,9 +1333,7 @@ def q_market_player_over_under(spark: SparkSession, d: str) -> DataFrame:
 @register("market_player_tries", f"""
 WITH {_PLAYER_EVENTS_SQL} SELECT * FROM m6 UNION BY NAME SELECT * FROM m7""")
 def q_market_player_tries(spark: SparkSession, d: str) -> DataFrame:
-    e = _enriched_events(spark, d)
-    return op.union_distinct_by_name(mk.sb_player_lines(e, agency="TPCH", keys=KEYS),
-                                     mk.sb_player_over_under(e, agency="TPCH", keys=KEYS))
+    return mk.sb_player_tries(_enriched_events(spark, d), agency="TPCH", keys=KEYS)
 
 
 @register("market_outright_sb", f"""

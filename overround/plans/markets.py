@@ -13,7 +13,8 @@ dimension ``(match_id, home_team, away_team)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from ..functions import (
 )
 from ..operators import (
     any_true, away_bucket, first_where, home_buckets, keep_first, labelled_sides, lookup_join,
-    natural_join, nth_rows, pair_sides, sort_multi, sort_stable, union_distinct_by_name,
+    natural_join, nth_rows, pair_sides, sort_multi, sort_stable,
 )
 from ..schemas import DOC_KEYS, ORD, SNAPSHOT_KEYS, TOTAL_ORD
 
@@ -312,11 +313,11 @@ def line_balanced(selections: DataFrame, teams: DataFrame,
                                   keys, with_keys))
 
 
-def _sb_sides(df: DataFrame, over_re: str, under_re: str) -> DataFrame:
+def _sb_sides(df: DataFrame, over_re: str, under_re: str, more: Mapping[str, Column] = MappingProxyType({})) -> DataFrame:
     """Rows of both sides of an over/under, labelled, with ``line`` = explicit
     handicap, else the number after the side's word in the label; ``name_2`` =
-    text before it."""
-    sides = labelled_sides(df, {"over": str_detect("prop_name", over_re), "under": str_detect("prop_name", under_re)})
+    text before it.  ``more`` labels further rows."""
+    sides = labelled_sides(df, {"over": str_detect("prop_name", over_re), "under": str_detect("prop_name", under_re), **more})
     parts = {side: separate("prop_name", word, ["name_2", "line_2"])
              for side, word in (("over", " Over "), ("under", " Under "))}
     is_over = F.col("_side") == "over"
@@ -404,12 +405,32 @@ def sb_player_over_under(enriched: DataFrame, over_re: str = "Over", under_re: s
     return pairs if with_keys else pairs.drop(*head)
 
 
-def sb_player_tries(enriched: DataFrame, keys: Keys = SNAPSHOT_KEYS,
-                    with_keys: bool = False) -> DataFrame:
-    """All player-try markets: alternate lines and over/under, union by name,
-    distinct."""
-    return union_distinct_by_name(sb_player_lines(enriched, keys=keys, with_keys=with_keys),
-                                  sb_player_over_under(enriched, keys=keys, with_keys=with_keys))
+def sb_player_tries(enriched: DataFrame, keys: Keys = SNAPSHOT_KEYS, with_keys: bool = False,
+                    line_re: str = "To Score", exclude_re: str = "First", over_re: str = "Over",
+                    under_re: str = "Under", label: str = "Player Tries", agency: str = "Sportsbet") -> DataFrame:
+    """All player-try markets: alternate lines (``sb_player_lines``) and
+    over/under (``sb_player_over_under``), union by name, distinct.
+
+    The selections are read and enriched once: each row is labelled with the
+    market and side that it belongs to (it may belong to several), and one
+    exchange serves both markets.  An alternate line is an over without unders.
+    """
+    e = _ensure(enriched, EVENT_ID_COLUMNS)
+    head = _key_head(keys, True)
+    is_line = str_detect("market_name", line_re) & ~str_detect("market_name", exclude_re)
+    sides = _sb_sides(e, over_re, under_re, {"line": is_line})
+    line = F.col("_side") == "line"
+    sides = sides.select(
+        *head, "match", "home_team", "away_team", F.lit(label).alias("market_name"),
+        F.when(line, F.col("prop_name")).otherwise(F.col("name_2")).alias("player_name"),
+        F.when(line, alt_line("market_name")).otherwise(F.col("line")).alias("line"),
+        F.lit(agency).alias("agency"), *EVENT_ID_COLUMNS, "market_id", line.alias("_alternate"), "_side", "price", "prop_id")
+    shared = [c for c in sides.columns if c not in ("_side", "price", "prop_id")]
+    pairs = pair_sides(sides, shared, F.col("_side") != "under", F.col("_side") == "under",
+                       [F.col("price").alias("over_price"), F.col("prop_id").alias("player_id")],
+                       [F.col("price").alias("under_price"), F.col("prop_id").alias("player_id_unders")], how="left")
+    return pairs.select(*_key_head(keys, with_keys), *PLAYER_COLUMNS, "over_price", "agency", *EVENT_ID_COLUMNS, "market_id",
+                        "player_id", "under_price", "player_id_unders").distinct()
 
 
 def sb_outright(enriched: DataFrame, market_re: str = "First Try Scorer",

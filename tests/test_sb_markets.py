@@ -133,3 +133,24 @@ def test_manifest_custom_endpoints(spark):
     ids = spark.createDataFrame([(42,)], "match_id bigint")
     m = url_manifest(ids, endpoints={"line": "lines"}, base="https://h.example", template="{base}/e/{id}/{endpoint}")
     assert [tuple(r) for r in m.collect()] == [(42, "line", "https://h.example/e/42/lines")]
+
+
+def test_player_tries_read_their_selections_once(spark):
+    from overround.operators import union_distinct_by_name
+
+    rows = [("s", "r", 1, "To Score 2+ Tries", 5, 1, "Ari Tane", 3.0, None), ("s", "r", 1, "To Score 2+ Tries", 5, 1, "Ari Tane", 3.0, None),
+            ("s", "r", 1, "To Score First Try", 6, 2, "Ari Tane", 9.0, None), ("s", "r", 1, "Player Tries", 7, 3, "Ari Tane Over 0.5", 1.8, None),
+            ("s", "r", 1, "Player Tries", 7, 4, "Ari Tane Under 0.5", 2.0, None), ("t", "r", 1, "Player Tries", 7, 5, "Bo Over", 1.5, 1.5),
+            ("t", "r", 1, "To Score Over Under", 8, 6, "Cy Over 2.5", 4.0, None), (None, "r", 2, "To Score 3+ Tries", 9, 7, None, None, None)]
+    sel = spark.createDataFrame(rows, "snapshot_id string, agency string, match_id long, market_name string, market_id long, prop_id long, "
+                                      "prop_name string, price double, handicap double")
+    teams = spark.createDataFrame([(1, "Home", "Away")], "match_id long, home_team string, away_team string")
+    e = mk.enrich_selections(sel, teams)
+    for with_keys in (False, True):
+        got = mk.sb_player_tries(e, with_keys=with_keys)
+        want = union_distinct_by_name(mk.sb_player_lines(e, with_keys=with_keys), mk.sb_player_over_under(e, with_keys=with_keys))
+        assert set(got.columns) == set(want.columns)
+        key = lambda r: str(tuple(r[c] for c in want.columns))
+        assert sorted(map(key, got.collect())) == sorted(map(key, want.collect())) and got.count() >= 5
+    plan = mk.sb_player_tries(e)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 2
