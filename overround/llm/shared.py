@@ -99,29 +99,54 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
-KEPT_POWERS = 1 << 21
+#: Bytes that are hashed at once; the tables of powers have this length.
+PIECE = 1 << 21
 _power_tables: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse; only those of slices of usual size are kept between calls."""
-    if n > KEPT_POWERS:
-        return _powers(BASE, n), _powers(_BASE_INVERSE, n)
+def _piece_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The polynomials of spans of at most ``PIECE`` bytes of data."""
     if not _power_tables:
-        _power_tables.append((_powers(BASE, KEPT_POWERS), _powers(_BASE_INVERSE, KEPT_POWERS)))
-    return _power_tables[0]
-
-
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``data[start:end]`` (bytes), equal for equal bytes wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = _tables(len(data) + 1)
+        _power_tables.append((_powers(BASE, PIECE + 1), _powers(_BASE_INVERSE, PIECE + 1)))
+    up, down = _power_tables[0]
     total = np.zeros(len(data) + 1, np.uint64)
     np.take(BYTE_CODE, data, out=total[1:])
     total[1:] *= up[: len(data)]
     np.cumsum(total, out=total)
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return (total[ends] - total[starts]) * down[starts]
+
+
+def _long_sum(data: np.ndarray) -> np.uint64:
+    """The polynomial of a span of any length, put together from pieces."""
+    out = 0
+    for at in range(0, len(data), PIECE):
+        piece = data[at : at + PIECE]
+        own = _piece_sums(piece, np.zeros(1, np.int64), np.array([len(piece)]))
+        out += int(own[0]) * pow(int(BASE), at, 2**64)
+    return np.uint64(out % 2**64)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``data[start:end]`` (bytes), equal for equal bytes wherever they stand.
+
+    The data are hashed in pieces, so no array but the result grows with them.
+    """
+    out = np.zeros(len(starts), np.uint64)
+    piece = starts // (PIECE // 2)
+    order = None if (piece[1:] >= piece[:-1]).all() else np.argsort(piece, kind="stable")
+    cuts = np.flatnonzero(np.diff(piece if order is None else piece[order])) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(starts)], strict=True):
+        at = np.arange(a, b) if order is None else order[a:b]
+        if not len(at):
+            continue
+        low = int(piece[at[0]]) * (PIECE // 2)
+        long = ends[at] > low + PIECE
+        for k in at[long].tolist():
+            out[k] = _long_sum(data[starts[k] : ends[k]])
+        at = at[~long]
+        if len(at):
+            out[at] = _piece_sums(data[low : int(ends[at].max())], starts[at] - low, ends[at] - low)
+    return mix(out + (ends - starts).astype(np.uint64))
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

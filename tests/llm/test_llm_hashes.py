@@ -1,0 +1,32 @@
+"""Hashes of spans in bounded pieces."""
+
+import numpy as np
+import pytest
+
+from overround.llm import shared
+
+
+@pytest.mark.parametrize("piece", [64, 1 << 12, shared.PIECE])
+def test_hashes_dont_depend_on_pieces(monkeypatch, piece):
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 100, 40_000).astype(np.uint8)
+    data[rng.integers(0, len(data), 6_000)] = 32
+    starts, ends = shared.word_spans(data)
+    starts = np.concatenate([starts, [0, 17, 3, 39_000, 5, 5]])
+    ends = np.concatenate([ends, [40_000, 9_000, 3, 40_000, 205, 7]])
+    monkeypatch.setattr(shared, "PIECE", piece)
+    monkeypatch.setattr(shared, "_power_tables", [])
+    got = shared.span_hashes(data, starts, ends)
+    seen = {}
+    for a, b, h in zip(starts.tolist(), ends.tolist(), got.tolist(), strict=True):
+        assert seen.setdefault(data[a:b].tobytes(), h) == h
+    assert len(set(seen.values())) == len(seen)
+    back = shared.span_hashes(data, starts[::-1].copy(), ends[::-1].copy())
+    assert (back[::-1] == got).all()
+    whole = shared.span_hashes(data[17:9_000].copy(), np.array([0]), np.array([8_983]))
+    assert whole[0] == seen[data[17:9_000].tobytes()]
+
+
+def test_no_spans():
+    none = np.zeros(0, np.int64)
+    assert len(shared.span_hashes(np.zeros(0, np.uint8), none, none)) == 0
