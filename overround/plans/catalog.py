@@ -1776,3 +1776,16 @@ def q_json_unnest_sql(spark: SparkSession, d: str) -> DataFrame:
     docs = _tab_match(spark, d).select(F.to_json(F.struct(F.array("match").alias("matches"))).alias("body"))
     return spark.sql("""SELECT p.match, p.start_time, p.match_pos, p.market_pos, p.market_name, p.prop_pos, p.prop_id, p.prop_name, p.price
         FROM {docs}, LATERAL tab_propositions(body) AS p""", docs=docs)
+
+
+@register("sink_landing_documents", """
+SELECT 'page-' || CAST(page_id AS VARCHAR) || '.html' AS name, html AS body FROM pages WHERE html LIKE '%<h1>%'""")
+def q_sink_landing_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Every page with a headline as a file of its own, read back."""
+    from ..session import scratch_path
+    from ..sources import land_documents, read_landed_documents
+    path = scratch_path(spark, "landed-pages")
+    pages = _t(spark, d, "pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".html")).alias("name"),
+                                         F.col("html").alias("body"), F.col("html").contains("<h1>").alias("is_valid"))
+    land_documents(pages, path, valid_col="is_valid")
+    return read_landed_documents(spark, path)

@@ -1,5 +1,6 @@
 """Sources (landed JSON documents, HTML pages, request manifests) and sinks."""
 
+from .document_files import LandedDocuments, land_documents, read_landed_documents
 from .documents import (
     event_metadata, landed_records, parse_documents, quarantine_split, read_landed,
     read_nested_json, read_whole_files, sportsbet_selections, tab_selections,
@@ -23,5 +24,5 @@ __all__ = [
     "read_csv", "read_market_csv", "write_csv", "write_landing", "write_parquet",
     "current_documents", "landed_records", "url_endpoint", "listing_rejects",
     "replace_partitions", "body_name", "nested_texts", "damaged_files", "number_text", "read_csv_ordered",
-    "read_manifest", "write_csv_ordered", "current_responses", "response_ledger", "remove_folder", "swap_in",
+    "read_manifest", "write_csv_ordered", "LandedDocuments", "land_documents", "read_landed_documents", "current_responses", "response_ledger", "remove_folder", "swap_in",
 ]
