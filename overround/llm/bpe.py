@@ -33,7 +33,7 @@ from overround.llm.shared import text_slices
 #: Words of byte-level vocabularies (a fixed pattern).
 WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Bytes of known chunks that a worker keeps; pairs whose compatibility it keeps; texts of a slice.
-REMEMBERED, PAIRS, SLICE = 96 << 20, 1 << 19, 2 << 20
+REMEMBERED, PAIRS, SLICE = 256 << 20, 1 << 19, 2 << 20
 
 
 @lru_cache(1)
@@ -95,7 +95,7 @@ class Encoder:
             self.automaton.add_word(token[::-1].decode("latin-1"), i)
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.heads, self.tails, self.words = (Remembered(REMEMBERED // k, 4) for k in (8, 2, 2))
+        self.heads, self.tails, self.known = (Remembered(REMEMBERED // k, 4) for k in (8, 2, 2))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(v.special, key=len, reverse=True))) + ")") if v.special else None
 
     def _spines(self, v: Vocabulary) -> None:
@@ -145,37 +145,43 @@ class Encoder:
         """Ids of one word of the pattern."""
         if raw in self.whole:
             return [self.whole[raw]]
-        end = len(raw)
         # Of the matches that end at a place of the reversed word, the longest comes first; here it is kept.
         longest = dict(reversed(list(self.automaton.iter(raw[::-1].decode("latin-1")))))
+        return self._backtracked(len(raw), longest)
+
+    def _backtracked(self, end: int, longest: dict[int, int]) -> list[int]:
+        """Ids of a word of ``end`` bytes, whose longest token from place k on is ``longest[end - 1 - k]``."""
         size, shorter, pairs = self.size, self.shorter, self.pairs
         dead: set[int] = set()
         out: list[int] = []
-        at, token = 0, longest[end - 1]
+        base = end - 1
+        at, last, token = 0, -1, longest[base]
         while at < end:
             while token >= 0:
                 to = at + size[token]
                 if to not in dead:
-                    if not out:
+                    if last < 0:
                         break
-                    fits = pairs.get((out[-1], token))
-                    if fits or fits is None and self.compatible(out[-1], token):
+                    fits = pairs.get((last, token))
+                    if fits or fits is None and self.compatible(last, token):
                         break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at, token = to, longest.get(end - 1 - to, -1)
+                at, last, token = to, token, longest.get(base - to, -1)
             else:  # nothing leads on from here: back to the last token, which then must be shorter
                 dead.add(at)
                 token = out.pop()
                 at -= size[token]
+                last = out[-1] if out else -1
+                token = shorter[token]
         return out
 
     def _learn(self, table: Remembered, new: set[str], lead: str) -> None:
         found = {chunk: WORDS.findall(lead + chunk) for chunk in new}
-        words, word = self.words, self.word
+        words = self.known
         for w in words.missing(set().union(*found.values())):
-            words[w] = array("I", word(w.encode())).tobytes()
+            words[w] = array("I", self.word(w.encode())).tobytes()
         get = words.__getitem__
         for chunk, parts in found.items():
             table[chunk] = get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Collection
 
 _SPACED = re.compile(r" [^\S ]")
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
@@ -35,8 +35,8 @@ class Remembered(dict):
         super().__init__()
         self.limit, self.per_byte, self.size, self.aside = limit, per_byte, 0, {}
 
-    def _cost(self, keys: Iterable[str | bytes]) -> int:
-        return sum(self.ENTRY + (1 + self.per_byte) * len(k) for k in keys)
+    def _cost(self, keys: Collection[str | bytes]) -> int:
+        return self.ENTRY * len(keys) + (1 + self.per_byte) * sum(map(len, keys))
 
     def missing(self, wanted: set) -> set:
         """Which of the wanted keys the caller has to add now; the others are there."""
