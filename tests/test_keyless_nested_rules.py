@@ -35,7 +35,7 @@ def test_a_value_of_a_third_of_all_rows_is_spread(spark):
     steps = out.select("n", "k").orderBy("n").where("k = 7").agg(F.max("n") - F.min("n") + 1, F.count("*")).first()
     assert steps[0] == steps[1] > 300_000
     # The rows were written by range, several files share the frequent value, and none holds much more than its part.
-    sizes = [r["count"] for r in out.withColumn("f", F.input_file_name()).groupBy("f").count().collect()]
+    sizes = [spark.read.parquet(f).count() for f in out.inputFiles()]
     assert len(sizes) > 3 and max(sizes) < 2.5 * 1_000_000 / len(sizes)
 
 

@@ -20,19 +20,23 @@ import os
 import statistics
 import sys
 import tempfile
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     log_dir = tempfile.mkdtemp(prefix="run-skew-", dir="/tmp")
     from pyspark.sql import SparkSession, Window
     from pyspark.sql import functions as F
 
+    from overround import operators as op
     from overround.plans import catalog as c
     from overround.plans import markets as mk
     from overround.session import CLUSTER_CONF
+    from overround.sources import current_documents
 
     b = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
          .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
@@ -61,9 +65,23 @@ def main() -> None:
             sel, keys=c.KEYS, ord=c.LINE_ORD, rules=()),
         "naive: full window rank per match (contrast)": sel.withColumn("rn", F.row_number().over(w)),
     }
+    # One response holds a third of the selections and is landed twice.
+    landed = sel.select(
+        F.lit("TPCH").alias("agency"), F.lit("sf").alias("snapshot_id"),
+        F.when(hot, F.lit("hot")).otherwise(F.col("l_orderkey").cast("string")).alias("source_url"),
+        F.explode(F.when(hot, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).cast("bigint").alias("body_hash"),
+        F.lit(None).cast("timestamp").alias("landed_at"), F.lit(0).alias("match_pos"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int").alias("market_pos"), F.lit(0).alias("prop_pos"), "price")
+    runs["current_documents (one response, landed twice)"] = lambda: current_documents(landed)
+    # One key pairs a third of the rows with ten others.
+    sides = sel.select("match", "price", F.when((F.col("l_orderkey") % 60000 == 0) & hot, "under").otherwise("over").alias("side"))
+    for label, size in (("pair_sides, chunks of 5,000 rows", 5_000), ("pair_sides without chunks (contrast)", None)):
+        runs[label] = partial(op.pair_sides, sides, ["match"], F.col("side") == "over", F.col("side") == "under",
+                              [F.col("price").alias("over_price")], [F.col("price").alias("under_price")], "left", size)
     groups = {}
     for label, df in runs.items():
         spark.sparkContext.setJobGroup(label, label)
+        df = df() if callable(df) else df
         df.write.format("noop").mode("overwrite").save()
         groups[label] = None
     spark.stop()
@@ -90,7 +108,7 @@ def main() -> None:
         ids = sorted(k for k, g in stage_job.items() if g == label and k in stage_tasks)
         for i, s in enumerate(ids):
             t = stage_tasks[s]
-            kind = "round-robin (scan balancing)" if i == 0 else "by key"
+            kind = str(i + 1)
             lines.append(f"| {label} | {kind} | {len(t)} | {max(t):,} | {int(statistics.median(t)):,} |")
     lines += ["", "With the limit planned before the shuffle (`WindowGroupLimit` partial) and partial "
               "aggregation, the hot match reaches its reducer as a handful of rows per map task; the naive "
