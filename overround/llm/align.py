@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Encoding, Tokenizer
+from tokenizers import Tokenizer
 
 from overround.llm.bpe import byte_characters
 from overround.llm.chunks import Remembered, chunks
@@ -35,7 +34,9 @@ from overround.llm.shared import text_slices, written
 SLICE, REMEMBERED = 3 << 20, 96 << 20
 _CODEC = pa.Codec("zstd", 3)
 _MARK = "▁"
-#: n_a, n_b, n_groups of a chunk, its links as (id of A << 32 | id of B), its groups as text.
+#: Chunks that are encoded as one text; chunks that are aligned at once.
+JOINED, TOGETHER = 64, 1 << 14
+#: n_a, n_b, n_groups of a chunk, its links as (id of A << 32 | id of B), its groups as text with a ``;`` behind each.
 Chunk = tuple[int, int, int, bytes, str]
 
 
@@ -47,83 +48,94 @@ class Aligner:
         self.a = Tokenizer.from_file(byte_path)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        to_byte = byte_characters()
-        self.bytes_a = {i: bytes(to_byte.get(c, 63) for c in token) for token, i in self.a.get_vocab().items()}
-        self.bytes_b = []
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(_MARK, " ").encode())
+        to_byte, vocabulary = byte_characters(), self.a.get_vocab()
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.bytes_a[i] = bytes(to_byte.get(c, 63) for c in token)
+        ids_b = range(self.b.get_piece_size())
+        self.fallback = np.array([self.b.is_byte(i) for i in ids_b])
+        self.bytes_b = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.fallback[i] else
+                        self.b.id_to_piece(i).replace(_MARK, " ").encode() for i in ids_b]
+        self.size_a, self.size_b = (np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b))
+        # Text of an id with what may stand behind it in a group.
+        self.text_a = np.array([[f"{i},", f"{i}|"] for i in range(len(self.bytes_a))], object)
+        self.text_b = np.array([[f"{i},", f"{i};"] for i in ids_b], object)
         self.known = Remembered(REMEMBERED, 6)
 
-    def _ends_a(self, text: str, pieces: list[bytes], offsets: list[tuple[int, int]], plain: bool) -> list[int]:
-        """Byte offsets at which the tokens of A end."""
-        if plain:
-            return [stop for _, stop in offsets]
-        at = np.cumsum([0] + [len(c.encode()) for c in text]).tolist()
-        ends, end = [], 0
-        for k, (_, stop) in enumerate(offsets):
-            shared = k + 1 < len(offsets) and offsets[k + 1][0] < stop  # the next token goes on within the same character
-            end = end + len(pieces[k]) if shared else at[stop]
-            ends.append(end)
-        return ends
-
-    def _ends_b(self, pieces: list[bytes], stops: list[int], plain: bool) -> list[int]:
-        """The same for the tokens of B, whose spans count without the leading space and may be empty."""
-        if plain:
-            return [stop + 1 for stop in stops]
-        ends, end = [], 0
-        for own, stop in zip(pieces, stops, strict=True):
-            end = stop + 1 if stop + 1 == end + len(own) else end + len(own)
-            ends.append(end)
-        return ends
-
-    def _aligned(self, text: str, encoding: Encoding, proto: object) -> Chunk | None:
-        raw = text.encode()
-        plain = len(raw) == len(text)  # one byte for each character: spans are exact
-        ids_a, tokens_b = encoding.ids, [(p.id, p.end) for p in proto.pieces]
-        ids_b = [i for i, _ in tokens_b]
-        bytes_a, bytes_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
+    def _tokens(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids and byte ends of the tokens of A and B over all lines (each with the space before it); None if the
+        tokens don't give the lines again."""
+        spaced = [" " + line for line in lines]
+        raws = [s.encode() for s in spaced]
+        ids_a, ids_b, ends_a, ends_b, base = [], [], [], [], 0
+        encodings = self.a.encode_batch(spaced, add_special_tokens=False)
+        protos = self.b.encode(lines, return_type="proto", num_threads=1)
+        for text, raw, encoding, proto in zip(spaced, raws, encodings, protos, strict=True):
+            own_a = encoding.ids
+            spans = np.array(encoding.offsets, np.int64).reshape(-1, 2)
+            tokens = np.array([(p.id, p.end) for p in proto.pieces], np.int64).reshape(-1, 2)
+            ends, stops, own_b = spans[:, 1], tokens[:, 1] + 1, tokens[:, 0]
+            if len(raw) != len(text):  # characters of several bytes, whose tokens may share them
+                code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+                at = np.append(0, np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)))
+                shared = np.append(spans[1:, 0] < spans[:-1, 1], False)
+                ends = np.where(shared, np.cumsum(self.size_a[own_a]), at[spans[:, 1]])
+                stops = np.where(self.fallback[own_b], np.cumsum(self.size_b[own_b]), stops)
+            ids_a += own_a
+            ids_b.append(own_b)
+            ends_a.append(ends + base)
+            ends_b.append(stops + base)
+            base += len(raw)
+        all_a, all_b, whole = np.array(ids_a, np.int64), np.concatenate(ids_b), b"".join(raws)
+        given = (b"".join([self.bytes_a[i] for i in ids_a]), b"".join([self.bytes_b[i] for i in all_b.tolist()]))
+        return (all_a, np.concatenate(ends_a), all_b, np.concatenate(ends_b)) if given == (whole, whole) else None
+
+    def _aligned(self, lines: list[str], sizes: list[int]) -> list[Chunk] | None:
+        """The chunks of some lines, whose bytes (with the space before each) are ``sizes``; None if a chunk's end is
+        no end of tokens on both sides, or the lines aren't given again."""
+        tokens = self._tokens(lines)
+        if tokens is None:
             return None
-        ends_a = self._ends_a(text, bytes_a, encoding.offsets, plain)
-        ends_b = self._ends_b(bytes_b, [stop for _, stop in tokens_b], plain)
-        if ends_a == ends_b:  # every token of one is a token of the other
-            pairs = list(zip(ids_a, ids_b, strict=True))
-            return (len(pairs), len(pairs), len(pairs), array("q", [x << 32 | y for x, y in pairs]).tobytes(),
-                    ";".join([f"{x}|{y}" for x, y in pairs]))
-        groups, links = [], []
-        i = j = 0
-        left, right = f"{ids_a[0]}", f"{ids_b[0]}"
-        while True:
-            links.append(ids_a[i] << 32 | ids_b[j])
-            x, y = ends_a[i], ends_b[j]
-            i, j = i + (x <= y), j + (y <= x)
-            if x == y:
-                groups.append(f"{left}|{right}")
-                if i == len(ids_a):
-                    break
-                left, right = f"{ids_a[i]}", f"{ids_b[j]}"
-            elif x < y:
-                left = f"{left},{ids_a[i]}"
+        ids_a, ends_a, ids_b, ends_b = tokens
+        both, chunk_ends = np.intersect1d(ends_a, ends_b, assume_unique=True), np.cumsum(sizes)
+        if not np.isin(chunk_ends, both).all():
+            return None
+        first = np.searchsorted(ends_b, ends_a - self.size_a[ids_a], "right")
+        owner, place = _spread(np.searchsorted(ends_b, ends_a) - first + 1)
+        links = ids_a[owner] << 32 | ids_b[first[owner] + place]
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        texts = np.concatenate([self.text_a[ids_a, (ends_a == both[group_a]).astype(int)],
+                                self.text_b[ids_b, (ends_b == both[group_b]).astype(int)]])
+        texts = texts[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")].tolist()
+        raw = links.tobytes()
+        a, b, g = (np.searchsorted(x, chunk_ends, "right") for x in (ends_a, ends_b, both))
+        n_a, n_b, n_g = (np.diff(x, prepend=0).tolist() for x in (a, b, g))
+        t, k = (a + b).tolist(), (8 * np.searchsorted(owner, a)).tolist()
+        return [(x, y, z, raw[k0:k1], "".join(texts[t0:t1])) for x, y, z, k0, k1, t0, t1 in
+                zip(n_a, n_b, n_g, [0, *k[:-1]], k, [0, *t[:-1]], t, strict=True)]
+
+    def _learn(self, new: set[str]) -> None:
+        """Align new chunks, many as one text where they part again at the spaces between them."""
+        plain = [c for c in new if not c[0].isspace() and c[-1] != " " and _MARK not in c]
+        alone = list(new.difference(plain))
+        for k in range(0, len(plain), TOGETHER):
+            part = plain[k : k + TOGETHER]
+            lines = [" ".join(part[i : i + JOINED]) for i in range(0, len(part), JOINED)]
+            found = self._aligned(lines, [len(c.encode()) + 1 for c in part])
+            if found is None:
+                alone += part
             else:
-                right = f"{right},{ids_b[j]}"
-        return len(ids_a), len(ids_b), len(groups), array("q", links).tobytes(), ";".join(groups)
-
-    def _learn(self, new: list[str]) -> None:
-        for k in range(0, len(new), 8192):
-            part = new[k : k + 8192]
-            spaced = [" " + c for c in part]
-            encodings = self.a.encode_batch(spaced, add_special_tokens=False)
-            protos = self.b.encode(part, return_type="proto", num_threads=1)
-            for chunk, text, encoding, proto in zip(part, spaced, encodings, protos, strict=True):
-                self.known[chunk] = self._aligned(text, encoding, proto)
+                self.known.update(zip(part, found, strict=True))
+        for chunk in alone:
+            found = self._aligned([chunk], [len(chunk.encode()) + 1])
+            self.known[chunk] = found[0] if found else None
 
     def __call__(self, texts: list[str | None]) -> tuple[list[np.ndarray | None], list[Chunk]]:
         """For each text the numbers of its chunks (None: it has no tokens), and the chunks."""
         split = [chunks(t) if t else None for t in texts]
         number: dict[str, int] = {}
         numbers = [np.array([number.setdefault(c, len(number)) for c in s], np.int64) if s else None for s in split]
-        self._learn(sorted(self.known.missing(set(number))))
+        self._learn(self.known.missing(set(number)))
         found = [self.known[c] for c in number]
         odd = np.array([c is None for c in found], bool)
         none: Chunk = (0, 0, 0, b"", "")
@@ -195,7 +207,7 @@ def _slices(byte_path: str, piece_path: str, whole: bool) -> Callable[[Iterator[
             sums = np.array([c[:3] + (len(c[3]) // 8,) for c in found], np.int64).reshape(-1, 4)
             totals = [np.zeros(4, np.int64).tolist() if n is None else sums[n].sum(axis=0).tolist() for n in numbers]
             texts = [c[4] for c in found]
-            groups = ["" if n is None else ";".join([texts[k] for k in n.tolist()]) for n in numbers]
+            groups = ["" if n is None else "".join([texts[k] for k in n.tolist()])[:-1] for n in numbers]
             if not whole:
                 groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
             size, payload = _pack(np.bincount(document, minlength=len(numbers)).astype("<i4"), pair.astype("<i4"), times.astype("<i4"))
