@@ -71,23 +71,24 @@ class Aligner:
         encodings = self.a.encode_batch(spaced, add_special_tokens=False)
         protos = self.b.encode(lines, return_type="proto", num_threads=1)
         for text, raw, encoding, proto in zip(spaced, raws, encodings, protos, strict=True):
-            own_a = encoding.ids
-            spans = np.array(encoding.offsets, np.int64).reshape(-1, 2)
-            tokens = np.array([(p.id, p.end) for p in proto.pieces], np.int64).reshape(-1, 2)
-            ends, stops, own_b = spans[:, 1], tokens[:, 1] + 1, tokens[:, 0]
-            if len(raw) != len(text):  # characters of several bytes, whose tokens may share them
+            own_a, own_b = encoding.ids, [p.id for p in proto.pieces]
+            ends, stops = [stop for _, stop in encoding.offsets], [p.end for p in proto.pieces]
+            if len(raw) == len(text):
+                ends, stops = np.array(ends, np.int64), np.array(stops, np.int64) + 1
+            else:  # characters of several bytes, whose tokens may share them
+                starts = np.array([start for start, _ in encoding.offsets], np.int64)
                 code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
                 at = np.append(0, np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)))
-                shared = np.append(spans[1:, 0] < spans[:-1, 1], False)
-                ends = np.where(shared, np.cumsum(self.size_a[own_a]), at[spans[:, 1]])
-                stops = np.where(self.fallback[own_b], np.cumsum(self.size_b[own_b]), stops)
+                shared = np.append(starts[1:] < ends[:-1], False)
+                ends = np.where(shared, np.cumsum(self.size_a[own_a]), at[ends])
+                stops = np.where(self.fallback[own_b], np.cumsum(self.size_b[own_b]), np.array(stops) + 1)
             ids_a += own_a
-            ids_b.append(own_b)
+            ids_b += own_b
             ends_a.append(ends + base)
             ends_b.append(stops + base)
             base += len(raw)
-        all_a, all_b, whole = np.array(ids_a, np.int64), np.concatenate(ids_b), b"".join(raws)
-        given = (b"".join([self.bytes_a[i] for i in ids_a]), b"".join([self.bytes_b[i] for i in all_b.tolist()]))
+        all_a, all_b, whole = np.array(ids_a, np.int64), np.array(ids_b, np.int64), b"".join(raws)
+        given = (b"".join([self.bytes_a[i] for i in ids_a]), b"".join([self.bytes_b[i] for i in ids_b]))
         return (all_a, np.concatenate(ends_a), all_b, np.concatenate(ends_b)) if given == (whole, whole) else None
 
     def _aligned(self, lines: list[str], sizes: list[int]) -> list[Chunk] | None:
@@ -118,6 +119,7 @@ class Aligner:
         """Align new chunks, many as one text where they part again at the spaces between them."""
         plain = [c for c in new if not c[0].isspace() and c[-1] != " " and _MARK not in c]
         alone = list(new.difference(plain))
+        plain.sort(key=str.isascii)  # in texts of one byte for each character, spans need no refining
         for k in range(0, len(plain), TOGETHER):
             part = plain[k : k + TOGETHER]
             lines = [" ".join(part[i : i + JOINED]) for i in range(0, len(part), JOINED)]
