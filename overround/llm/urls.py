@@ -105,13 +105,36 @@ def link_targets(html: Column) -> Column:
             _value(_attribute(t, "content")), r"(?i)url\s*=\s*(.*)$", 1), r"""^["']|["']$""", ""))).otherwise(none))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path from the root without its ``.`` and ``..`` segments."""
+    def step(kept: Column, segment: Column) -> Column:
+        up = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(segment == ".", kept).when(segment == "..", up).otherwise(F.array_append(kept, segment))
+
+    return F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")
+
+
 def absolute(target: Column, url: Column) -> Column:
-    """A link's full address as seen from ``url``; null for empty links and other schemes."""
+    """A link's full address as seen from ``url``, whose path relative links extend; null for empty links and other
+    schemes."""
     target = F.trim(target)
-    site = F.concat(F.regexp_extract(url, r"^([^:/?#]+)://", 1), F.lit("://"), url_host(url))
-    return (F.when(target.rlike(r"(?i)^https?://"), target)
-            .when(target.startswith("//"), F.concat(F.lit("https:"), target))
-            .when(target.startswith("/"), F.concat(site, target)))
+    scheme = F.concat(F.regexp_extract(url, r"^([^:/?#]+)://", 1), F.lit(":"))
+    own = F.regexp_extract(target, r"^[^?#]*", 0)
+    folder = F.regexp_replace(url_path(url), r"[^/]*$", "")
+    path = (F.when(own == "", url_path(url)).when(own.startswith("/"), own)
+             .otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), own)))
+    query = F.regexp_extract(target, r"\?[^#]*", 0)
+    return (F.when((target == "") | target.startswith("#"), F.lit(None))
+            .when(target.rlike(r"(?i)^https?://"), target)
+            .when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), F.lit(None))
+            .when(target.startswith("//"), F.concat(scheme, target))
+            .otherwise(F.concat(scheme, F.lit("//"), url_host(url), _without_dots(path), query)))
+
+
+def base_address(html: Column, url: Column) -> Column:
+    """What the relative links of a page extend: its ``<base href>``, else its own url."""
+    tag = F.regexp_extract(html, r"(?is)<base\b[^>]*>", 0)
+    return F.when(html.rlike(r"(?i)<base\b"), F.coalesce(absolute(_value(_attribute(tag, "href")), url), url)).otherwise(url)
 
 
 def filter_urls(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = None, *, id_col: str = "page_id",
@@ -133,7 +156,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = N
     judged = judged.withColumn("own", rule_verdict(F.col("rule"), rules))
 
     links = base.where(F.col("html").isNotNull() & F.col("url").isNotNull()).select(
-        address(url).alias("a"), F.explode(link_targets(F.col("html"))).alias("target"), "url")
+        address(url).alias("a"), F.explode(link_targets(F.col("html"))).alias("target"), base_address(F.col("html"), url).alias("url"))
     links = links.select("a", address(absolute(F.col("target"), url)).alias("b"))
     if edges is not None:
         links = links.union(edges.select(address(F.col("from_url")).alias("a"), address(F.col("to_url")).alias("b")))

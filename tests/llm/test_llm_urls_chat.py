@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from overround.llm import chat, queries, urls
 from overround.llm.components import connected_components
@@ -141,3 +142,29 @@ def test_sql_agrees(spark, name):
     assert sorted(columns) == sorted(df.columns)
     got = sorted(repr([plain(r[c]) for c in columns]) for r in df.collect())
     assert got == sorted(repr([plain(x) for x in r]) for r in want.fetchall())
+
+
+def test_links_are_resolved_as_browsers_do(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a.org", "http://a.org/", "https://a.org/x/y.html", "http://a.org/x/y/?q=1", "https://a.org/x/y/z#f"]
+    targets = ["page.html", "./p", "../z", "../../../z", "?p=1", "/k", "/k/./x/../y?a=b", "//o.net/r", "HTTPS://o.net/s?t", "a/../b/./c", "..", "."]
+    rows = [(b, t) for b in bases for t in targets]
+    df = spark.createDataFrame(rows, "url string, target string")
+    got = df.select("url", "target", urls.address(urls.absolute(F.col("target"), F.col("url"))).alias("got"),
+                    ).collect()
+    want = spark.createDataFrame([(b, t, urljoin(b, t)) for b, t in rows], "url string, target string, w string").select(
+        "url", "target", urls.address(F.col("w")).alias("want")).collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in want}
+    none = spark.createDataFrame([("http://a.org/x", t) for t in ("", " ", "#top", "mailto:x@y.z", "javascript:void(0)", None)], "url string, target string")
+    assert [r[0] for r in none.select(urls.absolute(F.col("target"), F.col("url"))).collect()] == [None] * 6
+
+
+def test_a_block_reaches_relative_aliases(spark):
+    link = "<head>{}<link rel='canonical' href='{}'></head>"
+    pages = spark.createDataFrame([
+        (1, "http://x.net/es/1", "<p>blocked by its rule</p>"), (2, "http://x.net/2/old", link.format("", "../es/1")),
+        (3, "http://x.net/fr/3", None), (4, "http://b.org/4", link.format("<base href='//x.net/fr/'>", "3")),
+        (5, "http://b.org/5", link.format("", "4"))], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urls.filter_urls(pages, queries.RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block"}
