@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from overround.llm.minhash import shingle_sets
 from overround.llm.shared import text_slices, written
 
-#: Labelled rows that the model is fitted on, terms, and near words that are cleared, at most.
-MAX_ROWS, MAX_TERMS, MAX_CLEARED = 40_000, 5_000, 50_000
+#: Labelled rows that the model is fitted on, at most; letters of a term, at least.
+MAX_ROWS, LETTERS = 40_000, 3
 #: Words to either side of a hit that its context takes in; words that a worker remembers.
 CONTEXT, REMEMBERED = 8, 300_000
 #: Marks of quotation and verbs of report (fixed values).
@@ -236,13 +236,11 @@ def _near_rows(terms: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return rows
 
 
-def _log_tail(t: int, n: int, base: float) -> float:
-    """Upper bound (Chernoff) for the log of the chance of t toxic documents or more among n."""
-    p = t / n
-    if p <= base:
-        return 0.0
-    rest = (1 - p) * math.log((1 - p) / (1 - base)) if p < 1 else 0.0
-    return -n * (p * math.log(p / base) + rest)
+def _log_tail(base: float) -> Column:
+    """Upper bound (Chernoff) for the log of the chance of t toxic documents or more among n, where t / n > base."""
+    p = F.col("t") / F.col("n")
+    rest = F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - base))).otherwise(0.0)
+    return F.when(p > base, -F.col("n") * (p * F.log(p / base) + rest)).otherwise(0.0)
 
 
 def _log_odds(t: float, n: float, base: float) -> float:
@@ -252,7 +250,8 @@ def _log_odds(t: float, n: float, base: float) -> float:
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
     """Model from (id, text) and (id, label): MAX_ROWS labelled ids at most, those of the smallest hashes.
 
-    Their words are counted in Spark; what comes here is bounded by MAX_TERMS, MAX_CLEARED and MAX_ROWS.
+    Their words are counted and tested in Spark; only terms and cleared words come here, all of them, which the words
+    of MAX_ROWS documents bound.
     """
     known = labels.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(MAX_ROWS)
     known = written(known, "labelled")  # at most MAX_ROWS rows, so it may be broadcast
@@ -272,17 +271,18 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     if not size[1] or size[1] == size[0]:
         return Model()
     base, vocabulary = size[1] / size[0], counts.count()
-    rows = counts.where("t >= 3 and 2 * t > n").orderBy(F.desc("t"), "n", "word").limit(MAX_TERMS).collect()
-    chosen = {r["word"]: _log_odds(r["t"], r["n"], base) for r in rows
-              if len(r["word"]) > 2 and _log_tail(r["t"], r["n"], base) < math.log(0.5 / vocabulary)}
+    rows = counts.where((F.col("t") >= 3) & (2 * F.col("t") > F.col("n")) & (F.length("word") >= LETTERS)
+                        & (_log_tail(base) < math.log(0.5 / vocabulary))).collect()
+    chosen = {r["word"]: _log_odds(r["t"], r["n"], base) for r in sorted(rows)}
     # Near words: innocent ones are cleared; words met once tell what unseen ones are worth.
-    near = counts.mapInArrow(_near_rows(sorted(chosen)), "word string, n long, t long, edits long")
-    rows = written(near, "near").orderBy(F.desc("n"), "word").limit(MAX_CLEARED).collect()
-    cleared = frozenset(r["word"] for r in rows if r["t"] < 0.5 * r["n"] or r["n"] > 1 and r["t"] < 0.8 * r["n"])
+    near = written(counts.mapInArrow(_near_rows(sorted(chosen)), "word string, n long, t long, edits long"), "near")
+    cleared = frozenset(r["word"] for r in near.where("t < 0.5 * n or n > 1 and t < 0.8 * n").select("word").collect())
+    once = {r["edits"]: (r["n"], r["t"]) for r in near.where("n = 1").groupBy("edits").agg(
+        F.count("*").alias("n"), F.sum("t").alias("t")).collect()}
     weights = {}
-    for e in (1, 2):
-        once = [r["t"] for r in rows if r["n"] == 1 and r["edits"] == e]
-        weights[e] = _log_odds(sum(once) + 3.0, len(once) + 4.0, base)  # as if 3 of 4 had been seen to be toxic
+    for e in (1, 2):  # as if 3 of 4 more had been seen to be toxic
+        n, t = once.get(e, (0, 0))
+        weights[e] = _log_odds(t + 3.0, n + 4.0, base)
     model = Model(chosen, weights, cleared)
 
     def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
