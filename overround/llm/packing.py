@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from overround.llm.chunks import Remembered
 from overround.llm.shared import text_slices, written
 
 LENGTH, END = 4096, 2
-#: Open windows of a partition; groups merged at once; words that a worker remembers.
-OPEN, GROUPS, REMEMBERED = 64, 16, 400_000
+#: Open windows of a partition; groups merged at once; bytes of the words that a worker remembers.
+OPEN, GROUPS, REMEMBERED = 64, 16, 256 << 20
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long"
 _SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in PIECE.split(", ")] + [("part", pa.int64()), ("done", pa.bool_())])
 #: (doc_id, start, length, ids_crc32, doc_tokens)
@@ -42,7 +43,7 @@ class WordTokens:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known = Remembered(REMEMBERED, 3)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # whether an id ends a word
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -54,7 +55,7 @@ class WordTokens:
     def _learn(self, new: set[bytes]) -> None:
         """Remember the ids of new words. A full stop or comma behind an ASCII letter is a token of its own."""
         stems = {w[:-1] if w[-1] in b".," and w[-2:-1].isalpha() else w for w in new} - self.known.keys()
-        single, other = [], []
+        single, other, stemmed = [], [], {}
         for stem in stems:
             word = stem.decode()
             (single if word.isalpha() and word.lower().isalpha() else other).append(word)
@@ -66,14 +67,17 @@ class WordTokens:
             if len(stops) == len(part) and stops[-1] == len(ids):
                 raw, starts = ids.tobytes(), [0, *(4 * stops[:-1]).tolist()]
                 for word, a, z in zip(part, starts, (4 * stops).tolist(), strict=True):
-                    self.known[word.encode()] = raw[a:z]
+                    stemmed[word.encode()] = raw[a:z]
             else:  # normalisation has cut some word into several runs
                 other += part
         for word, ids in zip(other, self._encode(other), strict=True):
-            self.known[word.encode()] = ids.tobytes()
+            stemmed[word.encode()] = ids.tobytes()
         for word in new:
-            if word not in self.known:
-                self.known[word] = self.known[word[:-1]] + self.marks[word[-1]]
+            if word in stemmed:
+                self.known[word] = stemmed[word]
+            else:
+                stem = word[:-1]
+                self.known[word] = (stemmed[stem] if stem in stemmed else self.known[stem]) + self.marks[word[-1]]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -83,11 +87,7 @@ class WordTokens:
             if not (b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw):
                 raw = raw.lower()
             split.append(raw.split())
-        new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*split)
-        self._learn(new)
+        self._learn(self.known.missing(set().union(*split)))
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
@@ -96,7 +96,7 @@ _loaded: dict[str, WordTokens] = {}
 
 
 def word_tokens(path: str) -> WordTokens:
-    """The worker's tokeniser for a file, which serves all its tasks."""
+    """The worker's tokeniser for a file, which serves all its tasks; the words that it knows are bounded in bytes."""
     if path not in _loaded:
         _loaded.clear()
         _loaded[path] = WordTokens(path)
@@ -164,7 +164,6 @@ def _pack(path: str, length: int, end: int) -> Callable[[Iterator[pa.RecordBatch
                         sequence += 1
             yield from _rows(out, length, part, True)
         yield from _rows([(w, sequence + k) for k, w in enumerate(windows.rest())], length, part, False)
-        tokens.known.clear()  # the worker outlives the task
 
     return rows
 
