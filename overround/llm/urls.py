@@ -155,9 +155,13 @@ def filter_urls(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = N
                          rule_name(host, path, rules).alias("rule"))
     judged = judged.withColumn("own", rule_verdict(F.col("rule"), rules))
 
-    links = base.where(F.col("html").isNotNull() & F.col("url").isNotNull()).select(
-        address(url).alias("a"), F.explode(link_targets(F.col("html"))).alias("target"), base_address(F.col("html"), url).alias("url"))
-    links = links.select("a", address(absolute(F.col("target"), url)).alias("b"))
+    # Targets are resolved as elements of an array and then exploded: what is used several times is computed once. The
+    # outer form isn't guarded by a filter on the array, which would compute it twice.
+    html = F.col("html")
+    targets = F.flatten(F.transform(F.array(base_address(html, url)), lambda page: F.transform(
+        link_targets(html), lambda target: absolute(target, page))))
+    links = base.where(html.isNotNull() & url.isNotNull()).select(address(url).alias("a"), F.explode_outer(targets).alias("to"))
+    links = links.where("to is not null").select("a", address(F.col("to")).alias("b"))
     if edges is not None:
         links = links.union(edges.select(address(F.col("from_url")).alias("a"), address(F.col("to_url")).alias("b")))
     found = connected_components(links.where("a != b"), "a", "b")
