@@ -58,11 +58,11 @@ def main() -> None:
 
     w = Window.partitionBy("match").orderBy(*c.LINE_ORD)
     runs = {
-        "h2h_nth (top-2 per match)": mk.h2h_nth(sel, keys=c.KEYS, ord=c.LINE_ORD, rules=()),
+        "h2h_nth (top-2 per match)": mk.h2h_nth(sel, keys=c.KEYS, ord=c.LINE_ORD, rules=(), doc=()),
         "keep_first (first per match, line, price)": mk.keep_first(
             sel, [*c.KEYS, "match", "l_linenumber", "price"], c.LINE_ORD),
         "tab_time_threshold (first-where aggregation)": mk.tab_time_threshold(
-            sel, keys=c.KEYS, ord=c.LINE_ORD, rules=()),
+            sel, keys=c.KEYS, ord=c.LINE_ORD, rules=(), doc=()),
         "naive: full window rank per match (contrast)": sel.withColumn("rn", F.row_number().over(w)),
     }
     # One response holds a third of the selections and is landed twice.
