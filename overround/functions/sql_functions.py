@@ -1,8 +1,10 @@
 """The document readers as SQL table functions, for use without Python.
 
 ``register_sql_functions`` makes temporary functions of the session.  Their
-bodies are SQL, so the planner sees through them: a lateral join over them
-gives the generators that ``operators.unnest_path`` gives.
+bodies are SQL, so the planner sees through them.  Each has one generator only:
+Spark turns a lateral join over one into that generator on the row, but a
+lateral join over several in a row into a join of all documents with their
+rows on the whole text.
 """
 
 from __future__ import annotations
@@ -24,19 +26,22 @@ def sql_functions() -> dict[str, str]:
             CREATE OR REPLACE TEMPORARY FUNCTION tab_propositions(body STRING)
             RETURNS TABLE (match_pos INT, match STRING, start_time STRING, market_pos INT, market_name STRING,
                            prop_pos INT, prop_id BIGINT, prop_name STRING, price DOUBLE)
-            RETURN SELECT m.match_pos, m.one.name, m.one.startTime, k.market_pos, k.one.betOption,
-                          p.prop_pos, p.one.id, p.one.name, p.one.returnWin
-            FROM LATERAL posexplode(from_json(tab_propositions.body, '{_ddl(S.TAB_RESPONSE)}').matches) AS m(match_pos, one),
-                 LATERAL posexplode(m.one.markets) AS k(market_pos, one),
-                 LATERAL posexplode(k.one.propositions) AS p(prop_pos, one)""",
+            RETURN SELECT r.* FROM LATERAL inline(flatten(transform(
+                from_json(tab_propositions.body, '{_ddl(S.TAB_RESPONSE)}').matches, (m, i) ->
+                flatten(transform(coalesce(m.markets, array()), (k, j) ->
+                transform(coalesce(k.propositions, array()), (p, n) ->
+                    named_struct('match_pos', i, 'match', m.name, 'start_time', m.startTime, 'market_pos', j, 'market_name', k.betOption,
+                                 'prop_pos', n, 'prop_id', p.id, 'prop_name', p.name, 'price', p.returnWin))))))) AS r""",
         "sportsbet_propositions": f"""
             CREATE OR REPLACE TEMPORARY FUNCTION sportsbet_propositions(body STRING)
             RETURNS TABLE (market_pos INT, market_name STRING, market_id BIGINT, prop_pos INT, prop_id BIGINT,
                            prop_name STRING, result_type STRING, price DOUBLE, handicap DOUBLE)
-            RETURN SELECT k.market_pos, k.one.name, k.one.externalId, p.prop_pos, p.one.externalId, p.one.name,
-                          p.one.resultType, p.one.price.winPrice, try_cast(p.one.unformattedHandicap AS DOUBLE)
-            FROM LATERAL posexplode(from_json(sportsbet_propositions.body, '{_ddl(S.SB_MARKETS_RESPONSE)}')) AS k(market_pos, one),
-                 LATERAL posexplode(k.one.selections) AS p(prop_pos, one)""",
+            RETURN SELECT r.* FROM LATERAL inline(flatten(transform(
+                from_json(sportsbet_propositions.body, '{_ddl(S.SB_MARKETS_RESPONSE)}'), (k, j) ->
+                transform(coalesce(k.selections, array()), (p, n) ->
+                    named_struct('market_pos', j, 'market_name', k.name, 'market_id', k.externalId, 'prop_pos', n, 'prop_id', p.externalId,
+                                 'prop_name', p.name, 'result_type', p.resultType, 'price', p.price.winPrice,
+                                 'handicap', try_cast(p.unformattedHandicap AS DOUBLE)))))) AS r""",
         "request_urls": """
             CREATE OR REPLACE TEMPORARY FUNCTION request_urls(base STRING, match_id BIGINT)
             RETURNS TABLE (endpoint STRING, url STRING)

@@ -92,3 +92,19 @@ def test_table_functions_read_like_the_operators(spark):
     ids = spark.createDataFrame([(1,), (1234567890,)], "match_id long")
     got = spark.sql("SELECT match_id, r.* FROM {ids}, LATERAL request_urls('https://api.example.com/sportsbook', match_id) AS r", ids=ids)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, url_manifest(ids).collect()))
+
+
+def test_table_functions_join_no_documents(spark):
+    """A lateral join over a reader is a generator on the document's row; missing lists give no row, null elements one."""
+    register_sql_functions(spark)
+    tab = [{"matches": [{"name": "a", "markets": [{"betOption": "x", "propositions": [{"id": 1}, None]}, {"betOption": "y"}, None]},
+                        None, {"name": "b"}]}, {"matches": []}, {}]
+    markets = [[{"name": "x", "selections": [{"name": "s", "unformattedHandicap": "+1.5"}, {"unformattedHandicap": "?"}]}, {"name": "y"}, None], []]
+    for function, bodies, want in (("tab_propositions", tab, [(0, "a", None, 0, "x", 0, 1, None, None), (0, "a", None, 0, "x", 1, None, None, None)]),
+                                   ("sportsbet_propositions", markets, [(0, "x", None, 0, None, "s", None, None, 1.5),
+                                                                        (0, "x", None, 1, None, None, None, None, None)])):
+        docs = spark.createDataFrame([(json.dumps(b),) for b in [*bodies, bodies[0]]], "body string")
+        got = spark.sql(f"SELECT p.* FROM {{docs}}, LATERAL {function}(body) AS p", docs=docs)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan, plan
+        assert sorted(map(tuple, got.collect())) == sorted([*want, *want])
