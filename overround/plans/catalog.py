@@ -231,11 +231,17 @@ def _tab_match(spark: SparkSession, d: str) -> DataFrame:
     return li.select(match.alias("match"))
 
 
+def _land_json(documents: DataFrame, path: str) -> None:
+    """Append documents as JSON lines, compressed. Such files aren't split, so each holds a bounded number of documents."""
+    (documents.write.mode("append").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+              .option("maxRecordsPerFile", 250_000).json(path))
+
+
 def _tab_documents(spark: SparkSession, d: str) -> str:
     """Land one TAB-shaped document per lineitem as JSON lines; returns path."""
     from ..session import scratch_path
     path = scratch_path(spark, "tab-docs")
-    _tab_match(spark, d).select(F.array("match").alias("matches")).write.mode("overwrite").json(path)
+    _land_json(_tab_match(spark, d).select(F.array("match").alias("matches")), path)
     return path
 
 

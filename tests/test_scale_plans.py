@@ -69,3 +69,27 @@ def test_first_row_picks_are_pre_aggregated_before_the_shuffle(spark):
         assert partial and exchange, name
         # Some partial aggregate is printed below an exchange, i.e. runs map-side before it.
         assert any(p > e for p in partial for e in exchange), name
+
+
+def lineitems(spark, tmp_path, rows):
+    """Rows of (l_orderkey, l_linenumber, l_returnflag) as a lineitem table; returns its folder."""
+    df = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_returnflag string").select(
+        "l_orderkey", (F.col("l_linenumber") + F.lit(10)).cast("long").alias("l_partkey"), F.lit(7).cast("long").alias("l_suppkey"),
+        "l_linenumber", F.lit(2.0).alias("l_quantity"), F.lit(3.5).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"),
+        F.lit(0.2).alias("l_tax"), "l_returnflag", F.lit("O").alias("l_linestatus"), F.lit("2025-01-02 03:04:05").cast("timestamp_ntz").alias("l_shipdate"))
+    df.write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def test_landed_documents_are_compressed_and_read_whole(spark, tmp_path):
+    """src_json_nested and json_unnest write a fraction of the documents' text, and read all of it back."""
+    from pathlib import Path
+
+    from overround.plans import catalog as c
+    d = lineitems(spark, tmp_path, [(k, 1, "R") for k in range(2000)])
+    path = Path(c._tab_documents(spark, d))
+    size = sum(f.stat().st_size for f in path.glob("part-*"))
+    text = spark.read.text(str(path)).agg(F.sum(F.length("value"))).first()[0]
+    assert 0 < size < text / 4
+    assert c.QUERIES["src_json_nested"](spark, d).count() == 2000
+    assert c.QUERIES["json_unnest"](spark, d).count() == 8000
