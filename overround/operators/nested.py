@@ -34,12 +34,20 @@ def unnest_path(df: DataFrame,
     element and the element fields to lift into columns (a field is a name
     or a ``(name, new_name)`` pair).  Each level may refer to fields lifted
     by the previous one; the exploded array itself is not carried on.
+
+    The first array is often a parsed text.  ``posexplode`` would make Spark
+    infer filters on it and push them below the parse, which then runs again in
+    each of them; so its rows without elements go after the generator.
     """
     out = df
     carried = list(keep)
-    for array_expr, pos_name, alias, fields in levels:
+    for level, (array_expr, pos_name, alias, fields) in enumerate(levels):
         carried = [c for c in carried if c != array_expr]
-        out = out.select(*carried, F.posexplode(F.col(array_expr)).alias(pos_name, alias))
+        if level:
+            out = out.select(*carried, F.posexplode(F.col(array_expr)).alias(pos_name, alias))
+        else:
+            out = out.select(*carried, F.posexplode_outer(F.col(array_expr)).alias(pos_name, alias)).where(
+                F.col(pos_name).isNotNull())
         pairs = [(f, f) if isinstance(f, str) else f for f in fields]
         out = out.select(*carried, pos_name, *[F.col(f"{alias}.{src}").alias(dst) for src, dst in pairs])
         carried = carried + [pos_name] + [dst for _, dst in pairs]

@@ -1626,7 +1626,8 @@ def q_json_orders_nested(spark: SparkSession, d: str) -> DataFrame:
     from .. import schemas as S
     from ..session import scratch_path
     from ..sources import current_documents, parse_documents, read_landed, tab_selections
-    li = _t(spark, d, "lineitem")
+    # One exchange serves both groupings.
+    li = _t(spark, d, "lineitem").select("l_orderkey", *LINE_ORD).repartition("l_orderkey")
     prop = F.struct(*LINE_ORD, F.struct(F.col("l_partkey").alias("id"), F.lit("p").alias("name"),
                                         F.col("l_quantity").alias("returnWin")).alias("prop"))
     markets = li.groupBy("l_orderkey", "l_returnflag").agg(F.transform(
@@ -1637,9 +1638,13 @@ def q_json_orders_nested(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "order-docs")
     landed = orders.select(F.concat(F.lit("o/"), F.col("l_orderkey").cast("string")).alias("url"),
                            F.to_json(F.struct(F.array(match).alias("matches"))).alias("body"))
-    landed.write.json(path)
-    landed.write.mode("append").json(path)  # landed twice: counts once
-    sel = current_documents(tab_selections(parse_documents(read_landed(spark, path), S.TAB_RESPONSE)))
+    _land_json(landed, path)
+    again = spark.read.schema(landed.schema).json(path)  # the documents of the first landing, not built anew
+    _land_json(again, path)  # landed twice: counts once
+    # Selections are written once: current_documents reads a few of their columns first, then the rows that count.
+    selections = tab_selections(parse_documents(read_landed(spark, path), S.TAB_RESPONSE))
+    selections.write.parquet(flat := scratch_path(spark, "order-selections"))
+    sel = current_documents(spark.read.schema(selections.schema).parquet(flat))
     return sel.select("match", "market_pos", "market_name", "prop_pos", "prop_id", "price")
 
 

@@ -86,10 +86,26 @@ def test_landed_documents_are_compressed_and_read_whole(spark, tmp_path):
     from pathlib import Path
 
     from overround.plans import catalog as c
+    from overround.session import local_path
     d = lineitems(spark, tmp_path, [(k, 1, "R") for k in range(2000)])
-    path = Path(c._tab_documents(spark, d))
+    path = Path(local_path(c._tab_documents(spark, d)))
     size = sum(f.stat().st_size for f in path.glob("part-*"))
     text = spark.read.text(str(path)).agg(F.sum(F.length("value"))).first()[0]
     assert 0 < size < text / 4
     assert c.QUERIES["src_json_nested"](spark, d).count() == 2000
     assert c.QUERIES["json_unnest"](spark, d).count() == 8000
+
+
+def test_documents_are_parsed_in_no_filter(spark):
+    """json_orders_nested: selections of parsed texts; filters inferred from the generator don't repeat the parse."""
+    import json
+
+    from overround.sources import parse_documents, sportsbet_selections, tab_selections
+    tab = [{"matches": [{"name": "a", "markets": [{"betOption": "x", "propositions": [{"id": 1}]}, None]}, None]}, {"matches": []}, {}]
+    sb = [[{"name": "x", "selections": [{"name": "s"}]}, None], []]
+    for flatten, schema, bodies in ((tab_selections, S.TAB_RESPONSE, tab), (sportsbet_selections, S.SB_MARKETS_RESPONSE, sb)):
+        docs = spark.createDataFrame([(f"u{k}", json.dumps(b)) for k, b in enumerate(bodies)] + [("n", None), ("b", "[{")], "url string, body string")
+        out = flatten(parse_documents(docs, schema))
+        filters = [ln for ln in _plan(out).splitlines() if "Filter" in ln]
+        assert not any("from_json" in ln or "jsonObjectKeys" in ln for ln in filters), filters
+        assert [tuple(r) for r in out.select("source_url", "market_pos", "prop_pos").collect()] == [("u0", 0, 0)]
