@@ -26,7 +26,7 @@ from overround.llm.shared import gram_hashes, joined_words, mix, span_hashes, te
 
 WINDOW, GRAM = 20, 5
 #: Minimisers are counted in so many bins, to find hot ones; a run holds so many windows at most; slices of text.
-BINS, MAX_RUN, SLICE = 1 << 16, 512, 6 << 20
+BINS, MAX_RUN, SLICE = 1 << 16, 512, 2 << 20
 #: Spans known to repeat that travel as one row, at most.
 MAX_KNOWN = 1 << 12
 #: Bytes of packed strings in a bucket, before compression.

@@ -1,6 +1,7 @@
 """Repeats that are known within a slice: merged, spread and never gathered."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -41,3 +42,17 @@ def test_copies_put_one_span_each_into_spread_rows(hot):
             *(batch.column(k).to_pylist() for k in range(3)), strict=True))
     gone = {(d, w) for d, a, b in got for w in range(a, b)}
     assert gone == {(d, w) for d in range(1, 2000) for w in range(400)}
+
+
+def test_hashing_texts_takes_bounded_memory():
+    """A batch of any size is hashed in slices whose arrays stay well below a worker's share."""
+    texts = [" ".join(f"w{(i * 7919 + j * 104729) % 99991}" for j in range(600)) for i in range(2500)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    for rows in (substring._count_bins, substring._scatter(np.zeros(substring.BINS, bool), 48)):
+        list(rows(iter([batch.slice(0, 10)])))
+        tracemalloc.start()
+        for _ in rows(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 80 << 20, peak
