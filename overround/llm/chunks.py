@@ -52,3 +52,8 @@ class Remembered(dict):
         back = {k: self.aside[k] for k in new & self.aside.keys()}
         self.update(back)
         return new - back.keys()
+
+    def forget(self) -> None:
+        """Let all entries go, also those set aside."""
+        self.clear()
+        self.size, self.aside = 0, {}

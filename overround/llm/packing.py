@@ -9,6 +9,7 @@ number of partitions, each of which passes on a bounded number of its emptiest w
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
@@ -18,85 +19,131 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from overround.llm.chunks import Remembered
 from overround.llm.shared import text_slices, written
 
 LENGTH, END = 4096, 2
-#: Open windows of a partition; groups merged at once; bytes of the words that a worker remembers.
-OPEN, GROUPS, REMEMBERED = 64, 16, 256 << 20
+#: Open windows of a partition; groups merged at once; bytes of the words that a task remembers; slices of text.
+OPEN, GROUPS, REMEMBERED, SLICE = 64, 16, 128 << 20, 4 << 20
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long"
 _SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in PIECE.split(", ")] + [("part", pa.int64()), ("done", pa.bool_())])
 #: (doc_id, start, length, ids_crc32, doc_tokens)
 Piece = tuple[int | None, int, int, int, int]
 
 
+_WHITE = " \t\n\v\f\r"
+#: Classes of bytes: white space, ASCII marks but those that end a special token, ASCII letters, any other.
+_SPACE, _MARK, _LETTER = 1, 2, 3
+_CLASS = np.array([_SPACE if chr(c) in _WHITE else _LETTER if bytes([c]).isalpha() else
+                   _MARK if chr(c) in string.punctuation and chr(c) not in "|>" else 0 for c in range(256)], np.uint8)
+
+
+def _words(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where the words of texts begin, each with the white space before it; ``begins`` has each text's first byte.
+
+    White space stands at each text's start. Marks that end a word behind a letter (of ASCII or Latin-1) are a word of
+    their own, as no run of the vocabulary's pattern goes on behind a letter with anything but letters.
+    """
+    kind = _CLASS[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (kind[1:] == _SPACE) & (kind[:-1] != _SPACE)
+    marks = np.flatnonzero(kind == _MARK)
+    if len(marks):
+        new = np.diff(marks) != 1
+        first, last = marks[np.append(True, new)], marks[np.append(new, True)]
+        before = data[first - 1]
+        letter = (kind[first - 1] == _LETTER) | (data[first - 2] == 0xC3) & (before != 0x97) & (before != 0xB7)
+        cut[first[letter & ((last + 1 == len(data)) | (kind[(last + 1) % len(data)] == _SPACE))]] = True
+    cut[begins] = True
+    return np.flatnonzero(cut)
+
+
 class WordTokens:
     """Ids of whole texts, put together from those of their words.
 
     The vocabulary drops white space and lower-cases, so words parted by ASCII white space are tokenised apart from
-    each other anyway; words that come again are looked up. ASCII capitals are lowered first, which joins more words,
-    unless a text holds combining marks (whose composition depends on case) or might spell a special token.
+    each other anyway. Arrow numbers the words of many texts; each different one is looked up once, and the ids are
+    put together by number. ASCII capitals are lowered first, which joins more words, unless a text holds combining
+    marks (whose composition depends on case) or might spell a special token.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        # For lower-case Latin letters alone: nothing to normalise, no runs to find, and words come once, so no cache.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known = Remembered(REMEMBERED, 3)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # whether an id ends a word
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.marks = {ord(m): self._encode([m])[0].tobytes() for m in ".,"}
-
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, new: set[bytes]) -> None:
-        """Remember the ids of new words. A full stop or comma behind an ASCII letter is a token of its own."""
-        stems = {w[:-1] if w[-1] in b".," and w[-2:-1].isalpha() else w for w in new} - self.known.keys()
-        single, other, stemmed = [], [], {}
-        for stem in stems:
-            word = stem.decode()
-            (single if word.isalpha() and word.lower().isalpha() else other).append(word)
-        # Words of letters alone are one run each, whose last id ends a word: many are encoded at once.
+        """Remember the ids of new words, which may have white space before them."""
+        single, names, other = [], [], []
+        for raw in new:
+            word = raw.decode().strip(_WHITE)
+            if word.isalpha() and (word.isascii() or max(word) < "\u0250") and word == word.lower():
+                single.append(word)
+                names.append(raw)
+            else:
+                other.append(raw)
+        # These are one run each, whose last id ends a word: many are encoded at once.
         for k in range(0, len(single), 512 * 64):
             part = single[k : k + 512 * 64]
-            ids = np.concatenate(self._encode([" ".join(part[i : i + 512]) for i in range(0, len(part), 512)]))
-            stops = np.flatnonzero(self.last[ids]) + 1
-            if len(stops) == len(part) and stops[-1] == len(ids):
-                raw, starts = ids.tobytes(), [0, *(4 * stops[:-1]).tolist()]
-                for word, a, z in zip(part, starts, (4 * stops).tolist(), strict=True):
-                    stemmed[word.encode()] = raw[a:z]
-            else:  # normalisation has cut some word into several runs
-                other += part
-        for word, ids in zip(other, self._encode(other), strict=True):
-            stemmed[word.encode()] = ids.tobytes()
-        for word in new:
-            if word in stemmed:
-                self.known[word] = stemmed[word]
-            else:
-                stem = word[:-1]
-                self.known[word] = (stemmed[stem] if stem in stemmed else self.known[stem]) + self.marks[word[-1]]
+            joined = [" ".join(part[i : i + 512]) for i in range(0, len(part), 512)]
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.plain.encode_batch_fast(joined, add_special_tokens=False)])
+            stops = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            raw, starts = ids.tobytes(), [0, *stops[:-1].tolist()]
+            for name, a, z in zip(names[k : k + 512 * 64], starts, stops.tolist(), strict=True):
+                self.known[name] = raw[a:z]
+        encoded = self.tokenizer.encode_batch_fast([raw.decode().strip(_WHITE) for raw in other], add_special_tokens=False)
+        for name, e in zip(other, encoded, strict=True):
+            self.known[name] = np.array(e.ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = []
+        if not texts:
+            return []
+        parts = []
         for text in texts:
             raw = (text or "").encode()
-            if not (b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw):
-                raw = raw.lower()
-            split.append(raw.split())
-        self._learn(self.known.missing(set().union(*split)))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+            parts.append(raw if b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw else raw.lower())
+        data = b" ".join([b"", *parts])
+        begins = np.cumsum([0, *(len(raw) + 1 for raw in parts[:-1])])
+        starts = _words(np.frombuffer(data, np.uint8), begins)
+        offsets = np.append(starts, len(data))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        words = words.dictionary_encode()
+        _, places, raw = words.dictionary.buffers()
+        places, raw = np.frombuffer(places, np.int64, len(words.dictionary) + 1).tolist(), raw.to_pybytes()
+        distinct = [raw[a:z] for a, z in zip(places[:-1], places[1:], strict=True)]
+        found = list(map(self.known.get, distinct))
+        if unknown := [k for k, ids in enumerate(found) if ids is None]:
+            self._learn(self.known.missing({distinct[k] for k in unknown}))
+            for k in unknown:
+                found[k] = self.known[distinct[k]]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        number = words.indices.to_numpy()
+        length = counts[number]
+        ends = np.cumsum(length)
+        index = np.repeat((np.cumsum(counts) - counts)[number] - (ends - length), length)
+        index += np.arange(len(index))
+        out = ids[index].tobytes()
+        at = np.append(0, ends)[np.searchsorted(starts, np.append(begins, len(data)))] * 4
+        return [out[a:z] for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 _loaded: dict[str, WordTokens] = {}
 
 
 def word_tokens(path: str) -> WordTokens:
-    """The worker's tokeniser for a file, which serves all its tasks; the words that it knows are bounded in bytes."""
+    """The worker's tokeniser for a file, which serves all its tasks; words are remembered within a task."""
     if path not in _loaded:
         _loaded.clear()
         _loaded[path] = WordTokens(path)
@@ -150,19 +197,22 @@ def _pack(path: str, length: int, end: int) -> Callable[[Iterator[pa.RecordBatch
         tokens, last = word_tokens(path), end.to_bytes(4, "little")
         part = TaskContext.get().partitionId()
         windows, sequence = OpenWindows(length, OPEN), part << 32
-        for batch in text_slices(batches, 1):
-            out: list[tuple[list[Piece], int]] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), tokens(batch.column(1).to_pylist()), strict=True):
-                ids += last
-                count = len(ids) // 4
-                for start in range(0, count, length):
-                    size = min(length, count - start)
-                    piece = (doc, start, size, zlib.crc32(ids[4 * start : 4 * (start + size)]), count)
-                    full = [piece] if size == length else windows.put(piece)
-                    if full:
-                        out.append((full, sequence))
-                        sequence += 1
-            yield from _rows(out, length, part, True)
+        try:
+            for batch in text_slices(batches, 1, SLICE):
+                out: list[tuple[list[Piece], int]] = []
+                for doc, ids in zip(batch.column(0).to_pylist(), tokens(batch.column(1).to_pylist()), strict=True):
+                    ids += last
+                    count = len(ids) // 4
+                    for start in range(0, count, length):
+                        size = min(length, count - start)
+                        piece = (doc, start, size, zlib.crc32(ids[4 * start : 4 * (start + size)]), count)
+                        full = [piece] if size == length else windows.put(piece)
+                        if full:
+                            out.append((full, sequence))
+                            sequence += 1
+                yield from _rows(out, length, part, True)
+        finally:  # what later tasks of the worker do has the memory
+            tokens.known.forget()
         yield from _rows([(w, sequence + k) for k, w in enumerate(windows.rest())], length, part, False)
 
     return rows

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -201,3 +202,26 @@ def test_run_gives_pieces_of_what_is_left(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.where("length < 1 or length > 4096").count() == 0 and rows.count() > 0
     assert substring.WINDOW == 20
+
+
+def test_words_that_end_in_marks_are_looked_up_without_them():
+    texts = ["word word. word, word!! word*** (word) été été. été; naïve--", "word?\tword.\nword\rword", "x|> y> é× é÷. a's' a'.",
+             "<|endoftext|>. b<|endoftext|> c<|x|>", "  lead", "trail  ", ". .. a.b. 1. 2!", "ｗｏｒｄ. ß. ĳ. ŉ. ſ. ª."]
+    rng = random.Random(7)
+    texts += ["".join(rng.choice("aBéÉ÷ı.,;-'\"<|>≠́ \n\t1ß") for _ in range(50)) for _ in range(500)]
+    words = packing.WordTokens(PATH)
+    assert words(texts) == [x[:-1].tobytes() for x in ids_of(texts)]
+    assert [words([t])[0] for t in texts] == [x[:-1].tobytes() for x in ids_of(texts)]
+    words = packing.WordTokens(PATH)
+    words(["abc abc. abc!! abc*** abc, abc\n"])
+    assert sum(b"abc" in w for w in words.known) == 1
+    assert words([]) == [] and words([None, ""]) == [b"", b""]
+
+
+def test_words_are_forgotten_when_a_task_ends(monkeypatch):
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words here", "and more"]})
+    rows = packing._pack(PATH, 64, 2)(iter([batch]))
+    assert sum(r.num_rows for r in rows) == 2
+    words = packing.word_tokens(PATH)
+    assert not words.known and not words.known.aside and not words.known.size
