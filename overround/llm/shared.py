@@ -99,8 +99,8 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
-#: Bytes that are hashed at once; the tables of powers have this length.
-PIECE = 1 << 21
+#: Bytes that are hashed at once; the tables of powers have this length, and a processor's cache should hold them.
+PIECE = 1 << 18
 _power_tables: list[tuple[np.ndarray, np.ndarray]] = []
 
 

@@ -1,5 +1,7 @@
 """Hashes of spans in bounded pieces."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -30,3 +32,14 @@ def test_hashes_dont_depend_on_pieces(monkeypatch, piece):
 def test_no_spans():
     none = np.zeros(0, np.int64)
     assert len(shared.span_hashes(np.zeros(0, np.uint8), none, none)) == 0
+
+
+def test_hashing_takes_little_memory_besides_its_result(monkeypatch):
+    monkeypatch.setattr(shared, "_power_tables", [])
+    data = np.frombuffer(b"abcdefg " * (1 << 19), np.uint8)
+    starts = np.arange(0, len(data), 1 << 12)
+    tracemalloc.start()
+    shared.span_hashes(data, starts, starts + 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
